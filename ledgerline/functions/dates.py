@@ -11,7 +11,7 @@ from .numbers import as_col
 def date_in_name(title) -> Column:
     """``..._YYYYMMDD.csv`` -> date (DAT-3): the 8 characters before the 4-character extension."""
     t = as_col(title)
-    return F.try_to_date(F.substring(t, -12, 8), F.lit("yyyyMMdd"))
+    return F.try_to_date(F.substring(t, -12, 8), "yyyyMMdd")
 
 
 def previous_month_start(d) -> Column:

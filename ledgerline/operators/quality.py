@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import pct_deviation, round_half_away
-from ..functions.text import CODE, GROUP, TOTAL, code_kind
+from ..functions.text import CODE, GROUP, TOTAL, code_kind  # noqa: F401
 from .joins import join_dimension
 
 

@@ -87,3 +87,163 @@ def reconcile_total_group(spark, sf):
 @register("reconcile_total_code", _reconcile_sql("total", "code", 5.0))
 def reconcile_total_code(spark, sf):
     return comparable(Q.reconcile_levels(I.level_table(spark, sf), _M, "total", "code", tol=5.0))
+
+
+# ------------------------------------------------------------ group checks
+def _kind(level):
+    return f"{code_kind_sql('mcc')} = '{level}'"
+
+
+def _rollups_sql():
+    sums = ", ".join(f"sum({m}) AS {m}" for m in _M)
+    msum = ", ".join(f"sum({m}) AS {m}" for m in _M)
+    return (("agg", f"SELECT {code_kind_sql('mcc')} AS lvl, mcc, region_name, partition_dt, {sums} "
+                    f"FROM lv WHERE NOT {_kind('total')} GROUP BY ALL"),
+            ("g", "SELECT mcc, region_name, partition_dt, " + ", ".join(_M) + " FROM agg WHERE lvl = 'group'"),
+            ("c", f"SELECT mcc_group, region_name, partition_dt, {msum} FROM "
+                  "(SELECT * FROM agg WHERE lvl = 'code') t LEFT JOIN mcc_map ON t.mcc = mcc_map.mcc_code "
+                  "GROUP BY ALL"))
+
+
+@register("rollup_metrics", _with(_LV) + f"""
+SELECT mcc, region_name, partition_dt, {_sum_list()} FROM lv WHERE {_kind('group')} GROUP BY ALL""")
+def rollup_metrics(spark, sf):
+    lv = I.level_table(spark, sf)
+    return comparable(Q.rollup_metrics(lv.where(Q.code_kind("mcc") == "group"),
+                                       ["mcc", "region_name", "partition_dt"], _M))
+
+
+@register("map_codes", _with(_LV, _MAP) + f"""
+SELECT mcc_group, region_name, partition_dt, {_sum_list()}
+FROM (SELECT mcc, region_name, partition_dt, {", ".join(f"sum({m}) AS {m}" for m in _M)}
+      FROM lv WHERE {_kind('code')} GROUP BY ALL) t
+LEFT JOIN mcc_map ON t.mcc = mcc_map.mcc_code GROUP BY ALL""")
+def map_codes(spark, sf):
+    lv = I.level_table(spark, sf)
+    codes = Q.rollup_metrics(lv.where(Q.code_kind("mcc") == "code"), ["mcc", "region_name", "partition_dt"], _M)
+    return comparable(Q.map_codes(codes, I.code_map(spark, sf), _M))
+
+
+_GROUP_DEVS = ", ".join(f"{pct_deviation_sql('g.' + m, 'c.' + m)} AS dev_{m}" for m in _M)
+
+
+@register("reconcile_groups", _with(_LV, _MAP, *_rollups_sql(), ("d", f"""
+SELECT g.mcc, g.region_name, g.partition_dt, {_GROUP_DEVS}
+FROM g JOIN c ON g.mcc = c.mcc_group AND g.region_name = c.region_name AND g.partition_dt = c.partition_dt""")) + f"""
+SELECT * FROM d WHERE {" OR ".join(f"abs(dev_{m}) > 1.0" for m in _M)}""")
+def reconcile_groups(spark, sf):
+    return comparable(Q.reconcile_groups(I.level_table(spark, sf), I.code_map(spark, sf), _M, tol=1.0))
+
+
+@register("unequal_groups", _with(_LV, _MAP, *_rollups_sql()) + f"""
+SELECT mcc, region_name, partition_dt, {", ".join(f"CAST({m} AS DOUBLE) AS {m}" for m in _M)} FROM (
+  SELECT mcc, region_name, partition_dt, {", ".join(_M)} FROM g
+  EXCEPT
+  SELECT mcc_group, region_name, partition_dt, {", ".join(_M)} FROM c)""")
+def unequal_groups(spark, sf):
+    return comparable(Q.unequal_groups(I.level_table(spark, sf), I.code_map(spark, sf), _M))
+
+
+# ------------------------------------------------------------ row checks
+@register("check_bound", _with(("o", I.BOUND_SQL)) + """
+SELECT * FROM o WHERE o_totalprice > income_limit AND partition_dt LIKE '%-%' AND income_limit != 2000001""")
+def check_bound(spark, sf):
+    return comparable(Q.check_bound(I.bound_input(spark, sf), "o_totalprice", "income_limit"))
+
+
+def _weighted_sql():
+    src = "unit * n * share_a + unit * n * share_b"
+    from ..functions.numbers import round_half_away_sql
+    s = round_half_away_sql(src)
+    raw = pct_deviation_sql("source_total", "all_total", None)
+    return _with(("w", I.WEIGHTED_SQL),
+                 ("x", f"SELECT *, {s} AS source_total, CAST(n * avg_all AS DOUBLE) AS all_total FROM w")) + f"""
+SELECT *, {pct_deviation_sql('source_total', 'all_total')} AS deviation FROM x
+WHERE source_total != 0 AND abs({raw}) > 1.0 AND partition_dt LIKE '%-%'"""
+
+
+@register("check_weighted_total", _weighted_sql())
+def check_weighted_total(spark, sf):
+    return comparable(Q.check_weighted_total(I.weighted_input(spark, sf),
+                                             [("unit", "share_a"), ("unit", "share_b")], "n", "avg_all"))
+
+
+@register("check_product", _with(("p", I.PRODUCT_SQL)) + f"""
+SELECT *, {pct_deviation_sql('stated_total', 'l_quantity * p_retailprice')} AS deviation FROM p
+WHERE partition_dt LIKE '%-%' AND abs({pct_deviation_sql('stated_total', 'l_quantity * p_retailprice', None)}) > 1.0""")
+def check_product(spark, sf):
+    return comparable(Q.check_product(I.product_input(spark, sf), "l_quantity", "p_retailprice", "stated_total"))
+
+
+_SUMMARY_OF = ["reconcile_total_group", "reconcile_total_code", "reconcile_groups",
+               "check_bound", "check_weighted_total", "check_product"]
+
+
+@register("check_summary", "\nUNION ALL\n".join(
+    f"SELECT '{n}' AS check_name, count(*) AS n_rows, count(*) > 0 AS failed FROM ({ORACLE[n]}) t_{i}"
+    for i, n in enumerate(_SUMMARY_OF)))
+def check_summary(spark, sf):
+    out = Q.check_summary({n: QUERIES[n](spark, sf) for n in _SUMMARY_OF})
+    return out.withColumnRenamed("check", "check_name")
+
+
+# ------------------------------------------------------------ incremental load
+from ..operators import increment as INC  # noqa: E402
+
+
+@register("new_periods", _with(("u", I.UPLOAD_SQL)) + """
+SELECT DISTINCT partition_dt FROM u WHERE partition_dt IS NOT NULL
+  AND partition_dt NOT IN (SELECT partition_dt FROM u WHERE o_orderdate < '2001-01-01' AND partition_dt IS NOT NULL)""")
+def new_periods(spark, sf):
+    up = I.upload(spark, sf)
+    return INC.new_periods(up, I.history(up))
+
+
+@register("period_frequency", _with(("u", I.UPLOAD_SQL), ("p", """
+SELECT DISTINCT partition_dt FROM u UNION ALL
+SELECT DISTINCT partition_dt FROM u WHERE o_orderdate < '2001-01-01'""")) + """
+SELECT partition_dt, count(partition_dt) OVER (PARTITION BY partition_dt) AS freq FROM p""")
+def period_frequency(spark, sf):
+    up = I.upload(spark, sf)
+    return INC.period_frequency(INC.stacked_periods(up, I.history(up)))
+
+
+@register("append_preview", _with(("u", I.UPLOAD_SQL)) + f"""
+SELECT {I.UPLOAD_OUT} FROM u WHERE partition_dt IN (
+  SELECT partition_dt FROM u WHERE partition_dt IS NOT NULL
+  EXCEPT SELECT partition_dt FROM u WHERE o_orderdate < '2001-01-01')""")
+def append_preview(spark, sf):
+    up = I.upload(spark, sf)
+    return comparable(INC.rows_to_append(up, I.history(up)))
+
+
+_CAT = f"""SELECT title, try_strptime(substr(title, -12, 8), '%Y%m%d')::DATE AS file_date,
+  CASE WHEN instr(title, 'fl_trans') > 0 THEN 'fl_trans' WHEN instr(title, 'fl_blago') > 0 THEN 'fl_blago'
+       WHEN instr(title, 'ul_') > 0 THEN 'ul' END AS kind FROM f WHERE title LIKE '%.csv'"""
+_ACT = "strftime(date_trunc('month', file_date - INTERVAL 1 MONTH), '%Y-%m-%d')"
+
+
+@register("latest_file", _with(("f", I.TITLES_SQL), ("c", _CAT)) + f"""
+SELECT title, file_date, kind, {_ACT} AS actdate FROM c ORDER BY file_date DESC, title DESC LIMIT 1""")
+def latest_file(spark, sf):
+    return INC.latest_file(I.titles(spark, sf))
+
+
+@register("reporting_period", _with(("f", I.TITLES_SQL), ("c", _CAT)) + f"""
+SELECT kind, title, file_date, {_ACT} AS actdate FROM (
+  SELECT *, row_number() OVER (PARTITION BY kind ORDER BY file_date DESC, title DESC) AS rn FROM c) WHERE rn = 1""")
+def reporting_period(spark, sf):
+    return INC.latest_file(I.titles(spark, sf), by=["kind"])
+
+
+@register("route_kind", _with(("f", I.TITLES_SQL)) + """
+SELECT CASE WHEN instr(title, 'fl_trans') > 0 THEN 'fl_trans' WHEN instr(title, 'fl_blago') > 0 THEN 'fl_blago'
+            WHEN instr(title, 'ul_') > 0 THEN 'ul' END AS kind,
+       title LIKE '%.csv' AS is_csv, count(*) AS n_files
+FROM f GROUP BY ALL""")
+def route_kind(spark, sf):
+    from ..functions.text import route_by_name
+    t = I.titles(spark, sf)
+    return (t.groupBy(route_by_name("title", INC.KIND_RULES).alias("kind"),
+                      F.col("title").like("%.csv").alias("is_csv"))
+             .agg(F.count(F.lit(1)).alias("n_files")))

@@ -82,3 +82,111 @@ def code_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 CODE_MAP_SQL = """
 SELECT DISTINCT CAST(p_size AS VARCHAR) AS mcc_code, 'G' || CAST(p_size % 6 AS VARCHAR) AS mcc_group FROM part
 """
+
+
+# ---------------------------------------------------------------- row checks
+def _limit_expr():
+    first = F.left(F.col("o_orderpriority"), F.lit(1))
+    return F.when(first == "5", F.lit(2000001)).otherwise(first.cast("int") * 100000)
+
+
+def bound_input(spark, sf_dir):
+    """Orders with a class limit from their priority ('5-LOW' is the open top class)."""
+    o = table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", "o_orderpriority", "o_totalprice",
+                    _limit_expr().alias("income_limit"),
+                    F.date_format("o_orderdate", "yyyy-MM-dd").alias("partition_dt"))
+
+
+BOUND_SQL = """
+SELECT o_orderkey, o_orderpriority, o_totalprice,
+       CASE WHEN left(o_orderpriority, 1) = '5' THEN 2000001 ELSE CAST(left(o_orderpriority, 1) AS INTEGER) * 100000 END
+         AS income_limit,
+       strftime(o_orderdate, '%Y-%m-%d') AS partition_dt
+FROM orders"""
+
+
+def weighted_input(spark, sf_dir):
+    """Line items as income clusters: two sources (undiscounted / discount share) at the unit
+    price, stated total average 2 % too high on every 7th order."""
+    li = table(spark, sf_dir, "lineitem")
+    unit = F.col("l_extendedprice") / F.col("l_quantity")
+    return li.select("l_orderkey", "l_linenumber",
+                     F.col("l_quantity").alias("n"), unit.alias("unit"),
+                     (F.lit(1.0) - F.col("l_discount")).alias("share_a"), F.col("l_discount").alias("share_b"),
+                     F.when(F.col("l_orderkey") % 7 == 0, unit * 1.02).otherwise(unit).alias("avg_all"),
+                     F.date_format("l_shipdate", "yyyy-MM-dd").alias("partition_dt"))
+
+
+WEIGHTED_SQL = """
+SELECT l_orderkey, l_linenumber, l_quantity AS n, l_extendedprice / l_quantity AS unit,
+       1.0 - l_discount AS share_a, l_discount AS share_b,
+       CASE WHEN l_orderkey % 7 = 0 THEN l_extendedprice / l_quantity * 1.02 ELSE l_extendedprice / l_quantity END
+         AS avg_all,
+       strftime(l_shipdate, '%Y-%m-%d') AS partition_dt
+FROM lineitem"""
+
+
+def product_input(spark, sf_dir):
+    """Line items with a stated total = quantity x retail price, 2 % off on every 7th order."""
+    from ..functions.numbers import round_half_away
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
+                                                  "l_shipdate")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
+    j = li.join(part, li.l_partkey == part.p_partkey)
+    exact = round_half_away(F.col("l_quantity") * F.col("p_retailprice"), 2)
+    return j.select("l_orderkey", "l_linenumber", "l_quantity", "p_retailprice",
+                    F.when(F.col("l_orderkey") % 7 == 0, exact * 1.02).otherwise(exact).alias("stated_total"),
+                    F.date_format("l_shipdate", "yyyy-MM-dd").alias("partition_dt"))
+
+
+def _r2(x):
+    from ..functions.numbers import round_half_away_sql
+    return round_half_away_sql(x)
+
+
+PRODUCT_SQL = f"""
+SELECT l_orderkey, l_linenumber, l_quantity, p_retailprice,
+       CASE WHEN l_orderkey % 7 = 0 THEN {_r2('l_quantity * p_retailprice')} * 1.02
+            ELSE {_r2('l_quantity * p_retailprice')} END AS stated_total,
+       strftime(l_shipdate, '%Y-%m-%d') AS partition_dt
+FROM lineitem JOIN part ON l_partkey = p_partkey"""
+
+
+# ---------------------------------------------------------------- incremental load
+# Upload = orders with a monthly period; history = what was loaded before 2001.
+HISTORY_BEFORE = "2001-01-01"
+
+
+def upload(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    return o.withColumn("partition_dt", month_period("o_orderdate"))
+
+
+def history(up):
+    return up.where(F.col("o_orderdate") < F.lit(HISTORY_BEFORE).cast("timestamp"))
+
+
+UPLOAD_SQL = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+       strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS partition_dt
+FROM orders"""
+
+UPLOAD_OUT = ("o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS VARCHAR) AS o_orderdate, "
+              "o_orderpriority, partition_dt")
+
+
+# File names as the landing folder would list them: kind by order key, date from the order,
+# '.txt' for pending orders (not an upload).
+def titles(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    kind = (F.when(F.col("o_orderkey") % 3 == 0, "fl_trans_")
+             .when(F.col("o_orderkey") % 3 == 1, "fl_blago_").otherwise("ul_"))
+    ext = F.when(F.col("o_orderstatus") == "P", ".txt").otherwise(".csv")
+    return o.select(F.concat(kind, F.date_format("o_orderdate", "yyyyMMdd"), ext).alias("title"))
+
+
+TITLES_SQL = """
+SELECT CASE o_orderkey % 3 WHEN 0 THEN 'fl_trans_' WHEN 1 THEN 'fl_blago_' ELSE 'ul_' END
+       || strftime(o_orderdate, '%Y%m%d') || CASE WHEN o_orderstatus = 'P' THEN '.txt' ELSE '.csv' END AS title
+FROM orders"""
