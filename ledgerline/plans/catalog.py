@@ -38,7 +38,7 @@ def comparable(df: DataFrame) -> DataFrame:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.DecimalType):
             c = c.cast("double")
-        elif isinstance(f.dataType, T.TimestampType):
+        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             c = c.cast("string")
         cols.append(c.alias(f.name))
     return df.select(*cols)
@@ -247,3 +247,108 @@ def route_kind(spark, sf):
     return (t.groupBy(route_by_name("title", INC.KIND_RULES).alias("kind"),
                       F.col("title").like("%.csv").alias("is_csv"))
              .agg(F.count(F.lit(1)).alias("n_files")))
+
+
+# ------------------------------------------------------------ indicators
+from ..functions.numbers import plain_text_sql  # noqa: E402
+from ..functions.text import clean_value  # noqa: E402
+from ..operators import indicators as IND  # noqa: E402
+from ..sources.pages import json_field as _json_field  # noqa: E402
+
+_DIGITS = "TRY_CAST(replace(replace(replace(VL, ' ', ''), ',', '.'), '%', '') AS DOUBLE)"
+_PLAIN = f"CASE WHEN VL = '-' THEN NULL ELSE {_DIGITS} END"
+_SCALED = f"CASE WHEN VL = '-' THEN 0.0 WHEN contains(VL, '%') THEN {_DIGITS} ELSE {_DIGITS} / 1000.0 END"
+
+
+@register("clean_value_plain", _with(("v", I.VALUE_TEXT_SQL)) + f"SELECT event_id, VL, {_PLAIN} AS val FROM v")
+def clean_value_plain(spark, sf):
+    v = I.value_text(spark, sf)
+    return v.select("event_id", "VL", clean_value("VL", "plain").alias("val"))
+
+
+@register("clean_value_scaled", _with(("v", I.VALUE_TEXT_SQL)) + f"SELECT event_id, VL, {_SCALED} AS val FROM v")
+def clean_value_scaled(spark, sf):
+    v = I.value_text(spark, sf)
+    return v.select("event_id", "VL", clean_value("VL", "scaled").alias("val"))
+
+
+@register("decode_dimension", _with(("d", "SELECT n_nationkey AS id, lower(n_name) AS name FROM nation "
+                                          "WHERE n_nationkey < 20")) + """
+SELECT c_custkey, coalesce(d.name, CAST(c_nationkey AS VARCHAR)) AS nation
+FROM customer LEFT JOIN d ON c_nationkey = d.id""")
+def decode_dimension(spark, sf):
+    c = I.table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    n = I.table(spark, sf, "nation").where(F.col("n_nationkey") < 20) \
+         .select(F.col("n_nationkey").alias("id"), F.lower("n_name").alias("name"))
+    return IND.decode_dimension(c, "c_nationkey", n, "nation").select("c_custkey", "nation")
+
+
+@register("min_by_keys", """
+SELECT event_type, user_id, CAST(ts AS DATE) AS day, min(value) AS min_value
+FROM events WHERE event_type IS NOT NULL AND user_id IS NOT NULL AND ts IS NOT NULL GROUP BY ALL""")
+def min_by_keys(spark, sf):
+    e = I.table(spark, sf, "events").select("event_type", "user_id", F.col("ts").cast("date").alias("day"), "value")
+    return IND.min_by_keys(e, ["event_type", "user_id", "day"], "value", "min_value")
+
+
+def _indicators_sql():
+    spec = " UNION ALL ".join(
+        f"SELECT {float(i)} AS ind_id, '{flag}' AS flag_col, '{mode}' AS mode, '{label}' AS label, {n} AS ordinal"
+        for n, (i, flag, mode, label) in enumerate(IND.INDICATOR_SPEC))
+    digits = _DIGITS
+    return _with(("pg", I.PAGES_SQL), ("spec", spec), ("cat", I.CATEGORIES_SQL), ("sl", I.SLICES_SQL), ("f", f"""
+SELECT label AS DIM_1, ordinal, coalesce(cat.name, CAST(DIM_1295 AS VARCHAR)) AS DIM_2,
+       coalesce(sl.name, CAST(DIM_369 AS VARCHAR)) AS DIM_5, DT AS date,
+       CASE WHEN mode = 'scaled' THEN
+         (CASE WHEN VL = '-' THEN 0.0 WHEN contains(VL, '%') THEN {digits} ELSE {digits} / 1000.0 END)
+       ELSE (CASE WHEN VL = '-' THEN NULL ELSE {digits} END) END AS val
+FROM pg JOIN spec ON DIM_1743 = ind_id
+LEFT JOIN cat ON DIM_1295 = cat.id LEFT JOIN sl ON DIM_369 = sl.id
+WHERE DIM_1293 = 2.0 AND DIM_1297 = 22.0
+  AND (CASE WHEN flag_col = 'DIM_1294' THEN DIM_1294 ELSE DIM_1296 END) = 1.0"""), ("m", """
+SELECT DIM_1, DIM_2, 'null' AS DIM_3, 'ед.' AS DIM_4, DIM_5, date, min(val) AS val, ordinal
+FROM f WHERE DIM_5 IS NOT NULL AND DIM_1 IS NOT NULL AND ordinal IS NOT NULL AND DIM_2 IS NOT NULL
+  AND date IS NOT NULL
+GROUP BY DIM_1, DIM_2, DIM_5, date, ordinal"""))
+
+
+def _build_indicators(spark, sf):
+    return IND.build_indicators(I.indicator_pages(spark, sf), I.categories(spark, sf), I.slices(spark, sf),
+                                IND.spec_frame(spark))
+
+
+@register("build_indicators", _indicators_sql() + "SELECT * FROM m")
+def build_indicators(spark, sf):
+    return _build_indicators(spark, sf)
+
+
+@register("indicator_export", _indicators_sql() + f"""
+SELECT DIM_1, DIM_2, DIM_3, DIM_4, DIM_5, strftime(TRY_CAST(date AS DATE), '%m.%d.%Y') AS date,
+       replace({plain_text_sql('val')}, '.', ',') AS val FROM m""")
+def indicator_export(spark, sf):
+    return IND.indicator_export(_build_indicators(spark, sf))
+
+
+@register("failed_pages", """
+SELECT event_type, count(*) AS n_pages, CAST(sum(bad) AS BIGINT) AS failed_pages,
+       CAST(max(page) - min(page) + 1 - count(*) AS BIGINT) AS missing_pages
+FROM (SELECT event_type, event_id // 100 AS page, max(CAST(value > 300 AS INTEGER)) AS bad
+      FROM events GROUP BY ALL) GROUP BY ALL""")
+def failed_pages(spark, sf):
+    e = I.table(spark, sf, "events").select("event_type", F.expr("event_id div 100").alias("page"),
+                                            (F.col("value") > 300).alias("bad"))
+    return IND.failed_pages(e, "event_type", "page", "bad")
+
+
+@register("drop_null_columns", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS VARCHAR) AS o_orderdate,
+       o_orderpriority FROM orders""")
+def drop_null_columns(spark, sf):
+    o = I.table(spark, sf, "orders").withColumn("o_note", F.lit(None).cast("string"))
+    return comparable(IND.drop_null_columns(o))
+
+
+@register("json_field", "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events")
+def json_field(spark, sf):
+    e = I.table(spark, sf, "events")
+    return e.select("event_id", _json_field("props", "k").alias("k"))

@@ -190,3 +190,80 @@ TITLES_SQL = """
 SELECT CASE o_orderkey % 3 WHEN 0 THEN 'fl_trans_' WHEN 1 THEN 'fl_blago_' ELSE 'ul_' END
        || strftime(o_orderdate, '%Y%m%d') || CASE WHEN o_orderstatus = 'P' THEN '.txt' ELSE '.csv' END AS title
 FROM orders"""
+
+
+# ---------------------------------------------------------------- indicators
+def _vl(cents_col, kind_col):
+    ip = F.expr(f"{cents_col} div 100").cast("string")
+    fp = F.lpad((F.col(cents_col) % 100).cast("string"), 2, "0")
+    txt = F.concat(ip, F.lit(","), fp)
+    return (F.when(F.col(kind_col) == 0, F.lit("-"))
+             .when(F.col(kind_col) == 1, F.concat(txt, F.lit("%")))
+             .when(F.col(kind_col) == 2, F.concat(F.lit("1 "), F.lpad(ip, 3, "0"), F.lit(","), fp))
+             .when(F.col(kind_col) == 3, F.lit(None).cast("string"))
+             .otherwise(txt))
+
+
+def value_text(spark, sf_dir):
+    """Indicator value text from events.value: '-', 'x,yy%', '1 xxx,yy', null or 'x,yy' by event id."""
+    e = table(spark, sf_dir, "events")
+    return (e.select("event_id", F.round(F.col("value") * 100).cast("long").alias("__c"),
+                     (F.col("event_id") % 10).alias("__k"))
+             .select("event_id", _vl("__c", "__k").alias("VL")))
+
+
+_VL_SQL = """CASE event_id % 10 WHEN 0 THEN '-'
+   WHEN 1 THEN CAST(c // 100 AS VARCHAR) || ',' || lpad(CAST(c % 100 AS VARCHAR), 2, '0') || '%'
+   WHEN 2 THEN '1 ' || lpad(CAST(c // 100 AS VARCHAR), 3, '0') || ',' || lpad(CAST(c % 100 AS VARCHAR), 2, '0')
+   WHEN 3 THEN NULL
+   ELSE CAST(c // 100 AS VARCHAR) || ',' || lpad(CAST(c % 100 AS VARCHAR), 2, '0') END"""
+
+VALUE_TEXT_SQL = f"""
+SELECT event_id, {_VL_SQL} AS VL FROM (SELECT *, CAST(round(value * 100) AS BIGINT) AS c FROM events)"""
+
+
+def indicator_pages(spark, sf_dir):
+    """Events as API page rows: indicator by event type, flags by user, slice = user % 25,
+    category = event % 6 (5 has no name), date = day of the event, value text as above."""
+    e = table(spark, sf_dir, "events")
+    ind = (F.when(F.col("event_type") == "view", 50.0).when(F.col("event_type") == "click", 9950.0)
+            .when(F.col("event_type") == "purchase", 53.0).when(F.col("event_type") == "signup", 51.0)
+            .otherwise(999.0))
+    return e.withColumn("__c", F.round(F.col("value") * 100).cast("long")) \
+        .withColumn("__k", F.col("event_id") % 10).select(
+        F.when(F.col("event_id") % 9 == 0, 1.0).otherwise(2.0).alias("DIM_1293"),
+        ind.alias("DIM_1743"),
+        F.when(F.col("user_id") % 2 == 0, 1.0).otherwise(0.0).alias("DIM_1294"),
+        F.when(F.col("user_id") % 3 == 0, 0.0).otherwise(1.0).alias("DIM_1296"),
+        F.lit(22.0).alias("DIM_1297"),
+        (F.col("user_id") % 25).cast("double").alias("DIM_369"),
+        (F.col("event_id") % 6).cast("double").alias("DIM_1295"),
+        F.date_format("ts", "yyyy-MM-dd").alias("DT"),
+        _vl("__c", "__k").alias("VL"))
+
+
+PAGES_SQL = f"""
+SELECT CASE WHEN event_id % 9 = 0 THEN 1.0 ELSE 2.0 END AS DIM_1293,
+       CASE event_type WHEN 'view' THEN 50.0 WHEN 'click' THEN 9950.0 WHEN 'purchase' THEN 53.0
+                       WHEN 'signup' THEN 51.0 ELSE 999.0 END AS DIM_1743,
+       CASE WHEN user_id % 2 = 0 THEN 1.0 ELSE 0.0 END AS DIM_1294,
+       CASE WHEN user_id % 3 = 0 THEN 0.0 ELSE 1.0 END AS DIM_1296,
+       22.0 AS DIM_1297, CAST(user_id % 25 AS DOUBLE) AS DIM_369, CAST(event_id % 6 AS DOUBLE) AS DIM_1295,
+       strftime(ts, '%Y-%m-%d') AS DT, {_VL_SQL} AS VL
+FROM (SELECT *, CAST(round(value * 100) AS BIGINT) AS c FROM events)"""
+
+
+def categories(spark, sf_dir):
+    r = table(spark, sf_dir, "region")
+    return r.select(F.col("r_regionkey").cast("double").alias("id"), F.lower("r_name").alias("name"))
+
+
+def slices(spark, sf_dir):
+    """Name tree with ids 0..19 only: ids 20..24 of the data stay undecoded."""
+    n = table(spark, sf_dir, "nation")
+    return n.where(F.col("n_nationkey") < 20).select(F.col("n_nationkey").cast("double").alias("id"),
+                                                     F.lower("n_name").alias("name"))
+
+
+CATEGORIES_SQL = "SELECT CAST(r_regionkey AS DOUBLE) AS id, lower(r_name) AS name FROM region"
+SLICES_SQL = "SELECT CAST(n_nationkey AS DOUBLE) AS id, lower(n_name) AS name FROM nation WHERE n_nationkey < 20"
