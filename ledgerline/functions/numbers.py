@@ -50,18 +50,20 @@ def pct_deviation_sql(a: str, b: str, digits: int | None = 2) -> str:
     return round_half_away_sql(d, digits) if digits is not None else d
 
 
-def plain_text(x) -> Column:
+def plain_text(x, scale: int = 6) -> Column:
     """Double as plain decimal text, no exponent: 12.0 -> "12.0", 0.00655 -> "0.00655".
 
-    Goes through decimal(38,10) so that every engine prints the same digits
-    (a double's own text switches to E-notation below 1e-3 in the JVM).
+    Goes through decimal(38, scale) so that every engine prints the same digits
+    (a double's own text switches to E-notation below 1e-3 in the JVM).  Keep
+    ``scale`` to the places the value really has: some engines scale the double
+    in binary, and a large scale lets its error show.
     """
-    s = F.regexp_replace(as_col(x).try_cast("decimal(38,10)").cast("string"), "0+$", "")
+    s = F.regexp_replace(as_col(x).try_cast(f"decimal(38,{scale})").cast("string"), "0+$", "")
     return F.when(s.endswith("."), F.concat(s, F.lit("0"))).otherwise(s)
 
 
-def plain_text_sql(x: str) -> str:
-    s = f"regexp_replace(CAST(TRY_CAST({x} AS DECIMAL(38,10)) AS VARCHAR), '0+$', '')"
+def plain_text_sql(x: str, scale: int = 6) -> str:
+    s = f"regexp_replace(CAST(TRY_CAST({x} AS DECIMAL(38,{scale})) AS VARCHAR), '0+$', '')"
     return f"(CASE WHEN ends_with({s}, '.') THEN {s} || '0' ELSE {s} END)"
 
 

@@ -352,3 +352,170 @@ def drop_null_columns(spark, sf):
 def json_field(spark, sf):
     e = I.table(spark, sf, "events")
     return e.select("event_id", _json_field("props", "k").alias("k"))
+
+
+# ------------------------------------------------------------ cells
+from ..functions.geometry import close_ring, ring_centroid  # noqa: E402
+from ..functions.numbers import round_half_away, round_half_away_sql  # noqa: E402
+from ..operators import cells as C  # noqa: E402
+from ..operators.stats import distinct_median as _distinct_median  # noqa: E402
+
+_OKEYS = ["o_orderpriority", "o_orderstatus"]
+_OMETRICS = ["o_totalprice", "cust"]
+
+
+def _edges_sql(steps=5):
+    lower = ["mn"] + [f"mn + (md - mn) / {float(steps)} * {i}" for i in range(1, steps)] + ["md"]
+    upper = [f"md + (mx - md) / {float(steps)} * {i}" for i in range(1, steps)] + ["mx"]
+    return "[" + ", ".join(lower + upper) + "]"
+
+
+def _colored_sql(cells_sql, keys, metrics, idcols):
+    k = ", ".join(keys)
+    long = " UNION ALL ".join(f"SELECT {k}, '{m}' AS metric, {m} AS v FROM cells" for m in metrics)
+    joins = " ".join(f"JOIN e e_{m} ON " + " AND ".join(f"cells.{x} = e_{m}.{x}" for x in keys)
+                     + f" AND e_{m}.metric = '{m}'" for m in metrics)
+    cols = ", ".join(f"CASE WHEN cells.{m} IS NULL OR isnan(cells.{m}) THEN NULL "
+                     f"ELSE len(list_filter(e_{m}.edges, lambda x: x < cells.{m})) END AS COLOR_{m}" for m in metrics)
+    return _with(("cells", cells_sql), ("long", long), ("st", f"""
+SELECT {k}, metric, min(v) AS mn, max(v) AS mx, median(DISTINCT v) AS md
+FROM long WHERE v IS NOT NULL AND NOT isnan(v) GROUP BY ALL"""), ("e", f"SELECT *, {_edges_sql()} AS edges FROM st"),
+                 ("colored", f"SELECT {', '.join('cells.' + c for c in idcols)}, {cols} FROM cells {joins}"))
+
+
+_ORDER_COLORED = _colored_sql(I.ORDER_CELLS_SQL, _OKEYS, _OMETRICS,
+                              ["o_orderkey", "o_orderpriority", "o_orderstatus", "o_totalprice", "cust"])
+
+
+@register("distinct_median", """
+SELECT o_orderpriority, o_orderstatus, median(DISTINCT o_totalprice) AS median FROM orders GROUP BY ALL""")
+def distinct_median(spark, sf):
+    return _distinct_median(I.table(spark, sf, "orders"), _OKEYS, "o_totalprice")
+
+
+@register("color_scale", _ORDER_COLORED + "SELECT * FROM colored")
+def color_scale(spark, sf):
+    return C.color_scale(I.order_cells(spark, sf), _OKEYS, _OMETRICS)
+
+
+@register("color_summary", _ORDER_COLORED + f"""
+SELECT o_orderpriority, o_orderstatus, COLOR_o_totalprice AS Bin,
+       '[' || {plain_text_sql(round_half_away_sql('min(o_totalprice)'), 2)} || '; '
+           || {plain_text_sql(round_half_away_sql('max(o_totalprice)'), 2)} || ']' AS Range,
+       count(o_totalprice) AS Count
+FROM colored WHERE COLOR_o_totalprice IS NOT NULL GROUP BY ALL""")
+def color_summary(spark, sf):
+    colored = C.color_scale(I.order_cells(spark, sf), _OKEYS, _OMETRICS)
+    return C.slice_summary(colored, _OKEYS, "o_totalprice")
+
+
+@register("size_class", """
+WITH c AS (SELECT p_partkey, p_type, length(p_type) - length(replace(p_type, 'M', '')) AS n_letters FROM part),
+r AS (SELECT n_letters, dense_rank() OVER (ORDER BY n_letters) AS rk FROM (SELECT DISTINCT n_letters FROM c))
+SELECT p_partkey, p_type, n_letters,
+       CASE rk WHEN 1 THEN 'Small' WHEN 2 THEN 'Medium' WHEN 3 THEN 'Big' ELSE 'Other' END AS size
+FROM c JOIN r USING (n_letters)""")
+def size_class(spark, sf):
+    p = I.table(spark, sf, "part").select("p_partkey", "p_type")
+    out = C.size_class(p.withColumn("n_letters", C.letter_count("p_type", "M")), "p_type", letter="M")
+    return out.select("p_partkey", "p_type", "n_letters", "size")
+
+
+@register("merge_cells", _with(("t3", I.CELL3_SQL), ("t5r", I.CELL5_SQL), ("t5", """
+SELECT CELL_ID, (SELECT min(REGION_ID) FROM t3) AS REGION_ID, INDUSTRY_ID, INDUSTRY_NAME,
+       (SELECT min(ANALYTIC_DATE) FROM t3) AS ANALYTIC_DATE, area, acctbal, n FROM t5r"""),
+    ("k", "SELECT " + ", ".join(I.CELL_KEYS) + " FROM t3 UNION SELECT " + ", ".join(I.CELL_KEYS) + " FROM t5")) + f"""
+SELECT {", ".join("k." + c for c in I.CELL_KEYS)}, CAST(t3.acctbal AS DOUBLE) AS acctbal_x, t3.n AS n_x,
+       CAST(t5.acctbal AS DOUBLE) AS acctbal_y, t5.n AS n_y
+FROM k LEFT JOIN t3 ON {" AND ".join(f"k.{c} IS NOT DISTINCT FROM t3.{c}" for c in I.CELL_KEYS)}
+LEFT JOIN t5 ON {" AND ".join(f"k.{c} IS NOT DISTINCT FROM t5.{c}" for c in I.CELL_KEYS)}""")
+def merge_cells(spark, sf):
+    t3 = I.cell_table_3(spark, sf)
+    t5 = C.with_scalars_from(I.cell_table_5(spark, sf), t3, ["REGION_ID", "ANALYTIC_DATE"])
+    return comparable(C.merge_cells(t3, t5.select(*I.CELL_KEYS, "acctbal", "n"), I.CELL_KEYS))
+
+
+@register("filter_values", """
+SELECT DISTINCT 'p_brand' AS column_name, CAST(p_brand AS VARCHAR) AS value FROM part
+UNION SELECT DISTINCT 'p_type', CAST(p_type AS VARCHAR) FROM part
+UNION SELECT DISTINCT 'p_size', CAST(p_size AS VARCHAR) FROM part""")
+def filter_values(spark, sf):
+    return C.filter_values(I.table(spark, sf, "part"), ["p_brand", "p_type", "p_size"])
+
+
+@register("mixed_union", """
+SELECT c_custkey AS key, c_name AS name, c_nationkey AS nationkey, c_acctbal AS acctbal, c_mktsegment AS mktsegment
+FROM customer
+UNION ALL BY NAME
+SELECT s_suppkey AS key, s_name AS name, s_nationkey AS nationkey, s_acctbal AS acctbal FROM supplier""")
+def mixed_union(spark, sf):
+    c = I.table(spark, sf, "customer").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"),
+                                               F.col("c_nationkey").alias("nationkey"),
+                                               F.col("c_acctbal").alias("acctbal"),
+                                               F.col("c_mktsegment").alias("mktsegment"))
+    s = I.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"),
+                                               F.col("s_nationkey").alias("nationkey"),
+                                               F.col("s_acctbal").alias("acctbal"))
+    return c.unionByName(s, allowMissingColumns=True)
+
+
+def _coords(ring_col):
+    return [F.transform(ring_col, lambda v: v["lat"]).alias("lats"),
+            F.transform(ring_col, lambda v: v["lng"]).alias("lngs")]
+
+
+@register("ring_close", _with(("r", I.RINGS_SQL)) + """
+SELECT s_suppkey, list_transform(ring || [ring[1]], lambda v: v.lat) AS lats,
+       list_transform(ring || [ring[1]], lambda v: v.lng) AS lngs FROM r""")
+def ring_close(spark, sf):
+    r = I.supplier_rings(spark, sf)
+    return r.select("s_suppkey", *_coords(close_ring("ring")))
+
+
+@register("view_centre", _with(("r", I.RINGS_SQL)) + f"""
+SELECT s_nationkey, {round_half_away_sql('avg(v.lat)', 6)} AS lat, {round_half_away_sql('avg(v.lng)', 6)} AS lng
+FROM (SELECT s_nationkey, unnest(ring || [ring[1]]) AS v FROM r) GROUP BY ALL""")
+def view_centre(spark, sf):
+    r = I.supplier_rings(spark, sf).select("s_nationkey", F.explode(close_ring("ring")).alias("v"))
+    return r.groupBy("s_nationkey").agg(round_half_away(F.avg("v.lat"), 6).alias("lat"),
+                                        round_half_away(F.avg("v.lng"), 6).alias("lng"))
+
+
+def _centroid_sql():
+    ring = "(ring || [ring[1]])"
+    cross = f"({ring}[i].lng * {ring}[i + 1].lat - {ring}[i + 1].lng * {ring}[i].lat)"
+
+    def s(term):
+        return f"list_reduce(list_transform(range(1, len({ring})), lambda i: {term}), lambda a, b: a + b)"
+    a2 = s(cross)
+    cy = s(f"({ring}[i].lat + {ring}[i + 1].lat) * {cross}")
+    cx = s(f"({ring}[i].lng + {ring}[i + 1].lng) * {cross}")
+    return (f"SELECT s_suppkey, {round_half_away_sql(f'{cy} / ({a2} * 3.0)', 9)} AS lat, "
+            f"{round_half_away_sql(f'{cx} / ({a2} * 3.0)', 9)} AS lng FROM r")
+
+
+@register("ring_centroid", _with(("r", I.RINGS_SQL)) + _centroid_sql())
+def ring_centroid_q(spark, sf):
+    r = I.supplier_rings(spark, sf).select("s_suppkey", ring_centroid(close_ring("ring")).alias("c"))
+    return r.select("s_suppkey", round_half_away("c.lat", 9).alias("lat"), round_half_away("c.lng", 9).alias("lng"))
+
+
+_SUPP_CELLS = "SELECT s_suppkey, n_regionkey, s_acctbal FROM supplier JOIN nation ON s_nationkey = n_nationkey"
+
+
+@register("hex_layer", _colored_sql(_SUPP_CELLS, ["n_regionkey"], ["s_acctbal"], ["s_suppkey", "n_regionkey", "s_acctbal"])
+          [:-1] + ",\n" + f"r AS ({I.RINGS_SQL})\n" + f"""
+SELECT s_suppkey, COLOR_s_acctbal AS bin,
+       ([{", ".join(repr(c) for c in C.COLOR_NAMES)}])[COLOR_s_acctbal + 1] AS color_name,
+       COLOR_s_acctbal + 1 AS width,
+       list_transform(ring || [ring[1]], lambda v: v.lat) AS lats,
+       list_transform(ring || [ring[1]], lambda v: v.lng) AS lngs
+FROM colored JOIN r USING (s_suppkey) WHERE COLOR_s_acctbal IS NOT NULL""")
+def hex_layer(spark, sf):
+    s = I.table(spark, sf, "supplier")
+    n = I.table(spark, sf, "nation").select("n_nationkey", "n_regionkey")
+    cells = s.join(n, s.s_nationkey == n.n_nationkey).select("s_suppkey", "n_regionkey", "s_acctbal")
+    colored = C.color_scale(cells, ["n_regionkey"], ["s_acctbal"])
+    layer = C.hex_layer(colored, I.supplier_rings(spark, sf).select("s_suppkey", "ring"), "s_suppkey",
+                        "COLOR_s_acctbal")
+    return layer.select("s_suppkey", "bin", "color_name", "width", *_coords(F.col("ring")))

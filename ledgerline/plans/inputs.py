@@ -267,3 +267,94 @@ def slices(spark, sf_dir):
 
 CATEGORIES_SQL = "SELECT CAST(r_regionkey AS DOUBLE) AS id, lower(r_name) AS name FROM region"
 SLICES_SQL = "SELECT CAST(n_nationkey AS DOUBLE) AS id, lower(n_name) AS name FROM nation WHERE n_nationkey < 20"
+
+
+# ---------------------------------------------------------------- cells
+def order_cells(spark, sf_dir):
+    """Orders as cells: group = priority x status, metrics = total price and customer number."""
+    o = table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", "o_orderpriority", "o_orderstatus", "o_totalprice",
+                    F.col("o_custkey").cast("double").alias("cust"))
+
+
+ORDER_CELLS_SQL = """
+SELECT o_orderkey, o_orderpriority, o_orderstatus, o_totalprice, CAST(o_custkey AS DOUBLE) AS cust FROM orders"""
+
+# The five market segments of the customer table, in order.
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+def _cell_id(nationkey):
+    return F.concat(F.lit("8a"), F.lpad(F.col(nationkey).cast("string"), 2, "0"),
+                    F.repeat(F.lit("f"), (F.col(nationkey) % 3 + 1).cast("int")))
+
+
+def _cell_id_sql(nationkey):
+    return f"'8a' || lpad(CAST({nationkey} AS VARCHAR), 2, '0') || repeat('f', CAST({nationkey} % 3 + 1 AS INTEGER))"
+
+
+CELL_KEYS = ["CELL_ID", "REGION_ID", "INDUSTRY_ID", "INDUSTRY_NAME", "ANALYTIC_DATE", "area"]
+
+
+def cell_table_3(spark, sf_dir):
+    """т.3 from customers: one row per (cell = nation, segment) with balance and count."""
+    from ..operators.joins import join_dimension
+    c = table(spark, sf_dir, "customer")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey", "n_name")
+    j = join_dimension(c, n, c.c_nationkey == n.n_nationkey, "inner")
+    return (j.groupBy(_cell_id("c_nationkey").alias("CELL_ID"), F.col("n_regionkey").alias("REGION_ID"),
+                      F.left("c_mktsegment", F.lit(2)).alias("INDUSTRY_ID"),
+                      F.col("c_mktsegment").alias("INDUSTRY_NAME"),
+                      F.to_date(F.lit("2024-01-01")).alias("ANALYTIC_DATE"), F.lower("n_name").alias("area"))
+             .agg(F.sum(F.col("c_acctbal").cast(DEC)).alias("acctbal"), F.count(F.lit(1)).alias("n")))
+
+
+def cell_table_5(spark, sf_dir):
+    """т.5 from suppliers (segment by supplier number); no region or date of its own."""
+    from ..operators.joins import join_dimension
+    s = table(spark, sf_dir, "supplier")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    j = join_dimension(s, n, s.s_nationkey == n.n_nationkey, "inner")
+    seg = F.element_at(F.array(*[F.lit(x) for x in SEGMENTS]), (F.col("s_suppkey") % 5 + 1).cast("int"))
+    return (j.groupBy(_cell_id("s_nationkey").alias("CELL_ID"), F.left(seg, F.lit(2)).alias("INDUSTRY_ID"),
+                      seg.alias("INDUSTRY_NAME"), F.lower("n_name").alias("area"))
+             .agg(F.sum(F.col("s_acctbal").cast(DEC)).alias("acctbal"), F.count(F.lit(1)).alias("n")))
+
+
+CELL3_SQL = f"""
+SELECT {_cell_id_sql('c_nationkey')} AS CELL_ID, n_regionkey AS REGION_ID, left(c_mktsegment, 2) AS INDUSTRY_ID,
+       c_mktsegment AS INDUSTRY_NAME, DATE '2024-01-01' AS ANALYTIC_DATE, lower(n_name) AS area,
+       sum(CAST(c_acctbal AS DECIMAL(19,2))) AS acctbal, count(*) AS n
+FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL"""
+
+_SEG_SQL = "(['" + "', '".join(SEGMENTS) + "'])[CAST(s_suppkey % 5 + 1 AS INTEGER)]"
+
+CELL5_SQL = f"""
+SELECT {_cell_id_sql('s_nationkey')} AS CELL_ID, left({_SEG_SQL}, 2) AS INDUSTRY_ID, {_SEG_SQL} AS INDUSTRY_NAME,
+       lower(n_name) AS area, sum(CAST(s_acctbal AS DECIMAL(19,2))) AS acctbal, count(*) AS n
+FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL"""
+
+
+# Hexagon vertex offsets (lat, lng) in thousandths of a degree.
+HEX_OFFSETS = [(2, 0), (1, 2), (-1, 2), (-2, 0), (-1, -2), (1, -2)]
+
+
+def supplier_rings(spark, sf_dir):
+    """Open hexagon outline per supplier: centre from supplier and nation numbers."""
+    s = table(spark, sf_dir, "supplier")
+    clat = F.lit(55.0) + (F.col("s_suppkey") % 97).cast("double") * F.lit(0.01)
+    clng = F.lit(37.0) + F.col("s_nationkey").cast("double") * F.lit(0.01)
+    ring = F.array(*[F.struct((clat + F.lit(dy * 0.001)).alias("lat"), (clng + F.lit(dx * 0.001)).alias("lng"))
+                     for dy, dx in HEX_OFFSETS])
+    return s.select("s_suppkey", "s_nationkey", ring.alias("ring"))
+
+
+def _ring_sql():
+    clat = "(55.0::DOUBLE + CAST(s_suppkey % 97 AS DOUBLE) * 0.01::DOUBLE)"
+    clng = "(37.0::DOUBLE + CAST(s_nationkey AS DOUBLE) * 0.01::DOUBLE)"
+    vs = ", ".join(f"{{'lat': {clat} + {dy * 0.001!r}::DOUBLE, 'lng': {clng} + {dx * 0.001!r}::DOUBLE}}"
+                   for dy, dx in HEX_OFFSETS)
+    return f"SELECT s_suppkey, s_nationkey, [{vs}] AS ring FROM supplier"
+
+
+RINGS_SQL = _ring_sql()
