@@ -519,3 +519,155 @@ def hex_layer(spark, sf):
     layer = C.hex_layer(colored, I.supplier_rings(spark, sf).select("s_suppkey", "ring"), "s_suppkey",
                         "COLOR_s_acctbal")
     return layer.select("s_suppkey", "bin", "color_name", "width", *_coords(F.col("ring")))
+
+
+# ------------------------------------------------------------ XML reports
+from ..operators import reports as REP  # noqa: E402
+
+
+def _header_py(dictionary, kind):
+    """Plain-Python twin of ``report_header`` for writing the oracle text."""
+    lines = sorted((REP.CODE_REMAP.get(c, c), e) for c, e in dictionary
+                   if REP.CODE_REMAP.get(c, c) not in REP.EXCLUDED[kind])
+    hdr = [(n, a, None) for n, a in REP.ID_HEADER]
+    hdr += [(e, a, c) for c, e in lines for a in REP.attrs_of(c)]
+    seen, out = {}, []
+    for e, a, c in hdr:
+        k = seen.get(e, 0)
+        seen[e] = k + 1
+        name = e if k == 0 else f"{e}_{k}"
+        out.append((name, a, c, e, f"{name}__{a}"))
+    return out
+
+
+_ATTR_SRC = {"СумОтч": "l_quantity", "СумПрдщ": "l_extendedprice", "СумПрдшв": "l_tax"}
+
+
+def _line_numbers(kind):
+    """(code, element) -> line item number, for lines that have a place in the kind's layout."""
+    lines = sorted({(REP.CODE_REMAP.get(c, c), e) for c, e in I.REPORT_DICTIONARY
+                    if REP.CODE_REMAP.get(c, c) not in REP.EXCLUDED[kind]})
+    paths = REP.line_paths(lines, kind)
+    table = I.FULL_LINES if kind == REP.FULL else I.SIMPLE_LINES
+    out = {}
+    for key, path in paths.items():
+        for ln, (section, element) in table.items():
+            if len(path) >= 2 and path[-2] == section and path[-1] == element:
+                out[key] = ln
+    return out
+
+
+# line items as the XML builder writes them, numbered in document order within a line number
+_FIRST_REP = f"""SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY q, p, t) - 1 AS rep
+FROM (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_tax, {plain_text_sql('l_quantity', 2)} AS q,
+             {plain_text_sql('l_extendedprice', 2)} AS p, {plain_text_sql('l_tax', 2)} AS t FROM lineitem)"""
+
+
+def _report_sql(kind):
+    prefix, (form, label) = ("NO_BUHOT_" if kind == REP.FULL else "NO_BOUPR_"), REP.KIND_FORM[kind]
+    status = "<> 'P'" if kind == REP.FULL else "= 'P'"
+    lns = _line_numbers(kind)
+    piv = ", ".join(f"max(CASE WHEN l_linenumber = {ln} THEN {plain_text_sql(src, 2)} END) AS {a[0]}{ln}"
+                    for ln in range(1, 8) for a, src in [("q", "l_quantity"), ("p", "l_extendedprice"),
+                                                         ("t", "l_tax")])
+    cols = []
+    letter = {"СумОтч": "q", "СумПрдщ": "p", "СумПрдшв": "t"}
+    for name, attr, code, element, column in _header_py(I.REPORT_DICTIONARY, kind):
+        if code is None:
+            continue
+        if code == 1099 and attr == "СумОтч":
+            e = plain_text_sql("o_totalprice", 2)
+        elif code == 2110 and attr == "СумОтч":
+            e = plain_text_sql("o_totalprice", 2)
+        elif code == 2110 and attr == "СумПред":
+            e = "CAST(o_custkey AS VARCHAR)"
+        elif (code, element) in lns and attr in letter:
+            e = f"li.{letter[attr]}{lns[(code, element)]}"
+        else:
+            e = "CAST(NULL AS VARCHAR)"
+        cols.append(f'{e} AS "{column}"')
+    return f"""SELECT '{prefix}' || CAST(o_orderkey AS VARCHAR) AS "ИдФайл__xml", '{label}' AS "КНД__Тип",
+       strftime(o_orderdate, '%Y') AS "КНД_1__ОтчетГод", strftime(o_orderdate, '%d%m%Y') AS "ДатаДок__ГГГГММДД",
+       '6201' AS "СвНП__ОКВЭД2", lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS "НПЮЛ__ИННЮЛ",
+       'Org, ' || CAST(o_custkey AS VARCHAR) AS "НПЮЛ_1__НаимОрг", {", ".join(cols)}
+FROM orders LEFT JOIN (SELECT l_orderkey, {piv} FROM ({_FIRST_REP}) WHERE rep = 0 GROUP BY l_orderkey) li
+  ON li.l_orderkey = o_orderkey
+WHERE o_orderstatus {status}"""
+
+
+def _parsed_reports(spark, sf):
+    return REP.parse_reports(I.report_files(spark, sf))
+
+
+@register("long_to_wide", _report_sql(REP.FULL))
+def long_to_wide(spark, sf):
+    return REP.flatten_reports(_parsed_reports(spark, sf), I.report_dictionary(spark), REP.FULL)
+
+
+@register("fuse_reports", f"({_report_sql(REP.FULL)})\nUNION ALL BY NAME\n({_report_sql(REP.SIMPLE)})")
+def fuse_reports(spark, sf):
+    p = _parsed_reports(spark, sf)
+    d = I.report_dictionary(spark)
+    return REP.fuse_reports(REP.flatten_reports(p, d, REP.FULL), REP.flatten_reports(p, d, REP.SIMPLE))
+
+
+def _long_sql():
+    lns = _line_numbers(REP.FULL)
+    by_ln = {ln: key for key, ln in lns.items()}
+    code = "CASE l_linenumber " + " ".join(f"WHEN {ln} THEN {k[0]}" for ln, k in sorted(by_ln.items())) + " END"
+    elem = "CASE l_linenumber " + " ".join(f"WHEN {ln} THEN '{k[1]}'" for ln, k in sorted(by_ln.items())) + " END"
+    val = "CASE a.attr WHEN 'СумОтч' THEN q WHEN 'СумПрдщ' THEN p WHEN 'СумПрдшв' THEN t END"
+    fid = "'NO_BUHOT_' || CAST(o_orderkey AS VARCHAR)"
+    tot = plain_text_sql("o_totalprice", 2)
+    return f"""
+SELECT {fid} AS file_id, 0 AS doc_no, 1099 AS code, 'Актив' AS element, 0 AS rep, 'СумОтч' AS attr, {tot} AS value
+FROM orders WHERE o_orderstatus <> 'P'
+UNION ALL SELECT {fid}, 0, 2110, 'Выруч', 0, 'СумОтч', {tot} FROM orders WHERE o_orderstatus <> 'P'
+UNION ALL SELECT {fid}, 0, 2110, 'Выруч', 0, 'СумПред', CAST(o_custkey AS VARCHAR) FROM orders
+  WHERE o_orderstatus <> 'P'
+UNION ALL SELECT {fid}, 0, {code}, {elem}, rep, a.attr, {val}
+FROM ({_FIRST_REP}) r JOIN orders ON l_orderkey = o_orderkey
+CROSS JOIN (VALUES ('СумОтч'), ('СумПрдщ'), ('СумПрдшв')) a(attr)
+WHERE o_orderstatus <> 'P' AND l_linenumber IN ({", ".join(str(x) for x in sorted(by_ln))})"""
+
+
+@register("xml_to_long", _long_sql())
+def xml_to_long(spark, sf):
+    return REP.xml_to_long(_parsed_reports(spark, sf), I.report_dictionary(spark), REP.FULL)
+
+
+def _part_dictionary(spark, sf):
+    """Report dictionary read off the part table: code = size*100 + 1000, element = smallest type."""
+    p = I.table(spark, sf, "part")
+    return p.groupBy("p_size").agg(F.min("p_type").alias("element")) \
+            .select((F.col("p_size") * 100 + 1000).alias("code"), "element")
+
+
+def _header_sql(kind):
+    remap = "CASE code " + " ".join(f"WHEN {a} THEN {b}" for a, b in REP.CODE_REMAP.items()) + " ELSE code END"
+    ids = " UNION ALL ".join(f"SELECT {i} AS pos, '{n}' AS element, '{a}' AS attr, CAST(NULL AS INTEGER) AS code"
+                             for i, (n, a) in enumerate(REP.ID_HEADER))
+    attrs = ", ".join([f"({i}, '{a}', true)" for i, a in enumerate(REP.BAL_ATTRS)]
+                      + [f"({i}, '{a}', false)" for i, a in enumerate(REP.RES_ATTRS)])
+    return _with(
+        ("d0", "SELECT p_size * 100 + 1000 AS code, min(p_type) AS element FROM part GROUP BY p_size"),
+        ("d", f"SELECT {remap} AS code, element FROM d0"),
+        ("f", f"SELECT * FROM d WHERE code NOT IN ({', '.join(map(str, REP.EXCLUDED[kind]))})"),
+        ("l", f"SELECT code, element, a.attr_pos, a.attr FROM f JOIN (VALUES {attrs}) a(attr_pos, attr, bal) "
+              "ON (f.code < 2000) = a.bal"),
+        ("h", f"""{ids} UNION ALL
+SELECT CAST(row_number() OVER (ORDER BY code, element, attr_pos) + {len(REP.ID_HEADER) - 1} AS INTEGER),
+       element, attr, code FROM l"""),
+        ("n", """SELECT *, CASE WHEN row_number() OVER (PARTITION BY element ORDER BY pos) = 1 THEN element
+     ELSE element || '_' || CAST(row_number() OVER (PARTITION BY element ORDER BY pos) - 1 AS VARCHAR) END AS name
+FROM h""")) + "SELECT pos, name, attr, code, element, name || '__' || attr AS \"column\" FROM n"
+
+
+@register("report_header", _header_sql(REP.FULL))
+def report_header(spark, sf):
+    return REP.report_header(_part_dictionary(spark, sf), REP.FULL)
+
+
+@register("dedupe_names", _header_sql(REP.SIMPLE))
+def dedupe_names(spark, sf):
+    return REP.report_header(_part_dictionary(spark, sf), REP.SIMPLE)

@@ -358,3 +358,69 @@ def _ring_sql():
 
 
 RINGS_SQL = _ring_sql()
+
+
+# ---------------------------------------------------------------- report XML
+# The code dictionary used by the report queries (its file is not part of
+# the reference); 1600/1700/13001/13002 are remapped by the report job itself.
+REPORT_DICTIONARY = [
+    (1600, "Актив"), (1100, "ВнеОбА"), (1110, "НематАкт"), (1120, "РезИсслед"), (1130, "НеМатПоискАкт"),
+    (1140, "МатПоискАкт"), (1150, "ОснСр"), (1151, "ОснСрНезаверш"), (1170, "ФинВлож"), (1200, "ОбА"),
+    (1210, "Запасы"), (1220, "НДСПриобрЦен"), (1230, "ДебЗад"), (1240, "ФинВлож"), (1250, "ДенежнСр"),
+    (1700, "Пассив"), (1300, "КапРез"), (1520, "КредитЗадолж"), (2110, "Выруч"), (2120, "СебестПрод"),
+    (13001, "МатВнеАкт"), (13002, "НеМатФинАкт"),
+]
+# Which report line each line item number becomes, per kind: (section, element).
+FULL_LINES = {1: ("ВнеОбА", "НематАкт"), 2: ("ВнеОбА", "РезИсслед"), 3: ("ВнеОбА", "НеМатПоискАкт"),
+              4: ("ВнеОбА", "МатПоискАкт"), 5: ("ОбА", "Запасы"), 6: ("ОбА", "НДСПриобрЦен"),
+              7: ("ОбА", "ДебЗад")}
+SIMPLE_LINES = {1: ("Актив", "МатВнеАкт"), 2: ("Актив", "НеМатФинАкт"), 3: ("Актив", "Запасы"),
+                4: ("Актив", "ФинВлож"), 5: ("Актив", "ДенежнСр"), 6: ("Пассив", "КапРез"),
+                7: ("Пассив", "КредитЗадолж")}
+
+
+def report_dictionary(spark):
+    return spark.createDataFrame(REPORT_DICTIONARY, "code int, element string")
+
+
+def report_files(spark, sf_dir):
+    """One XML report per order: pending orders file a simplified report, others a full one;
+    line items become balance lines (quantity, price, tax as the three periods)."""
+    from ..functions.numbers import plain_text
+    li = table(spark, sf_dir, "lineitem")
+    lines = li.groupBy("l_orderkey").agg(F.collect_list(F.struct(
+        F.col("l_linenumber").alias("ln"), plain_text("l_quantity", 2).alias("q"),
+        plain_text("l_extendedprice", 2).alias("p"), plain_text("l_tax", 2).alias("t"))).alias("lines"))
+    o = table(spark, sf_dir, "orders")
+    j = o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
+    simple = F.col("o_orderstatus") == "P"
+    full_tags = F.array(*[F.lit(FULL_LINES[i][1]) for i in range(1, 8)])
+    simple_tags = F.array(*[F.lit(SIMPLE_LINES[i][1]) for i in range(1, 8)])
+
+    def frag(x):
+        tag = F.when(simple, F.element_at(simple_tags, x["ln"])).otherwise(F.element_at(full_tags, x["ln"]))
+        return F.concat(F.lit("<"), tag, F.lit(' СумОтч="'), x["q"], F.lit('" СумПрдщ="'), x["p"],
+                        F.lit('" СумПрдшв="'), x["t"], F.lit('"/>'))
+
+    def block(lo, hi):
+        sel = F.filter(F.coalesce("lines", F.array().cast("array<struct<ln:int,q:string,p:string,t:string>>")),
+                       lambda x: (x["ln"] >= lo) & (x["ln"] <= hi))
+        return F.array_join(F.transform(F.array_sort(sel), frag), "")
+
+    total = plain_text("o_totalprice", 2)
+    cust = F.col("o_custkey").cast("string")
+    assets = F.when(simple, block(1, 5)).otherwise(
+        F.concat(F.lit("<ВнеОбА>"), block(1, 4), F.lit("</ВнеОбА><ОбА>"), block(5, 7), F.lit("</ОбА>")))
+    liab = F.when(simple, F.concat(F.lit("<Пассив>"), block(6, 7), F.lit("</Пассив>"))).otherwise(F.lit(""))
+    xml = F.concat(
+        F.lit('<Файл ИдФайл="'), F.when(simple, F.lit("NO_BOUPR_")).otherwise(F.lit("NO_BUHOT_")),
+        F.col("o_orderkey").cast("string"),
+        F.lit('"><Документ КНД="'), F.when(simple, F.lit("0710096")).otherwise(F.lit("0710099")),
+        F.lit('" ОтчетГод="'), F.date_format("o_orderdate", "yyyy"),
+        F.lit('" ДатаДок="'), F.date_format("o_orderdate", "dd.MM.yyyy"),
+        F.lit('"><СвНП ОКВЭД2="62.01"><НПЮЛ ИННЮЛ="'), F.lpad(cust, 10, "0"),
+        F.lit('" НаимОрг="Org; '), cust, F.lit('"/></СвНП><Баланс><Актив СумОтч="'), total, F.lit('">'),
+        assets, F.lit("</Актив>"), liab, F.lit('</Баланс><ФинРез><Выруч СумОтч="'), total,
+        F.lit('" СумПред="'), cust, F.lit('"/></ФинРез></Документ></Файл>'))
+    return j.select(F.concat(F.lit("report_"), F.col("o_orderkey").cast("string"), F.lit(".xml"))
+                    .alias("file_name"), xml.alias("content"))
