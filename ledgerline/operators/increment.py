@@ -81,7 +81,9 @@ def append_new(spark: SparkSession, upload: DataFrame, history_path: str,
         if checks.where(F.col("failed")).limit(1).count() > 0:
             return {"status": "blocked", "periods": []}
     try:
-        history = spark.read.parquet(history_path)
+        # the history has the upload's layout; reading it with that schema keeps the
+        # period as text (partition discovery would turn 'yyyy-MM-dd' into a date)
+        history = spark.read.schema(upload.schema).parquet(history_path)
     except Exception:  # no history yet: every period is new
         history = upload.limit(0)
     new = new_periods(upload, history, col)

@@ -98,18 +98,23 @@ def indicator_export(ind: DataFrame, date_fmt: str = "MM.dd.yyyy") -> DataFrame:
                .select(*OUT_COLS))
 
 
-def failed_pages(df: DataFrame, indicator: str, page: str, bad) -> DataFrame:
-    """AGG-9: pages per indicator, pages that failed, and page numbers missing from the range.
+def failed_pages(df: DataFrame, indicator: str, page: str, bad, records_of: str) -> DataFrame:
+    """AGG-9: per indicator: pages landed, pages that failed, page numbers missing from the
+    range, and records loaded (non-null ``records_of`` values).
 
     Two-stage aggregate: first one row per (indicator, page), then per
-    indicator -- every stage is a partial + final hash aggregate.
+    indicator -- every stage is a partial + final hash aggregate.  Counting a
+    data column also keeps a raw JSON scan legal (Spark refuses queries that
+    read nothing but the corrupt-record column).
     """
     bad = F.col(bad) if isinstance(bad, str) else bad
-    per_page = df.groupBy(indicator, page).agg(F.max(bad.cast("int")).alias("__bad"))
+    per_page = df.groupBy(indicator, page).agg(F.max(bad.cast("int")).alias("__bad"),
+                                               F.count(records_of).alias("__rec"))
     return per_page.groupBy(indicator).agg(
         F.count(F.lit(1)).alias("n_pages"),
         F.sum("__bad").cast("long").alias("failed_pages"),
-        (F.max(page) - F.min(page) + 1 - F.count(F.lit(1))).cast("long").alias("missing_pages"))
+        (F.max(page) - F.min(page) + 1 - F.count(F.lit(1))).cast("long").alias("missing_pages"),
+        F.sum("__rec").cast("long").alias("records"))
 
 
 def drop_null_columns(df: DataFrame) -> DataFrame:

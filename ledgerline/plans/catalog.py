@@ -331,13 +331,13 @@ def indicator_export(spark, sf):
 
 @register("failed_pages", """
 SELECT event_type, count(*) AS n_pages, CAST(sum(bad) AS BIGINT) AS failed_pages,
-       CAST(max(page) - min(page) + 1 - count(*) AS BIGINT) AS missing_pages
-FROM (SELECT event_type, event_id // 100 AS page, max(CAST(value > 300 AS INTEGER)) AS bad
+       CAST(max(page) - min(page) + 1 - count(*) AS BIGINT) AS missing_pages, CAST(sum(rec) AS BIGINT) AS records
+FROM (SELECT event_type, event_id // 100 AS page, max(CAST(value > 300 AS INTEGER)) AS bad, count(value) AS rec
       FROM events GROUP BY ALL) GROUP BY ALL""")
 def failed_pages(spark, sf):
     e = I.table(spark, sf, "events").select("event_type", F.expr("event_id div 100").alias("page"),
-                                            (F.col("value") > 300).alias("bad"))
-    return IND.failed_pages(e, "event_type", "page", "bad")
+                                            (F.col("value") > 300).alias("bad"), "value")
+    return IND.failed_pages(e, "event_type", "page", "bad", "value")
 
 
 @register("drop_null_columns", """
