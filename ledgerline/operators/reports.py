@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from ..functions.text import route_by_prefix
 
 FULL, SIMPLE = "full", "simplified"
+CORRUPT = "_corrupt_record"
 
 # Attribute names of a balance line and of a results line.
 BAL_ATTRS = ["СумОтч", "СумПрдщ", "СумПрдшв"]
@@ -185,7 +186,8 @@ def report_schema(kinds=(FULL, SIMPLE)) -> T.StructType:
     svnp = T.StructField("СвНП", T.ArrayType(T.StructType(_attr_struct(["ОКВЭД2"]) + [npul])))
     doc = T.StructType(_attr_struct(["КНД", "ОтчетГод", "ДатаДок"]) + [svnp]
                        + [build(k, v, None) for k, v in sorted(tree.items())])
-    return T.StructType(_attr_struct(["ИдФайл"]) + [T.StructField("Документ", T.ArrayType(doc))])
+    return T.StructType(_attr_struct(["ИдФайл"]) + [T.StructField("Документ", T.ArrayType(doc)),
+                                                     T.StructField(CORRUPT, T.StringType())])
 
 
 # ------------------------------------------------------------------ parse and flatten
@@ -195,11 +197,13 @@ def _first(c: Column) -> Column:
 
 def parse_reports(files: DataFrame, content: str = "content") -> DataFrame:
     """Parse each file once; one row per (file, document).  Adds ``kind`` from the id prefix
-    (FLT-12) and ``doc_no``; unparsable files keep a null ``report`` (counted by the caller)."""
+    (FLT-12), ``doc_no`` and ``broken`` (the file is not well-formed XML: it gets no kind and
+    is only counted)."""
     parsed = files.withColumn("report", F.from_xml(F.col(content), report_schema(),
-                                                   {"mode": "PERMISSIVE"}))
+                                                   {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
     fid = F.col("report._ИдФайл")
     rows = parsed.select("*", route_by_prefix(fid, KIND_PREFIX).alias("kind"),
+                         F.col(f"report.{CORRUPT}").isNotNull().alias("broken"),
                          F.posexplode_outer("report.Документ").alias("doc_no", "doc"))
     return rows.drop(content)
 

@@ -1,0 +1,44 @@
+"""Plan checks: every registered query stays on JVM operators, never builds a Cartesian
+product, and reads only the columns it needs."""
+from __future__ import annotations
+
+import pytest
+
+import __spark_entry__ as entry
+
+SF = "/root/testdata/sf0.001"
+FORBIDDEN = ["BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
+             "CartesianProduct", "BroadcastNestedLoopJoin"]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_no_python_no_cartesian(spark, name):
+    plan = _plan(entry.queries()[name](spark, SF))
+    for op in FORBIDDEN:
+        assert op not in plan, f"{name}: {op}"
+
+
+def test_scan_prunes_and_pushes(spark):
+    from pyspark.sql import functions as F
+    from ledgerline.plans import inputs as I
+    from ledgerline.operators import quality as Q
+    df = Q.check_bound(I.bound_input(spark, SF), "o_totalprice", "income_limit")
+    plan = _plan(df.where(F.col("o_orderkey") > 10))
+    assert "GreaterThan(o_orderkey,10)" in plan.split("PushedFilters:")[1].split("]")[0]
+    schema = plan.split("ReadSchema: struct<")[1].split(">")[0]
+    assert sorted(f.split(":")[0] for f in schema.split(",")) == ["o_orderdate", "o_orderkey", "o_orderpriority",
+                                                                    "o_totalprice"]
+
+
+def test_dimension_broadcast_is_checked(spark):
+    from ledgerline.operators.joins import join_dimension, is_small
+    big = spark.range(0, 1000).withColumnRenamed("id", "k")
+    small = spark.range(0, 10).withColumnRenamed("id", "k")
+    assert is_small(small, 100) and not is_small(big, 100)
+    assert "BroadcastHashJoin" in _plan(join_dimension(big, small, "k", "left", max_rows=100))
+    plan = _plan(join_dimension(small, big, "k", "left", max_rows=100))
+    assert "BroadcastExchange" not in plan or "AdaptiveSparkPlan" in plan

@@ -1,0 +1,34 @@
+from __future__ import annotations
+
+import os
+import tempfile
+
+from ledgerline.sources.files import FL_TRANS_DDL, read_upload
+from ledgerline.streaming.landing import watch_uploads
+
+
+def _line(mcc, region, amt, period):
+    six = ";".join([amt] * 6)
+    cnt = ";".join(["1"] * 6)
+    return f"{mcc};{region};ao;dist;M;1;2;3;{six};{cnt};{cnt};{period}"
+
+
+def test_landing_stream_appends_only_new_periods(spark):
+    root = tempfile.mkdtemp(prefix="ledgerline-landing-")
+    land, hist = os.path.join(root, "in"), os.path.join(root, "history")
+    os.makedirs(land)
+    header = ";".join(c.split()[0] for c in FL_TRANS_DDL.split(", "))
+    with open(os.path.join(land, "fl_trans_20220301.csv"), "w") as f:
+        f.write("\n".join([header, _line("", "R1", "1.00", "2022-02-01"), _line("5411", "R1", "1.00", "2022-02-01")]) + "\n")
+    log = []
+    q = watch_uploads(spark, land, "fl_trans", hist, checkpoint=os.path.join(root, "ckpt"), log=log)
+    q.awaitTermination(120)
+    assert log[-1]["status"] == "appended" and log[-1]["periods"] == ["2022-02-01"]
+    # a second file repeats February and adds March: only March is appended
+    with open(os.path.join(land, "fl_trans_20220401.csv"), "w") as f:
+        f.write("\n".join([header, _line("5411", "R1", "9.00", "2022-02-01"), _line("5411", "R2", "2.00", "2022-03-01")]) + "\n")
+    q = watch_uploads(spark, land, "fl_trans", hist, checkpoint=os.path.join(root, "ckpt"), log=log)
+    q.awaitTermination(120)
+    assert log[-1]["periods"] == ["2022-03-01"]
+    h = spark.read.schema(read_upload(spark, land, "fl_trans").schema).parquet(hist)
+    assert h.count() == 3 and h.where("partition_dt = '2022-02-01'").count() == 2
