@@ -159,22 +159,36 @@ def _attr_struct(names: list[str]) -> list[T.StructField]:
     return [T.StructField("_" + a, T.StringType()) for a in names]
 
 
-def report_schema(kinds=(FULL, SIMPLE)) -> T.StructType:
-    """Schema of one report file for ``from_xml``, union of the kinds' layouts, all text."""
-    tree: dict = {}
+def layout_paths(kinds=(FULL, SIMPLE)) -> list[tuple[str, ...]]:
+    """Every element path of the kinds' layouts."""
+    out = []
+    for kind in kinds:
+        out += [path for _, path in SECTION_TOTALS[kind]]
+        out += [(*parent, n) for parent, names in SECTION_ITEMS[kind] for n in names]
+    return out
 
-    def node(path):
+
+def needed_paths(dictionary: DataFrame, kinds=(FULL, SIMPLE)) -> list[tuple[str, ...]]:
+    """Element paths the dictionary's lines occupy: all the parse has to read."""
+    out = []
+    for kind in kinds:
+        hdr = header_rows(dictionary, kind)
+        out += list(line_paths([(r["code"], r["element"]) for r in hdr], kind).values())
+    return out
+
+
+def report_schema(paths: list[tuple[str, ...]] | None = None) -> T.StructType:
+    """Schema of one report file for ``from_xml``, all text.
+
+    Only the given element paths are described (column pruning for XML: the
+    parser skips everything else, which is most of its cost); default: the
+    whole layout of both kinds.
+    """
+    tree: dict = {}
+    for path in (paths if paths is not None else layout_paths()):
         t = tree
         for p in path:
             t = t.setdefault(p, {})
-        return t
-
-    for kind in kinds:
-        for _, path in SECTION_TOTALS[kind]:
-            node(path)
-        for parent, names in SECTION_ITEMS[kind]:
-            for n in names:
-                node((*parent, n))
 
     def build(name, sub, depth):
         is_res = name == "ФинРез" or depth == "res"
@@ -195,11 +209,13 @@ def _first(c: Column) -> Column:
     return F.get(c, 0)
 
 
-def parse_reports(files: DataFrame, content: str = "content") -> DataFrame:
+def parse_reports(files: DataFrame, content: str = "content", dictionary: DataFrame | None = None,
+                  kinds=(FULL, SIMPLE)) -> DataFrame:
     """Parse each file once; one row per (file, document).  Adds ``kind`` from the id prefix
     (FLT-12), ``doc_no`` and ``broken`` (the file is not well-formed XML: it gets no kind and
-    is only counted)."""
-    parsed = files.withColumn("report", F.from_xml(F.col(content), report_schema(),
+    is only counted).  With a ``dictionary`` only the elements its lines need are read."""
+    schema = report_schema(needed_paths(dictionary, kinds) if dictionary is not None else None)
+    parsed = files.withColumn("report", F.from_xml(F.col(content), schema,
                                                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
     fid = F.col("report._ИдФайл")
     rows = parsed.select("*", route_by_prefix(fid, KIND_PREFIX).alias("kind"),
@@ -215,16 +231,21 @@ def _value(doc: Column, path: tuple[str, ...], attr: str) -> Column:
     return c["_" + attr]
 
 
-def id_columns(doc: Column, report: Column, kind: str) -> list[Column]:
+def id_items(doc: Column, report: Column, kind: str) -> list[tuple[str, Column]]:
+    """The seven identifying columns of a report row, as (column name, expression)."""
     code, label = KIND_FORM[kind]
     nul = _first(_first(doc["СвНП"])["НПЮЛ"])
-    return [report["_ИдФайл"].alias("ИдФайл__xml"),
-            F.replace(doc["_КНД"], F.lit(code), F.lit(label)).alias("КНД__Тип"),
-            doc["_ОтчетГод"].alias("КНД_1__ОтчетГод"),
-            F.replace(doc["_ДатаДок"], F.lit("."), F.lit("")).alias("ДатаДок__ГГГГММДД"),
-            F.replace(_first(doc["СвНП"])["_ОКВЭД2"], F.lit("."), F.lit("")).alias("СвНП__ОКВЭД2"),
-            nul["_ИННЮЛ"].alias("НПЮЛ__ИННЮЛ"),
-            F.replace(nul["_НаимОрг"], F.lit(";"), F.lit(",")).alias("НПЮЛ_1__НаимОрг")]
+    return [("ИдФайл__xml", report["_ИдФайл"]),
+            ("КНД__Тип", F.replace(doc["_КНД"], F.lit(code), F.lit(label))),
+            ("КНД_1__ОтчетГод", doc["_ОтчетГод"]),
+            ("ДатаДок__ГГГГММДД", F.replace(doc["_ДатаДок"], F.lit("."), F.lit(""))),
+            ("СвНП__ОКВЭД2", F.replace(_first(doc["СвНП"])["_ОКВЭД2"], F.lit("."), F.lit(""))),
+            ("НПЮЛ__ИННЮЛ", nul["_ИННЮЛ"]),
+            ("НПЮЛ_1__НаимОрг", F.replace(nul["_НаимОрг"], F.lit(";"), F.lit(",")))]
+
+
+def id_columns(doc: Column, report: Column, kind: str) -> list[Column]:
+    return [e.alias(n) for n, e in id_items(doc, report, kind)]
 
 
 def header_rows(dictionary: DataFrame, kind: str) -> list:
@@ -249,6 +270,28 @@ def fuse_reports(full: DataFrame, simple: DataFrame) -> DataFrame:
     return full.unionByName(simple, allowMissingColumns=True)
 
 
+def flatten_fused(parsed: DataFrame, dictionary: DataFrame, kinds=(FULL, SIMPLE)) -> DataFrame:
+    """CMP-3 + CMP-4 in one projection over one parse: the columns of every kind, each
+    filled from the row's own kind (same rows and columns as ``fuse_reports`` of the
+    per-kind tables, without reading the parsed reports once per kind)."""
+    doc, rep = F.col("doc"), F.col("report")
+    order, exprs = [], {}
+    for kind in kinds:
+        hdr = header_rows(dictionary, kind)
+        paths = line_paths([(r["code"], r["element"]) for r in hdr], kind)
+        is_kind = F.col("kind") == kind
+        items = id_items(doc, rep, kind)
+        items += [(r["column"], _value(doc, paths[(r["code"], r["element"])], r["attr"])
+                   if (r["code"], r["element"]) in paths else F.lit(None).cast("string")) for r in hdr]
+        for name, e in items:
+            if name not in exprs:
+                order.append(name)
+                exprs[name] = F.when(is_kind, e)
+            else:
+                exprs[name] = exprs[name].when(is_kind, e)
+    return parsed.where(F.col("kind").isin(*kinds)).select(*[exprs[n].alias(n) for n in order])
+
+
 def _occurrences(doc: Column, path: tuple[str, ...]) -> Column:
     """All occurrences of the element at ``path`` (first occurrence of every parent)."""
     c = doc
@@ -257,11 +300,10 @@ def _occurrences(doc: Column, path: tuple[str, ...]) -> Column:
     return c[path[-1]]
 
 
-def _occurrence_row(code, element, attrs):
+def _occurrence_value(code, element, attr):
     def one(x, i):
         return F.struct(F.lit(code).alias("code"), F.lit(element).alias("element"), i.alias("rep"),
-                        F.array(*[F.struct(F.lit(a).alias("attr"), x["_" + a].alias("value"))
-                                  for a in attrs]).alias("vals"))
+                        F.lit(attr).alias("attr"), x["_" + attr].alias("value"))
     return one
 
 
@@ -269,20 +311,18 @@ def xml_to_long(parsed: DataFrame, dictionary: DataFrame, kind: str) -> DataFram
     """RSH-2: (file id, document, code, element, rep, attr, value) for every value present.
 
     Every occurrence of a repeated element is kept (``rep`` = 0, 1, ..), as the
-    reference writes all of them; the wide form takes ``rep`` 0.
+    reference writes all of them; the wide form takes ``rep`` 0.  One array of
+    (line, attribute) values per document, one ``inline``: no nested generators.
     """
     hdr = header_rows(dictionary, kind)
     paths = line_paths([(r["code"], r["element"]) for r in hdr], kind)
     doc = F.col("doc")
-    per_line = []
+    parts = []
     for (code, element), path in sorted(paths.items()):
-        attrs = attrs_of(code)
-
-        per_line.append(F.transform(F.coalesce(_occurrences(doc, path), F.array()),
-                                    _occurrence_row(code, element, attrs)))
-    occ = parsed.where(F.col("kind") == kind).select(
-        F.col("report._ИдФайл").alias("file_id"), "doc_no", F.inline(F.flatten(F.array(*per_line))))
-    long = occ.select("file_id", "doc_no", "code", "element", "rep", F.inline("vals"))
+        occ = F.coalesce(_occurrences(doc, path), F.array())
+        parts += [F.transform(occ, _occurrence_value(code, element, a)) for a in attrs_of(code)]
+    long = parsed.where(F.col("kind") == kind).select(
+        F.col("report._ИдФайл").alias("file_id"), "doc_no", F.inline(F.flatten(F.array(*parts))))
     return long.where(F.col("value").isNotNull())
 
 

@@ -595,20 +595,18 @@ FROM orders LEFT JOIN (SELECT l_orderkey, {piv} FROM ({_FIRST_REP}) WHERE rep =
 WHERE o_orderstatus {status}"""
 
 
-def _parsed_reports(spark, sf):
-    return REP.parse_reports(I.report_files(spark, sf))
+def _parsed_reports(spark, sf, kinds=(REP.FULL, REP.SIMPLE)):
+    return REP.parse_reports(I.report_files(spark, sf), dictionary=I.report_dictionary(spark), kinds=kinds)
 
 
 @register("long_to_wide", _report_sql(REP.FULL))
 def long_to_wide(spark, sf):
-    return REP.flatten_reports(_parsed_reports(spark, sf), I.report_dictionary(spark), REP.FULL)
+    return REP.flatten_reports(_parsed_reports(spark, sf, (REP.FULL,)), I.report_dictionary(spark), REP.FULL)
 
 
 @register("fuse_reports", f"({_report_sql(REP.FULL)})\nUNION ALL BY NAME\n({_report_sql(REP.SIMPLE)})")
 def fuse_reports(spark, sf):
-    p = _parsed_reports(spark, sf)
-    d = I.report_dictionary(spark)
-    return REP.fuse_reports(REP.flatten_reports(p, d, REP.FULL), REP.flatten_reports(p, d, REP.SIMPLE))
+    return REP.flatten_fused(_parsed_reports(spark, sf), I.report_dictionary(spark))
 
 
 def _long_sql():
@@ -633,7 +631,7 @@ WHERE o_orderstatus <> 'P' AND l_linenumber IN ({", ".join(str(x) for x in sorte
 
 @register("xml_to_long", _long_sql())
 def xml_to_long(spark, sf):
-    return REP.xml_to_long(_parsed_reports(spark, sf), I.report_dictionary(spark), REP.FULL)
+    return REP.xml_to_long(_parsed_reports(spark, sf, (REP.FULL,)), I.report_dictionary(spark), REP.FULL)
 
 
 def _part_dictionary(spark, sf):

@@ -123,3 +123,17 @@ def test_long_form_keeps_repeats_and_round_trips(parsed, dictionary):
     for r in wide.where("file_id = 'NO_BUHOT_1'").collect():
         f = flat.where("`ИдФайл__xml` = 'NO_BUHOT_1'").first()
         assert all(r[c] == f[c] for c in names.values())
+
+
+def test_flatten_fused_equals_union_of_kinds(parsed, dictionary):
+    a = R.flatten_fused(parsed, dictionary)
+    b = R.fuse_reports(R.flatten_reports(parsed, dictionary, R.FULL), R.flatten_reports(parsed, dictionary, R.SIMPLE))
+    assert a.columns == b.columns and a.count() == b.count() == 6
+    assert a.exceptAll(b).count() == 0
+
+
+def test_pruned_schema_reads_same_values(spark, folder, dictionary):
+    files = read_xml_reports(spark, os.path.join(folder, "*.xml"))
+    full = R.flatten_reports(R.parse_reports(files), dictionary, R.FULL)
+    pruned = R.flatten_reports(R.parse_reports(files, dictionary=dictionary), dictionary, R.FULL)
+    assert full.exceptAll(pruned).count() == 0 and pruned.count() == 5
