@@ -36,11 +36,26 @@ def with_level(df: DataFrame, code_col: str, level_col: str = "level") -> DataFr
     return df.withColumn(level_col, code_kind(code_col))
 
 
+ROLLUP_KEYS = ("region_name", "partition_dt")
+
+
+def level_rollup(df: DataFrame, metrics: list[str], code_col: str = "mcc",
+                 keys: list[str] = ROLLUP_KEYS) -> DataFrame:
+    """Sums per (level, code, keys): the one aggregate of the raw extract that every level
+    check reads.  Built the same way by each check, so a query running several
+    checks shuffles the extract once and reuses that exchange."""
+    return df.groupBy(code_kind(code_col).alias("level"), code_col, *keys).agg(*_sums(metrics))
+
+
+def _rollup_keys(keys) -> list[str]:
+    return list(ROLLUP_KEYS) + [k for k in keys if k not in ROLLUP_KEYS]
+
+
 def level_totals(df: DataFrame, metrics: list[str], code_col: str = "mcc",
                  keys: list[str] = ("partition_dt",)) -> DataFrame:
     """AGG-2: sum of every metric per level, all levels in one scan."""
-    return (df.groupBy(*keys, code_kind(code_col).alias("level"))
-              .agg(*_sums(metrics)))
+    r = level_rollup(df, metrics, code_col, _rollup_keys(keys))
+    return r.groupBy(*keys, "level").agg(*_sums(metrics))
 
 
 def unpivot_metrics(df: DataFrame, ids: list[str], metrics: list[str],
@@ -61,8 +76,9 @@ def reconcile_levels(df: DataFrame, metrics: list[str], a: str = TOTAL, b: str =
     """
     if period is not None:
         df = df.where(F.col(period_col) == period)
-    kind = code_kind(code_col)
-    wide = df.groupBy(*keys).agg(*_sums(metrics, kind == a, "a__"), *_sums(metrics, kind == b, "b__"))
+    r = level_rollup(df, metrics, code_col, _rollup_keys(keys))
+    lv = F.col("level")
+    wide = r.groupBy(*keys).agg(*_sums(metrics, lv == a, "a__"), *_sums(metrics, lv == b, "b__"))
     long = wide.select(*keys, F.inline(F.array(*[
         F.struct(F.lit(m).alias("metric"), F.col("a__" + m).alias("value_a"),
                  F.col("b__" + m).alias("value_b")) for m in metrics])))
@@ -90,11 +106,9 @@ def map_codes(rollup: DataFrame, mapping: DataFrame, metrics: list[str], code_co
 
 
 def _level_rollups(df, metrics, code_col, keys):
-    kind = code_kind(code_col)
-    agg = (df.where(kind != TOTAL)
-             .groupBy(kind.alias("__level"), code_col, *keys).agg(*_sums(metrics)))
-    groups = agg.where(F.col("__level") == GROUP).drop("__level")
-    codes = agg.where(F.col("__level") == CODE).drop("__level")
+    agg = level_rollup(df, metrics, code_col, keys)
+    groups = agg.where(F.col("level") == GROUP).drop("level")
+    codes = agg.where(F.col("level") == CODE).drop("level")
     return groups, codes
 
 

@@ -209,19 +209,44 @@ def _first(c: Column) -> Column:
     return F.get(c, 0)
 
 
+_ID_IN_TEXT = r"ИдФайл\s*=\s*[\"']([^\"']*)[\"']"
+
+
+def raw_file_id(content: Column) -> Column:
+    """The root's ``ИдФайл`` read from the head of the text, before any parsing."""
+    return F.regexp_extract(F.substring(content, 1, 4000), _ID_IN_TEXT, 1)
+
+
 def parse_reports(files: DataFrame, content: str = "content", dictionary: DataFrame | None = None,
                   kinds=(FULL, SIMPLE)) -> DataFrame:
-    """Parse each file once; one row per (file, document).  Adds ``kind`` from the id prefix
-    (FLT-12), ``doc_no`` and ``broken`` (the file is not well-formed XML: it gets no kind and
-    is only counted).  With a ``dictionary`` only the elements its lines need are read."""
+    """Parse each wanted file once; one row per (file, document).
+
+    The kind comes from the file id prefix read off the raw text (FLT-12), so
+    files of other kinds are dropped before the parser runs and no later filter
+    has to look inside the parsed struct (a pushed-down filter on a parsed field
+    would make Spark parse twice).  With a ``dictionary`` only the elements its
+    lines need are read.  Files that are not well-formed XML yield no rows
+    (``report_status`` counts them).
+    """
     schema = report_schema(needed_paths(dictionary, kinds) if dictionary is not None else None)
-    parsed = files.withColumn("report", F.from_xml(F.col(content), schema,
-                                                   {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
-    fid = F.col("report._ИдФайл")
-    rows = parsed.select("*", route_by_prefix(fid, KIND_PREFIX).alias("kind"),
-                         F.col(f"report.{CORRUPT}").isNotNull().alias("broken"),
-                         F.posexplode_outer("report.Документ").alias("doc_no", "doc"))
-    return rows.drop(content)
+    f = files.withColumn("kind", route_by_prefix(raw_file_id(F.col(content)), KIND_PREFIX))
+    if kinds:
+        f = f.where(F.col("kind").isin(*kinds))
+    parsed = f.withColumn("report", F.from_xml(F.col(content), schema,
+                                               {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
+    return parsed.select("*", F.posexplode("report.Документ").alias("doc_no", "doc")).drop(content)
+
+
+def report_status(files: DataFrame, content: str = "content") -> DataFrame:
+    """Per file: kind, whether it is broken XML, and its number of documents (AGG-9 for reports)."""
+    tiny = T.StructType([T.StructField("Документ", T.ArrayType(T.StructType([T.StructField("_КНД", T.StringType())]))),
+                         T.StructField(CORRUPT, T.StringType())])
+    r = F.from_xml(F.col(content), tiny, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    st = files.select("file_name", route_by_prefix(raw_file_id(F.col(content)), KIND_PREFIX).alias("kind"),
+                      F.when(r[CORRUPT].isNotNull(), F.lit(-1)).otherwise(F.coalesce(F.size(r["Документ"]), F.lit(0)))
+                      .alias("__n"))
+    return st.select("file_name", "kind", (F.col("__n") < 0).alias("broken"),
+                     F.greatest(F.col("__n"), F.lit(0)).alias("documents"))
 
 
 def _value(doc: Column, path: tuple[str, ...], attr: str) -> Column:

@@ -559,15 +559,15 @@ def _line_numbers(kind):
 
 # line items as the XML builder writes them, numbered in document order within a line number
 _FIRST_REP = f"""SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY q, p, t) - 1 AS rep
-FROM (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_tax, {plain_text_sql('l_quantity', 2)} AS q,
-             {plain_text_sql('l_extendedprice', 2)} AS p, {plain_text_sql('l_tax', 2)} AS t FROM lineitem)"""
+FROM (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_tax, {I.MONEY_SQL.format('l_quantity')} AS q,
+             {I.MONEY_SQL.format('l_extendedprice')} AS p, {I.MONEY_SQL.format('l_tax')} AS t FROM lineitem)"""
 
 
 def _report_sql(kind):
     prefix, (form, label) = ("NO_BUHOT_" if kind == REP.FULL else "NO_BOUPR_"), REP.KIND_FORM[kind]
     status = "<> 'P'" if kind == REP.FULL else "= 'P'"
     lns = _line_numbers(kind)
-    piv = ", ".join(f"max(CASE WHEN l_linenumber = {ln} THEN {plain_text_sql(src, 2)} END) AS {a[0]}{ln}"
+    piv = ", ".join(f"max(CASE WHEN l_linenumber = {ln} THEN {I.MONEY_SQL.format(src)} END) AS {a[0]}{ln}"
                     for ln in range(1, 8) for a, src in [("q", "l_quantity"), ("p", "l_extendedprice"),
                                                          ("t", "l_tax")])
     cols = []
@@ -576,9 +576,9 @@ def _report_sql(kind):
         if code is None:
             continue
         if code == 1099 and attr == "СумОтч":
-            e = plain_text_sql("o_totalprice", 2)
+            e = I.MONEY_SQL.format("o_totalprice")
         elif code == 2110 and attr == "СумОтч":
-            e = plain_text_sql("o_totalprice", 2)
+            e = I.MONEY_SQL.format("o_totalprice")
         elif code == 2110 and attr == "СумПред":
             e = "CAST(o_custkey AS VARCHAR)"
         elif (code, element) in lns and attr in letter:
@@ -616,7 +616,7 @@ def _long_sql():
     elem = "CASE l_linenumber " + " ".join(f"WHEN {ln} THEN '{k[1]}'" for ln, k in sorted(by_ln.items())) + " END"
     val = "CASE a.attr WHEN 'СумОтч' THEN q WHEN 'СумПрдщ' THEN p WHEN 'СумПрдшв' THEN t END"
     fid = "'NO_BUHOT_' || CAST(o_orderkey AS VARCHAR)"
-    tot = plain_text_sql("o_totalprice", 2)
+    tot = I.MONEY_SQL.format("o_totalprice")
     return f"""
 SELECT {fid} AS file_id, 0 AS doc_no, 1099 AS code, 'Актив' AS element, 0 AS rep, 'СумОтч' AS attr, {tot} AS value
 FROM orders WHERE o_orderstatus <> 'P'

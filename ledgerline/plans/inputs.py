@@ -379,6 +379,14 @@ SIMPLE_LINES = {1: ("Актив", "МатВнеАкт"), 2: ("Актив", "Не
                 7: ("Пассив", "КредитЗадолж")}
 
 
+def money_text(c):
+    """Amount as fixed two-place text ("17.00"), the way the XML files state sums."""
+    return F.col(c).cast("decimal(38,2)").cast("string")
+
+
+MONEY_SQL = "CAST(CAST({} AS DECIMAL(38,2)) AS VARCHAR)"
+
+
 def report_dictionary(spark):
     return spark.createDataFrame(REPORT_DICTIONARY, "code int, element string")
 
@@ -386,11 +394,10 @@ def report_dictionary(spark):
 def report_files(spark, sf_dir):
     """One XML report per order: pending orders file a simplified report, others a full one;
     line items become balance lines (quantity, price, tax as the three periods)."""
-    from ..functions.numbers import plain_text
     li = table(spark, sf_dir, "lineitem")
     lines = li.groupBy("l_orderkey").agg(F.collect_list(F.struct(
-        F.col("l_linenumber").alias("ln"), plain_text("l_quantity", 2).alias("q"),
-        plain_text("l_extendedprice", 2).alias("p"), plain_text("l_tax", 2).alias("t"))).alias("lines"))
+        F.col("l_linenumber").alias("ln"), money_text("l_quantity").alias("q"),
+        money_text("l_extendedprice").alias("p"), money_text("l_tax").alias("t"))).alias("lines"))
     o = table(spark, sf_dir, "orders")
     j = o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
     simple = F.col("o_orderstatus") == "P"
@@ -407,7 +414,7 @@ def report_files(spark, sf_dir):
                        lambda x: (x["ln"] >= lo) & (x["ln"] <= hi))
         return F.array_join(F.transform(F.array_sort(sel), frag), "")
 
-    total = plain_text("o_totalprice", 2)
+    total = money_text("o_totalprice")
     cust = F.col("o_custkey").cast("string")
     assets = F.when(simple, block(1, 5)).otherwise(
         F.concat(F.lit("<ВнеОбА>"), block(1, 4), F.lit("</ВнеОбА><ОбА>"), block(5, 7), F.lit("</ОбА>")))

@@ -40,9 +40,13 @@ FILES = {
 }
 
 
+_FOLDER = []
+
+
 @pytest.fixture(scope="module")
 def folder():
     d = tempfile.mkdtemp(prefix="ledgerline-xml-")
+    _FOLDER.append(d)
     for name, text in FILES.items():
         with open(os.path.join(d, name), "w", encoding="utf-8") as f:
             f.write('<?xml version="1.0" encoding="utf-8"?>\n' + text)
@@ -98,8 +102,11 @@ def test_flatten_full_aligned(parsed, dictionary):
 
 def test_kinds_broken_and_fuse(parsed, dictionary):
     kinds = rows(parsed.groupBy("kind").count())
-    assert kinds == [(None, 2), ("full", 5), ("simplified", 1)]          # other prefix + broken -> no kind
-    assert parsed.where("broken").count() == 1                            # broken file counted
+    assert kinds == [("full", 5), ("simplified", 1)]                      # other prefix never parsed
+    st = {r["file_name"]: (r["kind"], r["broken"], r["documents"])
+          for r in R.report_status(read_xml_reports(parsed.sparkSession, os.path.join(_FOLDER[0], "*.xml"))).collect()}
+    assert st["broken.xml"] == ("full", True, 0) and st["other.xml"] == (None, False, 1)
+    assert st["twodocs.xml"] == ("full", False, 2)
     s = R.flatten_reports(parsed, dictionary, R.SIMPLE).first()
     assert s["КНД__Тип"] == "Упрощённая" and s["МатВнеАкт__СумОтч"] == "5" and s["Запасы__СумОтч"] == "6"
     fused = R.fuse_reports(R.flatten_reports(parsed, dictionary, R.FULL), R.flatten_reports(parsed, dictionary, R.SIMPLE))
