@@ -24,6 +24,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 MAX_ROWS_PER_TASK = 2_000_000
 SPLITS = 256
 MAX_ROUNDS = 8
@@ -44,6 +46,7 @@ def distinct_median(df: DataFrame, keys: list[str], value: str, out: str = "medi
     rounds = 0
     while rounds < MAX_ROUNDS and state.where(F.col("__cnt") > max_rows).limit(1).count() > 0:
         if rounds == 0:
+            ensure_checkpoint_dir(df.sparkSession)  # the cluster's shared folder; a scratch one only if unset
             d = d.checkpoint(eager=True)  # reread by every round: cut it once
         state = _narrow(d, state, keys, max_rows, splits).checkpoint(eager=True)
         rounds += 1

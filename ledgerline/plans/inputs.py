@@ -429,5 +429,9 @@ def report_files(spark, sf_dir):
         F.lit('" НаимОрг="Org; '), cust, F.lit('"/></СвНП><Баланс><Актив СумОтч="'), total, F.lit('">'),
         assets, F.lit("</Актив>"), liab, F.lit('</Баланс><ФинРез><Выруч СумОтч="'), total,
         F.lit('" СумПред="'), cust, F.lit('"/></ФинРез></Документ></Файл>'))
-    return j.select(F.concat(F.lit("report_"), F.col("o_orderkey").cast("string"), F.lit(".xml"))
+    docs = j.select(F.concat(F.lit("report_"), F.col("o_orderkey").cast("string"), F.lit(".xml"))
                     .alias("file_name"), xml.alias("content"))
+    # The documents are much larger than the join inputs, from which AQE would size (and
+    # merge) the partitions; a shuffle of the finished documents lets their real size decide
+    # how many tasks parse them.
+    return docs.repartition("file_name")
