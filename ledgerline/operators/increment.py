@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import date_in_name, period_text, previous_month_start
 from ..functions.text import route_by_name
+from .joins import join_dimension
 
 # Which upload layout a file name announces (CHARINDEX order of the reference).
 KIND_RULES = [("fl_trans", "fl_trans"), ("fl_blago", "fl_blago"), ("ul_", "ul")]
@@ -64,8 +65,13 @@ def new_periods(upload: DataFrame, history: DataFrame, col: str = "partition_dt"
 
 
 def rows_to_append(upload: DataFrame, history: DataFrame, col: str = "partition_dt") -> DataFrame:
-    """JON-7: upload rows whose period is new (``WHERE p IN (SELECT * FROM Uniq)``)."""
-    return upload.join(new_periods(upload, history, col), col, "left_semi")
+    """JON-7: upload rows whose period is new (``WHERE p IN (SELECT * FROM Uniq)``).
+
+    The new periods are a handful of rows and an upload may hold a single period,
+    so the semi join broadcasts them (after a size check) instead of shuffling the
+    upload by period.
+    """
+    return join_dimension(upload, new_periods(upload, history, col), col, "left_semi")
 
 
 def append_new(spark: SparkSession, upload: DataFrame, history_path: str,

@@ -88,9 +88,11 @@ def reconcile_levels(df: DataFrame, metrics: list[str], a: str = TOTAL, b: str =
     return long.where(F.abs("deviation") >= tol)
 
 
-def rollup_metrics(df: DataFrame, keys: list[str], metrics: list[str]) -> DataFrame:
-    """AGG-3: sums of the metrics by keys."""
-    return df.groupBy(*keys).agg(*_sums(metrics))
+def rollup_metrics(df: DataFrame, keys: list[str], metrics: list[str], top: int | None = None) -> DataFrame:
+    """AGG-3: sums of the metrics by keys.  ``top`` keeps the first n rows by the keys
+    (TOP-2); off by default, since the reference's silent cut loses groups (D-7)."""
+    out = df.groupBy(*keys).agg(*_sums(metrics))
+    return out.orderBy(*keys).limit(top) if top else out
 
 
 def map_codes(rollup: DataFrame, mapping: DataFrame, metrics: list[str], code_col: str = "mcc",

@@ -42,3 +42,12 @@ def test_dimension_broadcast_is_checked(spark):
     assert "BroadcastHashJoin" in _plan(join_dimension(big, small, "k", "left", max_rows=100))
     plan = _plan(join_dimension(small, big, "k", "left", max_rows=100))
     assert "BroadcastExchange" not in plan or "AdaptiveSparkPlan" in plan
+
+
+@pytest.mark.parametrize("name", ["color_scale", "append_preview", "decode_dimension", "map_codes",
+                                  "build_indicators", "size_class"])
+def test_bounded_sides_are_broadcast(spark, name):
+    """Joins whose other side is one row per group / period / code never shuffle the big side
+    by that key (a hot key would land in one task)."""
+    plan = _plan(entry.queries()[name](spark, SF))
+    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan, name

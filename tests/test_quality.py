@@ -116,3 +116,9 @@ def test_check_summary(spark, extract, mcc_map):
     s = Q.check_summary({"groups": Q.reconcile_groups(extract, mcc_map, ["amt", "cnt"]),
                          "levels": Q.reconcile_levels(extract, ["amt", "cnt"])})
     assert rows(s, "check", "n_rows", "failed") == [("groups", 1, True), ("levels", 0, False)]
+
+
+def test_rollup_top_is_optional(extract):
+    full = Q.rollup_metrics(extract, ["mcc"], ["amt"])
+    assert full.count() == 7
+    assert [r["mcc"] for r in Q.rollup_metrics(extract, ["mcc"], ["amt"], top=2).collect()] == [None, "5411"]
