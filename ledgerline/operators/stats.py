@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 from .joins import join_dimension
 
 MAX_ROWS_PER_TASK = 2_000_000
@@ -43,13 +43,15 @@ def distinct_median(df: DataFrame, keys: list[str], value: str, out: str = "medi
                      (F.floor(F.col("__n") / 2) + 1).alias("__khi"),
                      F.lit(None).cast("double").alias("__lo"), F.lit(None).cast("double").alias("__hi"),
                      F.lit(0).cast("long").alias("__below"), F.col("__n").alias("__cnt"))
+    # one row per group, read by the size check, the loop test and the joins below:
+    # written once to the shared checkpoint folder instead of recomputing the distinct pass
+    state = materialize(state)
 
     rounds = 0
     while rounds < MAX_ROUNDS and state.where(F.col("__cnt") > max_rows).limit(1).count() > 0:
         if rounds == 0:
-            ensure_checkpoint_dir(df.sparkSession)  # the cluster's shared folder; a scratch one only if unset
-            d = d.checkpoint(eager=True)  # reread by every round: cut it once
-        state = _narrow(d, state, keys, max_rows, splits).checkpoint(eager=True)
+            d = materialize(d)  # reread by every round: cut it once
+        state = materialize(_narrow(d, state, keys, max_rows, splits))
         rounds += 1
 
     cand = _in_range(d, state, keys)
@@ -77,7 +79,7 @@ def _narrow(d, state, keys, max_rows, splits):
     probs = [i / splits for i in range(1, splits)]
     acc = max(10 * splits, 1000)
     sk = cand.groupBy(*keys).agg(F.percentile_approx("__v", probs, acc).alias("__sp"))
-    skr = sk.select(*[F.col(k).alias("__t_" + k) for k in keys], "__sp")
+    skr = materialize(sk.select(*[F.col(k).alias("__t_" + k) for k in keys], "__sp"))
     cond = reduce(lambda a, b: a & b, [cand[k].eqNullSafe(skr["__t_" + k]) for k in keys], F.lit(True))
     b = join_dimension(cand, skr, cond, "inner").withColumn(
         "__b", F.size(F.filter("__sp", lambda x: x < F.col("__v"))))

@@ -11,7 +11,8 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -57,3 +58,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def checkpoint_path(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), name)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute an intermediate once and cut its lineage in the shared checkpoint folder.
+
+    Persisting first makes the checkpoint write read the computed blocks instead of
+    running the plan a second time; the cache is dropped right after.  Meant for
+    small tables read several times (one row per group); a lost executor only
+    costs a reread of the checkpoint files.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
