@@ -69,7 +69,7 @@ def test_indicator_sink_cp1251_and_headerless(spark):
     ind = spark.createDataFrame([("количество ИП", "торговля", "null", "ед.", "москва", "2021-03-05", 1.5, 0)],
                                 "DIM_1 string, DIM_2 string, DIM_3 string, DIM_4 string, DIM_5 string, date string, "
                                 "val double, ordinal int")
-    out = tempfile.mkdtemp(prefix="ledgerline-out-") + "/ehd"
+    out = tempfile.mkdtemp(prefix="ledgerline-out-") + "/indicators"
     write_indicator_csv(IND.indicator_export(ind), out)
     part = [p for p in glob.glob(out + "/part-*") if os.path.getsize(p) > 0][0]
     text = open(part, "rb").read().decode("cp1251")
