@@ -8,6 +8,10 @@ from __future__ import annotations
 
 import hashlib
 import math
+import os
+
+# LEDGERLINE_EXACT=1 compares floats bit for bit (no rounding)
+EXACT = os.environ.get("LEDGERLINE_EXACT") == "1"
 
 import duckdb
 
@@ -28,12 +32,12 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "∅"
-        r = round(v, 6)
+        r = v if EXACT else round(v, 6)
         return repr(0.0 if r == 0 else r)
     if isinstance(v, bool):
         return str(v)
     if isinstance(v, int):
-        return repr(float(v)) if False else str(v)
+        return str(v)
     if isinstance(v, (list, tuple)):
         return "[" + ",".join(_norm(x) for x in v) + "]"
     if isinstance(v, dict):
