@@ -66,7 +66,8 @@ def _in_range(d: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
     s = state.select(*[F.col(k).alias("__s_" + k) for k in keys],
                      "__klo", "__khi", "__lo", "__hi", "__below", "__cnt")
     cond = reduce(lambda a, b: a & b, [d[k].eqNullSafe(s["__s_" + k]) for k in keys], F.lit(True))
-    j = join_dimension(d, s, cond, "inner")  # one row per group: never shuffle a hot group by its key
+    # one row per group (already materialised): never shuffle a hot group by its key
+    j = join_dimension(d, s, cond, "inner", materialized=True)
     j = j.where((F.col("__lo").isNull() | (F.col("__v") >= F.col("__lo")))
                 & (F.col("__hi").isNull() | (F.col("__v") <= F.col("__hi"))))
     return j.drop(*["__s_" + k for k in keys])
@@ -81,7 +82,7 @@ def _narrow(d, state, keys, max_rows, splits):
     sk = cand.groupBy(*keys).agg(F.percentile_approx("__v", probs, acc).alias("__sp"))
     skr = materialize(sk.select(*[F.col(k).alias("__t_" + k) for k in keys], "__sp"))
     cond = reduce(lambda a, b: a & b, [cand[k].eqNullSafe(skr["__t_" + k]) for k in keys], F.lit(True))
-    b = join_dimension(cand, skr, cond, "inner").withColumn(
+    b = join_dimension(cand, skr, cond, "inner", materialized=True).withColumn(
         "__b", F.size(F.filter("__sp", lambda x: x < F.col("__v"))))
     bc = b.groupBy(*keys, "__b", "__klo", "__khi", "__below").agg(
         F.count(F.lit(1)).alias("__c"), F.min("__v").alias("__bmin"), F.max("__v").alias("__bmax"))

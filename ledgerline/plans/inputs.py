@@ -301,7 +301,7 @@ def cell_table_3(spark, sf_dir):
     from ..operators.joins import join_dimension
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey", "n_name")
-    j = join_dimension(c, n, c.c_nationkey == n.n_nationkey, "inner")
+    j = join_dimension(c, n, F.col("c_nationkey") == F.col("n_nationkey"), "inner")
     return (j.groupBy(_cell_id("c_nationkey").alias("CELL_ID"), F.col("n_regionkey").alias("REGION_ID"),
                       F.left("c_mktsegment", F.lit(2)).alias("INDUSTRY_ID"),
                       F.col("c_mktsegment").alias("INDUSTRY_NAME"),
@@ -314,7 +314,7 @@ def cell_table_5(spark, sf_dir):
     from ..operators.joins import join_dimension
     s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    j = join_dimension(s, n, s.s_nationkey == n.n_nationkey, "inner")
+    j = join_dimension(s, n, F.col("s_nationkey") == F.col("n_nationkey"), "inner")
     seg = F.element_at(F.array(*[F.lit(x) for x in SEGMENTS]), (F.col("s_suppkey") % 5 + 1).cast("int"))
     return (j.groupBy(_cell_id("s_nationkey").alias("CELL_ID"), F.left(seg, F.lit(2)).alias("INDUSTRY_ID"),
                       seg.alias("INDUSTRY_NAME"), F.lower("n_name").alias("area"))
