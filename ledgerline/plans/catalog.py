@@ -669,3 +669,15 @@ def report_header(spark, sf):
 @register("dedupe_names", _header_sql(REP.SIMPLE))
 def dedupe_names(spark, sf):
     return REP.report_header(_part_dictionary(spark, sf), REP.SIMPLE)
+
+
+@register("style_map", _ORDER_COLORED + f"""
+SELECT o_orderkey, COLOR_o_totalprice AS bin,
+       ([{", ".join(repr(c) for c in C.COLOR_NAMES)}])[COLOR_o_totalprice + 1] AS color_name,
+       COLOR_o_totalprice + 1 AS width
+FROM colored WHERE COLOR_o_totalprice IS NOT NULL""")
+def style_map(spark, sf):
+    colored = C.color_scale(I.order_cells(spark, sf), _OKEYS, _OMETRICS)
+    return (colored.where(F.col("COLOR_o_totalprice").isNotNull())
+                   .select("o_orderkey", F.col("COLOR_o_totalprice").alias("bin"),
+                           *C.style_columns("COLOR_o_totalprice")))
