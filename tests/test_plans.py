@@ -51,3 +51,22 @@ def test_bounded_sides_are_broadcast(spark, name):
     by that key (a hot key would land in one task)."""
     plan = _plan(entry.queries()[name](spark, SF))
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan, name
+
+
+def test_contract_every_query_has_oracle_and_plain_columns(spark):
+    qs, sql = entry.queries(), entry.oracle_sql()
+    assert set(qs) == set(sql) and len(qs) >= 40
+    for name, fn in qs.items():
+        cols = fn(spark, SF).columns
+        assert len(cols) == len(set(cols)), name
+        assert not any("(" in c for c in cols), f"{name}: unaliased column"
+
+
+@pytest.mark.parametrize("name", ["level_totals", "reconcile_groups", "check_summary", "min_by_keys",
+                                  "build_indicators", "failed_pages", "color_summary", "view_centre"])
+def test_aggregates_are_partial_before_the_shuffle(spark, name):
+    """Every hash aggregate runs a map-side partial step, so a hot key ships one row per task."""
+    plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finals = plan.count("HashAggregate(keys=")
+    partials = plan.count("functions=[partial_")
+    assert finals > 0 and partials > 0, name
