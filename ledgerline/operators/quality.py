@@ -43,8 +43,11 @@ def level_rollup(df: DataFrame, metrics: list[str], code_col: str = "mcc",
                  keys: list[str] = ROLLUP_KEYS) -> DataFrame:
     """Sums per (level, code, keys): the one aggregate of the raw extract that every level
     check reads.  Built the same way by each check, so a query running several
-    checks shuffles the extract once and reuses that exchange."""
-    return df.groupBy(code_kind(code_col).alias("level"), code_col, *keys).agg(*_sums(metrics))
+    checks shuffles the extract once and reuses that exchange.  The level is a
+    function of the code, so it is derived after the aggregate: the code test runs
+    once per group, not once per row."""
+    r = df.groupBy(code_col, *keys).agg(*_sums(metrics))
+    return r.select(code_kind(code_col).alias("level"), code_col, *keys, *metrics)
 
 
 def _rollup_keys(keys) -> list[str]:
