@@ -108,9 +108,8 @@ def _rollups_sql():
 @register("rollup_metrics", _with(_LV) + f"""
 SELECT mcc, region_name, partition_dt, {_sum_list()} FROM lv WHERE {_kind('group')} GROUP BY ALL""")
 def rollup_metrics(spark, sf):
-    lv = I.level_table(spark, sf)
-    return comparable(Q.rollup_metrics(lv.where(Q.code_kind("mcc") == "group"),
-                                       ["mcc", "region_name", "partition_dt"], _M))
+    r = Q.level_rollup(I.level_table(spark, sf), _M)
+    return comparable(r.where(F.col("level") == "group").drop("level"))
 
 
 @register("map_codes", _with(_LV, _MAP) + f"""
@@ -119,8 +118,7 @@ FROM (SELECT mcc, region_name, partition_dt, {", ".join(f"sum({m}) AS {m}" for m
       FROM lv WHERE {_kind('code')} GROUP BY ALL) t
 LEFT JOIN mcc_map ON t.mcc = mcc_map.mcc_code GROUP BY ALL""")
 def map_codes(spark, sf):
-    lv = I.level_table(spark, sf)
-    codes = Q.rollup_metrics(lv.where(Q.code_kind("mcc") == "code"), ["mcc", "region_name", "partition_dt"], _M)
+    codes = Q.level_rollup(I.level_table(spark, sf), _M).where(F.col("level") == "code").drop("level")
     return comparable(Q.map_codes(codes, I.code_map(spark, sf), _M))
 
 
