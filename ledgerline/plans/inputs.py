@@ -393,32 +393,40 @@ def report_dictionary(spark):
 
 def report_files(spark, sf_dir):
     """One XML report per order: pending orders file a simplified report, others a full one;
-    line items become balance lines (quantity, price, tax as the three periods)."""
+    line items become balance lines (quantity, price, tax as the three periods).
+
+    The balance sections are built per order right after the line items are grouped
+    (a stage with many tasks), both layouts at once; joining the orders then only adds
+    the header text.
+    """
     li = table(spark, sf_dir, "lineitem")
-    lines = li.groupBy("l_orderkey").agg(F.collect_list(F.struct(
+    grouped = li.groupBy("l_orderkey").agg(F.collect_list(F.struct(
         F.col("l_linenumber").alias("ln"), money_text("l_quantity").alias("q"),
         money_text("l_extendedprice").alias("p"), money_text("l_tax").alias("t"))).alias("lines"))
-    o = table(spark, sf_dir, "orders")
-    j = o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
-    simple = F.col("o_orderstatus") == "P"
-    full_tags = F.array(*[F.lit(FULL_LINES[i][1]) for i in range(1, 8)])
-    simple_tags = F.array(*[F.lit(SIMPLE_LINES[i][1]) for i in range(1, 8)])
 
-    def frag(x):
-        tag = F.when(simple, F.element_at(simple_tags, x["ln"])).otherwise(F.element_at(full_tags, x["ln"]))
-        return F.concat(F.lit("<"), tag, F.lit(' СумОтч="'), x["q"], F.lit('" СумПрдщ="'), x["p"],
-                        F.lit('" СумПрдшв="'), x["t"], F.lit('"/>'))
-
-    def block(lo, hi):
-        sel = F.filter(F.coalesce("lines", F.array().cast("array<struct<ln:int,q:string,p:string,t:string>>")),
-                       lambda x: (x["ln"] >= lo) & (x["ln"] <= hi))
+    def block(tags, lo, hi):
+        def frag(x):
+            return F.concat(F.lit("<"), F.element_at(tags, x["ln"]), F.lit(' СумОтч="'), x["q"],
+                            F.lit('" СумПрдщ="'), x["p"], F.lit('" СумПрдшв="'), x["t"], F.lit('"/>'))
+        sel = F.filter("lines", lambda x: (x["ln"] >= lo) & (x["ln"] <= hi))
         return F.array_join(F.transform(F.array_sort(sel), frag), "")
 
+    full_tags = F.array(*[F.lit(FULL_LINES[i][1]) for i in range(1, 8)])
+    simple_tags = F.array(*[F.lit(SIMPLE_LINES[i][1]) for i in range(1, 8)])
+    sections = grouped.select(
+        "l_orderkey",
+        F.concat(F.lit("<ВнеОбА>"), block(full_tags, 1, 4), F.lit("</ВнеОбА><ОбА>"), block(full_tags, 5, 7),
+                 F.lit("</ОбА>")).alias("full_assets"),
+        block(simple_tags, 1, 5).alias("simple_assets"),
+        F.concat(F.lit("<Пассив>"), block(simple_tags, 6, 7), F.lit("</Пассив>")).alias("simple_liab"))
+    o = table(spark, sf_dir, "orders")
+    j = o.join(sections, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    simple = F.col("o_orderstatus") == "P"
     total = money_text("o_totalprice")
     cust = F.col("o_custkey").cast("string")
-    assets = F.when(simple, block(1, 5)).otherwise(
-        F.concat(F.lit("<ВнеОбА>"), block(1, 4), F.lit("</ВнеОбА><ОбА>"), block(5, 7), F.lit("</ОбА>")))
-    liab = F.when(simple, F.concat(F.lit("<Пассив>"), block(6, 7), F.lit("</Пассив>"))).otherwise(F.lit(""))
+    assets = F.coalesce(F.when(simple, F.col("simple_assets")).otherwise(F.col("full_assets")),
+                        F.when(simple, F.lit("")).otherwise(F.lit("<ВнеОбА></ВнеОбА><ОбА></ОбА>")))
+    liab = F.when(simple, F.coalesce("simple_liab", F.lit("<Пассив></Пассив>"))).otherwise(F.lit(""))
     xml = F.concat(
         F.lit('<Файл ИдФайл="'), F.when(simple, F.lit("NO_BOUPR_")).otherwise(F.lit("NO_BUHOT_")),
         F.col("o_orderkey").cast("string"),
