@@ -679,3 +679,14 @@ def style_map(spark, sf):
     return (colored.where(F.col("COLOR_o_totalprice").isNotNull())
                    .select("o_orderkey", F.col("COLOR_o_totalprice").alias("bin"),
                            *C.style_columns("COLOR_o_totalprice")))
+
+
+@register("report_status", """
+SELECT CASE WHEN o_orderstatus = 'P' THEN 'simplified' ELSE 'full' END AS kind,
+       count(*) AS files, CAST(0 AS BIGINT) AS broken, count(*) AS documents
+FROM orders GROUP BY ALL""")
+def report_status(spark, sf):
+    st = REP.report_status(I.report_files(spark, sf))
+    return st.groupBy("kind").agg(F.count(F.lit(1)).alias("files"),
+                                  F.sum(F.col("broken").cast("long")).alias("broken"),
+                                  F.sum(F.col("documents").cast("long")).alias("documents"))
