@@ -87,3 +87,16 @@ def test_indicator_sink_cp1251_and_headerless(spark):
     hl = read_headerless(spark, raw)
     assert len(hl.columns) == 2 and hl.count() == 2
     write_report_csv(hl, raw + ".out")
+
+
+def test_cell_tables_and_listing(spark):
+    from ledgerline.sources.files import read_table
+    root = tempfile.mkdtemp(prefix="ledgerline-cells-")
+    with open(os.path.join(root, "t3.csv"), "w", encoding="utf-8") as f:
+        f.write("CELL_ID;REGION_ID;INDUSTRY_NAME;area;m1\n8a1ff;77;Retail;north;1.5\n8a2f;77;Retail;;\n")
+    t3 = read_table(spark, os.path.join(root, "t3.csv"))
+    assert t3.columns == ["CELL_ID", "REGION_ID", "INDUSTRY_NAME", "area", "m1"] and t3.count() == 2
+    t3.write.parquet(os.path.join(root, "t3.parquet"))
+    assert read_table(spark, os.path.join(root, "t3.parquet")).count() == 2
+    names = sorted(r["title"] for r in list_files(spark, os.path.join(root, "*.csv")).collect())
+    assert names == ["t3.csv"]
