@@ -187,3 +187,8 @@ def check_summary(checks: dict[str, DataFrame]) -> DataFrame:
              for name, c in checks.items()]
     out = reduce(DataFrame.unionByName, parts)
     return out.withColumn("failed", F.col("n_rows") > 0)
+
+
+def failed_check_count(summary: DataFrame) -> DataFrame:
+    """AGG-11: how many checks failed (the procedure's counter), from ``check_summary``."""
+    return summary.agg(F.count_if(F.col("failed")).alias("failed_checks"))

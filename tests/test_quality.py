@@ -122,3 +122,10 @@ def test_rollup_top_is_optional(extract):
     full = Q.rollup_metrics(extract, ["mcc"], ["amt"])
     assert full.count() == 7
     assert [r["mcc"] for r in Q.rollup_metrics(extract, ["mcc"], ["amt"], top=2).collect()] == [None, "5411"]
+
+
+def test_failed_check_count(spark, extract, mcc_map):
+    s = Q.check_summary({"groups": Q.reconcile_groups(extract, mcc_map, ["amt", "cnt"]),
+                         "levels": Q.reconcile_levels(extract, ["amt", "cnt"]),
+                         "bound": Q.check_bound(extract.withColumn("lim", extract["cnt"]), "amt", "lim")})
+    assert Q.failed_check_count(s).first()["failed_checks"] == 2
