@@ -70,3 +70,10 @@ def test_aggregates_are_partial_before_the_shuffle(spark, name):
     finals = plan.count("HashAggregate(keys=")
     partials = plan.count("functions=[partial_")
     assert finals > 0 and partials > 0, name
+
+
+@pytest.mark.parametrize("name", ["long_to_wide", "fuse_reports", "xml_to_long"])
+def test_each_report_is_parsed_once(spark, name):
+    """A filter on a parsed field pushed below the parse would call from_xml twice per file."""
+    plan = _plan(entry.queries()[name](spark, SF))
+    assert plan.count("from_xml(") == 1, name
