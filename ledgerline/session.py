@@ -9,6 +9,7 @@ configuration has not already set it.  The checkpoint folder is read from
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark import StorageLevel
@@ -46,11 +47,17 @@ def get_session(master: str | None = None, app: str = "ledgerline",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a scratch one only if unset."""
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Unset on a cluster it is an error; only a one-machine ``local`` master, as in
+    tests, gets a scratch folder.
+    """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
-        # tests only: a cluster names its shared folder in spark.checkpoint.dir
+        # one machine only (tests): a cluster has to name its shared folder
+        if not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         sc.setCheckpointDir(d)
     return d
