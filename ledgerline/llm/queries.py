@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination
+from . import decontamination, language, neardup
 from .tables import read
 
 
@@ -13,8 +13,18 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op5_decontaminate": op5_decontaminate,
+    "op9_near_duplicates": op9_near_duplicates,
+    "op10_language": op10_language,
 }
 
 _WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
