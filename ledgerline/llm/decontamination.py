@@ -20,7 +20,6 @@ columns are ignored by ``scan`` and kept by ``decontaminated``.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .shipping import map_arrow
 from .tables import staged
 from .textarrays import ALPHANUMERIC, U64, Words, annotate, fresh_name, member, mix, ngrams, run_starts, slices, utf8
 
@@ -93,7 +93,7 @@ def item_windows(items: DataFrame, item_id: str, text: str, window: int, gram: i
                                                     (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.string()))],
                     names=["n", "hash", "fingerprint", "words", "item"])
 
-    return items.select(F.col(item_id).cast("string").alias("item"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return map_arrow(items.select(F.col(item_id).cast("string").alias("item"), F.col(text).alias("text")), run, schema)
 
 
 class Block:

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .shipping import map_arrow
 from .textarrays import U64, annotate, fresh_name, member, mix, slices, utf8
 
 TOP = 300
@@ -122,7 +123,7 @@ def learn_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", top:
                                               pa.array(n, pa.int64())], names=["lang", "gram", "n"])
 
     taught = docs.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    counts = taught.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = map_arrow(taught, count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram")) - 1
     return counts.withColumn("rank", place).where(F.col("rank") < top).select("lang", "gram", "rank")
 

@@ -4,8 +4,38 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, language, neardup
-from .tables import read
+from . import decontamination, language, merkle, mixing, neardup, quality, tokencounts, tokenfile, toxicity, warc
+from .tables import read, scratch
+
+
+def tokenizer_file(name: str) -> str:
+    """The file of a public tokenizer."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "token-file")
+    tokenfile.write_tokens(read(spark, sf_dir, "documents"), path, tokenizer_file("word_bpe_49k.json"))
+    return tokenfile.token_index(tokenfile.read_tokens(spark, path))
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.count_tokens(read(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.archive(read(spark, sf_dir, "pages"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,6 +43,15 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merkle.fingerprints(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read(spark, sf_dir, "documents"))
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -22,7 +61,14 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_file": op1_token_file,
+    "op2_token_counts": op2_token_counts,
+    "op3_toxicity": op3_toxicity,
+    "op4_warc_index": op4_warc_index,
     "op5_decontaminate": op5_decontaminate,
+    "op6_mix_sources": op6_mix_sources,
+    "op7_fingerprints": op7_fingerprints,
+    "op8_quality": op8_quality,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_language": op10_language,
 }
@@ -47,4 +93,46 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)""",
+    "op4_warc_index": """
+WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p),
+r AS (SELECT *, coalesce(payload_bytes >= 100 AND page_id <> first, false) AS revisit FROM f)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN revisit THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN revisit THEN first END AS refers_to FROM r""",
+    "op7_fingerprints": """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+n AS (SELECT *, coalesce(lead(text) OVER (ORDER BY doc_id DESC), first_value(text) OVER (ORDER BY doc_id DESC)) AS next FROM d),
+e AS (SELECT *, length(text) AS n_chars, substring(text, 1, CAST(length(text) - length(text) // 3 AS BIGINT))
+             || substring(next, 1, CAST(length(text) // 3 AS BIGINT)) AS edited FROM n),
+h AS (SELECT *, list_transform(string_split(replace(text, '. ', '.' || chr(10)), chr(10)), lambda x: sha256(x)) AS a,
+             list_transform(string_split(replace(edited, '. ', '.' || chr(10)), chr(10)), lambda x: sha256(x)) AS b,
+             list_transform(string_split(replace(next, '. ', '.' || chr(10)), chr(10)), lambda x: substring(sha256(x), 1, 12)) AS c FROM e),
+s AS (SELECT *, list_transform(range(1, len(a) + 1, 8), lambda i: sha256(array_to_string(a[i : i + 7], ''))) AS sa,
+             list_transform(range(1, len(b) + 1, 8), lambda i: sha256(array_to_string(b[i : i + 7], ''))) AS sb,
+             list_transform(a, lambda x: substring(x, 1, 12)) AS pa, list_transform(b, lambda x: substring(x, 1, 12)) AS pb FROM h)
+SELECT doc_id, n_chars, sha256(edited) AS edited_sha256,
+       sha256(array_to_string(sa, '')) || ':' || array_to_string(pa, '.') AS fingerprint,
+       sha256(array_to_string(sb, '')) || ':' || array_to_string(pb, '.') AS edited_fingerprint,
+       2.0 * len(list_intersect(pa, pb)) / (len(list_distinct(pa)) + len(list_distinct(pb))) AS near_edited,
+       2.0 * len(list_intersect(pa, c)) / (len(list_distinct(pa)) + len(list_distinct(c))) AS near_next FROM s""",
+    "op6_mix_sources": r"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+             [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight FROM d GROUP BY source),
+r AS (SELECT *, 2 * source_size AS cap, 2.0 * source_size / weight AS full_at FROM s),
+o AS (SELECT full_at, row_number() OVER w AS k, sum(cap) OVER w - cap AS clamped,
+             (SELECT sum(weight) FROM r WHERE source_size > 0) - sum(weight) OVER w + weight AS free
+      FROM r WHERE source_size > 0 WINDOW w AS (ORDER BY full_at, cap, source ROWS UNBOUNDED PRECEDING)),
+l AS (SELECT k, full_at, CAST(1.5 * (SELECT sum(source_size) FROM s) - clamped AS DOUBLE) / CAST(free AS DOUBLE) AS level FROM o),
+f AS (SELECT arg_min(level, k) AS level FROM l WHERE level <= full_at),
+t AS (SELECT source, source_size,
+             CASE WHEN source_size = 0 THEN 0.0 ELSE least(CAST(cap AS DOUBLE), (SELECT level FROM f) * weight) END AS target FROM r),
+e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM t),
+u AS (SELECT source, doc_id, size, size * count(*) AS unit, md5('mix-1|' || CAST(doc_id AS VARCHAR)) AS key FROM d GROUP BY 1, 2, 3),
+c AS (SELECT u.*, sum(unit) OVER (PARTITION BY source ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) - unit AS done FROM u)
+SELECT d.doc_id, d.size, e.source_size, e.target,
+       CAST(d.size * (e.whole + CASE WHEN e.target - e.whole * e.source_size > 0
+            AND 2 * c.done + c.unit <= 2 * (e.target - e.whole * e.source_size) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source
+JOIN c ON c.source IS NOT DISTINCT FROM d.source AND c.doc_id = d.doc_id AND c.size = d.size""",
 }

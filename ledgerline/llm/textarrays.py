@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .shipping import map_arrow
+
 SLICE_BYTES = 1 << 20
 
 U64 = np.uint64
@@ -193,4 +195,4 @@ def annotate(docs: DataFrame, text: str, kernel, fields: T.StructType, out: str)
                 struct = pa.StructArray.from_arrays(made, names=names)
                 yield pa.RecordBatch.from_arrays([*part.columns, struct], names=[*part.schema.names, out])
 
-    return docs.mapInArrow(run, schema)
+    return map_arrow(docs, run, schema)
