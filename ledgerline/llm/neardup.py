@@ -9,8 +9,9 @@ postings are merged and frequent values (a passage in a third of the texts) are
 
 Merging never writes out the pairs within a list:
 
-1. each node meets the least node of each of its lists; pairs that agree on enough
-   coordinates are confirmed on the full shingle sets, and the links give components;
+1. each node meets the most central node of each of its lists (the one that shares most
+   values overall, such as the original among its edited copies); pairs that agree on
+   enough coordinates are confirmed on the full shingle sets, and the links give components;
 2. only lists that still hold two or more components are looked at again.  They are cut
    into blocks, blocks are compared with each other inside tasks, and only pairs of
    different components that agree on enough coordinates leave them, to be confirmed too.
@@ -18,8 +19,10 @@ Merging never writes out the pairs within a list:
 What can be linked is thus linked or already connected; a group of thousands of copies
 costs one confirmed pair per node instead of one per pair.
 
-A pair of similarity 0.75 agrees on fewer than 24 of 48 coordinates in about 2 of 100,000
-cases; that is the only way a link can be missed.
+Before a pair is confirmed, a finer sketch (the least shingle of each of 256 ranges of
+hashes) has to allow the similarity within 4.75 standard deviations.  A pair of similarity
+0.75 agrees on fewer than 24 of 48 coordinates in about 2 of 100,000 cases; that and the
+sketch's 1 in a million are the only ways a link can be missed.
 
 Defined cases: null texts and texts without words have no shingles, are linked with
 nothing and are kept; fewer than five words are one shingle; repeated rows are copies of
@@ -36,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import components
+from .shipping import map_arrow, ship
 from .tables import staged
 from .textarrays import BLANK_SEPARATED, U64, Words, annotate, fresh_name, mix, ngrams, run_starts, utf8
 
@@ -43,6 +47,8 @@ SHINGLE_WORDS = 5
 COORDINATES = 48
 MATCHES = 24
 PERCENT = 75
+#: bins of the finer sketch, a byte each
+BINS = 256
 #: nodes of a posting list compared with each other in one go
 BLOCK_NODES = 1024
 
@@ -51,7 +57,7 @@ _MULTIPLIERS = mix(np.arange(1, COORDINATES + 1, dtype=U64) * U64(0x9E3779B97F4A
 _ADDENDS = mix(np.arange(1, COORDINATES + 1, dtype=U64) * U64(0xC2B2AE3D27D4EB4F))
 
 FEATURES = T.StructType([T.StructField("n_shingles", T.LongType()), T.StructField("set_id", T.BinaryType()),
-                         T.StructField("signature", T.BinaryType())])
+                         T.StructField("signature", T.BinaryType()), T.StructField("sketch", T.BinaryType())])
 SET_ID = T.StructType(FEATURES.fields[:2])
 
 
@@ -90,6 +96,7 @@ def _features(texts: pa.Array, signed: bool) -> list[pa.Array]:
     at = first[:-1][some]
     ids = np.zeros((len(texts), 2), dtype=U64)
     signature = np.zeros((len(texts), COORDINATES), dtype=np.uint32)
+    sketch = np.zeros((len(texts), BINS), dtype=np.uint8)
     if len(some):
         for j, salt in enumerate((U64(1), U64(0x5851F42D4C957F2D))):
             ids[some, j] = np.add.reduceat(mix(shingles ^ salt), at) + n[some].astype(U64)
@@ -97,15 +104,20 @@ def _features(texts: pa.Array, signed: bool) -> list[pa.Array]:
             for j in range(COORDINATES):
                 drawn = ((shingles * _MULTIPLIERS[j] + _ADDENDS[j]) >> U64(32)).astype(np.uint32)
                 signature[some, j] = np.minimum.reduceat(drawn, at)
+            # shingles ascend in each text: the first of a range of hashes is the least
+            doc = np.repeat(np.arange(len(texts)), n)
+            cell = doc * BINS + (shingles >> U64(42)).astype(np.int64)
+            least = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+            sketch.reshape(-1)[cell[least]] = (mix(shingles[least]) % U64(255)).astype(np.uint8) + 1
 
     def binary(rows):
         return pa.array([r.tobytes() if k else None for r, k in zip(rows, n.tolist())], pa.binary())
 
-    return [pa.array(n, pa.int64()), binary(ids), *([binary(signature)] if signed else [])]
+    return [pa.array(n, pa.int64()), binary(ids), *([binary(signature), binary(sketch)] if signed else [])]
 
 
 def features(texts: pa.Array) -> list[pa.Array]:
-    """Set size, 128-bit set hash and signature of each text."""
+    """Set size, 128-bit set hash, signature and finer sketch of each text."""
     return [pa.concat_arrays(c) for c in zip(*[_features(t, True) for t in _grouped(texts)])]
 
 
@@ -141,28 +153,37 @@ def _postings(nodes: DataFrame) -> DataFrame:
                 [pa.array(keys.ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), COORDINATES))],
                 names=["key", "node"])
 
-    return nodes.select("node", "signature").mapInArrow(run, "key long, node long")
+    return map_arrow(nodes.select("node", "signature"), run, "key long, node long")
 
 
-def _matches(a: bytes, b: bytes) -> int:
-    return int((np.frombuffer(a, np.uint32) == np.frombuffer(b, np.uint32)).sum())
+def likely(sig_a: np.ndarray, sig_b: np.ndarray, fine_a: np.ndarray, fine_b: np.ndarray) -> np.ndarray:
+    """Whether signatures agree often enough and sketches allow the similarity, row by row."""
+    ok = (sig_a == sig_b).sum(axis=-1) >= MATCHES
+    filled = ((fine_a | fine_b) != 0).sum(axis=-1)
+    equal = ((fine_a == fine_b) & (fine_a != 0)).sum(axis=-1)
+    p = PERCENT / 100
+    return ok & (equal >= p * filled - 4.75 * np.sqrt(p * (1 - p) * filled))
+
+
+def _rows(column, dtype, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=dtype).reshape(-1, width)
 
 
 def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Of the pairs (a, b), those whose signatures agree often enough and whose set sizes allow it."""
-    s = nodes.select("node", "n_shingles", "signature")
-    j = (pairs.join(s.toDF("a", "n_a", "s_a"), "a").where(F.col("n_a").isNotNull())
-              .join(s.toDF("b", "n_b", "s_b"), "b")
+    """Of the pairs (a, b), those whose signatures and sketches agree and whose set sizes allow it."""
+    s = nodes.select("node", "n_shingles", "signature", "sketch")
+    j = (pairs.join(s.toDF("a", "n_a", "s_a", "f_a"), "a").join(s.toDF("b", "n_b", "s_b", "f_b"), "b")
               .where(100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")))
 
     def run(batches):
         for batch in batches:
-            if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), dtype=np.uint32).reshape(-1, COORDINATES)
-                        for k in (2, 3))
-                yield batch.select([0, 1]).filter(pa.array((x == y).sum(axis=1) >= MATCHES))
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                ok = likely(*(_rows(part.column(k), np.uint32, COORDINATES) for k in (2, 3)),
+                            *(_rows(part.column(k), np.uint8, BINS) for k in (4, 5)))
+                yield part.select([0, 1]).filter(pa.array(ok))
 
-    return j.select("a", "b", "s_a", "s_b").mapInArrow(run, "a long, b long")
+    return map_arrow(j.select("a", "b", "s_a", "s_b", "f_a", "f_b"), run, "a long, b long")
 
 
 def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -183,7 +204,7 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame
                 part = batch.slice(at, 64)
                 yield part.select([0, 1]).filter(pa.array(similar(part.column(2), part.column(3))))
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    return map_arrow(both.select("a", "b", "text_a", "text_b"), run, "a long, b long")
 
 
 def _unmet(prefixes: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
@@ -197,12 +218,12 @@ def _unmet(prefixes: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFram
     rows = (named.join(lists, "key")
                  .withColumn("block", F.pmod(F.xxhash64("node"), n_blocks).cast("int"))
                  .withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
-                 .join(nodes.select("node", "n_shingles", "signature"), "node")
+                 .join(nodes.select("node", "n_shingles", "signature", "sketch"), "node")
                  .select("key", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"),
-                         "block", "node", "label", "n_shingles", "signature"))
+                         "block", "node", "label", "n_shingles", "signature", "sketch"))
 
     def compare(table: pa.Table) -> pa.Table:
-        sig = np.frombuffer(b"".join(table["signature"].to_pylist()), dtype=np.uint32).reshape(-1, COORDINATES)
+        sig, fine = _rows(table["signature"], np.uint32, COORDINATES), _rows(table["sketch"], np.uint8, BINS)
         node, label, size, block = (table[c].to_numpy() for c in ("node", "label", "n_shingles", "block"))
         p, q = table["p"][0].as_py(), table["q"][0].as_py()
         left, right = np.flatnonzero(block == p), np.flatnonzero(block == q)
@@ -210,12 +231,13 @@ def _unmet(prefixes: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFram
         for i in left:
             r = right[(label[right] != label[i]) & ((node[right] > node[i]) | (p != q))]
             r = r[100 * np.minimum(size[r], size[i]) >= PERCENT * np.maximum(size[r], size[i])]
-            r = r[(sig[r] == sig[i]).sum(axis=1) >= MATCHES]
+            r = r[likely(sig[r], sig[i], fine[r], fine[i])]
             a.append(np.minimum(node[r], node[i]))
             b.append(np.maximum(node[r], node[i]))
         cat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b)]
         return pa.table({"a": pa.array(cat[0], pa.int64()), "b": pa.array(cat[1], pa.int64())})
 
+    ship(rows.sparkSession)
     return rows.groupBy("key", "p", "q").applyInArrow(compare, "a long, b long").distinct()
 
 
@@ -225,23 +247,23 @@ def node_table(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = staged(rows, "neardup-rows")
     nodes = (rows.where(F.col("n_shingles") > 0).groupBy("set_id")
                  .agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n_shingles"),
-                      F.min("signature").alias("signature"))
-                 .select(F.monotonically_increasing_id().alias("node"), "set_id", "doc_id", "n_shingles", "signature"))
+                      F.min("signature").alias("signature"), F.min("sketch").alias("sketch"))
+                 .select(F.monotonically_increasing_id().alias("node"), "set_id", "doc_id", "n_shingles", "signature", "sketch"))
     return rows, staged(nodes, "neardup-nodes")
 
 
 def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, label): the component of every node linked to another."""
     postings = _postings(nodes)
-    lists = (postings.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("least"))
-                     .where(F.col("n") > 1))
-    entry = F.struct("n", "key", "least")
-    prefixes = (postings.join(lists, "key").groupBy("node").agg(F.array_sort(F.collect_list(entry)).alias("e"))
+    lists = postings.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    prefixes = (postings.join(lists, "key").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "key"))).alias("e"))
                 .where(F.size("e") >= MATCHES)
-                .select("node", F.explode(F.slice("e", F.lit(1), F.size("e") - (MATCHES - 1))).alias("e"))
-                .select("node", F.col("e.key").alias("key"), F.col("e.least").alias("least")))
+                .select("node", F.aggregate("e", F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("met"),
+                        F.explode(F.slice("e", F.lit(1), F.size("e") - (MATCHES - 1))["key"]).alias("key")))
     prefixes = staged(prefixes, "neardup-prefixes")
-    stars = prefixes.where(F.col("node") != F.col("least")).select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
+    centres = prefixes.groupBy("key").agg(F.max(F.struct("met", "node"))["node"].alias("centre"))
+    stars = (prefixes.join(centres, "key").where(F.col("node") != F.col("centre"))
+             .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
     found = staged(_confirmed(staged(_agreeing(stars, nodes), "neardup-pairs"), nodes, docs), "neardup-links")
     labels = components(found)
     rest = staged(_unmet(prefixes, nodes, labels), "neardup-pairs")
