@@ -13,8 +13,11 @@ Merging never writes out the pairs within a list:
    values overall, such as the original among its edited copies); pairs that agree on
    enough coordinates are confirmed on the full shingle sets, and the links give components;
 2. only lists that still hold two or more components are looked at again.  They are cut
-   into blocks, blocks are compared with each other inside tasks, and only pairs of
-   different components that agree on enough coordinates leave them, to be confirmed too.
+   into blocks, and blocks are compared with each other inside tasks: first by signatures
+   and sketches, to name the nodes that have a possible partner in another component, and
+   then, on the full shingle sets of those nodes alone, to find a link.  A pair is looked
+   at in one of the lists it shares, and two components that got linked are not compared
+   further, so only links leave a task.
 
 What can be linked is thus linked or already connected; a group of thousands of copies
 costs one confirmed pair per node instead of one per pair.
@@ -41,7 +44,7 @@ from pyspark.sql import types as T
 from .components import components
 from .shipping import map_arrow, ship
 from .tables import staged
-from .textarrays import BLANK_SEPARATED, U64, Words, annotate, fresh_name, mix, ngrams, run_starts, utf8
+from .textarrays import BLANK_SEPARATED, U64, Words, annotate, fresh_name, mix, ngrams, run_starts, slices, utf8
 
 SHINGLE_WORDS = 5
 COORDINATES = 48
@@ -133,10 +136,7 @@ def similar(a: pa.Array, b: pa.Array, percent: int = PERCENT) -> np.ndarray:
         x, xf = shingle_sets(a.slice(at, step))
         y, yf = shingle_sets(b.slice(at, step))
         for i in range(len(xf) - 1):
-            s, t = x[xf[i]:xf[i + 1]], y[yf[i]:yf[i + 1]]
-            both = len(np.intersect1d(s, t, assume_unique=True))
-            either = len(s) + len(t) - both
-            out[at + i] = either > 0 and 100 * both >= percent * either
+            out[at + i] = is_similar(x[xf[i]:xf[i + 1]], y[yf[i]:yf[i + 1]], percent)
     return out
 
 
@@ -157,12 +157,20 @@ def _postings(nodes: DataFrame) -> DataFrame:
 
 
 def likely(sig_a: np.ndarray, sig_b: np.ndarray, fine_a: np.ndarray, fine_b: np.ndarray) -> np.ndarray:
-    """Whether signatures agree often enough and sketches allow the similarity, row by row."""
+    """Estimated similarity, row by row; 0 where signatures agree too rarely or sketches rule it out."""
     ok = (sig_a == sig_b).sum(axis=-1) >= MATCHES
-    filled = ((fine_a | fine_b) != 0).sum(axis=-1)
+    filled = np.maximum(((fine_a | fine_b) != 0).sum(axis=-1), 1)
     equal = ((fine_a == fine_b) & (fine_a != 0)).sum(axis=-1)
     p = PERCENT / 100
-    return ok & (equal >= p * filled - 4.75 * np.sqrt(p * (1 - p) * filled))
+    return np.where(ok & (equal >= p * filled - 4.75 * np.sqrt(p * (1 - p) * filled)), equal / filled, 0.0)
+
+
+def is_similar(s: np.ndarray, t: np.ndarray, percent: int = PERCENT) -> bool:
+    """Whether two sets (ascending arrays of distinct values) are similar enough."""
+    if percent * max(len(s), len(t)) > 100 * min(len(s), len(t)):
+        return False
+    both = len(np.intersect1d(s, t, assume_unique=True))
+    return both > 0 and 100 * both >= percent * (len(s) + len(t) - both)
 
 
 def _rows(column, dtype, width: int) -> np.ndarray:
@@ -181,21 +189,25 @@ def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
                 part = batch.slice(at, 4096)
                 ok = likely(*(_rows(part.column(k), np.uint32, COORDINATES) for k in (2, 3)),
                             *(_rows(part.column(k), np.uint8, BINS) for k in (4, 5)))
-                yield part.select([0, 1]).filter(pa.array(ok))
+                yield part.select([0, 1]).filter(pa.array(ok > 0))
 
     return map_arrow(j.select("a", "b", "s_a", "s_b", "f_a", "f_b"), run, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs whose full shingle sets are similar enough."""
-    need = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
+def _node_texts(need: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, text) of the wanted nodes: a text of the class, looked up by id and set."""
     need = need.join(nodes.select("node", "doc_id", "set_id"), "node")
     rows = docs.join(need.select(F.col("doc_id").alias("wanted")).distinct(),
                      docs["doc_id"].eqNullSafe(F.col("wanted")), "left_semi")
     rows = annotate(rows.select("text"), "text", set_ids, SET_ID, "f")
-    texts = staged(need.select("node", "set_id")
-                   .join(rows.select(F.col("f")["set_id"].alias("set_id"), "text"), "set_id")
-                   .dropDuplicates(["node"]).select("node", "text"), "neardup-texts")
+    return need.select("node", "set_id").join(rows.select(F.col("f")["set_id"].alias("set_id"), "text"), "set_id") \
+               .dropDuplicates(["node"]).select("node", "text")
+
+
+def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs whose full shingle sets are similar enough."""
+    need = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
+    texts = staged(_node_texts(need, nodes, docs), "neardup-texts")
     both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
 
     def run(batches):
@@ -207,38 +219,103 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame
     return map_arrow(both.select("a", "b", "text_a", "text_b"), run, "a long, b long")
 
 
-def _unmet(prefixes: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Agreeing pairs of different components out of the lists that hold more than one component."""
-    named = prefixes.join(labels, "node", "left").select(
+def _shingles(texts: DataFrame) -> DataFrame:
+    """(node, shingles): the full shingle set of each node as bytes."""
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                for at in range(0, part.num_rows, 1 << int(_DOC_BITS)):
+                    rows = part.slice(at, 1 << int(_DOC_BITS))
+                    values, first = shingle_sets(rows.column(1))
+                    sets = [values[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
+                    yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"])
+
+    return map_arrow(texts, run, "node long, shingles binary")
+
+
+class _Group:
+    """The nodes of one list in two blocks (or one block with itself)."""
+
+    def __init__(self, table: pa.Table):
+        self.node, self.label, self.size, block = (table[c].to_numpy() for c in ("node", "label", "n_shingles", "block"))
+        self.signature = _rows(table["signature"], np.uint32, COORDINATES)
+        self.sketch = _rows(table["sketch"], np.uint8, BINS)
+        self.key, p, q = (table[c][0].as_py() for c in ("key", "p", "q"))
+        self.prefix = table["prefix"].to_pylist()
+        self.left, self.right, self.same = np.flatnonzero(block == p), np.flatnonzero(block == q), p == q
+
+    def partners(self):
+        """(i, r): a node of the left block and its possible partners in other components, likeliest first.
+
+        A pair belongs to the least of the lists that both nodes stand in.
+        """
+        sets = [set(x) for x in self.prefix]
+        for i in self.left:
+            r = self.right[self.label[self.right] != self.label[i]]
+            if self.same:
+                r = r[self.node[r] > self.node[i]]
+            r = r[100 * np.minimum(self.size[r], self.size[i]) >= PERCENT * np.maximum(self.size[r], self.size[i])]
+            if not len(r):
+                continue
+            chance = likely(self.signature[r], self.signature[i], self.sketch[r], self.sketch[i])
+            r = r[np.argsort(-chance, kind="stable")][:np.count_nonzero(chance)]
+            r = [k for k in r.tolist() if min(sets[i] & sets[k]) == self.key]
+            if r:
+                yield int(i), r
+
+
+def _possible(table: pa.Table) -> pa.Table:
+    """Nodes of a group that have a possible partner."""
+    g, named = _Group(table), set()
+    for i, r in g.partners():
+        named |= {i, *r}
+    return table.select(["key", "p", "q", "block", "node", "label"]).take(pa.array(sorted(named), pa.int64()))
+
+
+def _linked(table: pa.Table) -> pa.Table:
+    """Links of a group on full sets, no more than connect its components."""
+    g = _Group(table)
+    sets = [np.frombuffer(x, dtype=U64) for x in table["shingles"].to_pylist()]
+    root: dict = {}
+
+    def find(x):
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    pairs = []
+    for i, r in g.partners():
+        for k in r:
+            a, b = find(g.label[i]), find(g.label[k])
+            if a != b and is_similar(sets[i], sets[k]):
+                root[a] = b
+                pairs.append((int(g.node[i]), int(g.node[k])))
+    return pa.table({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})
+
+
+def _unmet(prefixes: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links between different components out of the lists that hold more than one component."""
+    named = prefixes.select("node", F.explode("prefix").alias("key")).join(labels, "node", "left").select(
         "key", "node", F.coalesce("label", "node").alias("label"))
     lists = (named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"),
                                       F.count(F.lit(1)).alias("n"))
                   .where(F.col("low") != F.col("high")).select("key", "n"))
     n_blocks = F.ceil(F.col("n") / BLOCK_NODES).cast("int")
+    about = nodes.select("node", "n_shingles", "signature", "sketch").join(prefixes.select("node", "prefix"), "node")
     rows = (named.join(lists, "key")
                  .withColumn("block", F.pmod(F.xxhash64("node"), n_blocks).cast("int"))
                  .withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
-                 .join(nodes.select("node", "n_shingles", "signature", "sketch"), "node")
                  .select("key", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"),
-                         "block", "node", "label", "n_shingles", "signature", "sketch"))
-
-    def compare(table: pa.Table) -> pa.Table:
-        sig, fine = _rows(table["signature"], np.uint32, COORDINATES), _rows(table["sketch"], np.uint8, BINS)
-        node, label, size, block = (table[c].to_numpy() for c in ("node", "label", "n_shingles", "block"))
-        p, q = table["p"][0].as_py(), table["q"][0].as_py()
-        left, right = np.flatnonzero(block == p), np.flatnonzero(block == q)
-        a, b = [], []
-        for i in left:
-            r = right[(label[right] != label[i]) & ((node[right] > node[i]) | (p != q))]
-            r = r[100 * np.minimum(size[r], size[i]) >= PERCENT * np.maximum(size[r], size[i])]
-            r = r[likely(sig[r], sig[i], fine[r], fine[i])]
-            a.append(np.minimum(node[r], node[i]))
-            b.append(np.maximum(node[r], node[i]))
-        cat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b)]
-        return pa.table({"a": pa.array(cat[0], pa.int64()), "b": pa.array(cat[1], pa.int64())})
-
+                         "block", "node", "label"))
     ship(rows.sparkSession)
-    return rows.groupBy("key", "p", "q").applyInArrow(compare, "a long, b long").distinct()
+    group = ["key", "p", "q"]
+    near = rows.join(about, "node").groupBy(*group).applyInArrow(
+        _possible, "key long, p int, q int, block int, node long, label long")
+    near = staged(near, "neardup-possible")
+    texts = _node_texts(near.select("node").distinct(), nodes, docs)
+    full = near.join(about, "node").join(_shingles(texts), "node")
+    return full.groupBy(*group).applyInArrow(_linked, "a long, b long")
 
 
 def node_table(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -256,20 +333,19 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, label): the component of every node linked to another."""
     postings = _postings(nodes)
     lists = postings.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    keys = F.slice("e", F.lit(1), F.size("e") - (MATCHES - 1))["key"]
     prefixes = (postings.join(lists, "key").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "key"))).alias("e"))
                 .where(F.size("e") >= MATCHES)
-                .select("node", F.aggregate("e", F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("met"),
-                        F.explode(F.slice("e", F.lit(1), F.size("e") - (MATCHES - 1))["key"]).alias("key")))
+                .select("node", F.aggregate("e", F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("met"), keys.alias("prefix")))
     prefixes = staged(prefixes, "neardup-prefixes")
-    centres = prefixes.groupBy("key").agg(F.max(F.struct("met", "node"))["node"].alias("centre"))
-    stars = (prefixes.join(centres, "key").where(F.col("node") != F.col("centre"))
+    posted = prefixes.select("node", "met", F.explode("prefix").alias("key"))
+    centres = posted.groupBy("key").agg(F.max(F.struct("met", "node"))["node"].alias("centre"))
+    stars = (posted.join(centres, "key").where(F.col("node") != F.col("centre"))
              .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
     found = staged(_confirmed(staged(_agreeing(stars, nodes), "neardup-pairs"), nodes, docs), "neardup-links")
     labels = components(found)
-    rest = staged(_unmet(prefixes, nodes, labels), "neardup-pairs")
-    if rest.isEmpty():
-        return labels
-    return components(found.unionAll(staged(_confirmed(rest, nodes, docs), "neardup-links")))
+    more = staged(_unmet(prefixes, nodes, labels, docs), "neardup-links")
+    return labels if more.isEmpty() else components(found.unionAll(more))
 
 
 def _groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
