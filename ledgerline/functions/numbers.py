@@ -1,70 +1,77 @@
-"""Numeric column helpers (MTH-*).
+"""Numeric column helpers (MTH-*, STR-4).
 
-All return Column expressions so they stay inside whole-stage codegen.
-Each helper has a twin SQL text (``*_sql``) used by the DuckDB oracle, so that
-both engines evaluate the same IEEE operations in the same order.
+Money is compared in exact decimals: deviations are worked out in whole millionths, so
+a half cent is a half cent and nothing saturates below 10 ** 26.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: decimal places that amounts are compared with
+SCALE = 6
+
 
 def as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def round_half_away(x, digits: int = 2) -> Column:
-    """Round half away from zero, written with floor so every engine agrees bit for bit.
+def _units(x) -> Column:
+    """Amount in whole millionths, as an integer decimal."""
+    return (as_col(x).cast(f"decimal(38,{SCALE})") * F.lit(10 ** SCALE)).cast("decimal(38,0)")
 
-    The reference casts to NUMERIC(19,2) (half away from zero).  Spark's
-    ``round`` goes through the decimal text of the double while other engines
-    scale in binary; ``floor`` of the scaled value is exact in both.
-    """
-    x = as_col(x).cast("double")
-    k = float(10 ** digits)
-    # "+ 0.0" turns a negative zero into zero, as the SQL twin's sign() does
-    return F.signum(x) * F.floor(F.abs(x) * k + 0.5).cast("double") / k + F.lit(0.0)
+
+def round_half_away(x, digits: int = 2) -> Column:
+    """Round half away from zero (NUMERIC cast): exact for decimals, by the shortest text of a double."""
+    return F.round(as_col(x), digits)
 
 
-def round_half_away_sql(x: str, digits: int = 2) -> str:
-    k = f"{float(10 ** digits)}"
-    return (f"(sign(CAST({x} AS DOUBLE)) * CAST(floor(abs(CAST({x} AS DOUBLE)) * {k} + 0.5) AS DOUBLE)"
-            f" / {k})")
+def round_half_even(x, digits: int = 2) -> Column:
+    """Round a double half to even in binary (MTH-8): scale, nearest integer, scale back."""
+    k = float(10 ** digits)
+    return F.rint(as_col(x).cast("double") * k) / k
 
 
-def pct_deviation(a, b, digits: int | None = 2) -> Column:
-    """``(a - b) / a * 100``; null when ``a`` is 0 or null (NULLIF / try_divide).
+def pct_deviation(a, b, digits: int = 2) -> Column:
+    """``(a - b) / a * 100`` rounded half away from zero; null when ``a`` is 0 or null.
 
-    The difference is taken in the input type (exact for decimals), then the
-    ratio in double.
+    Exact: the quotient of two integers is rounded by its remainder, not by a division
+    that was rounded before.
     """
-    a, b = as_col(a), as_col(b)
-    d = F.try_divide((a - b).cast("double"), F.nullif(a.cast("double"), F.lit(0.0))) * 100.0
-    return round_half_away(d, digits) if digits is not None else d
+    ua, ub = _units(a), _units(b)
+    up = F.abs(ua - ub) * F.lit(10 ** (digits + 2))
+    down = F.abs(ua)
+    twice = (up * 2 + down).cast("decimal(38,0)")
+    by = F.nullif((down * 2).cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
+    whole = ((twice - F.pmod(twice, by)) / by).cast("decimal(38,0)")
+    sign = F.when((ua >= ub) == (ua > 0), F.lit(1)).otherwise(F.lit(-1))
+    return (whole * sign * F.lit(Decimal(1).scaleb(-digits))).cast(f"decimal(38,{digits})")
 
 
-def pct_deviation_sql(a: str, b: str, digits: int | None = 2) -> str:
-    d = f"(CAST(({a}) - ({b}) AS DOUBLE) / nullif(CAST({a} AS DOUBLE), 0.0) * 100.0)"
-    return round_half_away_sql(d, digits) if digits is not None else d
+def deviates(a, b, tol: float) -> Column:
+    """Whether ``|a - b| / |a| * 100`` is more than ``tol`` (exact; null when ``a`` is null or 0)."""
+    ua, ub = _units(a), _units(b)
+    return F.when(ua != 0, F.abs(ua - ub) * 100 > F.abs(ua) * F.lit(Decimal(str(tol))))
 
 
-def plain_text(x, scale: int = 6) -> Column:
-    """Double as plain decimal text, no exponent: 12.0 -> "12.0", 0.00655 -> "0.00655".
+def plain_text(x) -> Column:
+    """A double's shortest text with all its digits: 12.0, 0.0005, 1e-05, 1e+16.
 
-    Goes through decimal(38, scale) so that every engine prints the same digits
-    (a double's own text switches to E-notation below 1e-3 in the JVM).  Keep
-    ``scale`` to the places the value really has: some engines scale the double
-    in binary, and a large scale lets its error show.
+    Plain between 1e-4 and 1e16, with an exponent beyond, as the reference writes floats.
     """
-    s = F.regexp_replace(as_col(x).try_cast(f"decimal(38,{scale})").cast("string"), "0+$", "")
-    return F.when(s.endswith("."), F.concat(s, F.lit("0"))).otherwise(s)
-
-
-def plain_text_sql(x: str, scale: int = 6) -> str:
-    s = f"regexp_replace(CAST(TRY_CAST({x} AS DECIMAL(38,{scale})) AS VARCHAR), '0+$', '')"
-    return f"(CASE WHEN ends_with({s}, '.') THEN {s} || '0' ELSE {s} END)"
+    d = as_col(x).cast("double")
+    s = d.cast("string")
+    digits = F.regexp_replace(s.try_cast("decimal(38,21)").cast("string"), "0+$", "")
+    digits = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
+    power = F.substring_index(s, "E", -1)
+    tail = F.concat(F.when(power.startswith("-"), F.lit("-")).otherwise(F.lit("+")),
+                    F.lpad(F.replace(power, F.lit("-"), F.lit("")), 2, "0"))
+    exponent = F.concat(F.regexp_replace(F.substring_index(s, "E", 1), r"\.0$", ""), F.lit("e"), tail)
+    a = F.abs(d)
+    return F.when((a == 0) | a.between(1e-4, 9999999999999998.0), digits).when(s.contains("E"), exponent).otherwise(s)
 
 
 def decimal_comma(x) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .numbers import as_col
 
 # Fixed value: what counts as a number for the code-kind test (T-SQL ISNUMERIC,
-# without the lone sign / currency cases).  One pattern for Spark and DuckDB.
+# without the lone sign / currency cases).
 NUMERIC_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 TOTAL, GROUP, CODE = "total", "group", "code"
@@ -22,11 +22,6 @@ def code_kind(code) -> Column:
              .otherwise(F.lit(GROUP)))
 
 
-def code_kind_sql(code: str) -> str:
-    return (f"CASE WHEN {code} IS NULL THEN '{TOTAL}' "
-            f"WHEN regexp_matches({code}, '{NUMERIC_PATTERN}') THEN '{CODE}' ELSE '{GROUP}' END")
-
-
 def _digits(v: Column) -> Column:
     # "1 234,5%" -> "1234.5"
     return F.replace(F.replace(F.replace(v, F.lit(" "), F.lit("")), F.lit(","), F.lit(".")),

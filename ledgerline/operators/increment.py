@@ -9,12 +9,14 @@ partitioned table are answered from partition values).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.dates import date_in_name, period_text, previous_month_start
 from ..functions.text import route_by_name
-from .joins import join_dimension
+from ..session import materialize
 
 # Which upload layout a file name announces (CHARINDEX order of the reference).
 KIND_RULES = [("fl_trans", "fl_trans"), ("fl_blago", "fl_blago"), ("ul_", "ul")]
@@ -65,37 +67,58 @@ def new_periods(upload: DataFrame, history: DataFrame, col: str = "partition_dt"
 
 
 def rows_to_append(upload: DataFrame, history: DataFrame, col: str = "partition_dt") -> DataFrame:
-    """JON-7: upload rows whose period is new (``WHERE p IN (SELECT * FROM Uniq)``).
+    """JON-7: upload rows whose period is new (``WHERE p IN (SELECT * FROM Uniq)``), by a semi join."""
+    return upload.join(new_periods(upload, history, col), col, "left_semi")
 
-    The new periods are a handful of rows and an upload may hold a single period,
-    so the semi join broadcasts them (after a size check) instead of shuffling the
-    upload by period.
+
+def read_history(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """The period-partitioned history; None when there is none yet.
+
+    It has the upload's layout; reading it with that schema keeps the period as text
+    (partition discovery would turn ``yyyy-MM-dd`` into a date).  Only a missing path means
+    "no history": any other failure is raised, since a history taken for empty would be
+    loaded twice.
     """
-    return join_dimension(upload, new_periods(upload, history, col), col, "left_semi")
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def append_new(spark: SparkSession, upload: DataFrame, history_path: str,
                col: str = "partition_dt", checks: DataFrame | None = None,
                on_fail: str = "append") -> dict:
-    """CMP-16 / SNK-4: append the rows of new periods to a period-partitioned Parquet history.
-
-    ``checks`` is a check summary (``check_summary``); with ``on_fail="block"`` a
-    failed check stops the append.  The reference's gate is always open
-    (decision D-5), hence the default ``"append"``.  Returns a small status dict.
+    """CMP-16 / SNK-4: add the rows of new periods to a period-partitioned Parquet history.
+
+    A period counts as loaded once its row stands in the commit record beside the history
+    (``<history>_loaded``).  The record is there before any data (with the periods of a
+    history that is older than it), and gets its new rows after theirs.  Data is written
+    with dynamic partition overwrite, so a run that died half way through a period is
+    repeated whole: its periods are not in the record, and what it left is replaced.  The
+    record has one file per append and one row per period.
+
+    ``checks`` is a check summary (``check_summary``); with ``on_fail="block"`` a failed
+    check stops the append.  The reference's gate is always open (decision D-5), hence
+    the default ``"append"``.  Returns a small status dict; its period count is the only
+    thing that reaches the driver.
     """
-    if checks is not None and on_fail == "block":
-        if checks.where(F.col("failed")).limit(1).count() > 0:
-            return {"status": "blocked", "periods": []}
-    try:
-        # the history has the upload's layout; reading it with that schema keeps the
-        # period as text (partition discovery would turn 'yyyy-MM-dd' into a date)
-        history = spark.read.schema(upload.schema).parquet(history_path)
-    except Exception:  # no history yet: every period is new
-        history = upload.limit(0)
-    new = new_periods(upload, history, col)
-    periods = sorted(r[0] for r in new.collect())  # distinct periods: a handful of rows
-    if not periods:
-        return {"status": "no new periods", "periods": []}
-    (upload.where(F.col(col).isin(periods))
-           .write.mode("append").partitionBy(col).parquet(history_path))
-    return {"status": "appended", "periods": periods}
+    if checks is not None and on_fail == "block" and not checks.where(F.col("failed")).isEmpty():
+        return {"status": "blocked", "n_periods": 0}
+    record = history_path.rstrip("/") + "_loaded"
+    schema = T.StructType([T.StructField(col, T.StringType())])
+    if read_history(spark, record, schema) is None:
+        old = read_history(spark, history_path, upload.schema)
+        periods = spark.createDataFrame([], schema) if old is None else old.select(F.col(col).cast("string")).distinct()
+        periods.coalesce(1).write.parquet(record)
+    done = read_history(spark, record, schema)
+    # both the rows and the record follow from one list of periods, written first
+    new = materialize(new_periods(upload, done, col))
+    n = new.count()
+    if not n:
+        return {"status": "no new periods", "n_periods": 0}
+    (upload.join(new, col, "left_semi").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(col).parquet(history_path))
+    new.select(F.col(col).cast("string")).coalesce(1).write.mode("append").parquet(record)
+    return {"status": "appended", "n_periods": n}

@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 from ..functions.dates import export_date
 from ..functions.numbers import decimal_comma
 from ..functions.text import clean_value
-from .joins import join_dimension
 
 # The indicators of the reference job -- id (DIM_1743), flag column that
 # must equal 1, value mode, and the label written to DIM_1.
@@ -57,7 +56,7 @@ def decode_dimension(df: DataFrame, col: str, dim: DataFrame, out: str | None =
     """JON-1: replace an id by its name; ids without a name stay, as text."""
     out = out or col
     d = dim.select(F.col(id_col).alias("__id"), F.col(name_col).alias("__name"))
-    j = join_dimension(df, d, F.col(col) == F.col("__id"), "left")
+    j = df.join(d, F.col(col) == F.col("__id"), "left")
     return j.withColumn(out, F.coalesce(F.col("__name"), F.col(col).cast("string"))).drop("__id", "__name")
 
 
@@ -98,9 +97,14 @@ def indicator_export(ind: DataFrame, date_fmt: str = "MM.dd.yyyy") -> DataFrame:
                .select(*OUT_COLS))
 
 
-def failed_pages(df: DataFrame, indicator: str, page: str, bad, records_of: str) -> DataFrame:
-    """AGG-9: per indicator: pages landed, pages that failed, page numbers missing from the
-    range, and records loaded (non-null ``records_of`` values).
+def failed_pages(df: DataFrame, indicator: str, page: str, bad, records_of: str, expected: DataFrame | None = None,
+                 expected_count: str = "n_expected") -> DataFrame:
+    """AGG-9: per indicator: pages landed, pages that failed, pages missing, and records
+    loaded (non-null ``records_of`` values).
+
+    ``expected`` (indicator, ``expected_count``) is the page count that the service states
+    before the pull; missing = expected - landed, and an indicator with no page at all is
+    a row too.  Without it only gaps between the first and the last landed page show.
 
     Two-stage aggregate: first one row per (indicator, page), then per
     indicator -- every stage is a partial + final hash aggregate.  Counting a
@@ -110,11 +114,19 @@ def failed_pages(df: DataFrame, indicator: str, page: str, bad, records_of: str)
     bad = F.col(bad) if isinstance(bad, str) else bad
     per_page = df.groupBy(indicator, page).agg(F.max(bad.cast("int")).alias("__bad"),
                                                F.count(records_of).alias("__rec"))
-    return per_page.groupBy(indicator).agg(
+    out = per_page.groupBy(indicator).agg(
         F.count(F.lit(1)).alias("n_pages"),
         F.sum("__bad").cast("long").alias("failed_pages"),
         (F.max(page) - F.min(page) + 1 - F.count(F.lit(1))).cast("long").alias("missing_pages"),
         F.sum("__rec").cast("long").alias("records"))
+    if expected is None:
+        return out
+    e = expected.select(indicator, F.col(expected_count).cast("long").alias("__expected"))
+    j = e.join(out, indicator, "full_outer")
+    n = F.coalesce("n_pages", F.lit(0).cast("long"))
+    return j.select(indicator, n.alias("n_pages"), F.coalesce("failed_pages", F.lit(0).cast("long")).alias("failed_pages"),
+                    F.coalesce(F.greatest(F.col("__expected") - n, F.lit(0).cast("long")), "missing_pages").alias("missing_pages"),
+                    F.coalesce("records", F.lit(0).cast("long")).alias("records"))
 
 
 def drop_null_columns(df: DataFrame) -> DataFrame:

@@ -1,40 +1,19 @@
-"""Dimension joins with a checked broadcast.
+"""Dimension joins.
 
-The small side is probed with ``limit(max_rows + 1)``: if it holds at most
-``max_rows`` rows, that probe *is* the whole side; it is written once to the
-shared checkpoint folder and broadcast, so a side derived from big data (a
-distinct over a table, a per-group summary) is computed once, not once for the
-check and again for the join.  A side above the bound is joined by a shuffle
-join, which AQE may still turn into a broadcast from real sizes, and whose
-skewed partitions AQE splits.
+A plain equi-join: Spark broadcasts a side whose size it knows to be small, and adaptive
+execution decides again from the bytes really written, splitting skewed partitions
+otherwise.  Nothing runs when the plan is built.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from ..session import materialize
-
-# Rows of a dimension that may be shipped to every executor (a code map or a
-# name tree has thousands; a million narrow rows is still tens of MB).
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+from functools import reduce
 
+from pyspark.sql import DataFrame
 
-def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                   max_rows: int = MAX_BROADCAST_ROWS, materialized: bool = False) -> DataFrame:
-    """Join ``fact`` to a side expected to be small.
 
-    ``materialized=True`` says ``dim`` was already written once (e.g. by ``materialize``):
-    it is only counted, not copied again.
-    """
-    if materialized:
-        return fact.join(F.broadcast(dim) if is_small(dim, max_rows) else dim, on, how)
-    probe = materialize(dim.limit(max_rows + 1))
-    if probe.count() <= max_rows:
-        return fact.join(F.broadcast(probe), on, how)
-    return fact.join(dim, on, how)
+def join_null_safe(a: DataFrame, b: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on same-named keys that matches null with null, keeping one copy of the keys."""
+    bb = b.withColumnsRenamed({k: "__b_" + k for k in keys})
+    cond = reduce(lambda x, y: x & y, [a[k].eqNullSafe(bb["__b_" + k]) for k in keys])
+    return a.join(bb, cond, how).drop(*["__b_" + k for k in keys])

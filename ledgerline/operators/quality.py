@@ -9,8 +9,7 @@ Scale notes
   a hot period or region only ever ships one partial row per task.
 * Group reconciliation aggregates codes *before* joining the code->group map,
   so the join sees one row per (code, region, period), not raw rows.
-* The map is a dimension; ``join_dimension`` broadcasts it only after its size
-  was checked and otherwise leaves the join to a shuffle (and AQE).
+* The map is a dimension: a plain join, which Spark broadcasts when it is small.
 """
 
 from __future__ import annotations
@@ -21,9 +20,8 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import pct_deviation, round_half_away
+from ..functions.numbers import deviates, pct_deviation, round_half_away
 from ..functions.text import CODE, GROUP, TOTAL, code_kind  # noqa: F401
-from .joins import join_dimension
 
 
 def _sums(metrics, when: Column | None = None, prefix: str = "") -> list[Column]:
@@ -45,9 +43,13 @@ def level_rollup(df: DataFrame, metrics: list[str], code_col: str = "mcc",
     check reads.  Built the same way by each check, so a query running several
     checks shuffles the extract once and reuses that exchange.  The level is a
     function of the code, so it is derived after the aggregate: the code test runs
-    once per group, not once per row."""
-    r = df.groupBy(code_col, *keys).agg(*_sums(metrics))
-    return r.select(code_kind(code_col).alias("level"), code_col, *keys, *metrics)
+    once per group, not once per row.  Level and keys also name the group's row count, which
+    keeps filters on them (a level, a join's null test) above the aggregate: pushed below
+    it, they would make each check read the extract on its own."""
+    r = df.groupBy(code_col, *keys).agg(F.count(F.lit(1)).alias("__rows"), *_sums(metrics))
+    here = F.col("__rows") > 0
+    return r.select(F.when(here, code_kind(code_col)).alias("level"),
+                    *[F.when(here, F.col(c)).alias(c) for c in (code_col, *keys)], *metrics)
 
 
 def _rollup_keys(keys) -> list[str]:
@@ -106,7 +108,7 @@ def map_codes(rollup: DataFrame, mapping: DataFrame, metrics: list[str], code_co
     Codes absent from the map fall into a null group, as the reference's left join does.
     """
     m = mapping.select(F.col(map_code).alias("__code"), F.col(map_group).alias(map_group))
-    joined = join_dimension(rollup, m, rollup[code_col] == F.col("__code"), "left")
+    joined = rollup.join(m, rollup[code_col] == F.col("__code"), "left")
     return rollup_metrics(joined, [map_group, *keys], metrics)
 
 
@@ -142,8 +144,11 @@ def reconcile_groups(df: DataFrame, mapping: DataFrame, metrics: list[str], tol:
     g = groups.select(code_col, *keys, *[F.col(m).alias("g__" + m) for m in metrics])
     c = mapped.select(F.col(map_group).alias(code_col), *keys, *[F.col(m).alias("c__" + m) for m in metrics])
     j = g.join(c, [code_col, *keys], "inner")
-    devs = [pct_deviation("g__" + m, "c__" + m).alias("dev_" + m) for m in metrics]
-    out = j.select(code_col, *keys, *devs)
+    # one expression for all metrics: eighteen copies of it would not fit into one generated method
+    pairs = F.array(*[F.struct(F.col("g__" + m).cast("decimal(38,6)").alias("g"),
+                               F.col("c__" + m).cast("decimal(38,6)").alias("c")) for m in metrics])
+    out = j.select(code_col, *keys, F.transform(pairs, lambda x: pct_deviation(x["g"], x["c"])).alias("__dev"))
+    out = out.select(code_col, *keys, *[F.col("__dev")[i].alias("dev_" + m) for i, m in enumerate(metrics)])
     bad = reduce(or_, [F.abs(F.col("dev_" + m)) > tol for m in metrics])
     return out.where(bad)
 
@@ -160,15 +165,15 @@ def check_weighted_total(df: DataFrame, terms: list[tuple[str, str]], weight: st
     """CMP-13: sum over sources of avg x weight x ratio against weight x total average.
 
     Adds ``source_total`` (rounded to 2 places, as the reference's NUMERIC(19,2)),
-    ``all_total`` and ``deviation``; keeps rows off by more than ``tol`` %.
+    ``all_total`` and ``deviation``; keeps rows off by more than ``tol`` %.  With decimal
+    inputs every product and sum is exact.
     """
     w = F.col(weight)
     src = reduce(lambda acc, t: acc + t,
                  [F.col(avg) * w * F.col(ratio) for avg, ratio in terms])
-    out = (df.withColumn("source_total", round_half_away(src, 2))
-             .withColumn("all_total", (w * F.col(total)).cast("double")))
-    raw = pct_deviation("source_total", "all_total", digits=None)
-    return (out.where((F.col("source_total") != 0) & (F.abs(raw) > tol) & F.col(period_col).like("%-%"))
+    out = (df.withColumn("source_total", round_half_away(src.cast("decimal(38,6)"), 2))
+             .withColumn("all_total", (w * F.col(total)).cast("decimal(38,6)")))
+    return (out.where((F.col("source_total") != 0) & deviates("source_total", "all_total", tol) & F.col(period_col).like("%-%"))
                .withColumn("deviation", pct_deviation("source_total", "all_total")))
 
 
@@ -176,8 +181,7 @@ def check_product(df: DataFrame, a: str, b: str, total: str, tol: float = 1.0,
                   period_col: str = "partition_dt") -> DataFrame:
     """CMP-14: ``a * b`` against a stated total; keeps rows off by more than ``tol`` %."""
     prod = F.col(a) * F.col(b)
-    raw = pct_deviation(F.col(total), prod, digits=None)
-    return (df.where(F.col(period_col).like("%-%") & (F.abs(raw) > tol))
+    return (df.where(F.col(period_col).like("%-%") & deviates(total, prod, tol))
               .withColumn("deviation", pct_deviation(F.col(total), prod)))
 
 

@@ -11,7 +11,8 @@ leaves its own columns empty instead of shifting the row (decisions D-10,
 D-11).  Several ``Документ`` in one file give one row each (D-12).
 
 The dictionary (code -> element) is metadata of a few hundred lines; it is
-read on the driver to build the schema and the select list, like a schema.
+read on the driver once (``dictionary_lines``) to build the schema and the select
+list, like a schema.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import route_by_prefix
+from .columns import dedupe_names
 
 FULL, SIMPLE = "full", "simplified"
 CORRUPT = "_corrupt_record"
@@ -105,6 +107,13 @@ def prepare_dictionary(dictionary: DataFrame, kind: str) -> DataFrame:
     return d.where(~F.col("code").isin(EXCLUDED[kind])).orderBy("code")
 
 
+def dictionary_lines(dictionary) -> list[tuple[int, str]]:
+    """The dictionary's (code, element) lines on the driver; a list is taken as it is."""
+    if isinstance(dictionary, DataFrame):
+        return [(r["code"], r["element"]) for r in dictionary.select(F.col("code").cast("int").alias("code"), "element").collect()]
+    return list(dictionary)
+
+
 def attrs_of(code: int) -> list[str]:
     return BAL_ATTRS if code < 2000 else RES_ATTRS
 
@@ -168,13 +177,23 @@ def layout_paths(kinds=(FULL, SIMPLE)) -> list[tuple[str, ...]]:
     return out
 
 
-def needed_paths(dictionary: DataFrame, kinds=(FULL, SIMPLE)) -> list[tuple[str, ...]]:
+def kind_lines(dictionary, kind: str) -> list[tuple[int, str]]:
+    """The lines of one kind in header order: codes remapped, excluded ones left out."""
+    lines = [(CODE_REMAP.get(c, c), e) for c, e in dictionary_lines(dictionary)]
+    return sorted((c, e) for c, e in lines if c not in EXCLUDED[kind])
+
+
+def header_columns(dictionary, kind: str) -> list[tuple[str, str, int, str]]:
+    """(column, attribute, code, element) of a kind's value columns, as ``report_header`` names them."""
+    lines = kind_lines(dictionary, kind)
+    names = dedupe_names([n for n, _ in ID_HEADER] + [e for c, e in lines for _ in attrs_of(c)])[len(ID_HEADER):]
+    cells = [(a, c, e) for c, e in lines for a in attrs_of(c)]
+    return [(f"{n}__{a}", a, c, e) for n, (a, c, e) in zip(names, cells)]
+
+
+def needed_paths(dictionary, kinds=(FULL, SIMPLE)) -> list[tuple[str, ...]]:
     """Element paths the dictionary's lines occupy: all the parse has to read."""
-    out = []
-    for kind in kinds:
-        hdr = header_rows(dictionary, kind)
-        out += list(line_paths([(r["code"], r["element"]) for r in hdr], kind).values())
-    return out
+    return [path for kind in kinds for path in line_paths(kind_lines(dictionary, kind), kind).values()]
 
 
 def report_schema(paths: list[tuple[str, ...]] | None = None) -> T.StructType:
@@ -209,15 +228,21 @@ def _first(c: Column) -> Column:
     return F.get(c, 0)
 
 
-_ID_IN_TEXT = r"ИдФайл\s*=\s*[\"']([^\"']*)[\"']"
+# whatever may stand before the root: declaration, comments, doctype; then the root's start tag
+_BEFORE_ROOT = r"^\uFEFF?\s*(?:<\?[\s\S]*?\?>\s*|<!--[\s\S]*?-->\s*|<!DOCTYPE[^>\[]*(?:\[[\s\S]*?\]\s*)?>\s*)*"
+_ATTRIBUTE = r"""\s+[^\s=>/]+\s*=\s*(?:"[^"]*"|'[^']*')"""
+_ROOT_ID = _BEFORE_ROOT + r"<[^\s>/!?]+(?:" + _ATTRIBUTE + r""")*?\s+ИдФайл\s*=\s*["']([^"']*)["']"""
 
 
 def raw_file_id(content: Column) -> Column:
-    """The root's ``ИдФайл`` read from the head of the text, before any parsing."""
-    return F.regexp_extract(F.substring(content, 1, 4000), _ID_IN_TEXT, 1)
+    """The root's ``ИдФайл`` read from the text before any parsing; empty if the root has none.
+
+    The pattern is anchored: it steps over the prolog, however long, to the first start tag.
+    """
+    return F.regexp_extract(content, _ROOT_ID, 1)
 
 
-def parse_reports(files: DataFrame, content: str = "content", dictionary: DataFrame | None = None,
+def parse_reports(files: DataFrame, content: str = "content", dictionary=None,
                   kinds=(FULL, SIMPLE)) -> DataFrame:
     """Parse each wanted file once; one row per (file, document).
 
@@ -238,11 +263,15 @@ def parse_reports(files: DataFrame, content: str = "content", dictionary: DataFr
 
 
 def report_status(files: DataFrame, content: str = "content") -> DataFrame:
-    """Per file: kind, whether it is broken XML, and its number of documents (AGG-9 for reports)."""
+    """Per file: kind, whether it is broken XML, and its number of documents (AGG-9 for reports).
+
+    A file whose id names no known kind has the kind ``unroutable``: it is counted, not lost.
+    """
     tiny = T.StructType([T.StructField("Документ", T.ArrayType(T.StructType([T.StructField("_КНД", T.StringType())]))),
                          T.StructField(CORRUPT, T.StringType())])
     r = F.from_xml(F.col(content), tiny, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    st = files.select("file_name", route_by_prefix(raw_file_id(F.col(content)), KIND_PREFIX).alias("kind"),
+    kind = F.coalesce(route_by_prefix(raw_file_id(F.col(content)), KIND_PREFIX), F.lit("unroutable"))
+    st = files.select("file_name", kind.alias("kind"),
                       F.when(r[CORRUPT].isNotNull(), F.lit(-1)).otherwise(F.coalesce(F.size(r["Документ"]), F.lit(0)))
                       .alias("__n"))
     return st.select("file_name", "kind", (F.col("__n") < 0).alias("broken"),
@@ -273,20 +302,10 @@ def id_columns(doc: Column, report: Column, kind: str) -> list[Column]:
     return [e.alias(n) for n, e in id_items(doc, report, kind)]
 
 
-def header_rows(dictionary: DataFrame, kind: str) -> list:
-    return report_header(dictionary, kind).where(F.col("code").isNotNull()).orderBy("pos").collect()
-
-
-def flatten_reports(parsed: DataFrame, dictionary: DataFrame, kind: str) -> DataFrame:
+def flatten_reports(parsed: DataFrame, dictionary, kind: str) -> DataFrame:
     """CMP-3: one aligned wide row per document of the given kind, values as text."""
-    hdr = header_rows(dictionary, kind)
-    paths = line_paths([(r["code"], r["element"]) for r in hdr], kind)
     doc, rep = F.col("doc"), F.col("report")
-    cols = []
-    for r in hdr:
-        p = paths.get((r["code"], r["element"]))
-        v = _value(doc, p, r["attr"]) if p else F.lit(None).cast("string")
-        cols.append(v.alias(r["column"]))
+    cols = [v.alias(n) for n, v in _value_items(doc, dictionary, kind)]
     return parsed.where(F.col("kind") == kind).select(*id_columns(doc, rep, kind), *cols)
 
 
@@ -295,20 +314,21 @@ def fuse_reports(full: DataFrame, simple: DataFrame) -> DataFrame:
     return full.unionByName(simple, allowMissingColumns=True)
 
 
-def flatten_fused(parsed: DataFrame, dictionary: DataFrame, kinds=(FULL, SIMPLE)) -> DataFrame:
+def _value_items(doc: Column, dictionary, kind: str) -> list[tuple[str, Column]]:
+    paths = line_paths(kind_lines(dictionary, kind), kind)
+    return [(column, _value(doc, paths[code, element], attr) if (code, element) in paths else F.lit(None).cast("string"))
+            for column, attr, code, element in header_columns(dictionary, kind)]
+
+
+def flatten_fused(parsed: DataFrame, dictionary, kinds=(FULL, SIMPLE)) -> DataFrame:
     """CMP-3 + CMP-4 in one projection over one parse: the columns of every kind, each
     filled from the row's own kind (same rows and columns as ``fuse_reports`` of the
     per-kind tables, without reading the parsed reports once per kind)."""
     doc, rep = F.col("doc"), F.col("report")
     order, exprs = [], {}
     for kind in kinds:
-        hdr = header_rows(dictionary, kind)
-        paths = line_paths([(r["code"], r["element"]) for r in hdr], kind)
         is_kind = F.col("kind") == kind
-        items = id_items(doc, rep, kind)
-        items += [(r["column"], _value(doc, paths[(r["code"], r["element"])], r["attr"])
-                   if (r["code"], r["element"]) in paths else F.lit(None).cast("string")) for r in hdr]
-        for name, e in items:
+        for name, e in id_items(doc, rep, kind) + _value_items(doc, dictionary, kind):
             if name not in exprs:
                 order.append(name)
                 exprs[name] = F.when(is_kind, e)
@@ -325,29 +345,28 @@ def _occurrences(doc: Column, path: tuple[str, ...]) -> Column:
     return c[path[-1]]
 
 
-def _occurrence_value(code, element, attr):
+def _line_values(code, element):
     def one(x, i):
-        return F.struct(F.lit(code).alias("code"), F.lit(element).alias("element"), i.alias("rep"),
-                        F.lit(attr).alias("attr"), x["_" + attr].alias("value"))
+        return F.array(*[F.struct(F.lit(code).alias("code"), F.lit(element).alias("element"), i.alias("rep"),
+                                  F.lit(a).alias("attr"), x["_" + a].alias("value")) for a in attrs_of(code)])
     return one
 
 
-def xml_to_long(parsed: DataFrame, dictionary: DataFrame, kind: str) -> DataFrame:
+def xml_to_long(parsed: DataFrame, dictionary, kind: str) -> DataFrame:
     """RSH-2: (file id, document, code, element, rep, attr, value) for every value present.
 
     Every occurrence of a repeated element is kept (``rep`` = 0, 1, ..), as the
-    reference writes all of them; the wide form takes ``rep`` 0.  One array of
-    (line, attribute) values per document, one ``inline``: no nested generators.
+    reference writes all of them; the wide form takes ``rep`` 0.  One pass per line gives
+    the values of all its attributes, nulls are dropped inside the array, and one
+    ``inline`` makes the rows.
     """
-    hdr = header_rows(dictionary, kind)
-    paths = line_paths([(r["code"], r["element"]) for r in hdr], kind)
     doc = F.col("doc")
-    parts = []
-    for (code, element), path in sorted(paths.items()):
-        occ = F.coalesce(_occurrences(doc, path), F.array())
-        parts += [F.transform(occ, _occurrence_value(code, element, a)) for a in attrs_of(code)]
+    parts = [F.flatten(F.transform(F.coalesce(_occurrences(doc, path), F.array()), _line_values(code, element)))
+             for (code, element), path in sorted(line_paths(kind_lines(dictionary, kind), kind).items())]
+    values = F.filter(F.flatten(F.array(*parts)), lambda v: v["value"].isNotNull())
+    # the outer form: for the plain one Spark would put a test of the array's size below the parse and parse twice
     long = parsed.where(F.col("kind") == kind).select(
-        F.col("report._ИдФайл").alias("file_id"), "doc_no", F.inline(F.flatten(F.array(*parts))))
+        F.col("report._ИдФайл").alias("file_id"), "doc_no", F.inline_outer(values))
     return long.where(F.col("value").isNotNull())
 
 

@@ -3,6 +3,10 @@
 ``QUERIES[name](spark, sf_dir) -> DataFrame`` and ``ORACLE[name] -> SQL``.
 Column names match between the two; decimals leave as double and timestamps
 as text so that both engines hash the same values.
+
+The oracle texts state the reference's rules in DuckDB's own terms (integer arithmetic on
+cents, its number texts, its rounding, literal tables of report lines); they use no code
+of the operators.
 """
 
 from __future__ import annotations
@@ -13,8 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.numbers import pct_deviation_sql
-from ..functions.text import code_kind_sql
+from ..functions.numbers import pct_deviation
 from ..operators import quality as Q
 from . import inputs as I
 
@@ -48,35 +51,60 @@ def _with(*ctes: tuple[str, str]) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({s})" for n, s in ctes) + "\n"
 
 
+# Rules in DuckDB: the level of a code, and a deviation in whole hundredths of a percent,
+# rounded half away from zero by integer division of exact amounts.
+_LEVEL = "CASE WHEN mcc IS NULL THEN 'total' WHEN TRY_CAST(mcc AS DOUBLE) IS NOT NULL THEN 'code' ELSE 'group' END"
+
+
+def _cents(x, scale=2):
+    return f"CAST(CAST({x} AS DECIMAL(38,{scale})) * {10 ** scale} AS HUGEINT)"
+
+
+def _dev_sql(a, b, scale=2):
+    """(a - b) / a * 100 rounded to hundredths, of amounts with ``scale`` places; null where a is 0."""
+    x, y = _cents(a, scale), _cents(b, scale)
+    return (f"(CASE WHEN {x} <> 0 THEN (CASE WHEN ({x} >= {y}) = ({x} > 0) THEN 1 ELSE -1 END) * CAST("
+            f"(2 * abs({x} - {y}) * 10000 + abs({x})) // (2 * abs({x})) AS DOUBLE) / 100 END)")
+
+
+def _off_sql(a, b, percent, scale=2):
+    """|a - b| is more than ``percent`` of |a|."""
+    x, y = _cents(a, scale), _cents(b, scale)
+    return f"({x} <> 0 AND abs({x} - {y}) * 100 > abs({x}) * {percent})"
+
+
 _LV = ("lv", I.LV_SQL)
 _MAP = ("mcc_map", I.CODE_MAP_SQL)
 _M = I.LV_METRICS
 
 
 # ------------------------------------------------------------ level checks
-def _sum_list(prefix=""):
-    return ", ".join(f"CAST(sum({m}) AS DOUBLE) AS {prefix}{m}" for m in _M)
+def _out(x, metric):
+    """A metric as both engines hand it over: amounts as double, counts as bigint."""
+    return f"CAST({x} AS {'DOUBLE' if metric.startswith('trans_amount') else 'BIGINT'}) AS {metric}"
+
+
+def _sum_list():
+    return ", ".join(_out(f"sum({m})", m) for m in _M)
 
 
 @register("level_totals", _with(_LV) + f"""
-SELECT partition_dt, {code_kind_sql('mcc')} AS level, {_sum_list()}
+SELECT partition_dt, {_LEVEL} AS level, {_sum_list()}
 FROM lv GROUP BY ALL""")
 def level_totals(spark, sf):
     return comparable(Q.level_totals(I.level_table(spark, sf), _M))
 
 
-def _reconcile_sql(a, b, tol):
-    kind = code_kind_sql("mcc")
-    sums = ", ".join(f"sum(CASE WHEN {kind} = '{a}' THEN {m} END) AS a__{m}, "
-                     f"sum(CASE WHEN {kind} = '{b}' THEN {m} END) AS b__{m}" for m in _M)
+def _reconcile_sql(a, b, tol, where="true"):
+    sums = ", ".join(f"sum(CASE WHEN {_LEVEL} = '{a}' THEN {m} END) AS a__{m}, "
+                     f"sum(CASE WHEN {_LEVEL} = '{b}' THEN {m} END) AS b__{m}" for m in _M)
     unions = "\nUNION ALL ".join(
-        f"SELECT partition_dt, '{m}' AS metric, a__{m} AS value_a, b__{m} AS value_b FROM w" for m in _M)
-    dev = pct_deviation_sql("value_a", "value_b")
-    return _with(_LV, ("w", f"SELECT partition_dt, {sums} FROM lv GROUP BY partition_dt"),
-                 ("l", unions)) + f"""
-SELECT partition_dt, metric, CAST(value_a AS DOUBLE) AS value_a, CAST(value_b AS DOUBLE) AS value_b,
-       {dev} AS deviation
-FROM l WHERE value_a IS NOT NULL AND value_b IS NOT NULL AND abs({dev}) >= {tol}"""
+        f"SELECT partition_dt, '{m}' AS metric, CAST(a__{m} AS DECIMAL(38,2)) AS value_a, CAST(b__{m} AS DECIMAL(38,2)) AS value_b FROM w"
+        for m in _M)
+    return _with(_LV, ("w", f"SELECT partition_dt, {sums} FROM lv WHERE {where} GROUP BY partition_dt"),
+                 ("l", unions), ("x", f"SELECT *, {_dev_sql('value_a', 'value_b')} AS deviation FROM l")) + f"""
+SELECT partition_dt, metric, CAST(value_a AS DOUBLE) AS value_a, CAST(value_b AS DOUBLE) AS value_b, deviation
+FROM x WHERE value_a IS NOT NULL AND value_b IS NOT NULL AND abs(deviation) >= {tol}"""
 
 
 @register("reconcile_total_group", _reconcile_sql("total", "group", 5.0))
@@ -89,15 +117,31 @@ def reconcile_total_code(spark, sf):
     return comparable(Q.reconcile_levels(I.level_table(spark, sf), _M, "total", "code", tol=5.0))
 
 
+# FLT-4: the reference checks the period that the newest file reports; one period here.
+PERIOD = "1996-03-01"
+
+
+@register("reconcile_period", _reconcile_sql("total", "group", 5.0, f"partition_dt = '{PERIOD}'"))
+def reconcile_period(spark, sf):
+    return comparable(Q.reconcile_levels(I.level_table(spark, sf), _M, "total", "group", tol=5.0, period=PERIOD))
+
+
+@register("deviation_ties", """
+SELECT l_orderkey, l_linenumber, CAST((CAST(l_quantity AS INTEGER) + 1) // 2 AS DOUBLE) / 100 AS deviation FROM lineitem""")
+def deviation_ties(spark, sf):
+    t = I.tie_input(spark, sf)
+    return comparable(t.select("l_orderkey", "l_linenumber", pct_deviation("a", "b").alias("deviation")))
+
+
 # ------------------------------------------------------------ group checks
 def _kind(level):
-    return f"{code_kind_sql('mcc')} = '{level}'"
+    return f"{_LEVEL} = '{level}'"
 
 
 def _rollups_sql():
     sums = ", ".join(f"sum({m}) AS {m}" for m in _M)
     msum = ", ".join(f"sum({m}) AS {m}" for m in _M)
-    return (("agg", f"SELECT {code_kind_sql('mcc')} AS lvl, mcc, region_name, partition_dt, {sums} "
+    return (("agg", f"SELECT {_LEVEL} AS lvl, mcc, region_name, partition_dt, {sums} "
                     f"FROM lv WHERE NOT {_kind('total')} GROUP BY ALL"),
             ("g", "SELECT mcc, region_name, partition_dt, " + ", ".join(_M) + " FROM agg WHERE lvl = 'group'"),
             ("c", f"SELECT mcc_group, region_name, partition_dt, {msum} FROM "
@@ -122,7 +166,7 @@ def map_codes(spark, sf):
     return comparable(Q.map_codes(codes, I.code_map(spark, sf), _M))
 
 
-_GROUP_DEVS = ", ".join(f"{pct_deviation_sql('g.' + m, 'c.' + m)} AS dev_{m}" for m in _M)
+_GROUP_DEVS = ", ".join(f"{_dev_sql('g.' + m, 'c.' + m)} AS dev_{m}" for m in _M)
 
 
 @register("reconcile_groups", _with(_LV, _MAP, *_rollups_sql(), ("d", f"""
@@ -134,7 +178,7 @@ def reconcile_groups(spark, sf):
 
 
 @register("unequal_groups", _with(_LV, _MAP, *_rollups_sql()) + f"""
-SELECT mcc, region_name, partition_dt, {", ".join(f"CAST({m} AS DOUBLE) AS {m}" for m in _M)} FROM (
+SELECT mcc, region_name, partition_dt, {", ".join(_out(m, m) for m in _M)} FROM (
   SELECT mcc, region_name, partition_dt, {", ".join(_M)} FROM g
   EXCEPT
   SELECT mcc_group, region_name, partition_dt, {", ".join(_M)} FROM c)""")
@@ -149,40 +193,123 @@ def check_bound(spark, sf):
     return comparable(Q.check_bound(I.bound_input(spark, sf), "o_totalprice", "income_limit"))
 
 
+_TERMS = [(f"avg_{x}_rur", f"{x}_ratio") for x in I.INCOME_SHARES]
+
+
 def _weighted_sql():
-    src = "unit * n * share_a + unit * n * share_b"
-    from ..functions.numbers import round_half_away_sql
-    s = round_half_away_sql(src)
-    raw = pct_deviation_sql("source_total", "all_total", None)
+    src = " + ".join(f"{a} * client_cnt_in_cluster * {r}" for a, r in _TERMS)
+    plain = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for t in _TERMS for c in t)
     return _with(("w", I.WEIGHTED_SQL),
-                 ("x", f"SELECT *, {s} AS source_total, CAST(n * avg_all AS DOUBLE) AS all_total FROM w")) + f"""
-SELECT *, {pct_deviation_sql('source_total', 'all_total')} AS deviation FROM x
-WHERE source_total != 0 AND abs({raw}) > 1.0 AND partition_dt LIKE '%-%'"""
+                 ("x", f"SELECT *, CAST({src} AS DECIMAL(38,2)) AS source_total, client_cnt_in_cluster * avg_all_rur AS all_total FROM w")) + f"""
+SELECT l_orderkey, l_linenumber, client_cnt_in_cluster, {plain}, CAST(avg_all_rur AS DOUBLE) AS avg_all_rur, partition_dt,
+       CAST(source_total AS DOUBLE) AS source_total, CAST(all_total AS DOUBLE) AS all_total,
+       {_dev_sql('source_total', 'all_total')} AS deviation FROM x
+WHERE source_total <> 0 AND {_off_sql('source_total', 'all_total', 1)} AND partition_dt LIKE '%-%'"""
 
 
 @register("check_weighted_total", _weighted_sql())
 def check_weighted_total(spark, sf):
-    return comparable(Q.check_weighted_total(I.weighted_input(spark, sf),
-                                             [("unit", "share_a"), ("unit", "share_b")], "n", "avg_all"))
+    return comparable(Q.check_weighted_total(I.weighted_input(spark, sf), _TERMS, "client_cnt_in_cluster", "avg_all_rur"))
 
 
-@register("check_product", _with(("p", I.PRODUCT_SQL)) + f"""
-SELECT *, {pct_deviation_sql('stated_total', 'l_quantity * p_retailprice')} AS deviation FROM p
-WHERE partition_dt LIKE '%-%' AND abs({pct_deviation_sql('stated_total', 'l_quantity * p_retailprice', None)}) > 1.0""")
+def _product_sql(a, b, total):
+    cols = ["cnt_inn", "avg_income", "SUM_income", "all_avg_cheque", "all_trans_cnt", "all_trans_amount"]
+    return _with(("p", I.PRODUCT_SQL)) + f"""
+SELECT l_orderkey, l_linenumber, {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)}, partition_dt,
+       {_dev_sql(total, f'{a} * {b}', 4)} AS deviation FROM p
+WHERE partition_dt LIKE '%-%' AND {_off_sql(total, f'{a} * {b}', 1, 4)}"""
+
+
+@register("check_product", _product_sql("cnt_inn", "avg_income", "SUM_income"))
 def check_product(spark, sf):
-    return comparable(Q.check_product(I.product_input(spark, sf), "l_quantity", "p_retailprice", "stated_total"))
+    return comparable(Q.check_product(I.product_input(spark, sf), "cnt_inn", "avg_income", "SUM_income"))
+
+
+@register("check_turnover", _product_sql("all_avg_cheque", "all_trans_cnt", "all_trans_amount"))
+def check_turnover(spark, sf):
+    return comparable(Q.check_product(I.product_input(spark, sf), "all_avg_cheque", "all_trans_cnt", "all_trans_amount"))
 
 
 _SUMMARY_OF = ["reconcile_total_group", "reconcile_total_code", "reconcile_groups",
-               "check_bound", "check_weighted_total", "check_product"]
+               "check_bound", "check_weighted_total", "check_product", "check_turnover"]
 
 
 @register("check_summary", "\nUNION ALL\n".join(
     f"SELECT '{n}' AS check_name, count(*) AS n_rows, count(*) > 0 AS failed FROM ({ORACLE[n]}) t_{i}"
     for i, n in enumerate(_SUMMARY_OF)))
 def check_summary(spark, sf):
-    out = Q.check_summary({n: QUERIES[n](spark, sf) for n in _SUMMARY_OF})
-    return out.withColumnRenamed("check", "check_name")
+    return _summary(spark, sf).withColumnRenamed("check", "check_name")
+
+
+def _summary(spark, sf):
+    return Q.check_summary({n: QUERIES[n](spark, sf) for n in _SUMMARY_OF})
+
+
+@register("failed_check_count", f"SELECT CAST(count(*) FILTER (WHERE failed) AS BIGINT) AS failed_checks FROM ({ORACLE['check_summary']})")
+def failed_check_count(spark, sf):
+    return Q.failed_check_count(_summary(spark, sf))
+
+
+@register("rollup_top", _with(_LV) + f"""
+SELECT region_name, partition_dt, {_sum_list()} FROM lv WHERE mcc IS NOT NULL
+GROUP BY region_name, partition_dt ORDER BY region_name, partition_dt LIMIT 10""")
+def rollup_top(spark, sf):
+    """TOP-2: the first ten groups in key order (the cut is the operator)."""
+    lv = I.level_table(spark, sf).where(F.col("mcc").isNotNull())
+    return comparable(Q.rollup_metrics(lv, ["region_name", "partition_dt"], _M, top=10))
+
+
+# ------------------------------------------------------------ columns and text rows
+from ..operators.columns import rename_positional as _rename  # noqa: E402
+
+
+@register("rename_positional", "SELECT r_regionkey AS id, r_name AS name FROM region")
+def rename_positional(spark, sf):
+    return _rename(I.table(spark, sf, "region").select("r_regionkey", "r_name"), ["id", "name"])
+
+
+@register("parse_upload_lines", """
+SELECT s_suppkey AS num, 'a;b ' || s_name AS name, CAST(CAST(s_acctbal AS DECIMAL(19,2)) AS DOUBLE) AS amount FROM supplier""")
+def parse_upload_lines(spark, sf):
+    """SRC-6: quoted ``;`` lines with a fixed layout, from text rows built of suppliers."""
+    from ..sources.files import parse_delimited
+    s = I.table(spark, sf, "supplier")
+    line = F.concat(F.col("s_suppkey").cast("string"), F.lit(';"a;b '), F.col("s_name"), F.lit('";'),
+                    F.col("s_acctbal").cast("decimal(19,2)").cast("string"))
+    return comparable(parse_delimited(s.select(line.alias("line")), "line", "num bigint, name string, amount decimal(19,2)"))
+
+
+@register("parse_headerless_lines", "SELECT CAST(p_partkey AS VARCHAR) AS a, p_brand AS b FROM part")
+def parse_headerless_lines(spark, sf):
+    """SRC-8: lines that end in the separator; the empty last column is dropped."""
+    from ..sources.files import parse_headerless
+    p = I.table(spark, sf, "part")
+    line = F.concat(F.col("p_partkey").cast("string"), F.lit(";"), F.col("p_brand"), F.lit(";"))
+    return parse_headerless(p.select(line.alias("line")), "line", ["a", "b"])
+
+
+@register("parse_page_records", """
+SELECT event_id // 50 AS page, CAST(event_id AS DOUBLE) AS "DIM_369", event_type AS "VL", false AS failed
+FROM events WHERE event_id // 50 % 11 <> 3
+UNION ALL SELECT DISTINCT event_id // 50, NULL, NULL, true FROM events WHERE event_id // 50 % 11 = 3""")
+def parse_page_records(spark, sf):
+    """SRC-1: pages as JSON arrays of records, every eleventh cut off in the middle."""
+    from ..sources.pages import page_records
+    e = I.table(spark, sf, "events").select((F.expr("event_id div 50")).alias("page"), F.to_json(F.struct(
+        F.col("event_id").cast("double").alias("DIM_369"), F.col("event_type").alias("VL"))).alias("j"))
+    pages = e.groupBy("page").agg(F.array_join(F.collect_list("j"), ",").alias("body"))
+    body = F.concat(F.lit("["), F.col("body"), F.when(F.col("page") % 11 == 3, F.lit("")).otherwise(F.lit("]")))
+    return page_records(pages.select("page", body.alias("text")), "text").select("page", "DIM_369", "VL", "failed")
+
+
+@register("parse_name_tree", "SELECT CAST(n_nationkey AS DOUBLE) AS id, lower(n_name) AS name FROM nation")
+def parse_name_tree(spark, sf):
+    """SRC-2: name trees as JSON text, one per region; names lower-cased."""
+    from ..sources.pages import name_tree
+    n = I.table(spark, sf, "nation")
+    trees = n.groupBy("n_regionkey").agg(F.to_json(F.collect_list(F.struct(
+        F.col("n_nationkey").cast("double").alias("id"), F.col("n_name").alias("name")))).alias("text"))
+    return name_tree(trees, "text", "n_regionkey")
 
 
 # ------------------------------------------------------------ incremental load
@@ -248,12 +375,11 @@ def route_kind(spark, sf):
 
 
 # ------------------------------------------------------------ indicators
-from ..functions.numbers import plain_text_sql  # noqa: E402
 from ..functions.text import clean_value  # noqa: E402
 from ..operators import indicators as IND  # noqa: E402
 from ..sources.pages import json_field as _json_field  # noqa: E402
 
-_DIGITS = "TRY_CAST(replace(replace(replace(VL, ' ', ''), ',', '.'), '%', '') AS DOUBLE)"
+_DIGITS = "TRY_CAST(translate(replace(VL, ',', '.'), ' %', '') AS DOUBLE)"
 _PLAIN = f"CASE WHEN VL = '-' THEN NULL ELSE {_DIGITS} END"
 _SCALED = f"CASE WHEN VL = '-' THEN 0.0 WHEN contains(VL, '%') THEN {_DIGITS} ELSE {_DIGITS} / 1000.0 END"
 
@@ -270,13 +396,13 @@ def clean_value_scaled(spark, sf):
     return v.select("event_id", "VL", clean_value("VL", "scaled").alias("val"))
 
 
-@register("decode_dimension", _with(("d", "SELECT n_nationkey AS id, lower(n_name) AS name FROM nation "
-                                          "WHERE n_nationkey < 20")) + """
-SELECT c_custkey, coalesce(d.name, CAST(c_nationkey AS VARCHAR)) AS nation
-FROM customer LEFT JOIN d ON c_nationkey = d.id""")
+@register("decode_dimension", _with(("d", "SELECT n_nationkey AS id, lower(n_name) AS name FROM nation")) + """
+SELECT c_custkey, coalesce(d.name, CAST(c_nationkey + 5 AS VARCHAR)) AS nation
+FROM customer LEFT JOIN d ON c_nationkey + 5 = d.id""")
 def decode_dimension(spark, sf):
-    c = I.table(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    n = I.table(spark, sf, "nation").where(F.col("n_nationkey") < 20) \
+    # shifted ids: the five last ones have no name and stay
+    c = I.table(spark, sf, "customer").select("c_custkey", (F.col("c_nationkey") + 5).alias("c_nationkey"))
+    n = I.table(spark, sf, "nation") \
          .select(F.col("n_nationkey").alias("id"), F.lower("n_name").alias("name"))
     return IND.decode_dimension(c, "c_nationkey", n, "nation").select("c_custkey", "nation")
 
@@ -322,20 +448,27 @@ def build_indicators(spark, sf):
 
 @register("indicator_export", _indicators_sql() + f"""
 SELECT DIM_1, DIM_2, DIM_3, DIM_4, DIM_5, strftime(TRY_CAST(date AS DATE), '%m.%d.%Y') AS date,
-       replace({plain_text_sql('val')}, '.', ',') AS val FROM m""")
+       replace(CAST(val AS VARCHAR), '.', ',') AS val FROM m""")
 def indicator_export(spark, sf):
     return IND.indicator_export(_build_indicators(spark, sf))
 
 
 @register("failed_pages", """
-SELECT event_type, count(*) AS n_pages, CAST(sum(bad) AS BIGINT) AS failed_pages,
-       CAST(max(page) - min(page) + 1 - count(*) AS BIGINT) AS missing_pages, CAST(sum(rec) AS BIGINT) AS records
-FROM (SELECT event_type, event_id // 100 AS page, max(CAST(value > 300 AS INTEGER)) AS bad, count(value) AS rec
-      FROM events GROUP BY ALL) GROUP BY ALL""")
+WITH p AS (SELECT event_type, event_id // 100 AS page, max(CAST(value > 300 AS INTEGER)) AS bad, count(value) AS rec
+           FROM events WHERE event_id // 100 % 7 <> 0 GROUP BY ALL),
+g AS (SELECT event_type, count(*) AS n, sum(bad) AS bad, sum(rec) AS rec FROM p GROUP BY ALL),
+x AS (SELECT event_type, max(event_id // 100) + 3 AS expected FROM events GROUP BY ALL UNION ALL SELECT 'none', 4)
+SELECT x.event_type, coalesce(n, 0) AS n_pages, CAST(coalesce(bad, 0) AS BIGINT) AS failed_pages,
+       CAST(greatest(expected - coalesce(n, 0), 0) AS BIGINT) AS missing_pages, CAST(coalesce(rec, 0) AS BIGINT) AS records
+FROM x LEFT JOIN g USING (event_type)""")
 def failed_pages(spark, sf):
+    """Every seventh page did not land, the service states two pages more than there are, and one
+    indicator has none."""
     e = I.table(spark, sf, "events").select("event_type", F.expr("event_id div 100").alias("page"),
                                             (F.col("value") > 300).alias("bad"), "value")
-    return IND.failed_pages(e, "event_type", "page", "bad", "value")
+    stated = e.groupBy("event_type").agg((F.max("page") + 3).alias("n_expected"))
+    stated = stated.unionAll(spark.createDataFrame([("none", 4)], "event_type string, n_expected bigint"))
+    return IND.failed_pages(e.where(F.col("page") % 7 != 0), "event_type", "page", "bad", "value", stated)
 
 
 @register("drop_null_columns", """
@@ -353,8 +486,7 @@ def json_field(spark, sf):
 
 
 # ------------------------------------------------------------ cells
-from ..functions.geometry import close_ring, ring_centroid  # noqa: E402
-from ..functions.numbers import round_half_away, round_half_away_sql  # noqa: E402
+from ..functions.geometry import close_ring, first_loop, ring_centroid  # noqa: E402
 from ..operators import cells as C  # noqa: E402
 from ..operators.stats import distinct_median as _distinct_median  # noqa: E402
 
@@ -371,14 +503,15 @@ def _edges_sql(steps=5):
 def _colored_sql(cells_sql, keys, metrics, idcols):
     k = ", ".join(keys)
     long = " UNION ALL ".join(f"SELECT {k}, '{m}' AS metric, {m} AS v FROM cells" for m in metrics)
-    joins = " ".join(f"JOIN e e_{m} ON " + " AND ".join(f"cells.{x} = e_{m}.{x}" for x in keys)
+    joins = " ".join(f"LEFT JOIN e e_{m} ON " + " AND ".join(f"cells.{x} = e_{m}.{x}" for x in keys)
                      + f" AND e_{m}.metric = '{m}'" for m in metrics)
     cols = ", ".join(f"CASE WHEN cells.{m} IS NULL OR isnan(cells.{m}) THEN NULL "
                      f"ELSE len(list_filter(e_{m}.edges, lambda x: x < cells.{m})) END AS COLOR_{m}" for m in metrics)
     return _with(("cells", cells_sql), ("long", long), ("st", f"""
 SELECT {k}, metric, min(v) AS mn, max(v) AS mx, median(DISTINCT v) AS md
 FROM long WHERE v IS NOT NULL AND NOT isnan(v) GROUP BY ALL"""), ("e", f"SELECT *, {_edges_sql()} AS edges FROM st"),
-                 ("colored", f"SELECT {', '.join('cells.' + c for c in idcols)}, {cols} FROM cells {joins}"))
+                 ("colored", f"SELECT {', '.join('cells.' + c for c in idcols)}, {cols} FROM cells {joins} "
+                            f"WHERE {' AND '.join(f'cells.{x} IS NOT NULL' for x in keys)}"))
 
 
 _ORDER_COLORED = _colored_sql(I.ORDER_CELLS_SQL, _OKEYS, _OMETRICS,
@@ -396,10 +529,12 @@ def color_scale(spark, sf):
     return C.color_scale(I.order_cells(spark, sf), _OKEYS, _OMETRICS)
 
 
+_EVEN = "CAST(round_even({} * 100, 0) / 100 AS VARCHAR)"
+
+
 @register("color_summary", _ORDER_COLORED + f"""
 SELECT o_orderpriority, o_orderstatus, COLOR_o_totalprice AS Bin,
-       '[' || {plain_text_sql(round_half_away_sql('min(o_totalprice)'), 2)} || '; '
-           || {plain_text_sql(round_half_away_sql('max(o_totalprice)'), 2)} || ']' AS Range,
+       '[' || {_EVEN.format('min(o_totalprice)')} || '; ' || {_EVEN.format('max(o_totalprice)')} || ']' AS Range,
        count(o_totalprice) AS Count
 FROM colored WHERE COLOR_o_totalprice IS NOT NULL GROUP BY ALL""")
 def color_summary(spark, sf):
@@ -407,6 +542,19 @@ def color_summary(spark, sf):
     return C.slice_summary(colored, _OKEYS, "o_totalprice")
 
 
+# eighths: every other value is a tie at two places
+_EIGHTHS = _colored_sql("SELECT l_returnflag, l_quantity / 8 + l_linenumber AS v FROM lineitem", ["l_returnflag"], ["v"],
+                        ["l_returnflag", "v"])
+
+
+@register("color_summary_ties", _EIGHTHS + f"""
+SELECT l_returnflag, COLOR_v AS Bin, '[' || {_EVEN.format('min(v)')} || '; ' || {_EVEN.format('max(v)')} || ']' AS Range,
+       count(v) AS Count FROM colored WHERE COLOR_v IS NOT NULL GROUP BY ALL""")
+def color_summary_ties(spark, sf):
+    li = I.table(spark, sf, "lineitem").select("l_returnflag", (F.col("l_quantity") / 8 + F.col("l_linenumber")).alias("v"))
+    return C.slice_summary(C.color_scale(li, ["l_returnflag"], ["v"]), ["l_returnflag"], "v")
+
+
 @register("size_class", """
 WITH c AS (SELECT p_partkey, p_type, length(p_type) - length(replace(p_type, 'M', '')) AS n_letters FROM part),
 r AS (SELECT n_letters, dense_rank() OVER (ORDER BY n_letters) AS rk FROM (SELECT DISTINCT n_letters FROM c))
@@ -433,6 +581,47 @@ def merge_cells(spark, sf):
     return comparable(C.merge_cells(t3, t5.select(*I.CELL_KEYS, "acctbal", "n"), I.CELL_KEYS))
 
 
+# т.4: three keys; a null bin is a group of its own, shown as 'None'; other nulls as '-'
+_T4_KEYS = ["size", "INDUSTRY_NAME", "SPENDING_BIN"]
+_T4_SQL = f"""WITH c AS ({I.CELL4_SQL}),
+n AS (SELECT *, len(CELL_ID) - len(replace(CELL_ID, 'f', '')) AS k FROM c),
+r AS (SELECT k, dense_rank() OVER (ORDER BY k) AS rk FROM (SELECT DISTINCT k FROM n))
+SELECT c_custkey, CELL_ID, INDUSTRY_NAME, coalesce(SPENDING_BIN, 'None') AS SPENDING_BIN, area, spend, visits,
+       CASE rk WHEN 1 THEN 'Small' WHEN 2 THEN 'Medium' WHEN 3 THEN 'Big' ELSE 'Other' END AS size
+FROM n JOIN r USING (k)"""
+_T4_COLORED = _colored_sql(_T4_SQL, _T4_KEYS, ["spend", "visits"],
+                           ["c_custkey", "CELL_ID", "INDUSTRY_NAME", "SPENDING_BIN", "area", "spend", "visits", "size"])
+
+
+def _colored_t4(spark, sf):
+    t4 = C.drop_columns_like(I.cell_table_4(spark, sf), "color_id", "COLOR_ID")
+    t4 = C.size_class(t4.withColumn("SPENDING_BIN", F.coalesce("SPENDING_BIN", F.lit("None"))), "CELL_ID")
+    return C.color_scale(t4, _T4_KEYS, ["spend", "visits"])
+
+
+@register("color_spending", _T4_COLORED + "SELECT * FROM colored")
+def color_spending(spark, sf):
+    return _colored_t4(spark, sf)
+
+
+@register("slice_filter", _T4_COLORED + "SELECT * FROM colored WHERE size = 'Small' AND SPENDING_BIN = 'mid'")
+def slice_filter(spark, sf):
+    return C.slice_filter(_colored_t4(spark, sf), size="Small", SPENDING_BIN="mid")
+
+
+@register("colored_union", _T4_COLORED + """,
+u AS (SELECT c_custkey AS id, size, SPENDING_BIN, COLOR_spend, COLOR_visits, CAST(NULL AS INTEGER) AS COLOR_c_acctbal FROM colored
+      UNION ALL SELECT s_suppkey, NULL, NULL, NULL, NULL, s_nationkey FROM supplier)
+SELECT CAST(id AS VARCHAR) AS id, coalesce(size, '-') AS size, coalesce(SPENDING_BIN, 'None') AS SPENDING_BIN,
+       coalesce(CAST(COLOR_spend AS VARCHAR), '-') AS COLOR_spend, coalesce(CAST(COLOR_visits AS VARCHAR), '-') AS COLOR_visits,
+       coalesce(CAST(COLOR_c_acctbal AS VARCHAR), '-') AS COLOR_c_acctbal FROM u""")
+def colored_union(spark, sf):
+    """SET-5 + NUL-1: coloured tables with differing columns under each other, nulls as text."""
+    t4 = _colored_t4(spark, sf).select(F.col("c_custkey").alias("id"), "size", "SPENDING_BIN", "COLOR_spend", "COLOR_visits")
+    other = I.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_nationkey").alias("COLOR_c_acctbal"))
+    return C.display_fill(t4.unionByName(other, allowMissingColumns=True), cols={"SPENDING_BIN": "None"})
+
+
 @register("filter_values", """
 SELECT DISTINCT 'p_brand' AS column_name, CAST(p_brand AS VARCHAR) AS value FROM part
 UNION SELECT DISTINCT 'p_type', CAST(p_type AS VARCHAR) FROM part
@@ -470,32 +659,35 @@ def ring_close(spark, sf):
     return r.select("s_suppkey", *_coords(close_ring("ring")))
 
 
-@register("view_centre", _with(("r", I.RINGS_SQL)) + f"""
-SELECT s_nationkey, {round_half_away_sql('avg(v.lat)', 6)} AS lat, {round_half_away_sql('avg(v.lng)', 6)} AS lng
+@register("first_loop", _with(("r", I.RINGS_SQL)) + """
+SELECT s_suppkey, list_transform(ring, lambda v: v.lat) AS lats, list_transform(ring, lambda v: v.lng) AS lngs FROM r""")
+def first_loop_q(spark, sf):
+    """ARR-2: two polygons of one outline each; the first loop of the first is the outline."""
+    r = I.supplier_rings(spark, sf)
+    loops = F.array(F.array("ring"), F.array(F.reverse("ring")))
+    return r.select("s_suppkey", first_loop(loops).alias("ring")).select("s_suppkey", *_coords("ring"))
+
+
+@register("view_centre", _with(("r", I.RINGS_SQL)) + """
+SELECT s_nationkey, round(avg(v.lat), 6) AS lat, round(avg(v.lng), 6) AS lng
 FROM (SELECT s_nationkey, unnest(ring || [ring[1]]) AS v FROM r) GROUP BY ALL""")
 def view_centre(spark, sf):
     r = I.supplier_rings(spark, sf).select("s_nationkey", F.explode(close_ring("ring")).alias("v"))
-    return r.groupBy("s_nationkey").agg(round_half_away(F.avg("v.lat"), 6).alias("lat"),
-                                        round_half_away(F.avg("v.lng"), 6).alias("lng"))
-
-
-def _centroid_sql():
-    ring = "(ring || [ring[1]])"
-    cross = f"({ring}[i].lng * {ring}[i + 1].lat - {ring}[i + 1].lng * {ring}[i].lat)"
+    c = C.mean_centre(r.select("s_nationkey", "v.lat", "v.lng"), ["s_nationkey"])
+    return c.select("s_nationkey", F.round("lat", 6).alias("lat"), F.round("lng", 6).alias("lng"))
 
-    def s(term):
-        return f"list_reduce(list_transform(range(1, len({ring})), lambda i: {term}), lambda a, b: a + b)"
-    a2 = s(cross)
-    cy = s(f"({ring}[i].lat + {ring}[i + 1].lat) * {cross}")
-    cx = s(f"({ring}[i].lng + {ring}[i + 1].lng) * {cross}")
-    return (f"SELECT s_suppkey, {round_half_away_sql(f'{cy} / ({a2} * 3.0)', 9)} AS lat, "
-            f"{round_half_away_sql(f'{cx} / ({a2} * 3.0)', 9)} AS lng FROM r")
 
-
-@register("ring_centroid", _with(("r", I.RINGS_SQL)) + _centroid_sql())
+# A hexagon's centre is the point it was drawn around; of every four outlines one is a line
+# between its first and fourth vertex (its middle is that point too) and one a point (itself).
+@register("ring_centroid", """
+SELECT s_suppkey, CAST(55 + s_suppkey % 97 * 0.01 + CASE WHEN s_suppkey % 4 = 1 THEN 0.002 ELSE 0 END AS DOUBLE) AS lat,
+       CAST(37 + s_nationkey * 0.01 AS DOUBLE) AS lng FROM supplier""")
 def ring_centroid_q(spark, sf):
-    r = I.supplier_rings(spark, sf).select("s_suppkey", ring_centroid(close_ring("ring")).alias("c"))
-    return r.select("s_suppkey", round_half_away("c.lat", 9).alias("lat"), round_half_away("c.lng", 9).alias("lng"))
+    r = I.supplier_rings(spark, sf)
+    kind = F.col("s_suppkey") % 4
+    ring = F.when(kind == 1, F.slice("ring", 1, 1)).when(kind == 2, F.array(F.col("ring")[0], F.col("ring")[3])).otherwise(F.col("ring"))
+    r = r.select("s_suppkey", ring_centroid(close_ring(ring)).alias("c"))
+    return r.select("s_suppkey", F.round("c.lat", 9).alias("lat"), F.round("c.lng", 9).alias("lng"))
 
 
 _SUPP_CELLS = "SELECT s_suppkey, n_regionkey, s_acctbal FROM supplier JOIN nation ON s_nationkey = n_nationkey"
@@ -523,113 +715,119 @@ def hex_layer(spark, sf):
 from ..operators import reports as REP  # noqa: E402
 
 
-def _header_py(dictionary, kind):
-    """Plain-Python twin of ``report_header`` for writing the oracle text."""
-    lines = sorted((REP.CODE_REMAP.get(c, c), e) for c, e in dictionary
-                   if REP.CODE_REMAP.get(c, c) not in REP.EXCLUDED[kind])
-    hdr = [(n, a, None) for n, a in REP.ID_HEADER]
-    hdr += [(e, a, c) for c, e in lines for a in REP.attrs_of(c)]
-    seen, out = {}, []
-    for e, a, c in hdr:
-        k = seen.get(e, 0)
-        seen[e] = k + 1
-        name = e if k == 0 else f"{e}_{k}"
-        out.append((name, a, c, e, f"{name}__{a}"))
-    return out
-
-
-_ATTR_SRC = {"СумОтч": "l_quantity", "СумПрдщ": "l_extendedprice", "СумПрдшв": "l_tax"}
-
-
-def _line_numbers(kind):
-    """(code, element) -> line item number, for lines that have a place in the kind's layout."""
-    lines = sorted({(REP.CODE_REMAP.get(c, c), e) for c, e in I.REPORT_DICTIONARY
-                    if REP.CODE_REMAP.get(c, c) not in REP.EXCLUDED[kind]})
-    paths = REP.line_paths(lines, kind)
-    table = I.FULL_LINES if kind == REP.FULL else I.SIMPLE_LINES
-    out = {}
-    for key, path in paths.items():
-        for ln, (section, element) in table.items():
-            if len(path) >= 2 and path[-2] == section and path[-1] == element:
-                out[key] = ln
-    return out
-
-
-# line items as the XML builder writes them, numbered in document order within a line number
-_FIRST_REP = f"""SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY q, p, t) - 1 AS rep
-FROM (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_tax, {I.MONEY_SQL.format('l_quantity')} AS q,
+# The value columns of each kind in header order (code after remapping, element),
+# without the codes that the kind leaves out.
+_FULL_LINES = [
+    (1099, "Актив"), (1100, "ВнеОбА"), (1110, "НематАкт"), (1120, "РезИсслед"), (1150, "ОснСр"), (1170, "ФинВлож"),
+    (1200, "ОбА"), (1210, "Запасы"), (1240, "ФинВлож"), (1250, "ДенежнСр"), (1299, "Пассив"), (1300, "КапРез"),
+    (1310, "УставКапитал"), (1370, "НераспПриб"), (1400, "ДолгосрОбяз"), (1410, "ЗаемСредств"), (1430, "ОценОбяз"),
+    (1450, "ПрочОбяз"), (1500, "КраткосрОбяз"), (1510, "ЗаемСредств"), (1520, "КредитЗадолж"), (1530, "ДоходБудущ"),
+    (1540, "ОценОбяз"), (1550, "ПрочОбяз"), (2110, "Выруч"), (2120, "СебестПрод"), (2330, "ПроцУпл"),
+    (2340, "ПрочДоход"), (2350, "ПрочРасход"), (2400, "ЧистПрибУб")]
+_SIMPLE_LINES = [
+    (1099, "Актив"), (1151, "ОснСрНезаверш"), (1210, "Запасы"), (1250, "ДенежнСр"), (1299, "Пассив"),
+    (1301, "МатВнеАкт"), (1302, "НеМатФинАкт"), (1411, "ЗаемСредствКред"), (1520, "КредитЗадолж"), (2110, "Выруч"),
+    (2330, "ПроцУпл"), (2340, "ПрочДоход"), (2350, "ПрочРасход"), (2400, "ЧистПрибУб")]
+_KIND_SQL = {  # id prefix, label, orders, lines, slot of a line item, slots
+    "full": ("NO_BUHOT_", "Полная", "o_orderstatus <> 'P'", _FULL_LINES, "l_linenumber + 7 * (l_orderkey % 3)", I.FULL_SLOTS),
+    "simplified": ("NO_BOUPR_", "Упрощённая", "o_orderstatus = 'P'", _SIMPLE_LINES, "l_linenumber", I.SIMPLE_SLOTS)}
+# files that are whole and have the prefix of their kind
+_READABLE = "o_orderkey % 97 <> 0 AND o_orderkey % 89 <> 0"
+_THREE, _TWO = ["СумОтч", "СумПрдщ", "СумПрдшв"], ["СумОтч", "СумПред"]
+
+# line items as the files state them, numbered in document order within a line number
+_ITEMS = f"""SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY q, p, t) - 1 AS rep
+FROM (SELECT l_orderkey, l_linenumber, {I.MONEY_SQL.format('l_quantity')} AS q,
              {I.MONEY_SQL.format('l_extendedprice')} AS p, {I.MONEY_SQL.format('l_tax')} AS t FROM lineitem)"""
 
 
 def _report_sql(kind):
-    prefix, (form, label) = ("NO_BUHOT_" if kind == REP.FULL else "NO_BOUPR_"), REP.KIND_FORM[kind]
-    status = "<> 'P'" if kind == REP.FULL else "= 'P'"
-    lns = _line_numbers(kind)
-    piv = ", ".join(f"max(CASE WHEN l_linenumber = {ln} THEN {I.MONEY_SQL.format(src)} END) AS {a[0]}{ln}"
-                    for ln in range(1, 8) for a, src in [("q", "l_quantity"), ("p", "l_extendedprice"),
-                                                         ("t", "l_tax")])
-    cols = []
-    letter = {"СумОтч": "q", "СумПрдщ": "p", "СумПрдшв": "t"}
-    for name, attr, code, element, column in _header_py(I.REPORT_DICTIONARY, kind):
-        if code is None:
-            continue
-        if code == 1099 and attr == "СумОтч":
-            e = I.MONEY_SQL.format("o_totalprice")
-        elif code == 2110 and attr == "СумОтч":
-            e = I.MONEY_SQL.format("o_totalprice")
-        elif code == 2110 and attr == "СумПред":
-            e = "CAST(o_custkey AS VARCHAR)"
-        elif (code, element) in lns and attr in letter:
-            e = f"li.{letter[attr]}{lns[(code, element)]}"
-        else:
-            e = "CAST(NULL AS VARCHAR)"
-        cols.append(f'{e} AS "{column}"')
+    prefix, label, orders, lines, slot, slots = _KIND_SQL[kind]
+    by_line = {(code, element): k for k, (_, element, code) in slots.items()}
+    used = sorted(slots)
+    pivot = ", ".join(f"max(CASE WHEN slot = {k} THEN {c} END) AS {c}{k}" for k in used for c in "qpt")
+    total = I.MONEY_SQL.format("o_totalprice")
+    seen, cols = {}, []
+    for code, element in lines:
+        for n, attr in enumerate(_THREE if code < 2000 else _TWO):
+            repeat = seen[element] = seen.get(element, -1) + 1
+            name = f"{element}__{attr}" if repeat == 0 else f"{element}_{repeat}__{attr}"
+            if (code, element) in by_line:
+                value = f"CASE WHEN doc = 0 THEN li.{'qpt'[n]}{by_line[code, element]} END"
+            elif code == 1099 and n == 0:
+                value = total
+            elif code in (1299, 2110) and n == 0:
+                value = f"CASE WHEN doc = 0 THEN {total} END"
+            elif code == 2110:
+                value = "CASE WHEN doc = 0 THEN CAST(o_custkey AS VARCHAR) END"
+            else:
+                value = "CAST(NULL AS VARCHAR)"
+            cols.append(f'{value} AS "{name}"')
     return f"""SELECT '{prefix}' || CAST(o_orderkey AS VARCHAR) AS "ИдФайл__xml", '{label}' AS "КНД__Тип",
        strftime(o_orderdate, '%Y') AS "КНД_1__ОтчетГод", strftime(o_orderdate, '%d%m%Y') AS "ДатаДок__ГГГГММДД",
        '6201' AS "СвНП__ОКВЭД2", lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS "НПЮЛ__ИННЮЛ",
        'Org, ' || CAST(o_custkey AS VARCHAR) AS "НПЮЛ_1__НаимОрг", {", ".join(cols)}
-FROM orders LEFT JOIN (SELECT l_orderkey, {piv} FROM ({_FIRST_REP}) WHERE rep = 0 GROUP BY l_orderkey) li
+FROM orders CROSS JOIN (VALUES (0), (1)) d(doc)
+LEFT JOIN (SELECT l_orderkey, {pivot} FROM (SELECT *, {slot} AS slot FROM ({_ITEMS}) WHERE rep = 0) GROUP BY l_orderkey) li
   ON li.l_orderkey = o_orderkey
-WHERE o_orderstatus {status}"""
+WHERE {orders} AND {_READABLE} AND (doc = 0 OR o_orderkey % 10 = 0)"""
 
 
-def _parsed_reports(spark, sf, kinds=(REP.FULL, REP.SIMPLE)):
-    return REP.parse_reports(I.report_files(spark, sf), dictionary=I.report_dictionary(spark), kinds=kinds)
+def _parsed_reports(spark, sf, lines, kinds=(REP.FULL, REP.SIMPLE)):
+    return REP.parse_reports(I.report_files(spark, sf), dictionary=lines, kinds=kinds)
 
 
-@register("long_to_wide", _report_sql(REP.FULL))
-def long_to_wide(spark, sf):
-    return REP.flatten_reports(_parsed_reports(spark, sf, (REP.FULL,)), I.report_dictionary(spark), REP.FULL)
+@register("flatten_reports", _report_sql("full"))
+def flatten_reports(spark, sf):
+    return REP.flatten_reports(_parsed_reports(spark, sf, I.REPORT_DICTIONARY, (REP.FULL,)), I.REPORT_DICTIONARY, REP.FULL)
 
 
-@register("fuse_reports", f"({_report_sql(REP.FULL)})\nUNION ALL BY NAME\n({_report_sql(REP.SIMPLE)})")
+@register("fuse_reports", f"({_report_sql('full')})\nUNION ALL BY NAME\n({_report_sql('simplified')})")
 def fuse_reports(spark, sf):
-    return REP.flatten_fused(_parsed_reports(spark, sf), I.report_dictionary(spark))
+    lines = REP.dictionary_lines(I.report_dictionary(spark))
+    return REP.flatten_fused(_parsed_reports(spark, sf, lines), lines)
 
 
 def _long_sql():
-    lns = _line_numbers(REP.FULL)
-    by_ln = {ln: key for key, ln in lns.items()}
-    code = "CASE l_linenumber " + " ".join(f"WHEN {ln} THEN {k[0]}" for ln, k in sorted(by_ln.items())) + " END"
-    elem = "CASE l_linenumber " + " ".join(f"WHEN {ln} THEN '{k[1]}'" for ln, k in sorted(by_ln.items())) + " END"
-    val = "CASE a.attr WHEN 'СумОтч' THEN q WHEN 'СумПрдщ' THEN p WHEN 'СумПрдшв' THEN t END"
-    fid = "'NO_BUHOT_' || CAST(o_orderkey AS VARCHAR)"
-    tot = I.MONEY_SQL.format("o_totalprice")
+    prefix, _, orders, _, slot, slots = _KIND_SQL["full"]
+    code = f"CASE {slot} " + " ".join(f"WHEN {k} THEN {c}" for k, (_, _, c) in slots.items()) + " END"
+    elem = f"CASE {slot} " + " ".join(f"WHEN {k} THEN '{e}'" for k, (_, e, _) in slots.items()) + " END"
+    fid = f"'{prefix}' || CAST(o_orderkey AS VARCHAR)"
+    total, of = I.MONEY_SQL.format("o_totalprice"), f"FROM orders WHERE {orders} AND {_READABLE}"
     return f"""
-SELECT {fid} AS file_id, 0 AS doc_no, 1099 AS code, 'Актив' AS element, 0 AS rep, 'СумОтч' AS attr, {tot} AS value
-FROM orders WHERE o_orderstatus <> 'P'
-UNION ALL SELECT {fid}, 0, 2110, 'Выруч', 0, 'СумОтч', {tot} FROM orders WHERE o_orderstatus <> 'P'
-UNION ALL SELECT {fid}, 0, 2110, 'Выруч', 0, 'СумПред', CAST(o_custkey AS VARCHAR) FROM orders
-  WHERE o_orderstatus <> 'P'
-UNION ALL SELECT {fid}, 0, {code}, {elem}, rep, a.attr, {val}
-FROM ({_FIRST_REP}) r JOIN orders ON l_orderkey = o_orderkey
-CROSS JOIN (VALUES ('СумОтч'), ('СумПрдщ'), ('СумПрдшв')) a(attr)
-WHERE o_orderstatus <> 'P' AND l_linenumber IN ({", ".join(str(x) for x in sorted(by_ln))})"""
+SELECT {fid} AS file_id, 0 AS doc_no, 1099 AS code, 'Актив' AS element, 0 AS rep, 'СумОтч' AS attr, {total} AS value {of}
+UNION ALL SELECT {fid}, 1, 1099, 'Актив', 0, 'СумОтч', {total} {of} AND o_orderkey % 10 = 0
+UNION ALL SELECT {fid}, 0, 1299, 'Пассив', 0, 'СумОтч', {total} {of}
+UNION ALL SELECT {fid}, 0, 2110, 'Выруч', 0, 'СумОтч', {total} {of}
+UNION ALL SELECT {fid}, 0, 2110, 'Выруч', 0, 'СумПред', CAST(o_custkey AS VARCHAR) {of}
+UNION ALL SELECT {fid}, 0, {code}, {elem}, rep, CASE a.n WHEN 1 THEN 'СумОтч' WHEN 3 THEN 'СумПрдшв'
+                 ELSE CASE WHEN {code} < 2000 THEN 'СумПрдщ' ELSE 'СумПред' END END,
+                 CASE a.n WHEN 1 THEN q WHEN 2 THEN p ELSE t END
+FROM ({_ITEMS}) JOIN orders ON l_orderkey = o_orderkey CROSS JOIN (VALUES (1), (2), (3)) a(n)
+WHERE {orders} AND {_READABLE} AND (a.n < 3 OR {code} < 2000)"""
+
+
+def _full_long(spark, sf):
+    lines = REP.dictionary_lines(I.report_dictionary(spark))
+    return REP.xml_to_long(_parsed_reports(spark, sf, lines, (REP.FULL,)), lines, REP.FULL)
 
 
 @register("xml_to_long", _long_sql())
 def xml_to_long(spark, sf):
-    return REP.xml_to_long(_parsed_reports(spark, sf, (REP.FULL,)), I.report_dictionary(spark), REP.FULL)
+    return _full_long(spark, sf)
+
+
+# RSH-3: the long form of the first occurrences back to one row per document
+_WIDE_KEYS = [f"{c}_{a}" for c, _ in _FULL_LINES for a in (_THREE if c < 2000 else _TWO)]
+
+
+@register("long_to_wide", _with(("l", _long_sql())) + "SELECT file_id, doc_no, " + ", ".join(
+    f"max(CASE WHEN CAST(code AS VARCHAR) || '_' || attr = '{k}' THEN value END) AS \"{k}\"" for k in _WIDE_KEYS)
+    + " FROM l WHERE rep = 0 GROUP BY file_id, doc_no")
+def long_to_wide(spark, sf):
+    long = _full_long(spark, sf).where(F.col("rep") == 0) \
+        .withColumn("key", F.concat_ws("_", F.col("code").cast("string"), "attr"))
+    return REP.long_to_wide(long, ["file_id", "doc_no"], "key", "value", _WIDE_KEYS)
 
 
 def _part_dictionary(spark, sf):
@@ -639,32 +837,41 @@ def _part_dictionary(spark, sf):
             .select((F.col("p_size") * 100 + 1000).alias("code"), "element")
 
 
+# The identifying columns, the remapped codes and the codes that each kind leaves out.
+_ID_COLUMNS = [("ИдФайл", "xml"), ("КНД", "Тип"), ("КНД", "ОтчетГод"), ("ДатаДок", "ГГГГММДД"), ("СвНП", "ОКВЭД2"),
+               ("НПЮЛ", "ИННЮЛ"), ("НПЮЛ", "НаимОрг")]
+_LEFT_OUT = {
+    "full": "1151, 1171, 1231, 1301, 1302, 1411, 1451, 1511, 1551, 2121, 2416",
+    "simplified": "1110, 1120, 1130, 1140, 1150, 1160, 1170, 1180, 1190, 1100, 1220, 1230, 1240, 1260, 1200, 1310, 1320, "
+                  "1340, 1350, 1360, 1370, 1300, 1410, 1420, 1430, 1450, 1400, 1510, 1530, 1540, 1550, 1500, 2120, 2130, "
+                  "2210, 2220, 2230, 2310, 2320, 2360, 2410, 2411, 2412, 2460, 2510, 2520, 2530, 2540, 2900, 2910"}
+
+
 def _header_sql(kind):
-    remap = "CASE code " + " ".join(f"WHEN {a} THEN {b}" for a, b in REP.CODE_REMAP.items()) + " ELSE code END"
     ids = " UNION ALL ".join(f"SELECT {i} AS pos, '{n}' AS element, '{a}' AS attr, CAST(NULL AS INTEGER) AS code"
-                             for i, (n, a) in enumerate(REP.ID_HEADER))
-    attrs = ", ".join([f"({i}, '{a}', true)" for i, a in enumerate(REP.BAL_ATTRS)]
-                      + [f"({i}, '{a}', false)" for i, a in enumerate(REP.RES_ATTRS)])
+                             for i, (n, a) in enumerate(_ID_COLUMNS))
+    attrs = ", ".join([f"({i}, '{a}', true)" for i, a in enumerate(_THREE)] + [f"({i}, '{a}', false)" for i, a in enumerate(_TWO)])
     return _with(
         ("d0", "SELECT p_size * 100 + 1000 AS code, min(p_type) AS element FROM part GROUP BY p_size"),
-        ("d", f"SELECT {remap} AS code, element FROM d0"),
-        ("f", f"SELECT * FROM d WHERE code NOT IN ({', '.join(map(str, REP.EXCLUDED[kind]))})"),
+        ("d", "SELECT CASE code WHEN 1600 THEN 1099 WHEN 1700 THEN 1299 WHEN 13001 THEN 1301 WHEN 13002 THEN 1302 "
+              "ELSE code END AS code, element FROM d0"),
+        ("f", f"SELECT * FROM d WHERE code NOT IN ({_LEFT_OUT[kind]})"),
         ("l", f"SELECT code, element, a.attr_pos, a.attr FROM f JOIN (VALUES {attrs}) a(attr_pos, attr, bal) "
               "ON (f.code < 2000) = a.bal"),
         ("h", f"""{ids} UNION ALL
-SELECT CAST(row_number() OVER (ORDER BY code, element, attr_pos) + {len(REP.ID_HEADER) - 1} AS INTEGER),
+SELECT CAST(row_number() OVER (ORDER BY code, element, attr_pos) + {len(_ID_COLUMNS) - 1} AS INTEGER),
        element, attr, code FROM l"""),
         ("n", """SELECT *, CASE WHEN row_number() OVER (PARTITION BY element ORDER BY pos) = 1 THEN element
      ELSE element || '_' || CAST(row_number() OVER (PARTITION BY element ORDER BY pos) - 1 AS VARCHAR) END AS name
 FROM h""")) + "SELECT pos, name, attr, code, element, name || '__' || attr AS \"column\" FROM n"
 
 
-@register("report_header", _header_sql(REP.FULL))
+@register("report_header", _header_sql("full"))
 def report_header(spark, sf):
     return REP.report_header(_part_dictionary(spark, sf), REP.FULL)
 
 
-@register("dedupe_names", _header_sql(REP.SIMPLE))
+@register("dedupe_names", _header_sql("simplified"))
 def dedupe_names(spark, sf):
     return REP.report_header(_part_dictionary(spark, sf), REP.SIMPLE)
 
@@ -682,8 +889,9 @@ def style_map(spark, sf):
 
 
 @register("report_status", """
-SELECT CASE WHEN o_orderstatus = 'P' THEN 'simplified' ELSE 'full' END AS kind,
-       count(*) AS files, CAST(0 AS BIGINT) AS broken, count(*) AS documents
+SELECT CASE WHEN o_orderkey % 89 = 0 THEN 'unroutable' WHEN o_orderstatus = 'P' THEN 'simplified' ELSE 'full' END AS kind,
+       count(*) AS files, count(*) FILTER (WHERE o_orderkey % 97 = 0) AS broken,
+       CAST(sum(CASE WHEN o_orderkey % 97 = 0 THEN 0 WHEN o_orderkey % 10 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS documents
 FROM orders GROUP BY ALL""")
 def report_status(spark, sf):
     st = REP.report_status(I.report_files(spark, sf))

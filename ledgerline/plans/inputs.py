@@ -22,56 +22,66 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- level table
-# LV: one extract with three pre-made levels, as the reference's uploads have:
+# LV: one extract with three pre-made levels and the 18 metrics of the transactions upload:
 # mcc null = grand total, mcc 'G<n>' = text group, mcc '<p_size>' = numeric code.
-# Group G3 states its quantity 1.5 times too high, so the checks have something to find.
-LV_METRICS = ["quantity", "price", "discount", "tax"]
+# Planted: group G3 states its first amount 1.5 times too high, and code 7 its second one
+# nine times too high, so that every level check has something to find.
+# The metrics of the upload, in its column order.
+PLACES = ["on_terr", "other_terr", "other_region", "other_countries", "onl_rf", "onl_other"]
+LV_METRICS = ([f"trans_amount_{p}" for p in PLACES] + [f"count_trans_{p}" for p in PLACES]
+              + [f"client_cnt_{p}" for p in PLACES])
 DEC = "decimal(19,2)"
 
 
 def level_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
-        "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate")
+        "l_partkey", "l_quantity", "l_extendedprice", "l_linenumber", "l_returnflag", "l_shipdate")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    price, count = F.col("l_extendedprice").cast(DEC), F.col("l_quantity").cast("bigint")
+    metrics = ([(price * F.lit(i + 1)).cast(DEC) for i in range(6)] + [count + F.lit(i).cast("bigint") for i in range(6)]
+               + [(F.col("l_linenumber") + F.lit(i)).cast("bigint") for i in range(6)])
     base = li.join(part, li.l_partkey == part.p_partkey).select(
-        F.col("p_size").cast("string").alias("code"),
+        F.col("p_size").alias("size"), F.col("p_size").cast("string").alias("code"),
         F.concat(F.lit("G"), (F.col("p_size") % 6).cast("string")).alias("grp"),
-        F.col("l_returnflag").alias("region_name"),
-        month_period("l_shipdate").alias("partition_dt"),
-        F.col("l_quantity").cast(DEC).alias("quantity"),
-        F.col("l_extendedprice").cast(DEC).alias("price"),
-        F.col("l_discount").cast(DEC).alias("discount"),
-        F.col("l_tax").cast(DEC).alias("tax"),
-    )
-    planted = F.when(F.col("grp") == "G3", (F.col("quantity") * F.lit(1.5).cast("decimal(2,1)")).cast(DEC)) \
-               .otherwise(F.col("quantity"))
-    rest = [F.col(m) for m in LV_METRICS[1:]]
+        F.col("l_returnflag").alias("region_name"), month_period("l_shipdate").alias("partition_dt"),
+        *[m.alias(n) for n, m in zip(LV_METRICS, metrics)])
+    first, second, *rest = [F.col(m) for m in LV_METRICS]
+    high = F.when(F.col("grp") == "G3", (first * F.lit(1.5).cast("decimal(2,1)")).cast(DEC)).otherwise(first)
+    wrong = F.when(F.col("size") == 7, (second * 9).cast(DEC)).otherwise(second)
     # one scan, one join: each input row yields its three level rows
     return base.select("region_name", "partition_dt", F.inline(F.array(
-        F.struct(F.lit(None).cast("string").alias("mcc"), F.col("quantity"), *rest),
-        F.struct(F.col("grp").alias("mcc"), planted.alias("quantity"), *rest),
-        F.struct(F.col("code").alias("mcc"), F.col("quantity"), *rest),
+        F.struct(F.lit(None).cast("string").alias("mcc"), first, second, *rest),
+        F.struct(F.col("grp").alias("mcc"), high.alias(LV_METRICS[0]), second, *rest),
+        F.struct(F.col("code").alias("mcc"), first, wrong.alias(LV_METRICS[1]), *rest),
     ))).select("mcc", "region_name", "partition_dt", *LV_METRICS)
 
 
-LV_SQL = """
+def _lv_sql() -> str:
+    names = ([f"CAST(CAST(l_extendedprice AS DECIMAL(19,2)) * {i + 1} AS DECIMAL(19,2)) AS trans_amount_{p}" for i, p in enumerate(PLACES)]
+             + [f"CAST(l_quantity AS BIGINT) + {i} AS count_trans_{p}" for i, p in enumerate(PLACES)]
+             + [f"CAST(l_linenumber + {i} AS BIGINT) AS client_cnt_{p}" for i, p in enumerate(PLACES)])
+    rest = ", ".join(LV_METRICS[2:])
+    return f"""
 WITH base AS (
-  SELECT CAST(p_size AS VARCHAR) AS code, 'G' || CAST(p_size % 6 AS VARCHAR) AS grp,
-         l_returnflag AS region_name,
-         strftime(date_trunc('month', l_shipdate), '%Y-%m-%d') AS partition_dt,
-         CAST(l_quantity AS DECIMAL(19,2)) AS quantity, CAST(l_extendedprice AS DECIMAL(19,2)) AS price,
-         CAST(l_discount AS DECIMAL(19,2)) AS discount, CAST(l_tax AS DECIMAL(19,2)) AS tax
+  SELECT p_size, CAST(p_size AS VARCHAR) AS code, 'G' || CAST(p_size % 6 AS VARCHAR) AS grp,
+         l_returnflag AS region_name, strftime(date_trunc('month', l_shipdate), '%Y-%m-%d') AS partition_dt,
+         {", ".join(names)}
   FROM lineitem JOIN part ON l_partkey = p_partkey)
-SELECT CAST(NULL AS VARCHAR) AS mcc, region_name, partition_dt, quantity, price, discount, tax FROM base
+SELECT CAST(NULL AS VARCHAR) AS mcc, region_name, partition_dt, {", ".join(LV_METRICS)} FROM base
 UNION ALL
 SELECT grp, region_name, partition_dt,
-       CASE WHEN grp = 'G3' THEN CAST(quantity * 1.5 AS DECIMAL(19,2)) ELSE quantity END,
-       price, discount, tax FROM base
+       CASE WHEN grp = 'G3' THEN CAST(trans_amount_on_terr * 1.5 AS DECIMAL(19,2)) ELSE trans_amount_on_terr END,
+       trans_amount_other_terr, {rest} FROM base
 UNION ALL
-SELECT code, region_name, partition_dt, quantity, price, discount, tax FROM base
+SELECT code, region_name, partition_dt, trans_amount_on_terr,
+       CASE WHEN p_size = 7 THEN CAST(trans_amount_other_terr * 9 AS DECIMAL(19,2)) ELSE trans_amount_other_terr END,
+       {rest} FROM base
 """
 
 
+LV_SQL = _lv_sql()
+
+
 def code_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """MccGroup: numeric code -> text group, from part sizes."""
     part = table(spark, sf_dir, "part")
@@ -106,53 +116,81 @@ SELECT o_orderkey, o_orderpriority, o_totalprice,
 FROM orders"""
 
 
+# The seven income sources that the total-income check weighs, with the share
+# given to each in the derived input.
+INCOME_SHARES = {"salary": "0.4000", "pension": "0.2000", "stipend": "0.1000", "dividend": "0.1000",
+                 "unemployment": "0.1000", "pregnancy": "0.0500", "additional_payment": "0.0500"}
+
+
 def weighted_input(spark, sf_dir):
-    """Line items as income clusters: two sources (undiscounted / discount share) at the unit
-    price, stated total average 2 % too high on every 7th order."""
+    """Line items as income clusters in decimals: seven source averages and shares, and a stated
+    average that is their weighted mean, 2 % too high on every 7th order."""
     li = table(spark, sf_dir, "lineitem")
-    unit = F.col("l_extendedprice") / F.col("l_quantity")
-    return li.select("l_orderkey", "l_linenumber",
-                     F.col("l_quantity").alias("n"), unit.alias("unit"),
-                     (F.lit(1.0) - F.col("l_discount")).alias("share_a"), F.col("l_discount").alias("share_b"),
-                     F.when(F.col("l_orderkey") % 7 == 0, unit * 1.02).otherwise(unit).alias("avg_all"),
-                     F.date_format("l_shipdate", "yyyy-MM-dd").alias("partition_dt"))
-
-
-WEIGHTED_SQL = """
-SELECT l_orderkey, l_linenumber, l_quantity AS n, l_extendedprice / l_quantity AS unit,
-       1.0 - l_discount AS share_a, l_discount AS share_b,
-       CASE WHEN l_orderkey % 7 = 0 THEN l_extendedprice / l_quantity * 1.02 ELSE l_extendedprice / l_quantity END
-         AS avg_all,
+    price = F.col("l_extendedprice").cast(DEC)
+    cols, mean = [], F.lit(0).cast("decimal(30,6)")
+    for i, (s, share) in enumerate(INCOME_SHARES.items()):
+        avg, ratio = (price + F.lit(i)).cast(DEC), F.lit(share).cast("decimal(5,4)")
+        cols += [avg.alias(f"avg_{s}_rur"), ratio.alias(f"{s}_ratio")]
+        mean = mean + avg * ratio
+    stated = F.when(F.col("l_orderkey") % 7 == 0, mean * F.lit("1.02").cast("decimal(3,2)")).otherwise(mean).cast(DEC)
+    return li.select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("int").alias("client_cnt_in_cluster"), *cols,
+                     stated.alias("avg_all_rur"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("partition_dt"))
+
+
+def _weighted_sql():
+    price = "CAST(l_extendedprice AS DECIMAL(19,2))"
+    cols = ", ".join(f"CAST({price} + {i} AS DECIMAL(19,2)) AS avg_{s}_rur, CAST({r} AS DECIMAL(5,4)) AS {s}_ratio"
+                     for i, (s, r) in enumerate(INCOME_SHARES.items()))
+    mean = " + ".join(f"({price} + {i}) * CAST({r} AS DECIMAL(5,4))" for i, r in enumerate(INCOME_SHARES.values()))
+    return f"""
+SELECT l_orderkey, l_linenumber, CAST(l_quantity AS INTEGER) AS client_cnt_in_cluster, {cols},
+       CAST(CASE WHEN l_orderkey % 7 = 0 THEN ({mean}) * CAST(1.02 AS DECIMAL(3,2)) ELSE {mean} END AS DECIMAL(19,2)) AS avg_all_rur,
        strftime(l_shipdate, '%Y-%m-%d') AS partition_dt
 FROM lineitem"""
 
 
+WEIGHTED_SQL = _weighted_sql()
+
+
 def product_input(spark, sf_dir):
-    """Line items with a stated total = quantity x retail price, 2 % off on every 7th order."""
-    from ..functions.numbers import round_half_away
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
+    """Line items as company rows in decimals: count x mean income against the stated income
+    (2 % off on every 7th order) and mean cheque x count against the stated turnover (5 % off on
+    every 5th)."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
                                                   "l_shipdate")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     j = li.join(part, li.l_partkey == part.p_partkey)
-    exact = round_half_away(F.col("l_quantity") * F.col("p_retailprice"), 2)
-    return j.select("l_orderkey", "l_linenumber", "l_quantity", "p_retailprice",
-                    F.when(F.col("l_orderkey") % 7 == 0, exact * 1.02).otherwise(exact).alias("stated_total"),
+    n, price, cheque = F.col("l_quantity").cast("decimal(20,0)"), F.col("p_retailprice").cast(DEC), F.col("l_extendedprice").cast(DEC)
+    income, turnover = n * price, cheque * F.col("l_linenumber")
+    return j.select("l_orderkey", "l_linenumber", n.alias("cnt_inn"), price.alias("avg_income"),
+                    F.when(F.col("l_orderkey") % 7 == 0, income * F.lit("1.02").cast("decimal(3,2)")).otherwise(income)
+                     .cast(DEC).alias("SUM_income"),
+                    cheque.alias("all_avg_cheque"), F.col("l_linenumber").cast(DEC).alias("all_trans_cnt"),
+                    F.when(F.col("l_orderkey") % 5 == 0, turnover * F.lit("0.95").cast("decimal(3,2)")).otherwise(turnover)
+                     .cast(DEC).alias("all_trans_amount"),
                     F.date_format("l_shipdate", "yyyy-MM-dd").alias("partition_dt"))
 
 
-def _r2(x):
-    from ..functions.numbers import round_half_away_sql
-    return round_half_away_sql(x)
-
-
-PRODUCT_SQL = f"""
-SELECT l_orderkey, l_linenumber, l_quantity, p_retailprice,
-       CASE WHEN l_orderkey % 7 = 0 THEN {_r2('l_quantity * p_retailprice')} * 1.02
-            ELSE {_r2('l_quantity * p_retailprice')} END AS stated_total,
+PRODUCT_SQL = """
+SELECT l_orderkey, l_linenumber, CAST(l_quantity AS DECIMAL(20,0)) AS cnt_inn, CAST(p_retailprice AS DECIMAL(19,2)) AS avg_income,
+       CAST(CASE WHEN l_orderkey % 7 = 0 THEN CAST(l_quantity AS INTEGER) * CAST(p_retailprice AS DECIMAL(19,2)) * CAST(1.02 AS DECIMAL(3,2))
+            ELSE CAST(l_quantity AS INTEGER) * CAST(p_retailprice AS DECIMAL(19,2)) END AS DECIMAL(19,2)) AS SUM_income,
+       CAST(l_extendedprice AS DECIMAL(19,2)) AS all_avg_cheque, CAST(l_linenumber AS DECIMAL(19,2)) AS all_trans_cnt,
+       CAST(CASE WHEN l_orderkey % 5 = 0 THEN CAST(l_extendedprice AS DECIMAL(19,2)) * l_linenumber * CAST(0.95 AS DECIMAL(3,2))
+            ELSE CAST(l_extendedprice AS DECIMAL(19,2)) * l_linenumber END AS DECIMAL(19,2)) AS all_trans_amount,
        strftime(l_shipdate, '%Y-%m-%d') AS partition_dt
 FROM lineitem JOIN part ON l_partkey = p_partkey"""
 
 
+# Deviations that end in exactly half a hundredth of a percent, on amounts up to 10 ** 18:
+# b = a less quantity times a 20,000th of a, so the deviation is quantity * 0.005 %.
+def tie_input(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("int").alias("q"))
+    step = F.element_at(F.array(*[F.lit(f"{10 ** (2 * i + 1)}.05").cast("decimal(20,2)") for i in range(7)]), F.col("l_linenumber"))
+    return li.select("l_orderkey", "l_linenumber", "q", (step * 20000).cast("decimal(28,2)").alias("a"),
+                     (step * 20000 - step * F.col("q")).cast("decimal(28,2)").alias("b"))
+
+
 # ---------------------------------------------------------------- incremental load
 # Upload = orders with a monthly period; history = what was loaded before 2001.
 HISTORY_BEFORE = "2001-01-01"
@@ -195,7 +233,8 @@ FROM orders"""
 # ---------------------------------------------------------------- indicators
 def _vl(cents_col, kind_col):
     ip = F.expr(f"{cents_col} div 100").cast("string")
-    fp = F.lpad((F.col(cents_col) % 100).cast("string"), 2, "0")
+    # five decimals: a scaled value has eight of them
+    fp = F.concat(F.lpad((F.col(cents_col) % 100).cast("string"), 2, "0"), F.lpad((F.col(cents_col) % 997).cast("string"), 3, "0"))
     txt = F.concat(ip, F.lit(","), fp)
     return (F.when(F.col(kind_col) == 0, F.lit("-"))
              .when(F.col(kind_col) == 1, F.concat(txt, F.lit("%")))
@@ -205,25 +244,26 @@ def _vl(cents_col, kind_col):
 
 
 def value_text(spark, sf_dir):
-    """Indicator value text from events.value: '-', 'x,yy%', '1 xxx,yy', null or 'x,yy' by event id."""
+    """Indicator value text from events.value: '-', 'x,yyyyy%', '1 xxx,yyyyy', null or 'x,yyyyy' by event id."""
     e = table(spark, sf_dir, "events")
     return (e.select("event_id", F.round(F.col("value") * 100).cast("long").alias("__c"),
                      (F.col("event_id") % 10).alias("__k"))
              .select("event_id", _vl("__c", "__k").alias("VL")))
 
 
-_VL_SQL = """CASE event_id % 10 WHEN 0 THEN '-'
-   WHEN 1 THEN CAST(c // 100 AS VARCHAR) || ',' || lpad(CAST(c % 100 AS VARCHAR), 2, '0') || '%'
-   WHEN 2 THEN '1 ' || lpad(CAST(c // 100 AS VARCHAR), 3, '0') || ',' || lpad(CAST(c % 100 AS VARCHAR), 2, '0')
+_FIVE = "lpad(CAST(c % 100 AS VARCHAR), 2, '0') || lpad(CAST(c % 997 AS VARCHAR), 3, '0')"
+_VL_SQL = f"""CASE event_id % 10 WHEN 0 THEN '-'
+   WHEN 1 THEN CAST(c // 100 AS VARCHAR) || ',' || {_FIVE} || '%'
+   WHEN 2 THEN '1 ' || lpad(CAST(c // 100 AS VARCHAR), 3, '0') || ',' || {_FIVE}
    WHEN 3 THEN NULL
-   ELSE CAST(c // 100 AS VARCHAR) || ',' || lpad(CAST(c % 100 AS VARCHAR), 2, '0') END"""
+   ELSE CAST(c // 100 AS VARCHAR) || ',' || {_FIVE} END"""
 
 VALUE_TEXT_SQL = f"""
 SELECT event_id, {_VL_SQL} AS VL FROM (SELECT *, CAST(round(value * 100) AS BIGINT) AS c FROM events)"""
 
 
 def indicator_pages(spark, sf_dir):
-    """Events as API page rows: indicator by event type, flags by user, slice = user % 25,
+    """Events as API page rows: indicator by event type, flags by user, slice = user % 30,
     category = event % 6 (5 has no name), date = day of the event, value text as above."""
     e = table(spark, sf_dir, "events")
     ind = (F.when(F.col("event_type") == "view", 50.0).when(F.col("event_type") == "click", 9950.0)
@@ -236,7 +276,7 @@ def indicator_pages(spark, sf_dir):
         F.when(F.col("user_id") % 2 == 0, 1.0).otherwise(0.0).alias("DIM_1294"),
         F.when(F.col("user_id") % 3 == 0, 0.0).otherwise(1.0).alias("DIM_1296"),
         F.lit(22.0).alias("DIM_1297"),
-        (F.col("user_id") % 25).cast("double").alias("DIM_369"),
+        (F.col("user_id") % 30).cast("double").alias("DIM_369"),
         (F.col("event_id") % 6).cast("double").alias("DIM_1295"),
         F.date_format("ts", "yyyy-MM-dd").alias("DT"),
         _vl("__c", "__k").alias("VL"))
@@ -248,7 +288,7 @@ SELECT CASE WHEN event_id % 9 = 0 THEN 1.0 ELSE 2.0 END AS DIM_1293,
                        WHEN 'signup' THEN 51.0 ELSE 999.0 END AS DIM_1743,
        CASE WHEN user_id % 2 = 0 THEN 1.0 ELSE 0.0 END AS DIM_1294,
        CASE WHEN user_id % 3 = 0 THEN 0.0 ELSE 1.0 END AS DIM_1296,
-       22.0 AS DIM_1297, CAST(user_id % 25 AS DOUBLE) AS DIM_369, CAST(event_id % 6 AS DOUBLE) AS DIM_1295,
+       22.0 AS DIM_1297, CAST(user_id % 30 AS DOUBLE) AS DIM_369, CAST(event_id % 6 AS DOUBLE) AS DIM_1295,
        strftime(ts, '%Y-%m-%d') AS DT, {_VL_SQL} AS VL
 FROM (SELECT *, CAST(round(value * 100) AS BIGINT) AS c FROM events)"""
 
@@ -259,14 +299,13 @@ def categories(spark, sf_dir):
 
 
 def slices(spark, sf_dir):
-    """Name tree with ids 0..19 only: ids 20..24 of the data stay undecoded."""
+    """Name tree with the ids 0..24 of all nations: slices 25..29 of the data stay undecoded."""
     n = table(spark, sf_dir, "nation")
-    return n.where(F.col("n_nationkey") < 20).select(F.col("n_nationkey").cast("double").alias("id"),
-                                                     F.lower("n_name").alias("name"))
+    return n.select(F.col("n_nationkey").cast("double").alias("id"), F.lower("n_name").alias("name"))
 
 
 CATEGORIES_SQL = "SELECT CAST(r_regionkey AS DOUBLE) AS id, lower(r_name) AS name FROM region"
-SLICES_SQL = "SELECT CAST(n_nationkey AS DOUBLE) AS id, lower(n_name) AS name FROM nation WHERE n_nationkey < 20"
+SLICES_SQL = "SELECT CAST(n_nationkey AS DOUBLE) AS id, lower(n_name) AS name FROM nation"
 
 
 # ---------------------------------------------------------------- cells
@@ -298,10 +337,9 @@ CELL_KEYS = ["CELL_ID", "REGION_ID", "INDUSTRY_ID", "INDUSTRY_NAME", "ANALYTIC_D
 
 def cell_table_3(spark, sf_dir):
     """т.3 from customers: one row per (cell = nation, segment) with balance and count."""
-    from ..operators.joins import join_dimension
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey", "n_name")
-    j = join_dimension(c, n, F.col("c_nationkey") == F.col("n_nationkey"), "inner")
+    j = c.join(n, F.col("c_nationkey") == F.col("n_nationkey"))
     return (j.groupBy(_cell_id("c_nationkey").alias("CELL_ID"), F.col("n_regionkey").alias("REGION_ID"),
                       F.left("c_mktsegment", F.lit(2)).alias("INDUSTRY_ID"),
                       F.col("c_mktsegment").alias("INDUSTRY_NAME"),
@@ -311,10 +349,9 @@ def cell_table_3(spark, sf_dir):
 
 def cell_table_5(spark, sf_dir):
     """т.5 from suppliers (segment by supplier number); no region or date of its own."""
-    from ..operators.joins import join_dimension
     s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    j = join_dimension(s, n, F.col("s_nationkey") == F.col("n_nationkey"), "inner")
+    j = s.join(n, F.col("s_nationkey") == F.col("n_nationkey"))
     seg = F.element_at(F.array(*[F.lit(x) for x in SEGMENTS]), (F.col("s_suppkey") % 5 + 1).cast("int"))
     return (j.groupBy(_cell_id("s_nationkey").alias("CELL_ID"), F.left(seg, F.lit(2)).alias("INDUSTRY_ID"),
                       seg.alias("INDUSTRY_NAME"), F.lower("n_name").alias("area"))
@@ -335,6 +372,26 @@ SELECT {_cell_id_sql('s_nationkey')} AS CELL_ID, left({_SEG_SQL}, 2) AS INDUSTRY
 FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL"""
 
 
+# т.4: cells by spending bin (null for the largest accounts), with two metrics and a column to drop
+def cell_table_4(spark, sf_dir):
+    """т.4 from customers: cell = nation, industry = segment, spending bin = account balance class."""
+    c = table(spark, sf_dir, "customer")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    bin_ = F.when(F.col("c_acctbal") < 0, "low").when(F.col("c_acctbal") < 5000, "mid").when(F.col("c_acctbal") < 9000, "high")
+    return c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        "c_custkey", _cell_id("c_nationkey").alias("CELL_ID"), F.col("c_mktsegment").alias("INDUSTRY_NAME"),
+        bin_.alias("SPENDING_BIN"), F.lower("n_name").alias("area"), F.col("c_acctbal").alias("spend"),
+        F.when(F.col("c_custkey") % 4 != 0, F.col("c_custkey").cast("double")).alias("visits"),
+        F.lit("x").alias("COLOR_ID_old"))
+
+
+CELL4_SQL = f"""
+SELECT c_custkey, {_cell_id_sql('c_nationkey')} AS CELL_ID, c_mktsegment AS INDUSTRY_NAME,
+       CASE WHEN c_acctbal < 0 THEN 'low' WHEN c_acctbal < 5000 THEN 'mid' WHEN c_acctbal < 9000 THEN 'high' END AS SPENDING_BIN,
+       lower(n_name) AS area, c_acctbal AS spend, CASE WHEN c_custkey % 4 <> 0 THEN CAST(c_custkey AS DOUBLE) END AS visits
+FROM customer JOIN nation ON c_nationkey = n_nationkey"""
+
+
 # Hexagon vertex offsets (lat, lng) in thousandths of a degree.
 HEX_OFFSETS = [(2, 0), (1, 2), (-1, 2), (-2, 0), (-1, -2), (1, -2)]
 
@@ -364,19 +421,33 @@ RINGS_SQL = _ring_sql()
 # The code dictionary used by the report queries (its file is not part of
 # the reference); 1600/1700/13001/13002 are remapped by the report job itself.
 REPORT_DICTIONARY = [
-    (1600, "Актив"), (1100, "ВнеОбА"), (1110, "НематАкт"), (1120, "РезИсслед"), (1130, "НеМатПоискАкт"),
-    (1140, "МатПоискАкт"), (1150, "ОснСр"), (1151, "ОснСрНезаверш"), (1170, "ФинВлож"), (1200, "ОбА"),
-    (1210, "Запасы"), (1220, "НДСПриобрЦен"), (1230, "ДебЗад"), (1240, "ФинВлож"), (1250, "ДенежнСр"),
-    (1700, "Пассив"), (1300, "КапРез"), (1520, "КредитЗадолж"), (2110, "Выруч"), (2120, "СебестПрод"),
+    (1600, "Актив"), (1100, "ВнеОбА"), (1110, "НематАкт"), (1120, "РезИсслед"), (1150, "ОснСр"),
+    (1151, "ОснСрНезаверш"), (1170, "ФинВлож"), (1200, "ОбА"), (1210, "Запасы"), (1240, "ФинВлож"),
+    (1250, "ДенежнСр"), (1700, "Пассив"), (1300, "КапРез"), (1310, "УставКапитал"), (1370, "НераспПриб"),
+    (1400, "ДолгосрОбяз"), (1410, "ЗаемСредств"), (1411, "ЗаемСредствКред"), (1430, "ОценОбяз"),
+    (1450, "ПрочОбяз"), (1500, "КраткосрОбяз"), (1510, "ЗаемСредств"), (1520, "КредитЗадолж"),
+    (1530, "ДоходБудущ"), (1540, "ОценОбяз"), (1550, "ПрочОбяз"), (2110, "Выруч"), (2120, "СебестПрод"),
+    (2330, "ПроцУпл"), (2340, "ПрочДоход"), (2350, "ПрочРасход"), (2400, "ЧистПрибУб"),
     (13001, "МатВнеАкт"), (13002, "НеМатФинАкт"),
 ]
-# Which report line each line item number becomes, per kind: (section, element).
-FULL_LINES = {1: ("ВнеОбА", "НематАкт"), 2: ("ВнеОбА", "РезИсслед"), 3: ("ВнеОбА", "НеМатПоискАкт"),
-              4: ("ВнеОбА", "МатПоискАкт"), 5: ("ОбА", "Запасы"), 6: ("ОбА", "НДСПриобрЦен"),
-              7: ("ОбА", "ДебЗад")}
-SIMPLE_LINES = {1: ("Актив", "МатВнеАкт"), 2: ("Актив", "НеМатФинАкт"), 3: ("Актив", "Запасы"),
-                4: ("Актив", "ФинВлож"), 5: ("Актив", "ДенежнСр"), 6: ("Пассив", "КапРез"),
-                7: ("Пассив", "КредитЗадолж")}
+# Which report line a line item becomes, (section, element, code).  A full
+# report's line items take slots line number + 7 * (order key % 3), a simplified one's the
+# line number.
+FULL_SLOTS = {1: ("ВнеОбА", "НематАкт", 1110), 2: ("ВнеОбА", "РезИсслед", 1120), 3: ("ВнеОбА", "ОснСр", 1150),
+              4: ("ВнеОбА", "ФинВлож", 1170), 5: ("ОбА", "Запасы", 1210), 6: ("ОбА", "ФинВлож", 1240),
+              7: ("ОбА", "ДенежнСр", 1250), 8: ("КапРез", "УставКапитал", 1310), 9: ("КапРез", "НераспПриб", 1370),
+              10: ("ДолгосрОбяз", "ЗаемСредств", 1410), 11: ("ДолгосрОбяз", "ОценОбяз", 1430),
+              12: ("ДолгосрОбяз", "ПрочОбяз", 1450), 13: ("КраткосрОбяз", "ЗаемСредств", 1510),
+              14: ("КраткосрОбяз", "КредитЗадолж", 1520), 15: ("КраткосрОбяз", "ОценОбяз", 1540),
+              16: ("КраткосрОбяз", "ПрочОбяз", 1550), 17: ("КраткосрОбяз", "ДоходБудущ", 1530),
+              18: ("ФинРез", "СебестПрод", 2120), 19: ("ФинРез", "ПрочДоход", 2340), 20: ("ФинРез", "ПрочРасход", 2350),
+              21: ("ФинРез", "ЧистПрибУб", 2400)}
+SIMPLE_SLOTS = {1: ("Актив", "МатВнеАкт", 1301), 2: ("Актив", "НеМатФинАкт", 1302), 3: ("Актив", "Запасы", 1210),
+                4: ("Актив", "ДенежнСр", 1250), 5: ("Пассив", "КредитЗадолж", 1520), 6: ("ФинРез", "ПроцУпл", 2330),
+                7: ("ФинРез", "ЧистПрибУб", 2400)}
+# Every 10th order files a second document (asset total only); every 97th file is cut off,
+# every 89th has a foreign id prefix, every 83rd a long comment before its root that names
+# another id.
 
 
 def money_text(c):
@@ -391,55 +462,66 @@ def report_dictionary(spark):
     return spark.createDataFrame(REPORT_DICTIONARY, "code int, element string")
 
 
+def _section(slots: dict, name: str, offset):
+    """XML of the line items of one section; line items of other sections give nothing."""
+    tags = F.create_map(*[x for k, (_, e, _) in slots.items() for x in (F.lit(k), F.lit(e))])
+    mine = [k for k, (section, _, _) in slots.items() if section == name]
+    second = "СумПред" if name == "ФинРез" else "СумПрдщ"
+
+    def line(x):
+        third = F.lit('"/>') if name == "ФинРез" else F.concat(F.lit('" СумПрдшв="'), x["t"], F.lit('"/>'))
+        return F.concat(F.lit("<"), tags[x["ln"] + offset], F.lit(' СумОтч="'), x["q"], F.lit(f'" {second}="'), x["p"], third)
+
+    own = F.filter("lines", lambda x: (x["ln"] + offset).isin(mine))
+    return F.array_join(F.transform(F.array_sort(own), line), "")
+
+
 def report_files(spark, sf_dir):
     """One XML report per order: pending orders file a simplified report, others a full one;
-    line items become balance lines (quantity, price, tax as the three periods).
+    line items become lines of every section (quantity, price, tax as the three periods, or
+    quantity and price in the results).
 
-    The balance sections are built per order right after the line items are grouped
-    (a stage with many tasks), both layouts at once; joining the orders then only adds
-    the header text.
+    Orders and line items are dealt to as many tasks as a shuffle has, by number, so that
+    adaptive execution does not merge the narrow inputs into a few tasks that then build and
+    parse all the text.
     """
-    li = table(spark, sf_dir, "lineitem")
-    grouped = li.groupBy("l_orderkey").agg(F.collect_list(F.struct(
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_tax")
+    grouped = li.repartition(n, "l_orderkey").groupBy("l_orderkey").agg(F.collect_list(F.struct(
         F.col("l_linenumber").alias("ln"), money_text("l_quantity").alias("q"),
         money_text("l_extendedprice").alias("p"), money_text("l_tax").alias("t"))).alias("lines"))
-
-    def block(tags, lo, hi):
-        def frag(x):
-            return F.concat(F.lit("<"), F.element_at(tags, x["ln"]), F.lit(' СумОтч="'), x["q"],
-                            F.lit('" СумПрдщ="'), x["p"], F.lit('" СумПрдшв="'), x["t"], F.lit('"/>'))
-        sel = F.filter("lines", lambda x: (x["ln"] >= lo) & (x["ln"] <= hi))
-        return F.array_join(F.transform(F.array_sort(sel), frag), "")
-
-    full_tags = F.array(*[F.lit(FULL_LINES[i][1]) for i in range(1, 8)])
-    simple_tags = F.array(*[F.lit(SIMPLE_LINES[i][1]) for i in range(1, 8)])
-    sections = grouped.select(
-        "l_orderkey",
-        F.concat(F.lit("<ВнеОбА>"), block(full_tags, 1, 4), F.lit("</ВнеОбА><ОбА>"), block(full_tags, 5, 7),
-                 F.lit("</ОбА>")).alias("full_assets"),
-        block(simple_tags, 1, 5).alias("simple_assets"),
-        F.concat(F.lit("<Пассив>"), block(simple_tags, 6, 7), F.lit("</Пассив>")).alias("simple_liab"))
-    o = table(spark, sf_dir, "orders")
-    j = o.join(sections, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    simple = F.col("o_orderstatus") == "P"
-    total = money_text("o_totalprice")
-    cust = F.col("o_custkey").cast("string")
-    assets = F.coalesce(F.when(simple, F.col("simple_assets")).otherwise(F.col("full_assets")),
-                        F.when(simple, F.lit("")).otherwise(F.lit("<ВнеОбА></ВнеОбА><ОбА></ОбА>")))
-    liab = F.when(simple, F.coalesce("simple_liab", F.lit("<Пассив></Пассив>"))).otherwise(F.lit(""))
-    xml = F.concat(
-        F.lit('<Файл ИдФайл="'), F.when(simple, F.lit("NO_BOUPR_")).otherwise(F.lit("NO_BUHOT_")),
-        F.col("o_orderkey").cast("string"),
-        F.lit('"><Документ КНД="'), F.when(simple, F.lit("0710096")).otherwise(F.lit("0710099")),
-        F.lit('" ОтчетГод="'), F.date_format("o_orderdate", "yyyy"),
-        F.lit('" ДатаДок="'), F.date_format("o_orderdate", "dd.MM.yyyy"),
-        F.lit('"><СвНП ОКВЭД2="62.01"><НПЮЛ ИННЮЛ="'), F.lpad(cust, 10, "0"),
-        F.lit('" НаимОрг="Org; '), cust, F.lit('"/></СвНП><Баланс><Актив СумОтч="'), total, F.lit('">'),
-        assets, F.lit("</Актив>"), liab, F.lit('</Баланс><ФинРез><Выруч СумОтч="'), total,
-        F.lit('" СумПред="'), cust, F.lit('"/></ФинРез></Документ></Файл>'))
-    docs = j.select(F.concat(F.lit("report_"), F.col("o_orderkey").cast("string"), F.lit(".xml"))
-                    .alias("file_name"), xml.alias("content"))
-    # The documents are much larger than the join inputs, from which AQE would size (and
-    # merge) the partitions; a shuffle of the finished documents lets their real size decide
-    # how many tasks parse them.
-    return docs.repartition("file_name")
+    o = table(spark, sf_dir, "orders").repartition(n, "o_orderkey")
+    j = o.join(grouped, F.col("o_orderkey") == F.col("l_orderkey"), "left") \
+         .withColumn("lines", F.coalesce("lines", F.array().cast("array<struct<ln:int,q:string,p:string,t:string>>")))
+    key, simple = F.col("o_orderkey"), F.col("o_orderstatus") == "P"
+    total, cust = money_text("o_totalprice"), F.col("o_custkey").cast("string")
+    offset = (key % 3 * 7).cast("int")
+
+    def full(name):
+        return _section(FULL_SLOTS, name, offset)
+
+    def short(name):
+        return _section(SIMPLE_SLOTS, name, F.lit(0))
+
+    sales = F.concat(F.lit('<Выруч СумОтч="'), total, F.lit('" СумПред="'), cust, F.lit('"/>'))
+    asset = F.concat(F.lit('<Актив СумОтч="'), total, F.lit('">'))
+    liability = F.concat(F.lit('<Пассив СумОтч="'), total, F.lit('">'))
+    full_body = F.concat(
+        F.lit("<Баланс>"), asset, F.lit("<ВнеОбА>"), full("ВнеОбА"), F.lit("</ВнеОбА><ОбА>"), full("ОбА"),
+        F.lit("</ОбА></Актив>"), liability, F.lit("<КапРез>"), full("КапРез"), F.lit("</КапРез><ДолгосрОбяз>"),
+        full("ДолгосрОбяз"), F.lit("</ДолгосрОбяз><КраткосрОбяз>"), full("КраткосрОбяз"),
+        F.lit("</КраткосрОбяз></Пассив></Баланс><ФинРез>"), sales, full("ФинРез"), F.lit("</ФинРез>"))
+    short_body = F.concat(F.lit("<Баланс>"), asset, short("Актив"), F.lit("</Актив>"), liability, short("Пассив"),
+                          F.lit("</Пассив></Баланс><ФинРез>"), sales, short("ФинРез"), F.lit("</ФинРез>"))
+    head = F.concat(
+        F.lit('<Документ КНД="'), F.when(simple, F.lit("0710096")).otherwise(F.lit("0710099")),
+        F.lit('" ОтчетГод="'), F.date_format("o_orderdate", "yyyy"), F.lit('" ДатаДок="'),
+        F.date_format("o_orderdate", "dd.MM.yyyy"), F.lit('"><СвНП ОКВЭД2="62.01"><НПЮЛ ИННЮЛ="'), F.lpad(cust, 10, "0"),
+        F.lit('" НаимОрг="Org; '), cust, F.lit('"/></СвНП>'))
+    again = F.when(key % 10 == 0, F.concat(head, F.lit("<Баланс>"), asset, F.lit("</Актив></Баланс></Документ>"))).otherwise("")
+    prefix = F.when(key % 89 == 0, F.lit("NO_USN_")).when(simple, F.lit("NO_BOUPR_")).otherwise(F.lit("NO_BUHOT_"))
+    comment = F.when(key % 83 == 0, F.concat(F.lit('<!-- ИдФайл="NO_OTHER_0" '), F.repeat(F.lit("long "), 1500), F.lit("-->"))).otherwise("")
+    xml = F.concat(comment, F.lit('<Файл ИдФайл="'), prefix, key.cast("string"), F.lit('">'), head,
+                   F.when(simple, short_body).otherwise(full_body), F.lit("</Документ>"), again,
+                   F.when(key % 97 == 0, F.lit("<Докум")).otherwise(F.lit("</Файл>")))
+    return j.select(F.concat(F.lit("report_"), key.cast("string"), F.lit(".xml")).alias("file_name"), xml.alias("content"))

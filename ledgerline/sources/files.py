@@ -61,6 +61,19 @@ def read_upload(spark: SparkSession, path: str, kind: str, **kw) -> DataFrame:
     return read_delimited(spark, path, LAYOUTS[kind], **kw)
 
 
+def parse_delimited(lines: DataFrame, line: str, ddl: str, sep: str = ";", mode: str = "FAILFAST") -> DataFrame:
+    """SRC-6 on text rows: each line parsed with the upload options into the given layout."""
+    row = F.from_csv(F.col(line), ddl, {"sep": sep, "quote": '"', "mode": mode})
+    return lines.select(row.alias("__row")).select("__row.*")
+
+
+def parse_headerless(lines: DataFrame, line: str, names: list[str], sep: str = ";") -> DataFrame:
+    """SRC-8 on text rows: named columns, and the empty one behind the closing separator dropped."""
+    ddl = ", ".join(f"`{n}` string" for n in [*names, "__end"])
+    row = F.from_csv(F.col(line), ddl, {"sep": sep})
+    return lines.select(row.alias("__row")).select(*[F.col(f"__row.`{n}`") for n in names])
+
+
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
     """SRC-7: names of the files in a folder (depth 1), without reading their content."""
     df = spark.read.format("binaryFile").option("recursiveFileLookup", False).load(folder)
@@ -81,27 +94,39 @@ def read_code_dictionary(spark: SparkSession, path: str, sep: str = ";") -> Data
 
 
 # ------------------------------------------------------------------ report XML (SRC-3)
-_PROLOG = r"^\s*<\?xml[^>]*\?>"
+_PROLOG = r"^\uFEFF?\s*<\?xml[\s\S]*?\?>"
+_DECLARED = r"^[^<]*<\?xml[^>]*?encoding\s*=\s*[\"']([^\"']+)[\"']"
 
 
 def read_xml_reports(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: ``file_name``, ``content`` (text).
 
     Files are read as bytes; the charset named in the XML declaration decides the
-    decoding (windows-1251 or UTF-8), and the declaration is then removed.
+    decoding, and the declaration is then removed.  Without a declared charset the file is
+    UTF-8; a charset that is neither stops the job instead of garbling the names.
     """
     raw = spark.read.format("binaryFile").load(path)
-    head = F.decode(F.substring("content", 1, 200), "ISO-8859-1")
-    enc = F.lower(F.regexp_extract(head, r"encoding\s*=\s*[\"']([^\"']+)[\"']", 1))
-    is_1251 = enc.isin("windows-1251", "cp1251")
-    text = F.when(is_1251, F.decode("content", "windows-1251")).otherwise(F.decode("content", "UTF-8"))
     return raw.select(F.element_at(F.split("path", "/"), -1).alias("file_name"),
-                      F.regexp_replace(text, _PROLOG, "").alias("content"))
+                      xml_text(F.col("content")).alias("content"))
+
+
+def xml_text(content):
+    """The text of an XML file's bytes, by the charset of its declaration, without the declaration."""
+    declared = F.regexp_extract(F.decode(content, "ISO-8859-1"), _DECLARED, 1)
+    charset = F.lower(declared)
+    text = (F.when(charset.isin("windows-1251", "cp1251"), F.decode(content, "windows-1251"))
+             .when(charset.isin("", "utf-8", "utf8", "us-ascii"), F.decode(content, "UTF-8"))
+             .otherwise(F.raise_error(F.concat(F.lit("unknown charset of an XML file: "), declared))))
+    return F.regexp_replace(text, _PROLOG, "")
 
 
 # ------------------------------------------------------------------ cell tables (SRC-5)
-def read_table(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
-    """Cell tables: Parquet, or CSV with a header (Spark has no Excel source)."""
-    if path.endswith(".parquet") or not path.endswith(".csv"):
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = None, sep: str = ";") -> DataFrame:
+    """Cell tables: Parquet, or CSV with a header and a given schema (Spark has no Excel source)."""
+    if fmt == "parquet":
         return spark.read.parquet(path)
-    return spark.read.option("header", True).option("sep", sep).option("inferSchema", True).csv(path)
+    if fmt != "csv":
+        raise ValueError(f"unknown format {fmt!r}")
+    if schema is None:
+        raise ValueError("a CSV cell table needs its schema")
+    return spark.read.schema(schema).option("header", True).option("sep", sep).option("mode", "FAILFAST").csv(path)

@@ -28,6 +28,27 @@ def read_pages(spark: SparkSession, path: str, schema: T.StructType = PAGE_SCHEM
               .withColumn("page", F.when(page != "", page.cast("int"))))
 
 
+def page_records(pages: DataFrame, text: str, schema: T.StructType = PAGE_SCHEMA) -> DataFrame:
+    """SRC-1 on text rows: one row per record of a page's JSON array, and one row with ``failed``
+    set for a page that is not JSON."""
+    s = T.StructType([T.StructField("r", T.ArrayType(schema)), T.StructField(CORRUPT, T.StringType())])
+    whole = F.concat(F.lit('{"r":'), F.col(text), F.lit("}"))
+    p = pages.withColumn("__p", F.from_json(whole, s, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
+    bad = F.col(f"__p.{CORRUPT}").isNotNull()
+    one = F.when(bad, F.array(F.lit(None).cast(schema))).otherwise(F.col("__p.r"))
+    keep = [c for c in pages.columns if c != text]
+    p = p.select(*keep, bad.alias("failed"), F.explode(one).alias("__r"))
+    return p.select(*keep, "__r.*", "failed")
+
+
+def name_tree(trees: DataFrame, text: str, order: str) -> DataFrame:
+    """SRC-2 on text rows: id and lower-cased name; a repeated id keeps its last name."""
+    nodes = F.from_json(F.col(text), "array<struct<id: double, name: string>>")
+    t = trees.select(F.col(order).alias("__o"), F.posexplode(nodes).alias("__at", "__n"))
+    return (t.where(F.col("__n.id").isNotNull()).groupBy(F.col("__n.id").alias("id"))
+             .agg(F.max_by(F.lower("__n.name"), F.struct("__o", "__at")).alias("name")))
+
+
 def read_dimension(spark: SparkSession, path: str) -> DataFrame:
     """Name tree ``[{"id": .., "name": ..}, ..]`` -> ``id double, name`` lower-cased.
 

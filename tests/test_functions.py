@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import date_in_name, export_date, previous_month_start
-from ledgerline.functions.numbers import decimal_comma, pct_deviation, plain_text, round_half_away
+from ledgerline.functions.numbers import decimal_comma, deviates, pct_deviation, plain_text, round_half_away, round_half_even
 from ledgerline.functions.text import clean_value, code_kind, route_by_name, route_by_prefix
 
 
@@ -30,14 +30,40 @@ def test_code_kind(spark):
 
 def test_pct_deviation_and_rounding(spark):
     df = spark.createDataFrame([(100.0, 95.0), (0.0, 5.0), (None, 1.0), (3.0, 2.0), (-1.0, -1.0)], "a double, b double")
-    got = [r[0] for r in df.select(pct_deviation("a", "b")).collect()]
+    got = [r[0] for r in df.select(pct_deviation("a", "b").cast("double")).collect()]
     assert got == [5.0, None, None, 33.33, 0.0]
     r = spark.createDataFrame([(1.005,), (-2.675,), (2.5,), (0.0,)], "x double") \
              .select(round_half_away("x", 2).alias("r")).collect()
-    # floor-based rounding works on the binary product x * 100, exactly as written in Python
-    import math
-    want = [math.copysign(math.floor(abs(x) * 100.0 + 0.5), x) / 100.0 + 0.0 for x in (1.005, -2.675, 2.5, 0.0)]
-    assert [x["r"] for x in r] == want
+    assert [x["r"] for x in r] == [1.01, -2.68, 2.5, 0.0]      # by the number's decimal text, half away
+
+
+def test_money_is_exact(spark):
+    from decimal import ROUND_HALF_UP, Decimal as D
+    pairs = [("1000.00", "999.65"), ("-1000.00", "-999.65"), ("95000000000000000.00", "95000000000000000.00"),
+             ("99999999999999999.99", "99999999999999999.00"), ("3.00", "2.00"), ("0.01", "99999999.99"), ("0.00", "1.00"),
+             ("-2.00", "2.00"), ("20000.00", "19999.00"), (None, "1.00")]
+    df = spark.createDataFrame([(a and D(a), D(b)) for a, b in pairs], "a decimal(29,2), b decimal(29,2)")
+
+    def want(a, b):
+        if a is None or not D(a):
+            return None
+        from fractions import Fraction
+        q = (Fraction(a) - Fraction(b)) / Fraction(a) * 10_000
+        n = int(abs(q) + Fraction(1, 2))
+        return D(n if q >= 0 else -n).scaleb(-2)
+
+    assert [r[0] for r in df.select(pct_deviation("a", "b")).collect()] == [want(a, b) for a, b in pairs]
+    tie = spark.createDataFrame([(D("100.00"), D("99.00")), (D("100.00"), D("98.99"))], "a decimal(19,2), b decimal(19,2)")
+    assert [r[0] for r in tie.select(deviates("a", "b", 1.0)).collect()] == [False, True]
+    money = spark.createDataFrame([(D("1.005"),), (D("-2.675"),)], "x decimal(10,3)").select(round_half_away("x")).collect()
+    assert [r[0] for r in money] == [D("1.005").quantize(D("0.01"), ROUND_HALF_UP), D("-2.68")]
+
+
+def test_half_even_as_numpy(spark):
+    import numpy as np
+    xs = [0.125, 0.375, 2.675, -0.125, 1.005, 7.0, 1e15 + 0.125]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in xs], "x double").select(round_half_even("x")).collect()]
+    assert got == [float(np.round(x, 2)) for x in xs]
 
 
 def test_text_and_dates(spark):
@@ -56,7 +82,10 @@ def test_text_and_dates(spark):
 
 
 def test_plain_text(spark):
-    df = spark.createDataFrame([(12.0,), (0.00655,), (1234.5,), (1e-05,), (None,)], "x double")
-    got = [r[0] for r in df.select(plain_text("x")).collect()]
-    assert got == ["12.0", "0.00655", "1234.5", "0.00001", None]
+    xs = [12.0, 0.00655, 1234.5, 1e-05, 1.2345678, 5e-07, 0.0005, 1e16, 1.5e22, 123456789012345.6, 0.0, -0.25, 9007199254740993.0,
+          0.1 + 0.2, 1e-4, 12345678.9]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in xs], "x double").select(plain_text("x")).collect()]
+    assert got == [repr(x) for x in xs]                        # all digits, as the reference writes them
+    df = spark.createDataFrame([(None,)], "x double")
+    assert df.select(plain_text("x")).first()[0] is None
     assert df.select(decimal_comma(F.lit(1234.5))).first()[0] == "1234,5"

@@ -3,6 +3,8 @@ from __future__ import annotations
 import datetime as dt
 import tempfile
 
+import pytest
+
 from ledgerline.operators import increment as INC
 from tests.conftest import rows
 
@@ -32,15 +34,74 @@ def test_append_new_is_idempotent(spark):
     path = tempfile.mkdtemp(prefix="ledgerline-hist-") + "/history"
     up = spark.createDataFrame([(1, "2022-01-01"), (2, "2022-02-01")], "v int, partition_dt string")
     s1 = INC.append_new(spark, up, path)
-    assert s1 == {"status": "appended", "periods": ["2022-01-01", "2022-02-01"]}
+    assert s1 == {"status": "appended", "n_periods": 2}
     s2 = INC.append_new(spark, up, path)
     assert s2["status"] == "no new periods"
     up2 = spark.createDataFrame([(3, "2022-02-01"), (4, "2022-03-01")], "v int, partition_dt string")
-    assert INC.append_new(spark, up2, path)["periods"] == ["2022-03-01"]
+    assert INC.append_new(spark, up2, path)["n_periods"] == 1
     assert rows(spark.read.schema(up.schema).parquet(path), "v", "partition_dt") == [(1, "2022-01-01"), (2, "2022-02-01"),
                                                                   (4, "2022-03-01")]
 
 
+def _rows(spark, path, up):
+    return rows(spark.read.schema(up.schema).parquet(path), "v", "partition_dt")
+
+
+def test_half_written_period_is_replaced_whole(spark, monkeypatch):
+    path = tempfile.mkdtemp(prefix="ledgerline-hist-") + "/history"
+    up = spark.createDataFrame([(i, "2022-01-01") for i in range(10)], "v int, partition_dt string")
+    INC.append_new(spark, up.where("v < 0"), path)  # the record is there, no period loaded
+    # a run that died in its data: some rows of the period, nothing in the record
+    up.where("v < 4").write.mode("append").partitionBy("partition_dt").parquet(path)
+    assert INC.append_new(spark, up, path) == {"status": "appended", "n_periods": 1}
+    assert _rows(spark, path, up) == [(i, "2022-01-01") for i in range(10)]
+
+
+def test_first_run_that_dies_is_repeated(spark, monkeypatch):
+    path = tempfile.mkdtemp(prefix="ledgerline-hist-") + "/history"
+    up = spark.createDataFrame([(1, "2022-01-01"), (2, "2022-02-01")], "v int, partition_dt string")
+
+    def dies(*a, **k):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(INC, "materialize", lambda df: (df.sparkSession.range(1), dies())[0])
+        with pytest.raises(RuntimeError):
+            INC.append_new(spark, up, path)
+    up.limit(1).write.mode("append").partitionBy("partition_dt").parquet(path)
+    assert INC.append_new(spark, up, path)["n_periods"] == 2
+    assert _rows(spark, path, up) == [(1, "2022-01-01"), (2, "2022-02-01")]
+
+
+def test_history_older_than_the_record(spark):
+    path = tempfile.mkdtemp(prefix="ledgerline-hist-") + "/history"
+    old = spark.createDataFrame([(1, "2022-01-01")], "v int, partition_dt string")
+    old.write.partitionBy("partition_dt").parquet(path)
+    up = spark.createDataFrame([(7, "2022-01-01"), (2, "2022-02-01")], "v int, partition_dt string")
+    assert INC.append_new(spark, up, path)["n_periods"] == 1
+    assert _rows(spark, path, up) == [(1, "2022-01-01"), (2, "2022-02-01")]
+
+
+def test_read_error_is_not_an_empty_history(spark, monkeypatch):
+    path = tempfile.mkdtemp(prefix="ledgerline-hist-") + "/history"
+    up = spark.createDataFrame([(1, "2022-01-01")], "v int, partition_dt string")
+    INC.append_new(spark, up, path)
+
+    class Reader:
+        def schema(self, _):
+            return self
+
+        def parquet(self, _):
+            raise OSError("storage timeout")
+
+    class Session:
+        read = Reader()
+
+    with pytest.raises(OSError):
+        INC.read_history(Session(), path, up.schema)
+    assert INC.read_history(spark, path + "-none", up.schema) is None
+
+
 def test_append_blocked_by_failed_check(spark):
     path = tempfile.mkdtemp(prefix="ledgerline-hist-") + "/history"
     up = spark.createDataFrame([(1, "2022-01-01")], "v int, partition_dt string")

@@ -59,7 +59,7 @@ def test_load_procedure_end_to_end(spark):
     assert bad["mcc"] == "Cars" and bad["dev_trans_amount_on_terr"] == 25.0 and bad["dev_count_trans_on_terr"] == 0.0
 
     hist = os.path.join(root, "history")
-    assert INC.append_new(spark, up, hist)["periods"] == ["2022-02-01"]
+    assert INC.append_new(spark, up, hist)["n_periods"] == 1
     assert INC.append_new(spark, up, hist)["status"] == "no new periods"
     h = spark.read.schema(up.schema).parquet(hist)
     assert h.count() == 5 and h.agg(F.sum("trans_amount_on_terr")).first()[0] == D("290.00")
@@ -94,7 +94,7 @@ def test_cell_tables_and_listing(spark):
     root = tempfile.mkdtemp(prefix="ledgerline-cells-")
     with open(os.path.join(root, "t3.csv"), "w", encoding="utf-8") as f:
         f.write("CELL_ID;REGION_ID;INDUSTRY_NAME;area;m1\n8a1ff;77;Retail;north;1.5\n8a2f;77;Retail;;\n")
-    t3 = read_table(spark, os.path.join(root, "t3.csv"))
+    t3 = read_table(spark, os.path.join(root, "t3.csv"), "csv", "CELL_ID string, REGION_ID int, INDUSTRY_NAME string, area string, m1 double")
     assert t3.columns == ["CELL_ID", "REGION_ID", "INDUSTRY_NAME", "area", "m1"] and t3.count() == 2
     t3.write.parquet(os.path.join(root, "t3.parquet"))
     assert read_table(spark, os.path.join(root, "t3.parquet")).count() == 2

@@ -14,7 +14,7 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(q for q in entry.queries() if not q.startswith("op") and q != "pipeline"))
 def test_matches_oracle(spark, con, name):
     r = compare(spark, name, entry.queries()[name], entry.oracle_sql().get(name), SF, con)
     assert r["status"] in ("ok", "rows-only"), r

@@ -100,7 +100,7 @@ def test_check_weighted_total(spark):
                                          for c in cols[1:-2]] + ["avg_all_rur decimal(19,2)", "partition_dt string"])
     df = spark.createDataFrame([ok, off, zero], ddl)
     got = Q.check_weighted_total(df, FL_BLAGO_TERMS, "client_cnt_in_cluster", "avg_all_rur").collect()
-    assert len(got) == 1 and got[0]["deviation"] == -7.14 and got[0]["source_total"] == 700.0
+    assert len(got) == 1 and got[0]["deviation"] == D("-7.14") and got[0]["source_total"] == 700.0
 
 
 def test_check_product(spark):
@@ -109,7 +109,7 @@ def test_check_product(spark):
                                "cnt_inn decimal(20,0), avg_income decimal(19,2), SUM_income decimal(19,2), partition_dt string")
     got = Q.check_product(df, "cnt_inn", "avg_income", "SUM_income").collect()
     # 52 vs 50: 3.85 %; zero total: null deviation, not reported (D-17)
-    assert [r["deviation"] for r in got] == [3.85]
+    assert [r["deviation"] for r in got] == [D("3.85")]
 
 
 def test_check_summary(spark, extract, mcc_map):

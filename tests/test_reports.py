@@ -105,7 +105,7 @@ def test_kinds_broken_and_fuse(parsed, dictionary):
     assert kinds == [("full", 5), ("simplified", 1)]                      # other prefix never parsed
     st = {r["file_name"]: (r["kind"], r["broken"], r["documents"])
           for r in R.report_status(read_xml_reports(parsed.sparkSession, os.path.join(_FOLDER[0], "*.xml"))).collect()}
-    assert st["broken.xml"] == ("full", True, 0) and st["other.xml"] == (None, False, 1)
+    assert st["broken.xml"] == ("full", True, 0) and st["other.xml"] == ("unroutable", False, 1)
     assert st["twodocs.xml"] == ("full", False, 2)
     s = R.flatten_reports(parsed, dictionary, R.SIMPLE).first()
     assert s["КНД__Тип"] == "Упрощённая" and s["МатВнеАкт__СумОтч"] == "5" and s["Запасы__СумОтч"] == "6"
@@ -120,8 +120,7 @@ def test_long_form_keeps_repeats_and_round_trips(parsed, dictionary):
                    ("Выруч", 1, "СумОтч", "100"), ("Выруч", 1, "СумПред", "200")]
     # property: long -> wide (first repeat) gives the flattened values
     from pyspark.sql import functions as F
-    hdr = R.header_rows(dictionary, R.FULL)
-    names = {(r["code"], r["element"], r["attr"]): r["column"] for r in hdr}
+    names = {(code, element, attr): column for column, attr, code, element in R.header_columns(dictionary, R.FULL)}
     keyed = long.where("rep = 0").withColumn("column", F.create_map(
         *[x for k, v in names.items() for x in (F.lit("|".join(map(str, k))), F.lit(v))])[
         F.concat_ws("|", F.col("code").cast("string"), "element", "attr")])
@@ -132,6 +131,40 @@ def test_long_form_keeps_repeats_and_round_trips(parsed, dictionary):
         assert all(r[c] == f[c] for c in names.values())
 
 
+def test_header_in_memory_equals_the_header_table(dictionary):
+    for kind in (R.FULL, R.SIMPLE):
+        table = [(r["column"], r["attr"], r["code"], r["element"]) for r in
+                 R.report_header(dictionary, kind).where("code is not null").orderBy("pos").collect()]
+        assert R.header_columns(dictionary, kind) == table
+
+
+def test_id_of_the_root_tag_wherever_it_stands(spark):
+    from pyspark.sql import functions as F
+    texts = {"plain": '<Файл ИдФайл="NO_BUHOT_1">', "later": "<Файл a='x>y' b=\"1\"\n ИдФайл = 'NO_BUHOT_2' c=''/>",
+             "long": "<!-- " + "ИдФайл=\"no\" " * 2000 + '-->\n<Файл ИдФайл="NO_BOUPR_3">',
+             "prolog": '\ufeff<?xml version="1.0"?>\n<!DOCTYPE Файл [<!ENTITY a "b">]>\n<!--x--><Файл ИдФайл="NO_BUHOT_4">',
+             "inner": '<Файл><Документ ИдФайл="NO_BUHOT_5"/></Файл>', "none": "", "text": 'ИдФайл="NO_BUHOT_6"'}
+    df = spark.createDataFrame(list(texts.items()), "k string, t string")
+    got = dict(rows(df.select("k", R.raw_file_id(F.col("t")).alias("i")), "k", "i"))
+    assert got == {"plain": "NO_BUHOT_1", "later": "NO_BUHOT_2", "long": "NO_BOUPR_3", "prolog": "NO_BUHOT_4", "inner": "",
+                   "none": "", "text": ""}
+
+
+def test_long_comment_before_the_root(spark, dictionary):
+    text = "<!--" + "note " * 2000 + '--><Файл ИдФайл="NO_BUHOT_9">' + doc('<ФинРез><Выруч СумОтч="3"/></ФинРез>') + "</Файл>"
+    files = spark.createDataFrame([("a.xml", text)], "file_name string, content string")
+    assert R.flatten_reports(R.parse_reports(files), dictionary, R.FULL).first()["Выруч__СумОтч"] == "3"
+    assert tuple(R.report_status(files).first()) == ("a.xml", "full", False, 1)
+
+
+def test_unknown_charset_stops(spark):
+    d = tempfile.mkdtemp(prefix="ledgerline-xml-")
+    with open(os.path.join(d, "a.xml"), "wb") as f:
+        f.write('<?xml version="1.0" encoding="koi8-r"?><Файл ИдФайл="NO_BUHOT_1"/>'.encode("koi8-r"))
+    with pytest.raises(Exception, match="unknown charset"):
+        read_xml_reports(spark, os.path.join(d, "*.xml")).collect()
+
+
 def test_flatten_fused_equals_union_of_kinds(parsed, dictionary):
     a = R.flatten_fused(parsed, dictionary)
     b = R.fuse_reports(R.flatten_reports(parsed, dictionary, R.FULL), R.flatten_reports(parsed, dictionary, R.SIMPLE))
