@@ -2,10 +2,11 @@
 
 Examples are a bounded sample of the labelled documents (about ``EXAMPLES`` rows, drawn
 by a hash of the id).  The vocabulary holds the words whose use differs between the two
-labels (chi-square of document frequencies at least ``CHI2``, at most ``VOCABULARY``
-words).  Examples stand in an inverted index whose postings are cut into blocks of
-``BLOCK`` examples; per word and block the greatest weight is known.  A query visits
-blocks in falling order of their bound and stops when the bound is below its k-th best
+labels (chi-square of document frequencies at least ``CHI2``, and the share of toxic
+examples among those with the word at least ``LIFT`` times, or at most a ``LIFT``th of, the
+share among all; at most ``VOCABULARY`` words).  Examples stand in an inverted index whose postings are cut into blocks of
+``BLOCK`` examples; per word and block the greatest weight is known.  A query scores
+the most promising blocks first and then only those whose bound is not below its k-th best
 cosine, so the ``k`` nearest are exact (ties: the earlier example).
 
 The neighbours vote with weight 1 / (0.1 + distance), against a prior of the examples
@@ -36,6 +37,9 @@ from .textarrays import ALPHANUMERIC, U64, Words, member, slices, utf8
 EXAMPLES = 20_000
 VOCABULARY = 4_096
 CHI2 = 30.0
+LIFT = 2.5
+#: blocks scored before the others are measured against the k-th best
+FIRST_BLOCKS = 8
 BLOCK = 128
 NEAREST = 25
 PRIOR = 2.0
@@ -85,7 +89,10 @@ def telling_words(stats: DataFrame, n: int, toxic: int, chi2: float = CHI2, most
     a, b = F.col("toxic").cast("double"), (F.col("n") - F.col("toxic")).cast("double")
     c, d = F.lit(float(toxic)) - a, F.lit(float(n - toxic)) - b
     x = F.try_divide(n * (a * d - b * c) * (a * d - b * c), (a + b) * (c + d) * (a + c) * (b + d))
-    return stats.withColumn("chi2", x).where((F.col("chi2") >= chi2) & (F.col("n") >= 3)) \
+    base = toxic / n if n else 0.0
+    share = F.col("toxic") / F.col("n")
+    telling = (share >= LIFT * base) | (share <= base / LIFT)
+    return stats.withColumn("chi2", x).where((F.col("chi2") >= chi2) & (F.col("n") >= 3) & telling) \
                 .orderBy(F.desc("chi2"), "word").limit(most).select("word", "n")
 
 
@@ -140,21 +147,33 @@ class Index:
         """The ``k`` examples of greatest cosine (exact; ties: the earlier one) among those that share a word."""
         words, q = self.vector(words, counts)
         bound = q @ self.bounds[words]
-        best, cosines = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.argsort(-bound, kind="stable"):
+        blocks = np.argsort(-bound, kind="stable")
+        blocks = blocks[bound[blocks] > 0]
+        best, cosines = self._best(words, q, blocks[:FIRST_BLOCKS], k, np.zeros(0, np.int64), np.zeros(0))
+        rest = blocks[FIRST_BLOCKS:]
+        if len(best) == k:
             # a bound sums in another order than the cosine it bounds: leave room for rounding
-            if bound[b] <= 0 or len(best) == k and bound[b] < cosines[-1] - 1e-9:
-                break
-            sums = np.zeros(self.block)
-            for t, x in zip(words, q):
-                s, e = self.start[t, b], self.start[t, b + 1]
-                sums[self.examples[s:e] - b * self.block] += x * self.weights[s:e]
-            hit = np.flatnonzero(sums > 0)
-            best, cosines = np.concatenate([best, hit + b * self.block]), np.concatenate([cosines, sums[hit]])
-            order = np.lexsort((best, -np.round(cosines, 12)))[:k]
-            best, cosines = best[order], cosines[order]
+            rest = rest[bound[rest] >= cosines[-1] - 1e-9]
+        if len(rest):
+            best, cosines = self._best(words, q, rest, k, best, cosines)
         return best, np.minimum(cosines, 1.0)
 
+    def _best(self, words, q, blocks, k, best, cosines):
+        """The k best of those found so far and the examples of some blocks."""
+        sums = np.zeros(self.n_blocks * self.block)
+        for t, x in zip(words, q):
+            if len(blocks) > self.n_blocks // 4:
+                at = slice(self.start[t, 0], self.start[t, -1])
+            else:
+                at = np.concatenate([np.arange(s, e) for s, e in zip(self.start[t, blocks], self.start[t, blocks + 1])])
+            sums[self.examples[at]] += x * self.weights[at]
+        inside = sums.reshape(self.n_blocks, self.block)[blocks]
+        found = np.flatnonzero(inside > 0)
+        examples = blocks[found // self.block] * self.block + found % self.block
+        best, cosines = np.concatenate([best, examples]), np.concatenate([cosines, inside.ravel()[found]])
+        order = np.lexsort((best, -np.round(cosines, 12)))[:k]
+        return best[order], cosines[order]
+
     def vote(self, best: np.ndarray, cosines: np.ndarray) -> float:
         w = 1 / (0.1 + (1 - cosines))
         prior = PRIOR * 1 / (0.1 + 1)
