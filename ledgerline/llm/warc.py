@@ -3,7 +3,7 @@
 Writing: payload digests are grouped; of equal payloads of at least ``SMALLEST`` bytes
 the one with the smallest id is stored as a response and the others as revisits that
 point to it.  Records are WARC/1.1; Spark's text sink ends each with the two line breaks
-that close a record, so a part file is an archive.
+that close a record and compresses the file, so a part file is a ``.gz`` archive.
 
 Reading: archives are parsed by their Content-Length.  Index: the captures of an archive
 form a run sorted by URL key and time.  Runs are cut at common key ranges and dealt to
@@ -19,6 +19,7 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
@@ -96,11 +97,11 @@ def write_archives(pages: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYT
     total, most = pages.agg(F.sum(F.coalesce(F.octet_length("html"), F.lit(0)) + 600), F.count(F.lit(1))).first()
     parts = max(1, -(-int(total or 0) // archive_bytes))
     dealt = records(classified(pages, smallest)).repartition(parts)
-    dealt.write.option("lineSep", _BREAK * 2).text(path)
+    dealt.write.option("lineSep", _BREAK * 2).option("compression", "gzip").text(path)
 
 
 def parse(archive: bytes) -> Iterator[tuple[dict[str, str], int, bytes]]:
-    """Headers, offset and block of every record of an archive."""
+    """Headers, offset and block of every record of an unpacked archive."""
     at = 0
     while at < len(archive):
         body = archive.index(b"\r\n\r\n", at) + 4
@@ -132,7 +133,7 @@ def captures(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 rows = []
-                for h, offset, block in parse(content.as_py()):
+                for h, offset, block in parse(gzip.decompress(content.as_py())):
                     digest = h["WARC-Payload-Digest"].removeprefix("sha256:")
                     if h["WARC-Type"] == "response" and (hashlib.sha256(block).hexdigest() != digest
                                                          or len(block) != int(h["WARC-Payload-Length"])):

@@ -1,6 +1,7 @@
 """Archives: round trip, revisits, merged order."""
 from __future__ import annotations
 
+import gzip
 import hashlib
 import random
 
@@ -51,7 +52,7 @@ def test_payloads_come_back_byte_for_byte(spark):
     assert len(files) > 1
     bodies = {}
     for f in files:
-        for h, _, block in W.parse(bytes(f["content"])):
+        for h, _, block in W.parse(gzip.decompress(bytes(f["content"]))):
             bodies[int(h["WARC-Record-ID"][10:-1])] = (h["WARC-Type"], block)
     types = {r[0]: r[3] for r in want(PAGES)}
     assert bodies == {p: (types[p], (h or "").encode() if types[p] == "response" else b"") for p, _, h in PAGES}
