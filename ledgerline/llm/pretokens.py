@@ -2,9 +2,10 @@
 
 A pre-token is a run of bytes without ASCII white space.  The tokenizer files used here
 split at white space before anything else and drop it, so the ids of a text are the ids
-of its pre-tokens in order, whatever special strings they hold.  Every worker keeps the
-ids (or their number) of the pre-tokens it has met, up to a bound; new ones are handed to
-the library in one call per slice of text.
+of its pre-tokens in order, whatever special strings they hold.  All pre-tokens of a slice
+are looked up at once by their 64-bit hash; those that are missing go to the library, each
+once, and are then remembered.  A worker's cache has a fixed number of slots: a new
+pre-token takes over the slot of its hash.
 """
 
 from __future__ import annotations
@@ -12,36 +13,27 @@ from __future__ import annotations
 import os
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import SparkSession
 
-from .textarrays import utf8
+from .textarrays import U64, Words
 
-#: pre-tokens kept by a worker (about 150 bytes each); longer ones than LONGEST are not kept
-KEPT = 300_000
-LONGEST = 64
+SLOT_BITS = 20
+#: ids kept of a pre-token; one with more is encoded anew each time
+WIDTH = 12
+#: pre-tokens handed to the library in one text
+TOGETHER = 256
 
 _LOADED: dict = {}
 
 
-def vocabulary(path: str) -> bytes:
-    with open(path, "rb") as f:
-        return f.read()
-
-
 def shared_vocabulary(spark: SparkSession, path: str):
     """The tokenizer file as a broadcast: executors need no copy of their own (a few MB)."""
-    return spark.sparkContext.broadcast(vocabulary(path))
-
-
-def pretokens(texts: pa.Array) -> list[list[bytes]]:
-    raw, off = utf8(texts)
-    data = raw.tobytes()
-    return [data[a:b].split() for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
+    with open(path, "rb") as f:
+        return spark.sparkContext.broadcast(f.read())
 
 
 class Encoder:
-    """Token ids of pre-tokens by the library, remembered within a bound."""
+    """Token ids of pre-tokens by the library."""
 
     def __init__(self, spec: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs a task per core
@@ -50,36 +42,97 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(spec.decode("utf-8"))
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.kept: dict = {}
-
-    def ids(self, words: list[bytes]) -> list[list[int]]:
-        made = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        return [e.ids for e in made]
-
-    def learn(self, texts: list[list[bytes]], value, known: dict | None = None) -> dict:
-        """``value(ids)`` of every pre-token of the texts that ``known`` lacks."""
-        new = set().union(*texts) - self.kept.keys()
-        if known:
-            new -= known.keys()
-        if not new:
-            return self.kept
-        words = list(new)
-        if len(self.kept) + len(words) > KEPT:
-            self.kept = {w: self.kept[w] for t in texts for w in t if w in self.kept}
-        values = list(map(value, self.ids(words)))
-        long = {w: v for w, v in zip(words, values) if len(w) > LONGEST}
-        self.kept.update((w, v) for w, v in zip(words, values) if len(w) <= LONGEST)
-        return self.kept | long if long else self.kept
-
-
-def encoder(spec: bytes, use: str) -> Encoder:
-    """This worker's encoder for a vocabulary, with a cache of its own for each use."""
+
+    def ids(self, words: list[bytes]) -> list[np.ndarray]:
+        """Ids of each pre-token; many are encoded as one text and told apart by their place in it."""
+        out = []
+        for at in range(0, len(words), TOGETHER):
+            texts = [w.decode("utf-8", "replace") for w in words[at:at + TOGETHER]]
+            made = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+            ids = np.array(made.ids, dtype=np.uint32)
+            place = np.array([a for a, _ in made.offsets], dtype=np.int64)
+            starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+            cut = np.searchsorted(place, starts).tolist()
+            out += [ids[a:b] for a, b in zip(cut[:-1], cut[1:])]
+        return out
+
+
+class Slots:
+    """Remembered pre-tokens: hash, number of ids and, if ``width``, the ids themselves."""
+
+    def __init__(self, width: int, bits: int = SLOT_BITS):
+        self.shift, self.width = U64(64 - bits), width
+        self.hash = np.zeros(1 << bits, dtype=U64)
+        self.count = np.zeros(1 << bits, dtype=np.uint16)
+        self.ids = np.zeros((1 << bits, width), dtype=np.uint32)
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Slot of each hash, and whether it is the one remembered there."""
+        slot = (hashes >> self.shift).astype(np.int64)
+        return slot, self.hash[slot] == hashes
+
+    def put(self, hashes: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> None:
+        slot = (hashes >> self.shift).astype(np.int64)
+        fits = counts <= (self.width or 65_535)
+        self.hash[slot[fits]], self.count[slot[fits]] = hashes[fits], counts[fits]
+        if self.width:
+            self.ids[slot[fits]] = ids[fits]
+
+
+def slots(spec: bytes, use: str, width: int = 0) -> tuple[Encoder, Slots]:
+    """This worker's encoder for a vocabulary and its cache for one use."""
     key = use, hash(spec)
     if key not in _LOADED:
-        _LOADED[key] = Encoder(spec)
+        _LOADED[key] = Encoder(spec), Slots(width)
     return _LOADED[key]
 
 
-def as_bytes(ids: list[int]) -> bytes:
-    """Ids as little-endian unsigned 32-bit integers."""
-    return np.array(ids, dtype="<u4").tobytes()
+def missing_words(w: Words, missing: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Distinct hashes of the missing words, each word's place among them, and their bytes."""
+    hashes, first, at = np.unique(w.hash[missing], return_index=True, return_inverse=True)
+    where = missing[first]
+    return hashes, at, [w.bytes[s:e].tobytes() for s, e in zip(w.start[where].tolist(), w.end[where].tolist())]
+
+
+def encode(w: Words, encoder: Encoder, cache: Slots) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all words of a slice in order, and each word's number of ids."""
+    slot, known = cache.find(w.hash)
+    counts = np.zeros(len(slot), dtype=np.int64)
+    counts[known] = cache.count[slot[known]]
+    rows = np.zeros((len(slot), cache.width), dtype=np.uint32)
+    rows[known] = cache.ids[slot[known]]
+    missing, long = np.flatnonzero(~known), {}
+    if len(missing):
+        hashes, at, words = missing_words(w, missing)
+        made = encoder.ids(words)
+        n = np.array([len(i) for i in made], dtype=np.int64)
+        table = np.zeros((len(made), cache.width), dtype=np.uint32)
+        short = n <= cache.width
+        filled = np.arange(cache.width)[None, :] < np.where(short, n, 0)[:, None]
+        table[filled] = np.concatenate([np.zeros(0, np.uint32), *(m for m, s in zip(made, short.tolist()) if s)])
+        cache.put(hashes, n, table)
+        counts[missing], rows[missing] = n[at], table[at]
+        long = {int(k): made[a] for k, a in zip(missing, at) if not short[a]}
+    ends = np.cumsum(counts)
+    out = np.zeros(int(ends[-1]) if len(ends) else 0, dtype=np.uint32)
+    used = (np.arange(cache.width)[None, :] < counts[:, None]) & (counts <= cache.width)[:, None]
+    out[((ends - counts)[:, None] + np.arange(cache.width)[None, :])[used]] = rows[used]
+    for k, ids in long.items():
+        out[ends[k] - counts[k]:ends[k]] = ids
+    return out, counts
+
+
+def count(w: Words, encoder: Encoder, cache: Slots, table: Slots) -> np.ndarray:
+    """Number of ids of each word of a slice: from the frequent table, the cache, or the library."""
+    slot, known = table.find(w.hash)
+    counts = np.where(known, table.count[slot], 0).astype(np.int64)
+    rest = np.flatnonzero(~known)
+    slot, kept = cache.find(w.hash[rest])
+    counts[rest[kept]] = cache.count[slot[kept]]
+    missing = rest[~kept]
+    if len(missing):
+        hashes, at, words = missing_words(w, missing)
+        n = np.array([len(i) for i in encoder.ids(words)], dtype=np.int64)
+        cache.put(hashes, n, None)
+        counts[missing] = n[at]
+    return counts

@@ -24,17 +24,22 @@ _ODD = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
 
-def byte_table(keep: Callable[[int], bool]) -> np.ndarray:
-    """Byte -> byte with A-Z lowered; 0 for the bytes that separate words."""
-    t = np.zeros(256, dtype=np.uint8)
-    for b in range(1, 256):
+_BLANK = 32
+
+
+def byte_table(keep: Callable[[int], bool], lower: bool = True) -> np.ndarray:
+    """Byte -> byte with A-Z lowered; a blank for the bytes that separate words."""
+    t = np.full(256, _BLANK, dtype=np.uint8)
+    for b in range(256):
         if keep(b):
-            t[b] = b + 32 if 65 <= b <= 90 else b
+            t[b] = b + 32 if lower and 65 <= b <= 90 else b
     return t
 
 
 #: words are runs of everything but blank, tab, LF, VT, FF, CR
 BLANK_SEPARATED = byte_table(lambda b: b not in (9, 10, 11, 12, 13, 32))
+#: the same, letters as they are
+PRETOKENS = byte_table(lambda b: b not in (9, 10, 11, 12, 13, 32), lower=False)
 #: words are runs of ASCII letters and digits and of all characters beyond ASCII
 ALPHANUMERIC = byte_table(lambda b: 48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128)
 
@@ -49,12 +54,12 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The UTF-8 bytes of a string column and the n + 1 offsets of its texts."""
+    """The UTF-8 bytes of a string (or binary) column and the n + 1 offsets of its texts."""
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
-    col = col.cast(pa.large_string())
+    col = col.cast(pa.large_binary())
     if col.null_count:
-        col = col.fill_null("")
+        col = col.fill_null(b"")
     _, off, data = col.buffers()
     offsets = np.frombuffer(off, dtype=np.int64, count=len(col) + 1, offset=col.offset * 8)
     raw = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
@@ -104,7 +109,7 @@ class Words:
 
     def __init__(self, raw: np.ndarray, offsets: np.ndarray, table: np.ndarray):
         self.bytes = table[raw]
-        inside = self.bytes != 0
+        inside = self.bytes != _BLANK
         docs = offsets[:-1][offsets[1:] > offsets[:-1]]
         lasts = offsets[1:][offsets[1:] > offsets[:-1]] - 1
         before = np.empty_like(inside)

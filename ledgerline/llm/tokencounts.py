@@ -1,11 +1,11 @@
 """Token counts by a map-side two-tier lookup.
 
-First tier: a compact table of the lengths (in tokens) of frequent pre-tokens, broadcast.
-Every task summarises the pre-tokens of its part in bounded memory and sends only its
-``PER_TASK`` most frequent ones; the best ``FREQUENT`` of all make the table, so no
-pre-token is shuffled and the table has a fixed bound.  Second tier: each worker encodes
-what the table lacks with the library and keeps the lengths.  What is in the table only
-changes the speed: both tiers hold exact lengths.
+First tier: a compact hash table of the lengths (in tokens) of frequent pre-tokens,
+broadcast.  Every task summarises the pre-tokens of its part in bounded memory and sends
+only its ``PER_TASK`` most frequent ones; the best ``FREQUENT`` of all make the table, so
+no pre-token is shuffled and the table has a fixed size (2.6 MB).  Second tier: each worker
+encodes what the table lacks with the library and keeps the lengths.  What is in the table
+only changes the speed: both tiers hold exact lengths.
 
 Defined cases: null texts are empty (0 bytes, 0 tokens); repeated rows each keep their
 row; null ids are kept; an empty table gives no rows; extra columns are ignored.
@@ -20,12 +20,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .pretokens import LONGEST, encoder, pretokens, shared_vocabulary
+from .pretokens import Slots, count, shared_vocabulary, slots
 from .shipping import map_arrow
-from .textarrays import slices, utf8
+from .textarrays import PRETOKENS, Words, slices, utf8
 
 FREQUENT = 65_536
 PER_TASK = 4_096
+#: slots of the frequent table
+TABLE_BITS = 18
+LONGEST = 64
 #: distinct pre-tokens a task counts before it drops those seen least
 COUNTED = 200_000
 
@@ -37,8 +40,11 @@ def frequent_pretokens(docs: DataFrame, text: str = "text", most: int = FREQUENT
         seen: Counter = Counter()
         for batch in batches:
             for piece in slices(batch, "text"):
-                for words in pretokens(piece.column(0)):
-                    seen.update(words)
+                w = Words(*utf8(piece.column(0)), PRETOKENS)
+                _, first, n = np.unique(w.hash, return_index=True, return_counts=True)
+                often = n > max(1, len(w.hash) // 50_000)  # once in a slice is not frequent
+                for at, k in zip(first[often].tolist(), n[often].tolist()):
+                    seen[w.bytes[w.start[at]:w.end[at]].tobytes()] += k
                 if len(seen) > COUNTED:
                     seen = Counter(dict(seen.most_common(COUNTED // 4)))
         best = [(w, n) for w, n in seen.most_common(per_task) if len(w) <= LONGEST]
@@ -49,28 +55,13 @@ def frequent_pretokens(docs: DataFrame, text: str = "text", most: int = FREQUENT
     return found.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
 
 
-class LengthTable:
-    """Pre-token lengths as one byte string and one array of 16-bit lengths."""
-
-    def __init__(self, words: list[bytes], lengths: list[int]):
-        self.words = b"\n".join(words)  # a pre-token holds no white space
-        self.lengths = np.array(lengths, dtype=np.uint16)
-        self._map: dict | None = None
-
-    def __getstate__(self):
-        return {"words": self.words, "lengths": self.lengths, "_map": None}
-
-    def lookup(self) -> dict:
-        if self._map is None:
-            self._map = dict(zip(self.words.split(b"\n"), self.lengths.tolist())) if len(self.lengths) else {}
-        return self._map
-
-
-class _Tiers(dict):
-    """The frequent table, with a fallback for what it lacks."""
-
-    def __missing__(self, word):
-        return self.rare[word]
+def length_table(words: list[bytes], lengths: list[int]) -> Slots:
+    """The compact hash table: hash and 16-bit length of each pre-token; of two in one slot the first stays."""
+    table = Slots(0, TABLE_BITS)
+    if words:
+        hashes = Words(*utf8(pa.array([b" ".join(words[::-1])], pa.large_binary())), PRETOKENS).hash
+        table.put(hashes, np.array(lengths[::-1], dtype=np.int64), None)
+    return table
 
 
 def count_tokens(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text", limit: int = 2048,
@@ -82,21 +73,19 @@ def count_tokens(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text:
     def lengths(batches):
         for batch in batches:
             words = batch.column(0).to_pylist()
-            n = [len(i) for i in encoder(spec.value, "table").ids(words)]
+            n = [len(i) for i in slots(spec.value, "lengths")[0].ids(words)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int32())], names=["word", "n"])
 
     rows = map_arrow(frequent_pretokens(d, "text", most).select("word"), lengths, "word binary, n int").collect()
-    table = docs.sparkSession.sparkContext.broadcast(LengthTable([bytes(r["word"]) for r in rows], [r["n"] for r in rows]))
+    table = docs.sparkSession.sparkContext.broadcast(length_table([bytes(r["word"]) for r in rows], [r["n"] for r in rows]))
 
     def run(batches):
-        tiers = _Tiers(table.value.lookup())
-        enc = encoder(spec.value, "lengths")
+        encoder, cache = slots(spec.value, "lengths")
         for batch in batches:
             for piece in slices(batch, "text"):
-                _, off = utf8(piece.column(1))
-                texts = pretokens(piece.column(1))
-                tiers.rare = enc.learn(texts, len, tiers)
-                n = np.array([sum(map(tiers.__getitem__, t)) for t in texts], dtype=np.int64)
+                raw, off = utf8(piece.column(1))
+                w = Words(raw, off, PRETOKENS)
+                n = np.diff(np.concatenate([[0], np.cumsum(count(w, encoder, cache, table.value))])[w.first])
                 yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(np.diff(off)), pa.array(n), pa.array(n > limit)],
                                                  names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 

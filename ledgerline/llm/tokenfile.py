@@ -21,9 +21,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .pretokens import as_bytes, encoder, pretokens, shared_vocabulary
+from .pretokens import WIDTH, encode, shared_vocabulary, slots
 from .shipping import map_arrow
-from .textarrays import slices
+from .textarrays import PRETOKENS, Words, slices, utf8
 
 END = 1
 SCHEMA = "doc_id {}, part int, part_start long, n_tokens long, ids array<int>"
@@ -32,23 +32,25 @@ ORC_OPTIONS = {"orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.
 
 
 def _encoded(docs: DataFrame, vocabulary, end: int) -> DataFrame:
-    tail = as_bytes([end])
 
     def run(batches):
         part, before = TaskContext.get().partitionId(), 0
-        enc = encoder(vocabulary.value, "ids")
+        encoder, cache = slots(vocabulary.value, "ids", WIDTH)
         for batch in batches:
-            for piece in slices(batch, "text"):
-                texts = pretokens(piece.column(1))
-                ids = enc.learn(texts, as_bytes).__getitem__
-                data = [b"".join(map(ids, t)) + tail for t in texts]
-                n = np.array([len(d) // 4 for d in data], dtype=np.int64)
-                ends = np.cumsum(n)
+            for piece in slices(batch, "text", 1 << 18):
+                w = Words(*utf8(piece.column(1)), PRETOKENS)
+                ids, counts = encode(w, encoder, cache)
+                own = np.concatenate([[0], np.cumsum(counts)])[w.first]  # ids before each text
+                ends = own[1:] + np.arange(1, len(own))
+                n = np.diff(np.concatenate([[0], ends]))
+                values = np.full(int(ends[-1]), end, dtype=np.int32)
+                inside = np.ones(len(values), dtype=bool)
+                inside[ends - 1] = False
+                values[inside] = ids.astype(np.int32)
                 offsets = np.concatenate([[0], ends]).astype(np.int32)
-                values = pa.array(np.frombuffer(b"".join(data), dtype="<i4"))
                 yield pa.RecordBatch.from_arrays(
                     [piece.column(0), pa.array(np.full(len(n), part, np.int32)), pa.array(before + ends - n), pa.array(n),
-                     pa.ListArray.from_arrays(pa.array(offsets), values)],
+                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))],
                     names=["doc_id", "part", "part_start", "n_tokens", "ids"])
                 before += int(ends[-1])
 

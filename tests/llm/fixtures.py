@@ -18,7 +18,7 @@ def prose(seed: int, n: int, words: int = 400) -> str:
 
 
 def documents(spark, texts, langs=None, sources=None):
-    rows = [(i, t, (langs or {}).get(i, "en"), (sources or {}).get(i, f"s{i % 3}"), len(t or "")) for i, t in texts]
+    rows = [(i, t, (langs or {}).get(i, "en"), (sources or {}).get(i, f"s{(i or 0) % 3}"), len(t or "")) for i, t in texts]
     return spark.createDataFrame(rows, SCHEMA).repartition(3)
 
 
