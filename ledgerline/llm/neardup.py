@@ -371,12 +371,11 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """One document of each group (that of the smallest id, once), with its columns as they were."""
     d = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     _, groups = _groups(d)
-    keep = groups.where("first").select(F.col("set_id").alias("s"), F.col("component_id").alias("i"))
-    out = fresh_name("__set", docs.columns)
+    out, s, i, key = (fresh_name(n, docs.columns) for n in ("__set", "__kept_set", "__kept_id", "__key"))
+    keep = groups.where("first").select(F.col("set_id").alias(s), F.col("component_id").alias(i))
     marked = annotate(docs, text, set_ids, SET_ID, out)
     cols = [marked[c] for c in docs.columns]
     bare = marked.where(marked[out]["n_shingles"] == 0).select(*cols)
-    kept = marked.join(keep, (marked[out]["set_id"] == F.col("s")) & marked[doc_id].eqNullSafe(F.col("i")), "left_semi")
-    key = fresh_name("__key", kept.columns)
+    kept = marked.join(keep, (marked[out]["set_id"] == F.col(s)) & marked[doc_id].eqNullSafe(F.col(i)), "left_semi")
     one = kept.withColumn(key, F.col(out)["set_id"]).dropDuplicates([key])
     return one.select(*[one[c] for c in docs.columns]).unionAll(bare)

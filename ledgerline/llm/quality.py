@@ -31,7 +31,7 @@ from .textarrays import BLANK_SEPARATED, U64, Words, byte_table, mix, slices, ut
 SAMPLE = 10_000
 DIMENSIONS = 2_048
 EPOCHS = 100
-BETTER = 4.0
+BETTER = 1.5
 _GOOD, _BAD, _SILENT, _TOO_SHORT = 1, 0, -1, -2
 
 
@@ -116,7 +116,7 @@ def _sentences(s):
 
 
 def _clean(s):
-    return _vote((s["marks"] < 0.01 * s["chars"]) & (s["capitals"] < 0.15 * s["letters"]), s["chars"] == 0)
+    return _vote((s["marks"] < 0.01 * s["chars"]) & (s["capitals"] < 0.15 * s["letters"]), False, s["chars"] == 0)
 
 
 #: the heuristic labellers, in the order of a vote pattern

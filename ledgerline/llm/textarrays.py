@@ -24,16 +24,12 @@ _ODD = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
 
-_BLANK = 32
-
-
-def byte_table(keep: Callable[[int], bool], lower: bool = True) -> np.ndarray:
-    """Byte -> byte with A-Z lowered; a blank for the bytes that separate words."""
-    t = np.full(256, _BLANK, dtype=np.uint8)
-    for b in range(256):
-        if keep(b):
-            t[b] = b + 32 if lower and 65 <= b <= 90 else b
-    return t
+def byte_table(keep: Callable[[int], bool], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Byte -> byte with A-Z lowered, and byte -> whether it belongs to a word."""
+    made = np.arange(256, dtype=np.uint8)
+    if lower:
+        made[65:91] += 32
+    return made, np.array([keep(b) for b in range(256)])
 
 
 #: words are runs of everything but blank, tab, LF, VT, FF, CR
@@ -107,9 +103,8 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """The words of a slice: byte range, 64-bit hash, and each text's range of words."""
 
-    def __init__(self, raw: np.ndarray, offsets: np.ndarray, table: np.ndarray):
-        self.bytes = table[raw]
-        inside = self.bytes != _BLANK
+    def __init__(self, raw: np.ndarray, offsets: np.ndarray, table: tuple[np.ndarray, np.ndarray]):
+        self.bytes, inside = table[0][raw], table[1][raw]
         docs = offsets[:-1][offsets[1:] > offsets[:-1]]
         lasts = offsets[1:][offsets[1:] > offsets[:-1]] - 1
         before = np.empty_like(inside)
