@@ -1,25 +1,32 @@
 """A public tokenizer applied through a cache of whole pre-tokens.
 
-A pre-token is a run of bytes without ASCII white space.  The tokenizer files used here
-split at white space before anything else and drop it, so the ids of a text are the ids
-of its pre-tokens in order, whatever special strings they hold.  All pre-tokens of a slice
-are looked up at once by their 64-bit hash; those that are missing go to the library, each
-once, and are then remembered.  A worker's cache has a fixed number of slots: a new
-pre-token takes over the slot of its hash.
+The tokenizer files of this kind drop white space, lower letters, and then split into runs
+of letters, single digits and runs of other characters.  The ids of a text are therefore
+the ids of its pre-tokens in order, where a pre-token is a run of bytes without ASCII white
+space, cut further between letters, digits and marks if it holds nothing but ASCII (without
+``'`` and ``<``, which begin contractions and special strings) and Latin-1 letters.  Those
+are lowered too.  Any other run stays whole, whatever special strings it holds.
+
+All pre-tokens of a slice are looked up at once by their 64-bit hash; those that are
+missing go to the library, each once, and are then remembered.  A worker's cache has a
+fixed number of slots: a new pre-token takes over the slot of its hash.
 """
 
 from __future__ import annotations
 
+import json
 import os
 
 import numpy as np
 from pyspark.sql import SparkSession
 
-from .textarrays import U64, Words
+from .textarrays import PRETOKENS, U64, Words
 
 SLOT_BITS = 20
 #: ids kept of a pre-token; one with more is encoded anew each time
-WIDTH = 12
+WIDTH = 10
+# Fixed value: how the tokenizer files of this kind split a text.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: pre-tokens handed to the library in one text
 TOGETHER = 256
 
@@ -32,14 +39,73 @@ def shared_vocabulary(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(f.read())
 
 
+_BREAK, _LETTER, _DIGIT, _MARK, _OTHER = range(5)
+
+
+def _classes() -> np.ndarray:
+    t = np.full(256, _OTHER, dtype=np.uint8)
+    t[33:127] = _MARK
+    t[48:58] = _DIGIT
+    t[65:91] = t[97:123] = _LETTER
+    t[[39, 60]] = _OTHER  # ' and <
+    t[[9, 10, 11, 12, 13, 32]] = _BREAK
+    t[0xC3] = _LETTER  # first byte of the Latin-1 letters
+    return t
+
+
+_CLASS = _classes()
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+class PreTokens(Words):
+    """The pre-tokens of a slice, as ``Words``."""
+
+    def __init__(self, raw: np.ndarray, offsets: np.ndarray):
+        if not len(raw):
+            super().__init__(raw, offsets, PRETOKENS)
+            return
+        kind = _CLASS[raw]
+        second = np.zeros(len(raw), dtype=bool)  # second byte of a Latin-1 letter
+        second[1:] = (raw[:-1] == 0xC3) & (raw[1:] >= 0x80) & (raw[1:] < 0xC0) & (raw[1:] != 0x97) & (raw[1:] != 0xB7)
+        kind[second] = _LETTER
+        inside = kind != _BREAK
+        first = np.zeros(len(raw) + 1, dtype=bool)
+        first[offsets] = True
+        first = first[:-1]
+        starts = np.flatnonzero(inside & (first | ~np.concatenate([[False], inside[:-1]])))
+        self.bytes = np.where(second & (raw < 0x9F), raw + np.uint8(32), _LOWER[raw])
+        if len(starts):
+            # runs with anything else stay whole and as they are
+            lengths = np.add.reduceat(inside, starts, dtype=np.int64)
+            whole = np.repeat(np.add.reduceat(kind == _OTHER, starts, dtype=np.int64) > 0, lengths)
+            at = np.flatnonzero(inside)[whole]
+            kind[at] = _OTHER
+            self.bytes[at] = raw[at]
+        change = first.copy()
+        change[0] = True
+        change[1:] |= kind[1:] != kind[:-1]
+        self.start = np.flatnonzero(inside & change)
+        ends = np.append(change[1:], True)
+        self.end = np.flatnonzero(inside & ends) + 1
+        self.first = np.searchsorted(self.start, offsets)
+        self.hash = self._hashes()
+
+
 class Encoder:
     """Token ids of pre-tokens by the library."""
 
     def __init__(self, spec: bytes):
+        made = json.loads(spec)
+        split = [p.get("pattern") for p in (made.get("pre_tokenizer") or {}).get("pretokenizers", [])]
+        if {"Regex": PATTERN} not in split or {"type": "Lowercase"} not in (made.get("normalizer") or {}).get("normalizers", []):
+            raise ValueError("the tokenizer file does not lower letters and split at white space in the expected way")
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs a task per core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec.decode("utf-8"))
+        if self.tokenizer.get_vocab_size() > 1 << 16:
+            raise ValueError("ids beyond 65,535 do not fit the cache")
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
 
@@ -64,7 +130,7 @@ class Slots:
         self.shift, self.width = U64(64 - bits), width
         self.hash = np.zeros(1 << bits, dtype=U64)
         self.count = np.zeros(1 << bits, dtype=np.uint16)
-        self.ids = np.zeros((1 << bits, width), dtype=np.uint32)
+        self.ids = np.zeros((1 << bits, width), dtype=np.uint16)  # ids below 65,536
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Slot of each hash, and whether it is the one remembered there."""
@@ -99,26 +165,25 @@ def encode(w: Words, encoder: Encoder, cache: Slots) -> tuple[np.ndarray, np.nda
     slot, known = cache.find(w.hash)
     counts = np.zeros(len(slot), dtype=np.int64)
     counts[known] = cache.count[slot[known]]
-    rows = np.zeros((len(slot), cache.width), dtype=np.uint32)
-    rows[known] = cache.ids[slot[known]]
+    rows = cache.ids[slot]  # those of unknown words are replaced below
     missing, long = np.flatnonzero(~known), {}
     if len(missing):
         hashes, at, words = missing_words(w, missing)
         made = encoder.ids(words)
         n = np.array([len(i) for i in made], dtype=np.int64)
-        table = np.zeros((len(made), cache.width), dtype=np.uint32)
+        table = np.zeros((len(made), cache.width), dtype=np.uint16)
         short = n <= cache.width
         filled = np.arange(cache.width)[None, :] < np.where(short, n, 0)[:, None]
         table[filled] = np.concatenate([np.zeros(0, np.uint32), *(m for m, s in zip(made, short.tolist()) if s)])
         cache.put(hashes, n, table)
         counts[missing], rows[missing] = n[at], table[at]
         long = {int(k): made[a] for k, a in zip(missing, at) if not short[a]}
-    ends = np.cumsum(counts)
-    out = np.zeros(int(ends[-1]) if len(ends) else 0, dtype=np.uint32)
-    used = (np.arange(cache.width)[None, :] < counts[:, None]) & (counts <= cache.width)[:, None]
-    out[((ends - counts)[:, None] + np.arange(cache.width)[None, :])[used]] = rows[used]
-    for k, ids in long.items():
-        out[ends[k] - counts[k]:ends[k]] = ids
+    short = np.where(counts > cache.width, 0, counts) if long else counts
+    out = rows[np.arange(cache.width)[None, :] < short[:, None]]
+    if long:
+        places = np.cumsum(short)
+        where = sorted(long)
+        out = np.insert(out.astype(np.uint32), np.repeat(places[where], counts[where]), np.concatenate([long[k] for k in where]))
     return out, counts
 
 

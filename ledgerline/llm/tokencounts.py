@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .pretokens import Slots, count, shared_vocabulary, slots
+from .pretokens import PreTokens, Slots, count, shared_vocabulary, slots
 from .shipping import map_arrow
 from .textarrays import PRETOKENS, Words, slices, utf8
 
@@ -40,7 +40,7 @@ def frequent_pretokens(docs: DataFrame, text: str = "text", most: int = FREQUENT
         seen: Counter = Counter()
         for batch in batches:
             for piece in slices(batch, "text"):
-                w = Words(*utf8(piece.column(0)), PRETOKENS)
+                w = PreTokens(*utf8(piece.column(0)))
                 _, first, n = np.unique(w.hash, return_index=True, return_counts=True)
                 often = n > max(1, len(w.hash) // 50_000)  # once in a slice is not frequent
                 for at, k in zip(first[often].tolist(), n[often].tolist()):
@@ -84,7 +84,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text:
         for batch in batches:
             for piece in slices(batch, "text"):
                 raw, off = utf8(piece.column(1))
-                w = Words(raw, off, PRETOKENS)
+                w = PreTokens(raw, off)
                 n = np.diff(np.concatenate([[0], np.cumsum(count(w, encoder, cache, table.value))])[w.first])
                 yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(np.diff(off)), pa.array(n), pa.array(n > limit)],
                                                  names=["doc_id", "n_bytes", "n_tokens", "over_limit"])

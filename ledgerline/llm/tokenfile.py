@@ -21,9 +21,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .pretokens import WIDTH, encode, shared_vocabulary, slots
+from .pretokens import WIDTH, PreTokens, encode, shared_vocabulary, slots
 from .shipping import map_arrow
-from .textarrays import PRETOKENS, Words, slices, utf8
+from .textarrays import slices, utf8
 
 END = 1
 SCHEMA = "doc_id {}, part int, part_start long, n_tokens long, ids array<int>"
@@ -38,7 +38,7 @@ def _encoded(docs: DataFrame, vocabulary, end: int) -> DataFrame:
         encoder, cache = slots(vocabulary.value, "ids", WIDTH)
         for batch in batches:
             for piece in slices(batch, "text", 1 << 18):
-                w = Words(*utf8(piece.column(1)), PRETOKENS)
+                w = PreTokens(*utf8(piece.column(1)))
                 ids, counts = encode(w, encoder, cache)
                 own = np.concatenate([[0], np.cumsum(counts)])[w.first]  # ids before each text
                 ends = own[1:] + np.arange(1, len(own))
