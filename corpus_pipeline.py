@@ -1,28 +1,64 @@
-"""The corpus pipeline: whole-table stages from ``documents`` to a token file."""
+"""The corpus pipeline: five whole-table stages from ``documents`` to a token file.
+
+Each stage reads what the stage before wrote (Parquet in the shared folder), works on all
+of it, and all but the last keep the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import decontamination
-from ledgerline.llm.tables import read, staged
+from ledgerline.llm import decontamination, language, mixing, neardup, tokenfile
+from ledgerline.llm.queries import tokenizer_file
+from ledgerline.llm.tables import read, scratch, staged
+
+#: a text whose n-grams are this far out of place in every language is in none of them
+MIN_LANGUAGE_SCORE = 0.2
+
+
+def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop texts without letters and those like no language learned."""
+    return language.recognised(docs, min_score=MIN_LANGUAGE_SCORE)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document of the smallest id of each group of near-duplicates."""
+    return neardup.deduplicated(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents contaminated by ``benchmark``."""
     return decontamination.decontaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeat or leave out documents so that the sources come near their targets."""
+    return mixing.mixed(docs)
+
+
+def token_file(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Write the token file and return its index: doc_id, start, n_tokens, ids_crc32."""
+    path = scratch(spark, "token-file")
+    tokenfile.write_tokens(docs, path, tokenizer_file("word_bpe_49k.json"))
+    return tokenfile.token_index(tokenfile.read_tokens(spark, path))
+
+
 STAGES = [
+    ("language ID", in_known_language),
+    ("MinHash near-dedup", one_of_each_group),
     ("benchmark decontamination", without_benchmark),
+    ("mixing sources to target weights", mixed_sources),
+    ("token-ID / binary output", token_file),
 ]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``; each stage's table is written and read again."""
+    """Apply the stages to ``documents``."""
     docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    for number, (_, stage) in enumerate(STAGES[:-1]):
+        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{number}")
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
+#: shingle sets, learned languages and a tokenizer are not SQL: tests/llm/test_pipeline.py
 ORACLE_SQL = None
