@@ -28,7 +28,8 @@ def odd_texts():
     base = prose(2, 120)
     return [(1, None), (2, ""), (3, " \t\n\x0b "), (4, base), (5, base), (5, base), (6, base + " tail"), (7, "one two"),
             (8, long), (None, prose(3, 80)), (None, None), (9, "É́ ß ǅ     x 123 <|endoftext|>y"), (10, "a" * 70_000),
-            (11, "...!!! ###"), (12, prose(4, 13)), (13, "ONE Two\x1fthree")]
+            (11, "...!!! ###"), (12, prose(4, 13)), (13, "ONE Two\x1fthree"),
+            (14, "nul\x00inside a\x00 word\x00 \x00 here Ünd <|endoftext|> it's 3rd")]
 
 
 def clashing(df):
