@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from .shipping import map_arrow
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 U64 = np.uint64
 _ODD = 0x9E3779B97F4A7C15
