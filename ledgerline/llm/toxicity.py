@@ -1,23 +1,27 @@
-"""Toxicity by the nearest labelled examples, in exact TF-IDF cosine.
+"""Toxicity by the nearest labelled examples, in exact cosine over all words.
 
 Examples are a bounded sample of the labelled documents (about ``EXAMPLES`` rows, drawn
-by a hash of the id).  The vocabulary holds the words whose use differs between the two
-labels (chi-square of document frequencies at least ``CHI2``, and the share of toxic
-examples among those with the word at least ``LIFT`` times, or at most a ``LIFT``th of, the
-share among all; at most ``VOCABULARY`` words).  Examples stand in an inverted index whose postings are cut into blocks of
-``BLOCK`` examples; per word and block the greatest weight is known.  A query scores
-the most promising blocks first and then only those whose bound is not below its k-th best
-cosine, so the ``k`` nearest are exact (ties: the earlier example).
+by a hash of the id).  Every word of an example is in the index, and vectors have the norm
+of the full text.  A word weighs TF-IDF times how surely it tells the labels apart: the
+size of its log odds ratio less ``ERRORS`` standard errors, at least ``FLOOR`` (the same
+whatever the share of toxic examples, and for words of either label).  No word is dropped:
+one that tells nothing weighs little and still counts in cosines and norms, and words that
+no example holds count in the norm of a query as the rarest words do.
+
+Examples stand in groups of similar texts.  The words common in a group are a dense matrix,
+all others an inverted index; float32 sums over both give every cosine within a known
+rounding error.  Examples that can be among the ``k`` nearest within that error are then
+computed again in float64, so the ``k`` nearest are exact (ties: the earlier example).
 
 The neighbours vote with weight 1 / (0.1 + distance), against a prior of the examples
-without any vocabulary word.  Votes of the examples themselves, each left out of its own
+without any word.  Votes of the examples themselves, each left out of its own
 vote, are pooled into a non-falling curve that turns votes into probabilities.  Evidence:
 the nearest examples, their cosines and labels.
 
 Only the text is an input of a score.  Index and curve are the broadcast part; their size
-is bounded by the parameters above, not by the corpus.
+is bounded by the number of examples, not by the corpus.
 
-Defined cases: null and empty texts have no vocabulary word and get the score of such
+Defined cases: null and empty texts have no word and get the score of such
 examples; without labelled rows every score is 0; rows with null label or id teach
 nothing, ids labelled twice count with their greatest label; repeated rows each keep
 their row; an empty table gives no rows; extra columns are ignored.
@@ -35,16 +39,18 @@ from .shipping import map_arrow
 from .textarrays import ALPHANUMERIC, U64, Words, member, slices, utf8
 
 EXAMPLES = 20_000
-VOCABULARY = 4_096
-CHI2 = 30.0
-LIFT = 2.5
-#: blocks scored before the others are measured against the k-th best
-FIRST_BLOCKS = 8
-BLOCK = 128
+#: standard errors that a word's log odds ratio has to exceed to weigh more than the least
+ERRORS = 2.0
+FLOOR = 0.1
+#: groups of similar examples, at least GROUP_EXAMPLES each on average
+GROUPS = 8
+GROUP_EXAMPLES = 1_024
+#: share of the examples from which a word is in the matrix of a group (smaller groups: a greater share)
+COMMON = 0.07
 NEAREST = 25
 PRIOR = 2.0
-#: answers to the same word counts that a worker remembers
-REMEMBERED = 50_000
+#: queries compared with the examples in one go
+QUERIES = 64
 
 
 def word_counts(texts: pa.Array, vocabulary: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -84,95 +90,171 @@ def word_labels(examples: DataFrame) -> DataFrame:
     return found.groupBy("word").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
 
 
-def telling_words(stats: DataFrame, n: int, toxic: int, chi2: float = CHI2, most: int = VOCABULARY) -> DataFrame:
-    """The words with the greatest chi-square between use and label (bounded by ``most``)."""
-    a, b = F.col("toxic").cast("double"), (F.col("n") - F.col("toxic")).cast("double")
-    c, d = F.lit(float(toxic)) - a, F.lit(float(n - toxic)) - b
-    x = F.try_divide(n * (a * d - b * c) * (a * d - b * c), (a + b) * (c + d) * (a + c) * (b + d))
-    base = toxic / n if n else 0.0
-    share = F.col("toxic") / F.col("n")
-    telling = (share >= LIFT * base) | (share <= base / LIFT)
-    return stats.withColumn("chi2", x).where((F.col("chi2") >= chi2) & (F.col("n") >= 3) & telling) \
-                .orderBy(F.desc("chi2"), "word").limit(most).select("word", "n")
+def telling(n_word: np.ndarray, toxic_word: np.ndarray, n: int, toxic: int) -> np.ndarray:
+    """How surely each word tells the labels apart (log odds ratio less its error, at least ``FLOOR``)."""
+    a, b = toxic_word + 0.5, n_word - toxic_word + 0.5
+    c, d = toxic - toxic_word + 0.5, n - toxic - (n_word - toxic_word) + 0.5
+    return np.maximum(np.abs(np.log(a * d / (b * c))) - ERRORS * np.sqrt(1 / a + 1 / b + 1 / c + 1 / d), FLOOR)
 
 
-class Index:
-    """Block-max inverted index over the TF-IDF vectors of the examples."""
+def _ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The places start[i] .. start[i] + length[i] - 1 of all i."""
+    return np.arange(length.sum()) + np.repeat(start - (np.cumsum(length) - length), length)
+
 
-    def __init__(self, words: list, rows: list, n: int, nearest: int = NEAREST, block: int = BLOCK):
-        order = np.argsort(np.array([w for w, _ in words], dtype=np.int64).astype(U64), kind="stable")
-        self.vocabulary = np.array([words[i][0] for i in order], dtype=np.int64).astype(U64)
-        df = np.array([words[i][1] for i in order], dtype=np.float64)
-        self.idf = np.log(max(n, 1) / np.maximum(df, 1)) + 1 if len(df) else df
+class Index:
+    """Exact nearest examples by the cosine of their weighted TF-IDF vectors."""
+
+    def __init__(self, words, rows: list, n: int, nearest: int = NEAREST, block: int = QUERIES, weights=None,
+                 groups: int | None = None):
+        words = np.asarray(words, dtype=np.int64).reshape(-1, 2)
+        order = np.argsort(words[:, 0].astype(U64), kind="stable")
+        self.vocabulary = words[order, 0].astype(U64)
+        df = words[order, 1].astype(np.float64)
+        weights = np.ones(len(df)) if weights is None else np.asarray(weights)[order]
+        # the last place is that of words no example holds
+        self.idf = np.append((np.log(max(n, 1) / np.maximum(df, 1)) + 1) * weights,
+                             (np.log(max(n, 1)) + 1) * (weights.min() if len(weights) else 1.0))
         self.k, self.block = nearest, block
         rows = sorted(rows, key=lambda r: r["doc_id"])
-        filled = [r for r in rows if r["words"]]
+        filled = [r for r in rows if len(r["words"])]
         self.ids = [r["doc_id"] for r in filled]
         self.labels = np.array([r["toxic"] for r in filled], dtype=np.float64)
-        bare = [r["toxic"] for r in rows if not r["words"]]
+        bare = [r["toxic"] for r in rows if not len(r["words"])]
         whole = [r["toxic"] for r in rows]
         base = sum(whole) / len(whole) if whole else 0.0
         self.prior = (sum(bare) + base) / (len(bare) + 1) if rows else 0.0
-        v, m = len(self.vocabulary), len(filled)
-        self.n_blocks = -(-m // block)
-        post: list[list[tuple[int, float]]] = [[] for _ in range(v)]
-        for e, r in enumerate(filled):
-            for t, x in zip(*self.vector(np.array(r["words"]), np.array(r["counts"]))):
-                post[t].append((e, x))
-        self.bounds = np.zeros((v, self.n_blocks))
-        self.start = np.zeros((v, self.n_blocks + 1), dtype=np.int64)
-        examples, weights = [], []
-        for t, p in enumerate(post):
-            e = np.array([i for i, _ in p], dtype=np.int64)
-            x = np.array([y for _, y in p])
-            self.start[t] = sum(map(len, examples)) + np.searchsorted(e, np.arange(self.n_blocks + 1) * block)
-            if len(e):
-                np.maximum.at(self.bounds[t], e // block, x)
-            examples.append(e)
-            weights.append(x)
-        self.examples = np.concatenate(examples) if examples else np.zeros(0, np.int64)
-        self.weights = np.concatenate(weights) if weights else np.zeros(0)
+        self.first = np.concatenate([[0], np.cumsum([len(r["words"]) for r in filled])]).astype(np.int64)
+        self.words, self.counts = (np.concatenate([np.asarray(r[c], dtype=np.int32) for r in filled] or [np.zeros(0, np.int32)])
+                                   for c in ("words", "counts"))
+        self.groups = max(1, min(GROUPS, len(filled) // GROUP_EXAMPLES)) if groups is None else groups
         self.curve: tuple[np.ndarray, np.ndarray] | None = None
-        self.known: dict = {}
+        self.shared = self.weights = None
 
     def __getstate__(self):
-        return self.__dict__ | {"known": {}}
+        """Words and counts of the examples; the rest is made of them where it is used."""
+        kept = ("vocabulary", "idf", "k", "block", "ids", "labels", "prior", "first", "words", "counts", "groups")
+        return {k: self.__dict__[k] for k in kept} | {"curve": None, "shared": None, "weights": None}
+
+    def arranged(self) -> Index:
+        """Group the examples; matrices of the groups' common words, postings of all others."""
+        if self.weights is not None:
+            return self
+        m, v, groups = len(self.ids), len(self.vocabulary), self.groups
+        owner = np.repeat(np.arange(m), np.diff(self.first))
+        x = (1 + np.log(self.counts)) * self.idf[self.words]
+        weights = x / np.sqrt(np.bincount(owner, x * x, minlength=m))[owner]
+        group = self._groups(owner, groups)
+        self.order = np.argsort(group, kind="stable")  # place among the groups -> example
+        place = np.empty(m, dtype=np.int64)
+        place[self.order] = np.arange(m)
+        bounds = np.searchsorted(group[self.order], np.arange(groups + 1))
+        self.matrices, posted = [], np.ones(len(owner), dtype=bool)
+        for g in range(groups):
+            mine = np.flatnonzero(group[owner] == g)
+            low, high = int(bounds[g]), int(bounds[g + 1])
+            common = np.flatnonzero(np.bincount(self.words[mine], minlength=v) >= max(COMMON * np.sqrt(m * (high - low)), 1))
+            column = np.full(v, -1, dtype=np.int32)
+            column[common] = np.arange(len(common))
+            mine = mine[column[self.words[mine]] >= 0]
+            matrix = np.zeros((len(common), high - low), dtype=np.float32)
+            matrix[column[self.words[mine]], place[owner[mine]] - low] = weights[mine]
+            posted[mine] = False
+            self.matrices.append((low, high, column, matrix))
+        rest = np.flatnonzero(posted)
+        rest = rest[np.argsort(self.words[rest], kind="stable")]
+        self.start = np.searchsorted(self.words[rest], np.arange(v + 1))
+        self.posted = place[owner[rest]].astype(np.int32)
+        self.posted_weights = weights[rest].astype(np.float32)
+        # whether the query at hand holds each word, and where
+        self.held, self.at = np.zeros(v, dtype=bool), np.zeros(v, dtype=np.int32)
+        self.weights = weights
+        return self
+
+    def _groups(self, owner: np.ndarray, groups: int) -> np.ndarray:
+        """A group number for each example, by a few rounds of means over the most frequent words."""
+        m = len(self.ids)
+        if groups < 2 or m < groups:
+            return np.zeros(m, dtype=np.int64)
+        often = np.argsort(-np.bincount(self.words, minlength=len(self.vocabulary)), kind="stable")[:512]
+        column = np.full(len(self.vocabulary), -1)
+        column[often] = np.arange(len(often))
+        mine = np.flatnonzero(column[self.words] >= 0)
+        seen = np.zeros((m, len(often)), dtype=np.float32)
+        seen[owner[mine], column[self.words[mine]]] = 1
+        seen /= np.maximum(np.sqrt(seen.sum(axis=1, keepdims=True)), 1)
+        means = seen[:1]
+        while len(means) < groups:
+            means = np.concatenate([means, seen[[np.argmin((seen @ means.T).max(axis=1))]]])
+        for _ in range(6):
+            group = np.argmax(seen @ means.T, axis=1)
+            means = np.stack([seen[group == g].mean(axis=0) if (group == g).any() else means[g] for g in range(groups)])
+            means /= np.maximum(np.linalg.norm(means, axis=1, keepdims=True), 1e-9)
+        return group
 
     def vector(self, words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Vocabulary places and their normalised TF-IDF weights."""
+        """Places of the known words and their weights, normalised over all words (-1: one that no example holds)."""
         x = (1 + np.log(counts)) * self.idf[words]
-        return words, x / np.sqrt((x * x).sum())
+        x = x / np.sqrt((x * x).sum())
+        return words[words >= 0], x[words >= 0]
 
     def nearest(self, words: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The ``k`` examples of greatest cosine (exact; ties: the earlier one) among those that share a word."""
-        words, q = self.vector(words, counts)
-        bound = q @ self.bounds[words]
-        blocks = np.argsort(-bound, kind="stable")
-        blocks = blocks[bound[blocks] > 0]
-        best, cosines = self._best(words, q, blocks[:FIRST_BLOCKS], k, np.zeros(0, np.int64), np.zeros(0))
-        rest = blocks[FIRST_BLOCKS:]
-        if len(best) == k:
-            # a bound sums in another order than the cosine it bounds: leave room for rounding
-            rest = rest[bound[rest] >= cosines[-1] - 1e-9]
-        if len(rest):
-            best, cosines = self._best(words, q, rest, k, best, cosines)
-        return best, np.minimum(cosines, 1.0)
-
-    def _best(self, words, q, blocks, k, best, cosines):
-        """The k best of those found so far and the examples of some blocks."""
-        sums = np.zeros(self.n_blocks * self.block)
-        for t, x in zip(words, q):
-            if len(blocks) > self.n_blocks // 4:
-                at = slice(self.start[t, 0], self.start[t, -1])
-            else:
-                at = np.concatenate([np.arange(s, e) for s, e in zip(self.start[t, blocks], self.start[t, blocks + 1])])
-            sums[self.examples[at]] += x * self.weights[at]
-        inside = sums.reshape(self.n_blocks, self.block)[blocks]
-        found = np.flatnonzero(inside > 0)
-        examples = blocks[found // self.block] * self.block + found % self.block
-        best, cosines = np.concatenate([best, examples]), np.concatenate([cosines, inside.ravel()[found]])
-        order = np.lexsort((best, -np.round(cosines, 12)))[:k]
-        return best[order], cosines[order]
+        return self.nearest_of([self.vector(words, counts)], k)[0]
+
+    def nearest_of(self, queries: list, k: int) -> list:
+        """``nearest`` of each query vector."""
+        self.arranged()
+        out = []
+        for at in range(0, len(queries), self.block):
+            part = queries[at:at + self.block]
+            for (words, q), rough in zip(part, self._rough(part)):
+                out.append(self._exact(words, q, rough, k))
+        return out
+
+    def _rough(self, queries: list) -> np.ndarray:
+        """float32 cosines of each query with each example (by place)."""
+        words = np.concatenate([w for w, _ in queries])
+        q = np.concatenate([x for _, x in queries]).astype(np.float32)
+        n, m = len(queries), len(self.ids)
+        query = np.repeat(np.arange(n), [len(w) for w, _ in queries])
+        sums = np.zeros((n, m), dtype=np.float32)
+        for low, high, column, matrix in self.matrices:
+            if not len(matrix):
+                continue
+            at = column[words]
+            some = at >= 0
+            mine = np.zeros((n, len(matrix)), dtype=np.float32)
+            mine[query[some], at[some]] = q[some]
+            sums[:, low:high] = mine @ matrix
+        for i, (words, q) in enumerate(queries):
+            start = self.start[words]
+            length = self.start[words + 1] - start
+            at = _ranges(start, length)
+            products = self.posted_weights[at]
+            products *= np.repeat(q.astype(np.float32), length)
+            np.add.at(sums[i], self.posted[at], products)
+        return sums
+
+    def _exact(self, words: np.ndarray, q: np.ndarray, rough: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        least = np.partition(rough, len(rough) - k)[len(rough) - k] if len(rough) >= k else 0.0
+        # a sum of n products of a cosine is off by n + 4 roundings at most, twice for two of them
+        error = 2 * (len(words) + 8) * 2.0 ** -23
+        found = np.flatnonzero(rough >= max(least - error, 1e-30))
+        found = np.sort(self.order[found])
+        if not len(found):
+            return np.zeros(0, np.int64), np.zeros(0)
+        length = self.first[found + 1] - self.first[found]
+        at = _ranges(self.first[found], length)
+        held, place = self.held, self.at
+        held[words], place[words] = True, np.arange(len(words))
+        at_word = self.words[at]
+        both = np.flatnonzero(held[at_word])
+        held[words] = False
+        owner = np.repeat(np.arange(len(found)), length)[both]
+        cosines = np.bincount(owner, q[place[at_word[both]]] * self.weights[at[both]], minlength=len(found))
+        order = np.lexsort((found, -np.round(cosines, 12)))[:k]
+        return found[order], np.minimum(cosines[order], 1.0)
 
     def vote(self, best: np.ndarray, cosines: np.ndarray) -> float:
         w = 1 / (0.1 + (1 - cosines))
@@ -192,23 +274,23 @@ class Index:
         if len(pools) > 1:
             self.curve = (np.array([p[0] / p[2] for p in pools]), np.array([p[1] / p[2] for p in pools]))
 
-    def score(self, vote: float) -> float:
+    def score(self, vote: float, curve) -> float:
         """The curve's probability, half and half with the vote it corrects."""
-        return vote if self.curve is None else float(0.5 * vote + 0.5 * np.interp(vote, *self.curve))
+        return vote if curve is None else float(0.5 * vote + 0.5 * np.interp(vote, *curve))
 
-    def answer(self, words: np.ndarray, counts: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        key = words.tobytes() + b"|" + counts.tobytes()
-        if key not in self.known:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            best, cosines = self.nearest(words, counts, self.k)
-            self.known[key] = self.score(self.vote(best, cosines)), best, cosines
-        return self.known[key]
+    def left_out_votes(self, examples: list[int]) -> list[float]:
+        self.arranged()
+        at = [slice(self.first[e], self.first[e + 1]) for e in examples]
+        out = []
+        for e, (best, cosines) in zip(examples, self.nearest_of([(self.words[s].astype(np.int64), self.weights[s]) for s in at], self.k + 1)):
+            other = best != e
+            out.append(self.vote(best[other][:self.k], cosines[other][:self.k]))
+        return out
 
-    def left_out_vote(self, e: int, words: np.ndarray, counts: np.ndarray) -> float:
-        best, cosines = self.nearest(words, counts, self.k + 1)
-        other = best != e
-        return self.vote(best[other][:self.k], cosines[other][:self.k])
+    def broadcast(self, spark):
+        if self.shared is None:
+            self.shared = spark.sparkContext.broadcast(self)
+        return self.shared
 
 
 def sample(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> DataFrame:
@@ -221,50 +303,51 @@ def sample(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Data
     return docs.join(F.broadcast(known), "doc_id")
 
 
-def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, vocabulary: int = VOCABULARY,
-          chi2: float = CHI2, nearest: int = NEAREST) -> Index:
-    """Vocabulary, index and curve from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic)."""
+def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, nearest: int = NEAREST) -> Index:
+    """Words, index and curve from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic)."""
     from .tables import staged
 
+    spark = docs.sparkSession
     rows = staged(sample(docs, labels, examples), "toxicity-examples")
     n, toxic = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("toxic").cast("long")), F.lit(0))).first()
-    words = [(r["word"], r["n"]) for r in telling_words(word_labels(rows), n, toxic, chi2, vocabulary).collect()]
-    places = np.sort(np.array([w for w, _ in words], dtype=np.int64).astype(U64))
+    # some hundred words an example at most: 24 bytes a word
+    found = word_labels(rows).toArrow()
+    word, n_word, toxic_word = (found.column(k).to_numpy() for k in range(3))
+    places = spark.sparkContext.broadcast(np.sort(word.astype(U64)))
 
     def vectors(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                doc, word, count = word_counts(part.column(1), places)
-                first = np.searchsorted(doc, np.arange(part.num_rows + 1)).astype(np.int32)
+                doc, word, count = word_counts(part.column(1), places.value)
+                first = np.searchsorted(doc, np.arange(part.num_rows + 1))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(2), *(pa.ListArray.from_arrays(pa.array(first), pa.array(x.astype(np.int32)))
-                                                       for x in (word, count))], names=["doc_id", "toxic", "words", "counts"])
+                    [part.column(0), part.column(2),
+                     *(pa.array([x[a:b].astype(np.int32).tobytes() for a, b in zip(first[:-1], first[1:])], pa.binary())
+                       for x in (word, count))], names=["doc_id", "toxic", "words", "counts"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    found = map_arrow(rows.select("doc_id", "text", F.col("toxic").cast("int").alias("toxic")), vectors,
-                      f"doc_id {kind}, toxic int, words array<int>, counts array<int>").collect()
-    index = Index(words, found, n, nearest)
-    shared = docs.sparkSession.sparkContext.broadcast(index)
-    place = {d: e for e, d in enumerate(index.ids)}
-
-    def left_out(batches):
-        for batch in batches:
-            votes = [shared.value.left_out_vote(e, np.array(w), np.array(c)) for e, w, c in
-                     zip(*(batch.column(k).to_pylist() for k in range(3)))]
-            yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), batch.column(3)], names=["vote", "toxic"])
-
-    filled = [(place[r["doc_id"]], r["words"], r["counts"], r["toxic"]) for r in found if r["words"]]
-    if filled:
-        spark = docs.sparkSession
-        own = spark.createDataFrame(filled, "e int, words array<int>, counts array<int>, toxic int").repartition(spark.sparkContext.defaultParallelism)
-        made = map_arrow(own, left_out, "vote double, toxic int").collect()
-        index.calibrate(np.array([r["vote"] for r in made]), np.array([r["toxic"] for r in made], dtype=np.float64))
+    made = map_arrow(rows.select("doc_id", "text", F.col("toxic").cast("int").alias("toxic")), vectors,
+                     f"doc_id {kind}, toxic int, words binary, counts binary").collect()
+    made = [{"doc_id": r["doc_id"], "toxic": r["toxic"], "words": np.frombuffer(r["words"], np.int32),
+             "counts": np.frombuffer(r["counts"], np.int32)} for r in made]
+    index = Index(np.stack([word, n_word], axis=1), made, n, nearest, weights=telling(n_word, toxic_word, n, toxic))
+    if index.ids:
+        shared = index.broadcast(spark)
+
+        def left_out(batches):
+            for batch in batches:
+                at = batch.column(0).to_pylist()
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shared.value.left_out_votes(at), pa.float64())], names=["e", "vote"])
+
+        numbers = spark.range(0, len(index.ids), 1, spark.sparkContext.defaultParallelism)
+        votes = sorted(map_arrow(numbers, left_out, "e long, vote double").collect())
+        index.calibrate(np.array([r["vote"] for r in votes]), index.labels)
     return index
 
 
 def predict(docs: DataFrame, index: Index) -> DataFrame:
     """``docs`` (doc_id, text) -> doc_id, score, evidence (nearest examples: id, cosine, label)."""
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+    shared, curve = index.broadcast(docs.sparkSession), index.curve
     kind = docs.schema["doc_id"].dataType.simpleString()
     item = pa.struct([("doc_id", pa.from_numpy_dtype(np.int64)), ("cosine", pa.float64()), ("toxic", pa.int32())])
 
@@ -272,12 +355,15 @@ def predict(docs: DataFrame, index: Index) -> DataFrame:
         ix = shared.value
         for batch in batches:
             for part in slices(batch, "text"):
-                doc, word, count = word_counts(part.column(1), ix.vocabulary)
+                doc, word, count = word_counts(part.column(1))
+                word = member(word, ix.vocabulary)
                 first = np.searchsorted(doc, np.arange(part.num_rows + 1))
                 scores, evidence = np.full(part.num_rows, ix.prior), [[] for _ in range(part.num_rows)]
-                for i in np.flatnonzero(np.diff(first)):
-                    at = slice(first[i], first[i + 1])
-                    scores[i], best, cosines = ix.answer(word[at], count[at])
+                some = np.flatnonzero(np.diff(first)) if ix.ids else []
+                queries = [ix.vector(word[first[i]:first[i + 1]], count[first[i]:first[i + 1]]) for i in some]
+                for i, (best, cosines) in zip(some, ix.nearest_of(queries, ix.k)):
+                    if len(best):
+                        scores[i] = ix.score(ix.vote(best, cosines), curve)
                     evidence[i] = [{"doc_id": ix.ids[e], "cosine": float(c), "toxic": int(ix.labels[e])}
                                    for e, c in zip(best[:5].tolist(), cosines)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores), pa.array(evidence, pa.list_(item))],

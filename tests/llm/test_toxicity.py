@@ -99,3 +99,42 @@ def test_vocabulary_places():
     places = np.sort(np.array(word[doc == 3], dtype=U64))
     d2, w2, n2 = X.word_counts(__import__("pyarrow").array(["a b a", None, "c", "b"]), places)
     assert (d2.tolist(), w2.tolist(), n2.tolist()) == ([0, 3], [0, 0], [1, 1])
+
+
+def test_nearest_is_exact_in_groups():
+    r = random.Random(6)
+    rows = []
+    for i in range(300):
+        lot = range(300 * (i % 3), 300 * (i % 3) + 400)
+        w = sorted(r.sample(lot[:20], r.randrange(1, 8)) + r.sample(lot[20:], r.randrange(1, 6)))
+        rows.append({"doc_id": i, "toxic": i % 2, "words": w, "counts": [r.randrange(1, 4) for _ in w]})
+    df = [(k * 7 + 3, 1 + sum(k in x["words"] for x in rows)) for k in range(1000)]
+    index = X.Index(df, rows, 300, nearest=10, block=8, weights=[1 + k % 3 for k in range(1000)], groups=3).arranged()
+    assert sum(high > low and len(matrix) > 0 for low, high, _, matrix in index.matrices) == 3 and len(index.posted)
+    dense = np.zeros((300, 1000))
+    for e, x in enumerate(rows):
+        at, v = index.vector(np.array(x["words"]), np.array(x["counts"]))
+        dense[e, at] = v
+    queries = [index.vector(np.array(x["words"]), np.array(x["counts"])) for x in rows[:70]]
+    for (w, q), (best, got) in zip(queries, index.nearest_of(queries, 10)):
+        cosine = dense[:, w] @ q
+        want = [e for e in np.lexsort((np.arange(300), -np.round(cosine, 12))) if cosine[e] > 0][:10]
+        assert best.tolist() == want and np.allclose(got, cosine[want])
+
+
+def test_cosines_are_of_the_full_text(spark):
+    docs, labels = planted()
+    more = [(9001, "vile " + " ".join(f"unseen{k}" for k in range(100))), (9002, prose(77, 60, 300)), (9003, "vile")]
+    got = {r["doc_id"]: r for r in X.score(documents(spark, docs + more), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    bare, among = (max(e["cosine"] for e in got[i]["evidence"]) for i in (9003, 9001))
+    assert among < bare - 0.01
+    # a text without any telling word is searched too
+    assert len(got[9002]["evidence"]) == 5 and not got[9002]["predicted"] and got[9003]["predicted"]
+
+
+def test_most_examples_may_be_toxic(spark):
+    r = random.Random(8)
+    docs = [(i, prose(i, 60, 300) + (" vile nasty" * r.randrange(1, 3) if i % 5 < 3 else "")) for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i % 5 < 3)) for i in range(300)], "doc_id long, toxic int")
+    got = X.score(documents(spark, docs), labels).collect()
+    assert all(x["predicted"] == int(x["doc_id"] % 5 < 3) for x in got)
