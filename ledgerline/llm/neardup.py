@@ -353,8 +353,11 @@ def _groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows, nodes = node_table(docs)
     named = nodes.join(links(docs, nodes), "node", "left").select(
         "set_id", "doc_id", F.coalesce("label", "node").alias("label"))
-    least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    return rows, named.join(least, "label").select("set_id", "component_id", (F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("first"))
+    # one set a component, also where several have the smallest id, or none has an id
+    chosen = F.min(F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "set_id"))
+    least = named.groupBy("label").agg(chosen.alias("least")).select(
+        "label", F.col("least")["doc_id"].alias("component_id"), F.col("least")["set_id"].alias("kept_set"))
+    return rows, named.join(least, "label").select("set_id", "component_id", (F.col("set_id") == F.col("kept_set")).alias("first"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -95,3 +95,10 @@ def test_components(spark):
     got = {r["node"]: r["label"] for r in C.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}, 500: 500, 501: 500}
     assert C.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_one_set_survives_where_ids_are_repeated_or_null(spark):
+    a, b = prose(901, 200), prose(902, 200)
+    rows = [(7, a), (7, a + " changed"), (None, b), (None, b + " changed"), (3, None)]
+    kept = [r["text"] for r in N.deduplicated(documents(spark, rows)).collect()]
+    assert len(kept) == 3 and sum(t in (a, a + " changed") for t in kept) == 1 and sum(t in (b, b + " changed") for t in kept) == 1
