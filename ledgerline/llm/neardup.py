@@ -24,7 +24,7 @@ costs one confirmed pair per node instead of one per pair.
 
 Before a pair is confirmed, a finer sketch (the least shingle of each of 256 ranges of
 hashes) has to allow the similarity within 4.75 standard deviations.  A pair of similarity
-0.75 agrees on fewer than 24 of 48 coordinates in about 2 of 100,000 cases; that and the
+0.75 agrees on fewer than 24 of 48 coordinates in about 5 of 100,000 cases; that and the
 sketch's 1 in a million are the only ways a link can be missed.
 
 Defined cases: null texts and texts without words have no shingles, are linked with
