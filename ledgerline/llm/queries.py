@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontamination, language, merkle, mixing, neardup, quality, tokencounts, tokenfile, toxicity, warc
+from . import decontamination, fim, language, merkle, mixing, neardup, quality, tokencounts, tokenfile, toxicity, warc
 from .tables import read, scratch
 
 
@@ -60,6 +61,14 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(read(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.fill_in_middle(read(spark, sf_dir, "documents"))
+    form, output = F.col("fim.form"), F.col("fim.output")
+    return made.select("doc_id", "fim.n", "fim.form", F.col("fim.prefix_units").alias("prefix_chars"),
+                       F.col("fim.middle_units").alias("middle_chars"), F.sha2(output, 256).alias("output_sha256"),
+                       F.sha2(fim.restored(form, output), 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_token_file": op1_token_file,
     "op2_token_counts": op2_token_counts,
@@ -71,6 +80,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_language": op10_language,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }
 
 _WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -93,6 +103,17 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)""",
+    "op11_fill_in_middle": """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+r AS (SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+             CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+             CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                  WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM r),
+p AS (SELECT *, substring(t, 1, a) AS pre, substring(t, a + 1, b - a) AS mid, substring(t, b + 1, n - b) AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+              ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256 FROM p""",
     "op4_warc_index": """
 WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
 f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p),
