@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, fim, language, merkle, mixing, neardup, quality, tokencounts, tokenfile, toxicity, warc
+from . import decontamination, fim, language, linededup, merkle, mixing, neardup, quality, tokencounts, tokenfile, toxicity, warc
 from .tables import read, scratch
 
 
@@ -69,6 +69,11 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(fim.restored(form, output), 256).alias("restored_sha256"))
 
 
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = linededup.dedup_lines(read(spark, sf_dir, "documents"))
+    return made.select("doc_id", "lines.n_lines", "lines.n_dropped", F.sha2("lines.kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_token_file": op1_token_file,
     "op2_token_counts": op2_token_counts,
@@ -81,6 +86,7 @@ QUERIES = {
     "op9_near_duplicates": op9_near_duplicates,
     "op10_language": op10_language,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op13_line_dedup": op13_line_dedup,
 }
 
 _WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -114,6 +120,17 @@ p AS (SELECT *, substring(t, 1, a) AS pre, substring(t, a + 1, b - a) AS mid, su
 SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
        sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
               ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256 FROM p""",
+    "op13_line_dedup": """
+WITH l AS (SELECT r, doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS pos
+           FROM (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+h AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 20 GROUP BY key
+      HAVING count(DISTINCT doc_id) + CAST(bool_or(doc_id IS NULL) AS INTEGER) >= 3),
+m AS (SELECT k.*, h.key IS NOT NULL AND doc_id IS DISTINCT FROM keeper AS gone FROM k LEFT JOIN h ON k.key = h.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY r, doc_id""",
     "op4_warc_index": """
 WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
 f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p),
