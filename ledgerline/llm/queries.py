@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, fim, language, linededup, merkle, mixing, neardup, quality, tokencounts, tokenfile, toxicity, warc
-from .tables import read, scratch
+from . import decontamination, fim, language, linededup, merkle, mixing, neardup, quality, tokencounts, tokenfile, toxicity, veccodes, warc
+from .tables import read, scratch, staged
 
 
 def tokenizer_file(name: str) -> str:
@@ -69,6 +69,14 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(fim.restored(form, output), 256).alias("restored_sha256"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    books = veccodes.learned(vectors)
+    coded = veccodes.encoded(vectors, books).select("vec_id", "label", "coded.code", "coded.error")
+    rows = veccodes.with_label_error(staged(coded, "vector-codes"))
+    return rows.select("vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = linededup.dedup_lines(read(spark, sf_dir, "documents"))
     return made.select("doc_id", "lines.n_lines", "lines.n_dropped", F.sha2("lines.kept", 256).alias("kept_sha256"))
@@ -86,11 +94,27 @@ QUERIES = {
     "op9_near_duplicates": op9_near_duplicates,
     "op10_language": op10_language,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_vector_codes": op12_vector_codes,
     "op13_line_dedup": op13_line_dedup,
 }
 
 _WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+def _assigned(out: str, books: str) -> str:
+    """Entry and squared distance of each part: the least of 64 * distance + entry."""
+    return f"""{out} AS MATERIALIZED (SELECT r, pos, x, m % 64 AS entry, m // 64 AS d FROM (
+    SELECT r, p.pos, any_value(p.x) AS x, min(64 * CAST(list_inner_product(p.x, p.x) - 2 * list_inner_product(p.x, c.x)
+           + list_inner_product(c.x, c.x) AS BIGINT) + entry) AS m FROM p JOIN {books} c ON p.pos = c.pos GROUP BY r, p.pos))"""
+
+
+def _recentred(out: str, books: str, members: str) -> str:
+    return f"""{out} AS MATERIALIZED (SELECT c.pos, c.entry, coalesce(n.x, c.x) AS x FROM {books} c LEFT JOIN (
+    SELECT pos, entry, list(CAST((s - ((s % n) + n) % n) // n AS DOUBLE) ORDER BY j) AS x FROM (
+        SELECT pos, entry, j, CAST(sum(v) AS BIGINT) AS s, count(*) AS n FROM (
+            SELECT pos, entry, unnest(x) AS v, unnest(range(len(x))) AS j FROM {members}) GROUP BY pos, entry, j) GROUP BY pos, entry) n
+    ON c.pos = n.pos AND c.entry = n.entry)"""
+
+
 ORACLE = {
     "op5_decontaminate": f"""
 WITH d AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
@@ -120,6 +144,21 @@ p AS (SELECT *, substring(t, 1, a) AS pre, substring(t, a + 1, b - a) AS mid, su
 SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
        sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
               ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256 FROM p""",
+    "op12_vector_codes": f"""
+WITH e AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label,
+             list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+p AS MATERIALIZED (SELECT r, pos, v[pos * (len(v) // 16) + 1 : (pos + 1) * (len(v) // 16)] AS x FROM e, range(16) t(pos)),
+c0 AS (SELECT pos, r - 1 AS entry, x FROM p WHERE r <= 64),
+{_assigned("a0", "c0")},
+{_recentred("c1", "c0", "a0")},
+{_assigned("a1", "c1")},
+{_recentred("c2", "c1", "a1")},
+{_assigned("a2", "c2")},
+codes AS (SELECT r, string_agg(printf('%02x', entry), '' ORDER BY pos) AS code, CAST(sum(d) AS BIGINT) AS error FROM a2 GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(list_transform(x, lambda v: CAST(v AS BIGINT)), ','), ',' ORDER BY pos, entry)) FROM c2) AS codebooks_sha256
+FROM e JOIN codes USING (r)""",
     "op13_line_dedup": """
 WITH l AS (SELECT r, doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS pos
            FROM (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)),
