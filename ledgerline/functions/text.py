@@ -46,6 +46,17 @@ def clean_value(vl, mode: str = "plain") -> Column:
     raise ValueError(f"unknown mode {mode!r}")
 
 
+GOOD, EMPTY, UNREADABLE = "good", "empty", "unreadable"
+
+
+def value_state(vl) -> Column:
+    """What ``clean_value`` makes of a value text: a number, nothing (null, blank, ``-``), or
+    text that is no number (D-3: it becomes null and is counted)."""
+    v = as_col(vl)
+    return (F.when(v.isNull() | (F.trim(v) == "") | (v == "-"), F.lit(EMPTY))
+             .when(_digits(v).try_cast("double").isNotNull(), F.lit(GOOD)).otherwise(F.lit(UNREADABLE)))
+
+
 def route_by_name(name, rules: list[tuple[str, str]]) -> Column:
     """First rule whose needle occurs in ``name`` gives the kind (CHARINDEX > 0); else null."""
     n = as_col(name)

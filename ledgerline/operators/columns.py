@@ -20,3 +20,11 @@ def dedupe_names(names: list[str]) -> list[str]:
         seen[n] = k + 1
         out.append(n if k == 0 else f"{n}_{k}")
     return out
+
+
+def unused_name(stem: str, taken: list[str]) -> str:
+    """A column name that none of the given columns has, whatever its case."""
+    low = {c.lower() for c in taken}
+    while stem.lower() in low:
+        stem += "_"
+    return stem

@@ -9,13 +9,14 @@ the four near-copies become one 4-row spec table, so the whole job is one plan
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import export_date
 from ..functions.numbers import decimal_comma
-from ..functions.text import clean_value
+from ..functions.text import EMPTY, GOOD, UNREADABLE, clean_value, value_state
 
 # The indicators of the reference job -- id (DIM_1743), flag column that
 # must equal 1, value mode, and the label written to DIM_1.
@@ -65,14 +66,42 @@ def min_by_keys(df: DataFrame, keys: list[str], value: str, out: str | None = No
     return df.dropna(subset=list(keys)).groupBy(*keys).agg(F.min(value).alias(out or value))
 
 
+VALUE_STATES = (GOOD, EMPTY, UNREADABLE)
+
+
+def observe_values(df: DataFrame, counts: Observation, ordinals: list[int], value: str = "VL",
+                   ordinal: str = "ordinal") -> DataFrame:
+    """D-3: count good, empty and unreadable values of each indicator while ``df`` is computed.
+
+    The counts ride on the plan (``CollectMetrics``): no second scan, no row changes.  They are
+    there (``value_counts``) once an action has run.  Spark adds up what tasks report, so
+    tasks that a lost executor makes run again may count twice; a count of bad values is a sign,
+    not a ledger.
+    """
+    state = value_state(value)
+    return df.observe(counts, *[F.count_if((F.col(ordinal) == o) & (state == s)).alias(f"{s}_{o}")
+                                for o in ordinals for s in VALUE_STATES])
+
+
+def value_counts(spark: SparkSession, counts: Observation, labels: dict[int, str]) -> DataFrame:
+    """The observed counts as rows: ordinal, DIM_1, good, empty, unreadable (one row an indicator)."""
+    got = counts.get
+    rows = [(o, label, *[got[f"{s}_{o}"] for s in VALUE_STATES]) for o, label in labels.items()]
+    return spark.createDataFrame(rows, "ordinal int, DIM_1 string, good long, empty long, unreadable long")
+
+
 def build_indicators(pages: DataFrame, categories: DataFrame, slices: DataFrame,
-                     spec: DataFrame) -> DataFrame:
+                     spec: DataFrame, counts: Observation | None = None,
+                     ordinals: list[int] = tuple(range(len(INDICATOR_SPEC)))) -> DataFrame:
     """CMP-2: filter, decode, clean, min and unify all indicators in one plan.
 
     Output ``DIM_1 .. DIM_5, date, val`` plus ``ordinal`` (the spec order, used
-    by the export sort).
+    by the export sort).  With ``counts`` the values of the indicators ``ordinals`` are
+    counted beside the plan (``observe_values``).
     """
     f = filter_indicator(pages, spec)
+    if counts is not None:
+        f = observe_values(f, counts, list(ordinals))
     f = decode_dimension(f, "DIM_1295", categories, "DIM_2")
     f = decode_dimension(f, "DIM_369", slices, "DIM_5")
     val = F.when(F.col("mode") == "scaled", clean_value("VL", "scaled")).otherwise(clean_value("VL", "plain"))
@@ -129,12 +158,56 @@ def failed_pages(df: DataFrame, indicator: str, page: str, bad, records_of: str,
                     F.coalesce("records", F.lit(0).cast("long")).alias("records"))
 
 
+def columns_with_values(df: DataFrame, columns: list[str] | None = None) -> list[str]:
+    """The columns that hold any value: one aggregate counts the non-null values of all at once."""
+    columns = df.columns if columns is None else columns
+    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(columns)]).first()
+    return [c for i, c in enumerate(columns) if counts[f"c{i}"] > 0]
+
+
 def drop_null_columns(df: DataFrame) -> DataFrame:
     """PRJ-7: drop columns that hold no value at all.
 
-    One aggregate job counts the non-null values of every column at once
-    (an action: the column list depends on the data).
+    One aggregate job (an action: the column list depends on the data).
+    """
+    return df.select(*[F.col(f"`{c}`") for c in columns_with_values(df)])
+
+
+#: read Parquet by the source that takes aggregates down to the footers
+FOOTER_CONF = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+
+
+def footer_counts(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """Non-null counts of flat columns, answered from the footers of the Parquet files.
+
+    The plan holds no column data (``PushedAggregation``).
+    """
+    before = {k: spark.conf.get(k, None) for k in FOOTER_CONF}
+    try:
+        for k, v in FOOTER_CONF.items():
+            spark.conf.set(k, v)
+        df = spark.read.parquet(path).agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(columns)])
+        df._jdf.queryExecution().executedPlan()  # planned while the settings hold
+        return df
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def drop_null_file_columns(spark: SparkSession, path: str) -> DataFrame:
+    """PRJ-7 on Parquet files: columns without any value are dropped by the files' own statistics.
+
+    Nested columns have no count in a footer, and files without statistics refuse; both are counted
+    by a scan instead.
     """
-    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(df.columns)]).first()
-    keep = [c for i, c in enumerate(df.columns) if counts[f"c{i}"] > 0]
-    return df.select(*[F.col(f"`{c}`") for c in keep])
+    df = spark.read.parquet(path)
+    nested = (T.ArrayType, T.MapType, T.StructType)
+    flat = [f.name for f in df.schema if not isinstance(f.dataType, nested)]
+    try:
+        counts = footer_counts(spark, path, flat).first()
+        full = {c for i, c in enumerate(flat) if counts[i] > 0}
+    except PySparkException:
+        full = set(columns_with_values(df, flat))
+    rest = [c for c in df.columns if c not in flat]
+    full |= set(columns_with_values(df, rest)) if rest else set()
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c in full])

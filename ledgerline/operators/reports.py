@@ -191,6 +191,12 @@ def header_columns(dictionary, kind: str) -> list[tuple[str, str, int, str]]:
     return [(f"{n}__{a}", a, c, e) for n, (a, c, e) in zip(names, cells)]
 
 
+def header_lines(dictionary, kind: str) -> list[list[str]]:
+    """The two header lines of a kind's file: element (repeats as they are) over attribute."""
+    cells = [*ID_HEADER, *[(e, a) for _, a, _, e in header_columns(dictionary, kind)]]
+    return [[e for e, _ in cells], [a for _, a in cells]]
+
+
 def needed_paths(dictionary, kinds=(FULL, SIMPLE)) -> list[tuple[str, ...]]:
     """Element paths the dictionary's lines occupy: all the parse has to read."""
     return [path for kind in kinds for path in line_paths(kind_lines(dictionary, kind), kind).values()]
@@ -262,6 +268,25 @@ def parse_reports(files: DataFrame, content: str = "content", dictionary=None,
     return parsed.select("*", F.posexplode("report.Документ").alias("doc_no", "doc")).drop(content)
 
 
+def document_schema(dictionary=None, kinds=(FULL, SIMPLE)) -> T.StructType:
+    """Schema of one ``Документ`` for the row-tag source."""
+    whole = report_schema(needed_paths(dictionary, kinds) if dictionary is not None else None)
+    return whole["Документ"].dataType.elementType
+
+
+def route_documents(documents: DataFrame, heads: DataFrame, kinds=(FULL, SIMPLE)) -> DataFrame:
+    """Documents that the row-tag source cut out of their files, in the form of ``parse_reports``.
+
+    ``heads`` (``file_path``, ``head``: the text before a file's first document) gives each file's id and
+    kind; the files of other kinds drop out with their documents.
+    """
+    ids = heads.select("file_path", raw_file_id(F.col("head")).alias("__id"))
+    ids = ids.withColumn("kind", route_by_prefix(F.col("__id"), KIND_PREFIX)).where(F.col("kind").isin(*kinds))
+    return documents.join(ids, "file_path").select(
+        F.element_at(F.split("file_path", "/"), -1).alias("file_name"), "kind", F.struct(F.col("__id").alias("_ИдФайл")).alias("report"),
+        "doc_no", "doc")
+
+
 def report_status(files: DataFrame, content: str = "content") -> DataFrame:
     """Per file: kind, whether it is broken XML, and its number of documents (AGG-9 for reports).
 

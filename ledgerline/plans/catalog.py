@@ -377,6 +377,7 @@ def route_kind(spark, sf):
 # ------------------------------------------------------------ indicators
 from ..functions.text import clean_value  # noqa: E402
 from ..operators import indicators as IND  # noqa: E402
+from ..operators.ordering import with_position  # noqa: E402
 from ..sources.pages import json_field as _json_field  # noqa: E402
 
 _DIGITS = "TRY_CAST(translate(replace(VL, ',', '.'), ' %', '') AS DOUBLE)"
@@ -415,6 +416,9 @@ def min_by_keys(spark, sf):
     return IND.min_by_keys(e, ["event_type", "user_id", "day"], "value", "min_value")
 
 
+_EXPORT_ORDER = "ordinal, DIM_2 NULLS LAST, DIM_3, DIM_4, DIM_5 NULLS LAST, TRY_CAST(date AS DATE) NULLS LAST"
+
+
 def _indicators_sql():
     spec = " UNION ALL ".join(
         f"SELECT {float(i)} AS ind_id, '{flag}' AS flag_col, '{mode}' AS mode, '{label}' AS label, {n} AS ordinal"
@@ -447,28 +451,27 @@ def build_indicators(spark, sf):
 
 
 @register("indicator_export", _indicators_sql() + f"""
-SELECT DIM_1, DIM_2, DIM_3, DIM_4, DIM_5, strftime(TRY_CAST(date AS DATE), '%m.%d.%Y') AS date,
+SELECT row_number() OVER (ORDER BY {_EXPORT_ORDER}) AS position, DIM_1, DIM_2, DIM_3, DIM_4, DIM_5, strftime(TRY_CAST(date AS DATE), '%m.%d.%Y') AS date,
        replace(CAST(val AS VARCHAR), '.', ',') AS val FROM m""")
 def indicator_export(spark, sf):
-    return IND.indicator_export(_build_indicators(spark, sf))
+    return with_position(IND.indicator_export(_build_indicators(spark, sf)))
 
 
 @register("failed_pages", """
 WITH p AS (SELECT event_type, event_id // 100 AS page, max(CAST(value > 300 AS INTEGER)) AS bad, count(value) AS rec
-           FROM events WHERE event_id // 100 % 7 <> 0 GROUP BY ALL),
+           FROM events GROUP BY ALL),
 g AS (SELECT event_type, count(*) AS n, sum(bad) AS bad, sum(rec) AS rec FROM p GROUP BY ALL),
 x AS (SELECT event_type, max(event_id // 100) + 3 AS expected FROM events GROUP BY ALL UNION ALL SELECT 'none', 4)
 SELECT x.event_type, coalesce(n, 0) AS n_pages, CAST(coalesce(bad, 0) AS BIGINT) AS failed_pages,
        CAST(greatest(expected - coalesce(n, 0), 0) AS BIGINT) AS missing_pages, CAST(coalesce(rec, 0) AS BIGINT) AS records
 FROM x LEFT JOIN g USING (event_type)""")
 def failed_pages(spark, sf):
-    """Every seventh page did not land, the service states two pages more than there are, and one
-    indicator has none."""
+    """The service states two pages more than there are, and one indicator has none."""
     e = I.table(spark, sf, "events").select("event_type", F.expr("event_id div 100").alias("page"),
                                             (F.col("value") > 300).alias("bad"), "value")
     stated = e.groupBy("event_type").agg((F.max("page") + 3).alias("n_expected"))
     stated = stated.unionAll(spark.createDataFrame([("none", 4)], "event_type string, n_expected bigint"))
-    return IND.failed_pages(e.where(F.col("page") % 7 != 0), "event_type", "page", "bad", "value", stated)
+    return IND.failed_pages(e, "event_type", "page", "bad", "value", stated)
 
 
 @register("drop_null_columns", """
@@ -533,13 +536,14 @@ _EVEN = "CAST(round_even({} * 100, 0) / 100 AS VARCHAR)"
 
 
 @register("color_summary", _ORDER_COLORED + f"""
+SELECT row_number() OVER (ORDER BY o_orderpriority, o_orderstatus, Bin) AS position, * FROM (
 SELECT o_orderpriority, o_orderstatus, COLOR_o_totalprice AS Bin,
        '[' || {_EVEN.format('min(o_totalprice)')} || '; ' || {_EVEN.format('max(o_totalprice)')} || ']' AS Range,
        count(o_totalprice) AS Count
-FROM colored WHERE COLOR_o_totalprice IS NOT NULL GROUP BY ALL""")
+FROM colored WHERE COLOR_o_totalprice IS NOT NULL GROUP BY ALL)""")
 def color_summary(spark, sf):
     colored = C.color_scale(I.order_cells(spark, sf), _OKEYS, _OMETRICS)
-    return C.slice_summary(colored, _OKEYS, "o_totalprice")
+    return with_position(C.slice_summary(colored, _OKEYS, "o_totalprice"))
 
 
 # eighths: every other value is a tie at two places
@@ -623,11 +627,12 @@ def colored_union(spark, sf):
 
 
 @register("filter_values", """
+SELECT row_number() OVER (ORDER BY column_name, value) AS position, * FROM (
 SELECT DISTINCT 'p_brand' AS column_name, CAST(p_brand AS VARCHAR) AS value FROM part
 UNION SELECT DISTINCT 'p_type', CAST(p_type AS VARCHAR) FROM part
-UNION SELECT DISTINCT 'p_size', CAST(p_size AS VARCHAR) FROM part""")
+UNION SELECT DISTINCT 'p_size', CAST(p_size AS VARCHAR) FROM part)""")
 def filter_values(spark, sf):
-    return C.filter_values(I.table(spark, sf, "part"), ["p_brand", "p_type", "p_size"])
+    return with_position(C.filter_values(I.table(spark, sf, "part"), ["p_brand", "p_type", "p_size"]))
 
 
 @register("mixed_union", """
@@ -741,7 +746,7 @@ FROM (SELECT l_orderkey, l_linenumber, {I.MONEY_SQL.format('l_quantity')} AS q,
              {I.MONEY_SQL.format('l_extendedprice')} AS p, {I.MONEY_SQL.format('l_tax')} AS t FROM lineitem)"""
 
 
-def _report_sql(kind):
+def _report_sql(kind, of="o_orderkey", readable=_READABLE):
     prefix, label, orders, lines, slot, slots = _KIND_SQL[kind]
     by_line = {(code, element): k for k, (_, element, code) in slots.items()}
     used = sorted(slots)
@@ -763,14 +768,14 @@ def _report_sql(kind):
             else:
                 value = "CAST(NULL AS VARCHAR)"
             cols.append(f'{value} AS "{name}"')
-    return f"""SELECT '{prefix}' || CAST(o_orderkey AS VARCHAR) AS "ИдФайл__xml", '{label}' AS "КНД__Тип",
+    return f"""SELECT '{prefix}' || CAST({of} AS VARCHAR) AS "ИдФайл__xml", '{label}' AS "КНД__Тип",
        strftime(o_orderdate, '%Y') AS "КНД_1__ОтчетГод", strftime(o_orderdate, '%d%m%Y') AS "ДатаДок__ГГГГММДД",
        '6201' AS "СвНП__ОКВЭД2", lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS "НПЮЛ__ИННЮЛ",
        'Org, ' || CAST(o_custkey AS VARCHAR) AS "НПЮЛ_1__НаимОрг", {", ".join(cols)}
 FROM orders CROSS JOIN (VALUES (0), (1)) d(doc)
 LEFT JOIN (SELECT l_orderkey, {pivot} FROM (SELECT *, {slot} AS slot FROM ({_ITEMS}) WHERE rep = 0) GROUP BY l_orderkey) li
   ON li.l_orderkey = o_orderkey
-WHERE {orders} AND {_READABLE} AND (doc = 0 OR o_orderkey % 10 = 0)"""
+WHERE {orders} AND {readable} AND (doc = 0 OR o_orderkey % 10 = 0)"""
 
 
 def _parsed_reports(spark, sf, lines, kinds=(REP.FULL, REP.SIMPLE)):
@@ -898,3 +903,6 @@ def report_status(spark, sf):
     return st.groupBy("kind").agg(F.count(F.lit(1)).alias("files"),
                                   F.sum(F.col("broken").cast("long")).alias("broken"),
                                   F.sum(F.col("documents").cast("long")).alias("documents"))
+
+
+from . import landed  # noqa: E402, F401  (queries over files that they write)

@@ -262,13 +262,16 @@ VALUE_TEXT_SQL = f"""
 SELECT event_id, {_VL_SQL} AS VL FROM (SELECT *, CAST(round(value * 100) AS BIGINT) AS c FROM events)"""
 
 
+def _indicator_id():
+    return (F.when(F.col("event_type") == "view", 50.0).when(F.col("event_type") == "click", 9950.0)
+             .when(F.col("event_type") == "purchase", 53.0).when(F.col("event_type") == "signup", 51.0)
+             .otherwise(999.0))
+
+
 def indicator_pages(spark, sf_dir):
     """Events as API page rows: indicator by event type, flags by user, slice = user % 30,
     category = event % 6 (5 has no name), date = day of the event, value text as above."""
-    e = table(spark, sf_dir, "events")
-    ind = (F.when(F.col("event_type") == "view", 50.0).when(F.col("event_type") == "click", 9950.0)
-            .when(F.col("event_type") == "purchase", 53.0).when(F.col("event_type") == "signup", 51.0)
-            .otherwise(999.0))
+    e, ind = table(spark, sf_dir, "events"), _indicator_id()
     return e.withColumn("__c", F.round(F.col("value") * 100).cast("long")) \
         .withColumn("__k", F.col("event_id") % 10).select(
         F.when(F.col("event_id") % 9 == 0, 1.0).otherwise(2.0).alias("DIM_1293"),
@@ -293,6 +296,31 @@ SELECT CASE WHEN event_id % 9 = 0 THEN 1.0 ELSE 2.0 END AS DIM_1293,
 FROM (SELECT *, CAST(round(value * 100) AS BIGINT) AS c FROM events)"""
 
 
+def spoiled_pages(spark, sf_dir):
+    """The page rows with text that is no number on slice 7, category 2, and blank text on slice 8."""
+    p = indicator_pages(spark, sf_dir)
+    vl = (F.when((F.col("DIM_369") == 7) & (F.col("DIM_1295") == 2), "н/д").when(F.col("DIM_369") == 8, " ").otherwise(F.col("VL")))
+    return p.withColumn("VL", vl)
+
+
+SPOILED_SQL = f"""
+SELECT * REPLACE (CASE WHEN DIM_369 = 7 AND DIM_1295 = 2 THEN 'н/д' WHEN DIM_369 = 8 THEN ' ' ELSE VL END AS VL) FROM ({PAGES_SQL})"""
+
+
+PAGE_RECORDS = 1000
+
+
+def page_bodies(spark, sf_dir):
+    """API pages as JSON text, one row each: the records of an indicator (by event type) in the same
+    thousand of event ids; page 3 of every 11 is cut off before its end."""
+    e = table(spark, sf_dir, "events")
+    record = F.to_json(F.struct(F.col("event_id").cast("double").alias("DIM_369"), F.col("event_type").alias("VL")))
+    pages = (e.select(_indicator_id().cast("int").alias("indicator"), F.expr(f"event_id div {PAGE_RECORDS}").alias("page"), record.alias("j"))
+              .groupBy("indicator", "page").agg(F.array_join(F.collect_list("j"), ",").alias("body")))
+    end = F.when(F.col("page") % 11 == 3, F.lit("")).otherwise(F.lit("]"))
+    return pages.select("indicator", "page", F.concat(F.lit("["), F.col("body"), end).alias("text"))
+
+
 def categories(spark, sf_dir):
     r = table(spark, sf_dir, "region")
     return r.select(F.col("r_regionkey").cast("double").alias("id"), F.lower("r_name").alias("name"))
@@ -476,10 +504,10 @@ def _section(slots: dict, name: str, offset):
     return F.array_join(F.transform(F.array_sort(own), line), "")
 
 
-def report_files(spark, sf_dir):
-    """One XML report per order: pending orders file a simplified report, others a full one;
-    line items become lines of every section (quantity, price, tax as the three periods, or
-    quantity and price in the results).
+def _documents(spark, sf_dir):
+    """The documents that each order files, as XML text: pending orders a simplified report, others a
+    full one; line items become lines of every section (quantity, price, tax as the three
+    periods, or quantity and price in the results).
 
     Orders and line items are dealt to as many tasks as a shuffle has, by number, so that
     adaptive execution does not merge the narrow inputs into a few tasks that then build and
@@ -519,9 +547,33 @@ def report_files(spark, sf_dir):
         F.date_format("o_orderdate", "dd.MM.yyyy"), F.lit('"><СвНП ОКВЭД2="62.01"><НПЮЛ ИННЮЛ="'), F.lpad(cust, 10, "0"),
         F.lit('" НаимОрг="Org; '), cust, F.lit('"/></СвНП>'))
     again = F.when(key % 10 == 0, F.concat(head, F.lit("<Баланс>"), asset, F.lit("</Актив></Баланс></Документ>"))).otherwise("")
-    prefix = F.when(key % 89 == 0, F.lit("NO_USN_")).when(simple, F.lit("NO_BOUPR_")).otherwise(F.lit("NO_BUHOT_"))
+    return j.select("o_orderkey", simple.alias("simple"),
+                    F.concat(head, F.when(simple, short_body).otherwise(full_body), F.lit("</Документ>"), again).alias("documents"))
+
+
+def report_files(spark, sf_dir):
+    """One XML report per order (``_documents``): some broken, of a foreign kind, or with a long comment."""
+    key = F.col("o_orderkey")
+    prefix = F.when(key % 89 == 0, F.lit("NO_USN_")).when(F.col("simple"), F.lit("NO_BOUPR_")).otherwise(F.lit("NO_BUHOT_"))
     comment = F.when(key % 83 == 0, F.concat(F.lit('<!-- ИдФайл="NO_OTHER_0" '), F.repeat(F.lit("long "), 1500), F.lit("-->"))).otherwise("")
-    xml = F.concat(comment, F.lit('<Файл ИдФайл="'), prefix, key.cast("string"), F.lit('">'), head,
-                   F.when(simple, short_body).otherwise(full_body), F.lit("</Документ>"), again,
+    xml = F.concat(comment, F.lit('<Файл ИдФайл="'), prefix, key.cast("string"), F.lit('">'), F.col("documents"),
                    F.when(key % 97 == 0, F.lit("<Докум")).otherwise(F.lit("</Файл>")))
-    return j.select(F.concat(F.lit("report_"), key.cast("string"), F.lit(".xml")).alias("file_name"), xml.alias("content"))
+    return _documents(spark, sf_dir).select(F.concat(F.lit("report_"), key.cast("string"), F.lit(".xml")).alias("file_name"), xml.alias("content"))
+
+
+PACK_SQL = "CASE WHEN o_orderkey % 2 = 0 THEN 0 ELSE o_orderkey % 8 END"
+
+
+def write_report_packs(spark, sf_dir, path):
+    """The documents of all orders in few files, one for each kind and pack number; one file of each kind
+    holds half of the documents, and a comment before its root names another id."""
+    d = _documents(spark, sf_dir)
+    kind = F.when(F.col("simple"), F.lit("NO_BOUPR_")).otherwise(F.lit("NO_BUHOT_"))
+    lines = d.select(F.concat(kind, F.expr(PACK_SQL).cast("string")).alias("pack"), F.col("o_orderkey").alias("at"), "documents")
+    packs = lines.select("pack").distinct()
+    comment = F.when(F.col("pack").endswith("_0"), F.lit('<!-- <Файл ИдФайл="NO_OTHER_0"> > -->\n')).otherwise("")
+    top = packs.select("pack", F.lit(-1).cast("long").alias("at"), F.concat(
+        F.lit('<?xml version="1.0" encoding="utf-8"?>\n'), comment, F.lit('<Файл ИдФайл="'), F.col("pack"), F.lit('">')).alias("documents"))
+    end = packs.select("pack", F.lit((1 << 63) - 1).alias("at"), F.lit("</Файл>").alias("documents"))
+    lines = top.unionAll(lines).unionAll(end).repartition("pack").sortWithinPartitions("pack", "at")
+    lines.select("pack", "documents").write.partitionBy("pack").text(path)

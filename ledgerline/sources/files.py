@@ -3,8 +3,19 @@
 
 from __future__ import annotations
 
+import csv
+import re
+import uuid
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..operators.columns import dedupe_names
+from ..operators.ordering import part_number, running_starts
+from ..session import checkpoint_path
 
 # ------------------------------------------------------------------ extract layouts (SRC-6)
 # The three upload layouts of the load procedure, column by column.
@@ -86,6 +97,67 @@ def read_headerless(spark: SparkSession, path: str, sep: str = ";", encoding: st
     return df.drop(df.columns[-1])
 
 
+def list_outputs(spark: SparkSession, folder: str) -> DataFrame:
+    """SRC-7: names right below a folder, for files as they are and for folders of part files.
+
+    Only the listing is read; the content column is not asked for.
+    """
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+                  .select(F.split(F.col("path"), re.escape("/" + folder.rstrip("/").split("/")[-1] + "/"), 2).alias("p")))
+    return files.select(F.substring_index(F.element_at("p", -1), "/", 1).alias("title")).distinct()
+
+
+def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """The lines of a file or of a folder of part files with their global number, from 0.
+
+    Lines are numbered within the blocks that tasks read, and blocks by part and place; the only
+    window runs over one row per block.
+    """
+    where = [F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    raw = spark.read.text(path).select(*where, F.monotonically_increasing_id().alias("id"), "value")
+    blocks = raw.groupBy("file", "block").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    starts = running_starts(blocks, "n", [part_number(F.col("file")), "file", "block"], "start")
+    text = F.col("value") if encoding.upper() == "UTF-8" else F.decode(F.col("value").cast("binary"), encoding)
+    return raw.join(starts, ["file", "block"]).select((F.col("start") + F.col("id") - F.col("first")).alias("line_no"),
+                                                      text.alias("line"))
+
+
+def first_file(spark: SparkSession, path: str) -> str:
+    """The file that holds the first lines of an output (from the listing)."""
+    def place(f):
+        name = f.rsplit("/", 1)[-1]
+        number = re.match(r"part-(\d+)", name)
+        return (int(number.group(1)) if number else -1, name)
+
+    return min(spark.read.text(path).inputFiles(), key=place)
+
+
+def read_two_line_header(spark: SparkSession, path: str, sep: str = ";", encoding: str = "UTF-8") -> DataFrame:
+    """PRJ-9 / SRC-8: a text table below two header lines, element over attribute.
+
+    The two lines are taken off the first file; the columns are named ``element__attribute``,
+    with repeats of an element numbered, and an empty last column (lines that end in the
+    separator) is dropped.  The body is one scan with that fixed schema, all text.  A row counts
+    as a header line if it stands in the first file's first block and repeats the line in all columns.
+    """
+    first = first_file(spark, path)
+    top = spark.read.option("encoding", encoding).text(first).limit(2)
+    text = F.col("value") if encoding.upper() == "UTF-8" else F.decode(F.col("value").cast("binary"), encoding)
+    header = list(csv.reader([r[0] for r in top.select(text).collect()], delimiter=sep))
+    if len(header) < 2 or len(header[0]) != len(header[1]):
+        raise ValueError(f"no two header lines of equal length in {first}")
+    raw = [f"c{i}" for i in range(len(header[0]))]
+    body = (spark.read.schema(", ".join(f"{c} string" for c in raw)).option("sep", sep).option("quote", '"')
+                 .option("escape", '"').option("header", False).option("encoding", encoding).csv(path))
+    lines = [reduce(and_, [F.col(c).eqNullSafe(F.lit(v or None)) for c, v in zip(raw, line)]) for line in header]
+    top_block = F.col("_metadata.file_path").endswith("/" + first.rsplit("/", 1)[-1]) & (F.col("_metadata.file_block_start") == 0)
+    body = body.where(~(top_block & reduce(or_, lines)))
+    if not header[0][-1] and not header[1][-1]:
+        raw, header = raw[:-1], [line[:-1] for line in header]
+    names = [f"{n}__{a}" if a else n for n, a in zip(dedupe_names(header[0]), header[1])]
+    return body.select(*[F.col(c).alias(n) for c, n in zip(raw, names)])
+
+
 # ------------------------------------------------------------------ dictionary (SRC-4)
 def read_code_dictionary(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
     """``code;element`` lines -> ``code int, element string``."""
@@ -120,6 +192,51 @@ def xml_text(content):
     return F.regexp_replace(text, _PROLOG, "")
 
 
+DOCUMENT = "Документ"
+
+
+def read_report_heads(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """SRC-3 for files of any size: ``file_path`` and ``head``, the text before the file's first document.
+
+    The files are read as pieces that end in ``>``, so no task holds more of a file than a tag;
+    only the pieces before the first document are put together.  They have to stand in the first
+    block that a task reads.  Another charset in the declaration than the one read stops the job.
+    """
+    pieces = spark.read.option("lineSep", ">").text(path).where(F.col("_metadata.file_block_start") == 0).select(
+        F.col("_metadata.file_path").alias("file_path"), F.monotonically_increasing_id().alias("id"),
+        F.decode(F.col("value").cast("binary"), encoding).alias("piece"))
+    opens = F.substring_index("piece", "<", -1).rlike(rf"^{DOCUMENT}(\s|/|$)") & F.col("piece").contains("<")
+    first = pieces.where(opens).groupBy("file_path").agg(F.min("id").alias("first"))
+    before = pieces.join(first, "file_path").where(F.col("id") < F.col("first"))
+    parts = F.transform(F.sort_array(F.collect_list(F.struct("id", "piece"))), lambda x: F.concat(x["piece"], F.lit(">")))
+    heads = before.groupBy("file_path").agg(F.array_join(parts, "").alias("head"))
+    declared = F.regexp_extract("head", _DECLARED, 1)
+    named = F.lower(F.replace(declared, F.lit("windows-"), F.lit("cp")))
+    same = named.isin("", encoding.lower().replace("windows-", "cp"), encoding.lower().replace("-", ""))
+    return heads.select("file_path", F.when(same, F.col("head")).otherwise(F.raise_error(
+        F.concat(F.lit(f"an XML file read as {encoding} declares the charset "), declared))).alias("head"))
+
+
+def read_report_documents(spark: SparkSession, path: str, schema: T.StructType, encoding: str = "UTF-8") -> DataFrame:
+    """SRC-3 for files of any size: one row per ``Документ`` (``file_path``, ``doc_no``, ``doc``), cut by the reader.
+
+    The row-tag source streams through a file, so a file of many documents is no single row.  Its
+    rows are written once; a document's number is its place among those of its file.  A
+    document that is cut off or not well-formed gives no row, the whole ones before it do.
+    """
+    bad = "_corrupt_record"
+    docs = (spark.read.format("xml").option("rowTag", DOCUMENT).option("encoding", encoding).option("mode", "PERMISSIVE")
+                 .option("columnNameOfCorruptRecord", bad).schema(T.StructType([*schema.fields, T.StructField(bad, T.StringType())]))
+                 .load(path))
+    rows = docs.select(F.col("_metadata.file_path").alias("file_path"), F.monotonically_increasing_id().alias("id"),
+                       F.struct(*[F.col(f"`{f.name}`") for f in schema]).alias("doc"), F.col(bad).isNull().alias("whole"))
+    folder = checkpoint_path(spark, f"documents-{uuid.uuid4().hex}")
+    rows.write.parquet(folder)
+    rows = spark.read.schema(rows.schema).parquet(folder).where("whole")
+    first = rows.groupBy("file_path").agg(F.min("id").alias("first"))
+    return rows.join(first, "file_path").select("file_path", (F.col("id") - F.col("first")).cast("int").alias("doc_no"), "doc")
+
+
 # ------------------------------------------------------------------ cell tables (SRC-5)
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = None, sep: str = ";") -> DataFrame:
     """Cell tables: Parquet, or CSV with a header and a given schema (Spark has no Excel source)."""

@@ -1,8 +1,9 @@
 """Landed API pages and name trees (SRC-1, SRC-2, JSN-1).
 
-Layout of a landing folder: ``<root>/indicator=<id>/page_<n>.json``, each file a
-JSON array of records.  The indicator id comes from the folder name and the
-page number from the file name; pages are read in parallel.  A file that is not JSON yields one row whose ``_corrupt_record``
+Layout of a landing folder: ``<root>/indicator=<id>/page_<n>.json`` or
+``<root>/indicator=<id>/page=<n>/<any name>``, each file a JSON array of records.  The
+indicator id comes from the folder name and the page number from the folder or the file
+name; pages are read in parallel.  A file that is not JSON yields one row whose ``_corrupt_record``
 holds its text, so failed pages can be counted (AGG-9).
 """
 
@@ -17,12 +18,13 @@ from ..operators.indicators import PAGE_SCHEMA
 CORRUPT = "_corrupt_record"
 
 
-def read_pages(spark: SparkSession, path: str, schema: T.StructType = PAGE_SCHEMA) -> DataFrame:
+def read_pages(spark: SparkSession, path: str, schema: T.StructType = PAGE_SCHEMA, glob: str = "*.json") -> DataFrame:
     s = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
     df = (spark.read.schema(s).option("multiLine", True).option("mode", "PERMISSIVE")
                .option("columnNameOfCorruptRecord", CORRUPT).option("recursiveFileLookup", True)
-               .option("pathGlobFilter", "*.json").json(path))
-    page = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)\D*$", 1)
+               .option("pathGlobFilter", glob).json(path))
+    in_folder = F.regexp_extract(F.col("_metadata.file_path"), r"/page=(\d+)/", 1)
+    page = F.when(in_folder != "", in_folder).otherwise(F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)\D*$", 1))
     ind = F.regexp_extract(F.col("_metadata.file_path"), r"indicator=([^/]+)/", 1)
     return (df.withColumn("indicator", F.when(ind != "", ind.try_cast("int")))
               .withColumn("page", F.when(page != "", page.cast("int"))))
