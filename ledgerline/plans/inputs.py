@@ -214,6 +214,45 @@ UPLOAD_OUT = ("o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderd
               "o_orderpriority, partition_dt")
 
 
+# Uploads in the three real layouts: one row an order, each column by its type and place.
+def _layout(ddl: str) -> list[tuple[str, str]]:
+    return [tuple(c.split(" ", 1)) for c in ddl.split(", ")]
+
+
+def layout_rows(spark, sf_dir, ddl: str):
+    o = table(spark, sf_dir, "orders")
+
+    def value(i, name, kind):
+        if name == "partition_dt":
+            return month_period("o_orderdate")
+        if kind == "string":
+            return F.concat(F.lit(f'{name}; "'), F.col("o_orderpriority"), F.lit('"'))
+        if kind == "decimal(5,4)":
+            return ((F.col("o_orderkey") + i) % 10000).cast("decimal(5,0)") * F.lit("0.0001").cast("decimal(4,4)")
+        if kind == DEC:
+            return F.col("o_totalprice").cast(DEC) + i
+        return (F.col("o_custkey") + i) if kind in ("bigint", "decimal(20,0)") else (F.col("o_orderkey") + i) % 100
+
+    return o.select(*[value(i, n, k).cast(k).alias(n) for i, (n, k) in enumerate(_layout(ddl))])
+
+
+def layout_sql(ddl: str) -> str:
+    def value(i, name, kind):
+        if name == "partition_dt":
+            return "strftime(date_trunc('month', o_orderdate), '%Y-%m-%d')"
+        if kind == "string":
+            return f"""'{name}; "' || o_orderpriority || '"'"""
+        if kind == "decimal(5,4)":
+            return f"CAST((o_orderkey + {i}) % 10000 AS DOUBLE) / 10000"
+        if kind == DEC:
+            return f"CAST(CAST(o_totalprice AS DECIMAL(19,2)) + {i} AS DOUBLE)"
+        if kind == "decimal(20,0)":
+            return f"CAST(o_custkey + {i} AS DOUBLE)"
+        return f"CAST(o_custkey + {i} AS BIGINT)" if kind == "bigint" else f"(o_orderkey + {i}) % 100"
+
+    return "SELECT " + ", ".join(f'{value(i, n, k)} AS "{n}"' for i, (n, k) in enumerate(_layout(ddl))) + " FROM orders"
+
+
 # File names as the landing folder would list them: kind by order key, date from the order,
 # '.txt' for pending orders (not an upload).
 def titles(spark, sf_dir):

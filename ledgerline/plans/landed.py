@@ -11,7 +11,10 @@ import uuid
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from ..operators import cells as C
+from ..operators import increment as INC
 from ..operators import indicators as IND
+from ..operators import quality as Q
 from ..operators import reports as REP
 from ..session import checkpoint_path
 from ..sinks import writers as W
@@ -120,3 +123,105 @@ def report_packs(spark, sf):
     lines = REP.dictionary_lines(I.report_dictionary(spark))
     documents = FILES.read_report_documents(spark, path, REP.document_schema(lines))
     return REP.flatten_fused(REP.route_documents(documents, FILES.read_report_heads(spark, path)), lines)
+
+
+# ------------------------------------------------------------ SRC-6, SRC-7, CMP-9: the newest upload of a folder, by its layout
+def _newest_upload(spark, sf, kind):
+    """Two dated uploads of a kind and a note in one folder; the newest is picked and read by its layout."""
+    root = folder(spark, "uploads")
+    rows = I.layout_rows(spark, sf, FILES.LAYOUTS[kind])
+    name = "ul" if kind == "ul" else kind
+    for date, part in (("20240201", rows.where(F.col("partition_dt") < "1997-01-01")), (RUN_DATE, rows)):
+        part.write.option("header", True).option("sep", ";").option("quote", '"').option("escape", '"').csv(f"{root}/{name}_{date}.csv")
+    spark.range(1).select(F.lit("read me")).write.text(f"{root}/{name}_20990101.txt")
+    pick = INC.latest_file(FILES.list_outputs(spark, root)).first()
+    return comparable(FILES.read_upload(spark, f"{root}/{pick['title']}", pick["kind"]))
+
+
+@register("upload_fl_trans", I.layout_sql(FILES.FL_TRANS_DDL))
+def upload_fl_trans(spark, sf):
+    return _newest_upload(spark, sf, "fl_trans")
+
+
+@register("upload_fl_blago", I.layout_sql(FILES.FL_BLAGO_DDL))
+def upload_fl_blago(spark, sf):
+    return _newest_upload(spark, sf, "fl_blago")
+
+
+@register("upload_ul", I.layout_sql(FILES.UL_DDL))
+def upload_ul(spark, sf):
+    return _newest_upload(spark, sf, "ul")
+
+
+# ------------------------------------------------------------ FLT-4, JON-8: a history by period
+@register("history_period", CAT.ORACLE["reconcile_period"])
+def history_period(spark, sf):
+    """The level check of one period over a history in period folders: the others are not read."""
+    path, levels = folder(spark, "levels"), I.level_table(spark, sf)
+    INC.write_history(levels, path)
+    return comparable(Q.reconcile_levels(INC.read_history(spark, path, levels.schema), I.LV_METRICS, "total", "group", tol=5.0,
+                                         period=CAT.PERIOD))
+
+
+@register("history_actual", CAT._with(("f", I.TITLES_SQL), ("c", CAT._CAT), ("u", I.UPLOAD_SQL), ("a", f"""
+SELECT {CAT._ACT} AS actdate FROM c ORDER BY file_date DESC, title DESC LIMIT 1""")) + """
+SELECT partition_dt, o_orderstatus, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(19,2))) AS DOUBLE) AS total
+FROM u WHERE partition_dt = (SELECT actdate FROM a) GROUP BY ALL""")
+def history_actual(spark, sf):
+    """The period that the newest file reports, out of the history: its folder is found while the query runs."""
+    path, up = folder(spark, "history"), I.upload(spark, sf)
+    INC.write_history(up, path)
+    actual = INC.latest_file(I.titles(spark, sf)).select(F.col("actdate").alias("partition_dt"))
+    rows = INC.read_history(spark, path, up.schema).join(actual, "partition_dt")
+    return comparable(rows.groupBy("partition_dt", "o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("o_totalprice").cast(I.DEC)).alias("total")))
+
+
+@register("listed_new_periods", CAT.ORACLE["new_periods"])
+def listed_new_periods(spark, sf):
+    """Periods of the upload that the history's folder does not list."""
+    path, up = folder(spark, "history"), I.upload(spark, sf)
+    INC.write_history(I.history(up), path)
+    return INC.new_periods(up, INC.listed_periods(spark, path))
+
+
+@register("append_history", CAT._with(("u", I.UPLOAD_SQL)) + f"SELECT {I.UPLOAD_OUT} FROM u")
+def append_history(spark, sf):
+    """CMP-16 / SNK-4: a history that is older than its entries, the upload appended, and appended again."""
+    path, up = folder(spark, "history"), I.upload(spark, sf)
+    INC.write_history(I.history(up), path)
+    for _ in range(2):
+        INC.append_new(spark, up, path)
+    return comparable(INC.read_history(spark, path, up.schema))
+
+
+# ------------------------------------------------------------ SRC-2, SRC-4, SRC-5: trees, dictionary and cell tables as files
+@register("dimension_files", CAT.ORACLE["parse_name_tree"])
+def dimension_files(spark, sf):
+    """Name trees as JSON files, one for each region."""
+    path, n = folder(spark, "trees"), I.table(spark, sf, "nation")
+    trees = n.groupBy("n_regionkey").agg(F.to_json(F.collect_list(F.struct(
+        F.col("n_nationkey").cast("double").alias("id"), F.col("n_name").alias("name")))).alias("text"))
+    trees.write.partitionBy("n_regionkey").text(path)
+    return PAGES.read_dimension(spark, path)
+
+
+@register("dictionary_file", CAT.ORACLE["report_header"])
+def dictionary_file(spark, sf):
+    """The code dictionary as a file of ``code;element`` lines, and the header that follows from it."""
+    path = folder(spark, "dictionary")
+    CAT._part_dictionary(spark, sf).write.option("sep", ";").csv(path)
+    return REP.report_header(FILES.read_code_dictionary(spark, path), REP.FULL)
+
+
+@register("cell_table_files", CAT.ORACLE["merge_cells"])
+def cell_table_files(spark, sf):
+    """One cell table as Parquet, the other as CSV with a header, merged."""
+    a, b = folder(spark, "cells"), folder(spark, "cells")
+    t3, t5 = I.cell_table_3(spark, sf), I.cell_table_5(spark, sf)
+    t3.write.parquet(a)
+    t5.write.option("header", True).option("sep", ";").csv(b)
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in t5.schema)
+    t3, t5 = FILES.read_table(spark, a), FILES.read_table(spark, b, "csv", ddl)
+    t5 = C.with_scalars_from(t5, t3, ["REGION_ID", "ANALYTIC_DATE"])
+    return comparable(C.merge_cells(t3, t5.select(*I.CELL_KEYS, "acctbal", "n"), I.CELL_KEYS))

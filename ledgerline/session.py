@@ -11,7 +11,9 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -81,3 +83,30 @@ def materialize(df: DataFrame) -> DataFrame:
         return cached.checkpoint(eager=True)
     finally:
         cached.unpersist()
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file whole, unless there is one of that name; whether it was created.
+
+    Written under a hidden name and renamed without overwriting, by the file system that the path names:
+    of several that try, one wins where the file system renames atomically (as HDFS does).
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    fs_package = jvm.org.apache.hadoop.fs
+    target = fs_package.Path(path)
+    fs = target.getFileSystem(conf)
+    target = fs.makeQualified(target)
+    hidden = fs_package.Path(target.getParent(), f".{target.getName()}.{uuid.uuid4().hex}")
+    out = fs.create(hidden, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    no_overwrite = spark.sparkContext._gateway.new_array(fs_package.Options.Rename, 1)
+    no_overwrite[0] = getattr(fs_package.Options.Rename, "NONE")
+    try:
+        fs_package.FileContext.getFileContext(target.toUri(), conf).rename(hidden, target, no_overwrite)
+        return True
+    except Py4JJavaError as e:
+        if not e.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            raise
+        fs.delete(hidden, False)
+        return False

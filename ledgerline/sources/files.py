@@ -63,8 +63,8 @@ LAYOUTS = {"fl_trans": FL_TRANS_DDL, "fl_blago": FL_BLAGO_DDL, "ul": UL_DDL}
 
 def read_delimited(spark: SparkSession, path: str, ddl: str, sep: str = ";", encoding: str = "UTF-8",
                    mode: str = "FAILFAST") -> DataFrame:
-    """SRC-6: ``;``-separated, ``"``-quoted extract with a header line and a fixed layout."""
-    return (spark.read.schema(ddl).option("sep", sep).option("quote", '"').option("header", True)
+    """SRC-6: ``;``-separated, ``"``-quoted extract (quotes doubled) with a header line and a fixed layout."""
+    return (spark.read.schema(ddl).option("sep", sep).option("quote", '"').option("escape", '"').option("header", True)
                  .option("encoding", encoding).option("lineSep", "\n").option("mode", mode).csv(path))
 
 
@@ -74,7 +74,7 @@ def read_upload(spark: SparkSession, path: str, kind: str, **kw) -> DataFrame:
 
 def parse_delimited(lines: DataFrame, line: str, ddl: str, sep: str = ";", mode: str = "FAILFAST") -> DataFrame:
     """SRC-6 on text rows: each line parsed with the upload options into the given layout."""
-    row = F.from_csv(F.col(line), ddl, {"sep": sep, "quote": '"', "mode": mode})
+    row = F.from_csv(F.col(line), ddl, {"sep": sep, "quote": '"', "escape": '"', "mode": mode})
     return lines.select(row.alias("__row")).select("__row.*")
 
 
