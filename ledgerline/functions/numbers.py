@@ -19,7 +19,7 @@ def as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _units(x) -> Column:
+def units(x) -> Column:
     """Amount in whole millionths, as an integer decimal."""
     return (as_col(x).cast(f"decimal(38,{SCALE})") * F.lit(10 ** SCALE)).cast("decimal(38,0)")
 
@@ -41,7 +41,11 @@ def pct_deviation(a, b, digits: int = 2) -> Column:
     Exact: the quotient of two integers is rounded by its remainder, not by a division
     that was rounded before.
     """
-    ua, ub = _units(a), _units(b)
+    return units_deviation(units(a), units(b), digits)
+
+
+def units_deviation(ua: Column, ub: Column, digits: int = 2) -> Column:
+    """``pct_deviation`` of two amounts in ``units``."""
     up = F.abs(ua - ub) * F.lit(10 ** (digits + 2))
     down = F.abs(ua)
     twice = (up * 2 + down).cast("decimal(38,0)")
@@ -53,7 +57,11 @@ def pct_deviation(a, b, digits: int = 2) -> Column:
 
 def deviates(a, b, tol: float) -> Column:
     """Whether ``|a - b| / |a| * 100`` is more than ``tol`` (exact; null when ``a`` is null or 0)."""
-    ua, ub = _units(a), _units(b)
+    return units_deviate(units(a), units(b), tol)
+
+
+def units_deviate(ua: Column, ub: Column, tol: float) -> Column:
+    """``deviates`` of two amounts in ``units``."""
     return F.when(ua != 0, F.abs(ua - ub) * 100 > F.abs(ua) * F.lit(Decimal(str(tol))))
 
 

@@ -20,7 +20,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import deviates, pct_deviation, round_half_away
+from ..functions.numbers import pct_deviation, round_half_away, units, units_deviate, units_deviation
 from ..functions.text import CODE, GROUP, TOTAL, code_kind  # noqa: F401
 
 
@@ -160,29 +160,43 @@ def check_bound(df: DataFrame, value: str, limit: str, open_class=2000001,
                     & (F.col(limit) != open_class))
 
 
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are worked out once a row, whatever reads them.
+
+    A filter on a plain computed column is pushed below it with the whole expression in each place
+    that names the column; a generated column stays where it is.  (The outer form: for
+    the plain one Spark tests the array's size first and so builds it twice.)
+    """
+    return df.select("*", F.inline_outer(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
+def _deviating(df: DataFrame, tol: float) -> DataFrame:
+    """Rows whose amounts ``__a`` and ``__b`` (in units) deviate, with the deviation, worked out for them only."""
+    off = df.where(units_deviate(F.col("__a"), F.col("__b"), tol))
+    return off.withColumn("deviation", units_deviation(F.col("__a"), F.col("__b"))).drop("__a", "__b")
+
+
 def check_weighted_total(df: DataFrame, terms: list[tuple[str, str]], weight: str, total: str,
                          tol: float = 1.0, period_col: str = "partition_dt") -> DataFrame:
     """CMP-13: sum over sources of avg x weight x ratio against weight x total average.
 
     Adds ``source_total`` (rounded to 2 places, as the reference's NUMERIC(19,2)),
     ``all_total`` and ``deviation``; keeps rows off by more than ``tol`` %.  With decimal
-    inputs every product and sum is exact.
+    inputs every product and sum is exact, and each is worked out once a row.
     """
     w = F.col(weight)
     src = reduce(lambda acc, t: acc + t,
                  [F.col(avg) * w * F.col(ratio) for avg, ratio in terms])
-    out = (df.withColumn("source_total", round_half_away(src.cast("decimal(38,6)"), 2))
-             .withColumn("all_total", (w * F.col(total)).cast("decimal(38,6)")))
-    return (out.where((F.col("source_total") != 0) & deviates("source_total", "all_total", tol) & F.col(period_col).like("%-%"))
-               .withColumn("deviation", pct_deviation("source_total", "all_total")))
+    sums = _once(df.where(F.col(period_col).like("%-%")), source_total=round_half_away(src.cast("decimal(38,6)"), 2),
+                 all_total=(w * F.col(total)).cast("decimal(38,6)"))
+    return _deviating(_once(sums, __a=units("source_total"), __b=units("all_total")), tol)
 
 
 def check_product(df: DataFrame, a: str, b: str, total: str, tol: float = 1.0,
                   period_col: str = "partition_dt") -> DataFrame:
     """CMP-14: ``a * b`` against a stated total; keeps rows off by more than ``tol`` %."""
-    prod = F.col(a) * F.col(b)
-    return (df.where(F.col(period_col).like("%-%") & deviates(total, prod, tol))
-              .withColumn("deviation", pct_deviation(F.col(total), prod)))
+    rows = _once(df.where(F.col(period_col).like("%-%")), __a=units(total), __b=units(F.col(a) * F.col(b)))
+    return _deviating(rows, tol)
 
 
 def check_summary(checks: dict[str, DataFrame]) -> DataFrame:

@@ -8,6 +8,8 @@ row (a group, a kind, a planted error); it never selects a subset of rows.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -127,11 +129,12 @@ def weighted_input(spark, sf_dir):
     average that is their weighted mean, 2 % too high on every 7th order."""
     li = table(spark, sf_dir, "lineitem")
     price = F.col("l_extendedprice").cast(DEC)
-    cols, mean = [], F.lit(0).cast("decimal(30,6)")
+    cols = []
     for i, (s, share) in enumerate(INCOME_SHARES.items()):
-        avg, ratio = (price + F.lit(i)).cast(DEC), F.lit(share).cast("decimal(5,4)")
-        cols += [avg.alias(f"avg_{s}_rur"), ratio.alias(f"{s}_ratio")]
-        mean = mean + avg * ratio
+        cols += [(price + F.lit(i)).cast(DEC).alias(f"avg_{s}_rur"), F.lit(share).cast("decimal(5,4)").alias(f"{s}_ratio")]
+    shares = [Decimal(x) for x in INCOME_SHARES.values()]
+    # the weighted mean of price, price + 1, ...
+    mean = price * F.lit(sum(shares)) + F.lit(sum(i * x for i, x in enumerate(shares)))
     stated = F.when(F.col("l_orderkey") % 7 == 0, mean * F.lit("1.02").cast("decimal(3,2)")).otherwise(mean).cast(DEC)
     return li.select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("int").alias("client_cnt_in_cluster"), *cols,
                      stated.alias("avg_all_rur"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("partition_dt"))
