@@ -585,6 +585,16 @@ def merge_cells(spark, sf):
     return comparable(C.merge_cells(t3, t5.select(*I.CELL_KEYS, "acctbal", "n"), I.CELL_KEYS))
 
 
+@register("merge_cells_hot", _with(("a", I.HOT_A_SQL), ("b", I.HOT_B_SQL),
+    ("k", "SELECT " + ", ".join(I.CELL_KEYS) + " FROM a UNION SELECT " + ", ".join(I.CELL_KEYS) + " FROM b")) + f"""
+SELECT {", ".join("k." + c for c in I.CELL_KEYS)}, o_orderkey, a.total AS total_x, s_suppkey, b.total AS total_y
+FROM k LEFT JOIN a ON {" AND ".join(f"k.{c} IS NOT DISTINCT FROM a.{c}" for c in I.CELL_KEYS)}
+LEFT JOIN b ON {" AND ".join(f"k.{c} IS NOT DISTINCT FROM b.{c}" for c in I.CELL_KEYS)}""")
+def merge_cells_hot(spark, sf):
+    """JON-5 with a third of both tables on one key, all of whose parts are null."""
+    return C.merge_cells(*I.hot_cells(spark, sf), I.CELL_KEYS)
+
+
 # т.4: three keys; a null bin is a group of its own, shown as 'None'; other nulls as '-'
 _T4_KEYS = ["size", "INDUSTRY_NAME", "SPENDING_BIN"]
 _T4_SQL = f"""WITH c AS ({I.CELL4_SQL}),

@@ -462,6 +462,31 @@ SELECT c_custkey, {_cell_id_sql('c_nationkey')} AS CELL_ID, c_mktsegment AS INDU
 FROM customer JOIN nation ON c_nationkey = n_nationkey"""
 
 
+# Two cell tables with a third of their rows on one key whose parts are all null
+def hot_cells(spark, sf_dir):
+    """(orders as cells, suppliers as cells): the other keys meet partly."""
+    def keyed(df, number, cell):
+        other = number % 3 != 0
+        return [F.when(other, F.concat(F.lit("c"), cell.cast("string"))).alias("CELL_ID"), F.when(other, number % 5).alias("REGION_ID"),
+                F.lit(None).cast("string").alias("INDUSTRY_ID"), F.when(other, F.lit("x")).alias("INDUSTRY_NAME"),
+                F.lit(None).cast("date").alias("ANALYTIC_DATE"), F.lit(None).cast("string").alias("area")]
+
+    o, s = table(spark, sf_dir, "orders"), table(spark, sf_dir, "supplier")
+    a = o.select(*keyed(o, F.col("o_orderkey"), F.col("o_orderkey") % 1999), "o_orderkey", F.col("o_totalprice").alias("total"))
+    b = s.select(*keyed(s, F.col("s_suppkey"), F.col("s_suppkey") * 2), "s_suppkey", F.col("s_acctbal").alias("total"))
+    return a, b
+
+
+def _hot_sql(src, number, cell, cols):
+    return f"""SELECT CASE WHEN {number} % 3 <> 0 THEN 'c' || CAST({cell} AS VARCHAR) END AS CELL_ID,
+       CASE WHEN {number} % 3 <> 0 THEN {number} % 5 END AS REGION_ID, CAST(NULL AS VARCHAR) AS INDUSTRY_ID,
+       CASE WHEN {number} % 3 <> 0 THEN 'x' END AS INDUSTRY_NAME, CAST(NULL AS DATE) AS ANALYTIC_DATE, CAST(NULL AS VARCHAR) AS area, {cols} FROM {src}"""
+
+
+HOT_A_SQL = _hot_sql("orders", "o_orderkey", "o_orderkey % 1999", "o_orderkey, o_totalprice AS total")
+HOT_B_SQL = _hot_sql("supplier", "s_suppkey", "s_suppkey * 2", "s_suppkey, s_acctbal AS total")
+
+
 # Hexagon vertex offsets (lat, lng) in thousandths of a degree.
 HEX_OFFSETS = [(2, 0), (1, 2), (-1, 2), (-2, 0), (-1, -2), (1, -2)]
 

@@ -202,10 +202,14 @@ def read_report_heads(spark: SparkSession, path: str, encoding: str = "UTF-8") -
     only the pieces before the first document are put together.  They have to stand in the first
     block that a task reads.  Another charset in the declaration than the one read stops the job.
     """
+    latin = "ISO-8859-1"  # one character a byte: the charset is known only once the head is there
     pieces = spark.read.option("lineSep", ">").text(path).where(F.col("_metadata.file_block_start") == 0).select(
         F.col("_metadata.file_path").alias("file_path"), F.monotonically_increasing_id().alias("id"),
-        F.decode(F.col("value").cast("binary"), encoding).alias("piece"))
-    opens = F.substring_index("piece", "<", -1).rlike(rf"^{DOCUMENT}(\s|/|$)") & F.col("piece").contains("<")
+        F.decode(F.col("value").cast("binary"), latin).alias("piece"))
+    tag = F.substring_index("piece", "<", -1)
+    names = [DOCUMENT.encode(charset).decode(latin) for charset in {encoding, "UTF-8", "windows-1251"}]
+    opens = F.col("piece").contains("<") & reduce(or_, [
+        tag.startswith(n) & F.substring(tag, len(n) + 1, 1).rlike(r"^(\s|/|)$") for n in sorted(names)])
     first = pieces.where(opens).groupBy("file_path").agg(F.min("id").alias("first"))
     before = pieces.join(first, "file_path").where(F.col("id") < F.col("first"))
     parts = F.transform(F.sort_array(F.collect_list(F.struct("id", "piece"))), lambda x: F.concat(x["piece"], F.lit(">")))
@@ -213,7 +217,7 @@ def read_report_heads(spark: SparkSession, path: str, encoding: str = "UTF-8") -
     declared = F.regexp_extract("head", _DECLARED, 1)
     named = F.lower(F.replace(declared, F.lit("windows-"), F.lit("cp")))
     same = named.isin("", encoding.lower().replace("windows-", "cp"), encoding.lower().replace("-", ""))
-    return heads.select("file_path", F.when(same, F.col("head")).otherwise(F.raise_error(
+    return heads.select("file_path", F.when(same, F.decode(F.encode("head", latin), encoding)).otherwise(F.raise_error(
         F.concat(F.lit(f"an XML file read as {encoding} declares the charset "), declared))).alias("head"))
 
 
