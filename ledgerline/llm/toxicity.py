@@ -1,17 +1,24 @@
-"""Toxicity by the nearest labelled examples, in exact cosine over all words.
-
-Examples are a bounded sample of the labelled documents (about ``EXAMPLES`` rows, drawn
-by a hash of the id).  Every word of an example is in the index, and vectors have the norm
-of the full text.  A word weighs TF-IDF times how surely it tells the labels apart: the
-size of its log odds ratio less ``ERRORS`` standard errors, at least ``FLOOR`` (the same
-whatever the share of toxic examples, and for words of either label).  No word is dropped:
-one that tells nothing weighs little and still counts in cosines and norms, and words that
-no example holds count in the norm of a query as the rarest words do.
-
-Examples stand in groups of similar texts.  The words common in a group are a dense matrix,
-all others an inverted index; float32 sums over both give every cosine within a known
-rounding error.  Examples that can be among the ``k`` nearest within that error are then
-computed again in float64, so the ``k`` nearest are exact (ties: the earlier example).
+"""Toxicity by the nearest labelled examples, in exact cosine, by a block-max inverted index.
+
+Examples are a bounded sample of the labelled documents: about ``EXAMPLES`` ids, drawn by a
+hash, one text for each (``sample``), and of these no more than make ``EXAMPLE_BYTES`` of
+text.  Every word of an example is in the index, and vectors have the norm of the
+full text.  A word weighs TF-IDF times how surely it tells the labels apart: the size of its
+log odds ratio less ``ERRORS`` standard errors, at least ``FLOOR`` (the same whatever the share
+of toxic examples, and for words of either label).  No word is dropped: one that tells
+nothing weighs little and still counts in cosines and norms, and words that no example holds
+count in the norm of a query as the rarest words do.  (TF-IDF without that factor finds too
+little: README.)
+
+The examples are ordered by groups of similar texts, within a group by label, and cut into
+blocks of ``BLOCK``.  For each word and block the index knows the greatest weight, so a query
+has a bound for every block: the sum of its weights times those maxima.  It scores
+its ``FIRST_BLOCKS`` most promising blocks, and then only the blocks whose bound is not below its
+k-th best cosine so far; the others are skipped.  Postings of a word stand apart for each
+block; those of words common in a group are kept as dense rows, so that the queries that want
+a block take them in one product.  Sums are float32 with a known rounding error; examples
+that can be among the ``k`` nearest within that error are computed again in float64, so the
+``k`` nearest are exact (ties: the earlier example).
 
 The neighbours vote with weight 1 / (0.1 + distance), against a prior of the examples
 without any word.  Votes of the examples themselves, each left out of its own
@@ -19,26 +26,29 @@ vote, are pooled into a non-falling curve that turns votes into probabilities.
 the nearest examples, their cosines and labels.
 
 Only the text is an input of a score.  Index and curve are the broadcast part; their size
-is bounded by the number of examples, not by the corpus.
+is bounded by the two parameters of the sample, not by the corpus.
 
 Defined cases: null and empty texts have no word and get the score of such
 examples; without labelled rows every score is 0; rows with null label or id teach
-nothing, ids labelled twice count with their greatest label; repeated rows each keep
-their row; an empty table gives no rows; extra columns are ignored.
+nothing, ids labelled twice count with their greatest label; an id with several texts
+teaches with one of them; repeated rows each keep their row; an empty table gives no rows; a
+very long text is one slice of its own and taken whole; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .language import held_out
 from .shipping import map_arrow
 from .textarrays import ALPHANUMERIC, U64, Words, member, slices, utf8
 
-EXAMPLES = 20_000
+EXAMPLES = 8_000
+#: bytes of the examples' texts together (the last one may exceed them)
+EXAMPLE_BYTES = 64 << 20
 #: standard errors that a word's log odds ratio has to exceed to weigh more than the least
 ERRORS = 2.0
 FLOOR = 0.1
@@ -49,8 +59,12 @@ GROUP_EXAMPLES = 1_024
 COMMON = 0.07
 NEAREST = 25
 PRIOR = 2.0
-#: queries compared with the examples in one go
+#: queries searched in one go
 QUERIES = 64
+#: examples whose greatest weights are known together
+BLOCK = 64
+#: blocks a query scores before the others are measured against its k-th best
+FIRST_BLOCKS = 4
 
 
 def word_counts(texts: pa.Array, vocabulary: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -102,10 +116,15 @@ def _ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.arange(length.sum()) + np.repeat(start - (np.cumsum(length) - length), length)
 
 
+def _error(n):
+    """A sum of n products of a cosine is off by n + 4 roundings at most, twice for two of them."""
+    return 2 * (n + 8) * 2.0 ** -23
+
+
 class Index:
-    """Exact nearest examples by the cosine of their weighted TF-IDF vectors."""
+    """Block-max inverted index: exact nearest examples by the cosine of their weighted TF-IDF vectors."""
 
-    def __init__(self, words, rows: list, n: int, nearest: int = NEAREST, block: int = QUERIES, weights=None,
+    def __init__(self, words, rows: list, n: int, nearest: int = NEAREST, block: int = BLOCK, weights=None,
                  groups: int | None = None):
         words = np.asarray(words, dtype=np.int64).reshape(-1, 2)
         order = np.argsort(words[:, 0].astype(U64), kind="stable")
@@ -130,14 +149,15 @@ class Index:
         self.groups = max(1, min(GROUPS, len(filled) // GROUP_EXAMPLES)) if groups is None else groups
         self.curve: tuple[np.ndarray, np.ndarray] | None = None
         self.shared = self.weights = None
+        self.scored = self.wanted = 0  # blocks scored, and blocks of all queries
 
     def __getstate__(self):
         """Words and counts of the examples; the rest is made of them where it is used."""
         kept = ("vocabulary", "idf", "k", "block", "ids", "labels", "prior", "first", "words", "counts", "groups")
-        return {k: self.__dict__[k] for k in kept} | {"curve": None, "shared": None, "weights": None}
+        return {k: self.__dict__[k] for k in kept} | {"curve": None, "shared": None, "weights": None, "scored": 0, "wanted": 0}
 
     def arranged(self) -> Index:
-        """Group the examples; matrices of the groups' common words, postings of all others."""
+        """Order the examples, cut them into blocks, and post their words by block with the greatest weights."""
         if self.weights is not None:
             return self
         m, v, groups = len(self.ids), len(self.vocabulary), self.groups
@@ -145,14 +165,20 @@ class Index:
         x = (1 + np.log(self.counts)) * self.idf[self.words]
         weights = x / np.sqrt(np.bincount(owner, x * x, minlength=m))[owner]
         group = self._groups(owner, groups)
-        self.order = np.argsort(group, kind="stable")  # place among the groups -> example
+        self.order = np.lexsort((np.arange(m), self.labels, group))  # place in the order -> example
         place = np.empty(m, dtype=np.int64)
         place[self.order] = np.arange(m)
         bounds = np.searchsorted(group[self.order], np.arange(groups + 1))
-        self.matrices, posted = [], np.ones(len(owner), dtype=bool)
+        # no block crosses a group
+        edges = [np.arange(low, high, self.block) for low, high in zip(bounds[:-1], bounds[1:])]
+        self.edges = np.append(np.concatenate(edges), m).astype(np.int64)
+        block_of = np.repeat(np.arange(len(self.edges) - 1), np.diff(self.edges))
+        self.dense, posted = [], np.ones(len(owner), dtype=bool)
         for g in range(groups):
-            mine = np.flatnonzero(group[owner] == g)
             low, high = int(bounds[g]), int(bounds[g + 1])
+            if low == high:
+                continue
+            mine = np.flatnonzero(group[owner] == g)
             common = np.flatnonzero(np.bincount(self.words[mine], minlength=v) >= max(COMMON * np.sqrt(m * (high - low)), 1))
             column = np.full(v, -1, dtype=np.int32)
             column[common] = np.arange(len(common))
@@ -160,12 +186,21 @@ class Index:
             matrix = np.zeros((len(common), high - low), dtype=np.float32)
             matrix[column[self.words[mine]], place[owner[mine]] - low] = weights[mine]
             posted[mine] = False
-            self.matrices.append((low, high, column, matrix))
+            blocks = np.arange(block_of[low], block_of[high - 1] + 1)
+            greatest = np.maximum.reduceat(matrix, self.edges[blocks] - low, axis=1) if len(common) else np.zeros((0, len(blocks)), np.float32)
+            self.dense.append((low, blocks, column, matrix, greatest))
         rest = np.flatnonzero(posted)
-        rest = rest[np.argsort(self.words[rest], kind="stable")]
-        self.start = np.searchsorted(self.words[rest], np.arange(v + 1))
+        rest = rest[np.lexsort((place[owner[rest]], self.words[rest]))]
         self.posted = place[owner[rest]].astype(np.int32)
         self.posted_weights = weights[rest].astype(np.float32)
+        # one entry for each word and block: where its postings are, and the greatest weight among them
+        word, block = self.words[rest], block_of[self.posted]
+        new = np.ones(len(rest), dtype=bool)
+        new[1:] = (word[1:] != word[:-1]) | (block[1:] != block[:-1])
+        self.entry_start = np.append(np.flatnonzero(new), len(rest))
+        self.entry_block = block[new].astype(np.int32)
+        self.entry_most = np.maximum.reduceat(self.posted_weights, self.entry_start[:-1]) if len(rest) else np.zeros(0, np.float32)
+        self.entries = np.searchsorted(word[new], np.arange(v + 1))
         # whether the query at hand holds each word, and where
         self.held, self.at = np.zeros(v, dtype=bool), np.zeros(v, dtype=np.int32)
         self.weights = weights
@@ -206,41 +241,62 @@ class Index:
         """``nearest`` of each query vector."""
         self.arranged()
         out = []
-        for at in range(0, len(queries), self.block):
-            part = queries[at:at + self.block]
-            for (words, q), rough in zip(part, self._rough(part)):
+        for at in range(0, len(queries), QUERIES):
+            part = queries[at:at + QUERIES]
+            for (words, q), rough in zip(part, self._rough(part, k)):
                 out.append(self._exact(words, q, rough, k))
         return out
 
-    def _rough(self, queries: list) -> np.ndarray:
-        """float32 cosines of each query with each example (by place)."""
+    def _rough(self, queries: list, k: int) -> np.ndarray:
+        """float32 cosines of each query with the examples (by place) of the blocks that can hold a neighbour; else 0."""
         words = np.concatenate([w for w, _ in queries])
         q = np.concatenate([x for _, x in queries]).astype(np.float32)
-        n, m = len(queries), len(self.ids)
-        query = np.repeat(np.arange(n), [len(w) for w, _ in queries])
-        sums = np.zeros((n, m), dtype=np.float32)
-        for low, high, column, matrix in self.matrices:
-            if not len(matrix):
-                continue
+        n, m, blocks = len(queries), len(self.ids), len(self.edges) - 1
+        sizes = np.array([len(w) for w, _ in queries])
+        query = np.repeat(np.arange(n), sizes)
+        # entries of the queries' words
+        number = self.entries[words + 1] - self.entries[words]
+        entry = _ranges(self.entries[words], number)
+        of, x = np.repeat(query, number), np.repeat(q, number)
+        key = of * blocks + self.entry_block[entry]
+        bound = np.bincount(key, x * self.entry_most[entry], minlength=n * blocks).astype(np.float64).reshape(n, blocks)
+        mine = []
+        for low, own, column, matrix, greatest in self.dense:
             at = column[words]
             some = at >= 0
-            mine = np.zeros((n, len(matrix)), dtype=np.float32)
-            mine[query[some], at[some]] = q[some]
-            sums[:, low:high] = mine @ matrix
-        for i, (words, q) in enumerate(queries):
-            start = self.start[words]
-            length = self.start[words + 1] - start
+            dense = np.zeros((n, len(matrix)), dtype=np.float32)
+            dense[query[some], at[some]] = q[some]
+            bound[:, own] += dense @ greatest
+            mine.append(dense)
+        sums = np.zeros((n, m), dtype=np.float32)
+
+        def score(wanted):
+            for (low, own, _, matrix, _), dense in zip(self.dense, mine):
+                for b in own[wanted[:, own].any(axis=0)]:
+                    who, (first, last) = np.flatnonzero(wanted[:, b]), self.edges[b:b + 2]
+                    sums[who, first:last] += dense[who] @ matrix[:, first - low:last - low]
+            use = wanted.ravel()[key]
+            start = self.entry_start[entry[use]]
+            length = self.entry_start[entry[use] + 1] - start
             at = _ranges(start, length)
-            products = self.posted_weights[at]
-            products *= np.repeat(q.astype(np.float32), length)
-            np.add.at(sums[i], self.posted[at], products)
+            where = np.repeat(of[use] * m, length) + self.posted[at]
+            sums.ravel()[:] += np.bincount(where, self.posted_weights[at] * np.repeat(x[use], length), minlength=n * m).astype(np.float32)
+
+        first = np.zeros((n, blocks), dtype=bool)
+        np.put_along_axis(first, np.argpartition(-bound, min(FIRST_BLOCKS, blocks) - 1, axis=1)[:, :FIRST_BLOCKS], True, axis=1)
+        first &= bound > 0
+        score(first)
+        least = np.partition(sums, m - k, axis=1)[:, m - k] if m >= k else np.zeros(n)
+        # room for the roundings of a bound and of the cosines it is measured against
+        more = (bound >= (least - _error(sizes) - 1e-6 * least)[:, None]) & (bound > 0) & ~first
+        score(more)
+        self.scored += int(first.sum() + more.sum())
+        self.wanted += n * blocks
         return sums
 
     def _exact(self, words: np.ndarray, q: np.ndarray, rough: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         least = np.partition(rough, len(rough) - k)[len(rough) - k] if len(rough) >= k else 0.0
-        # a sum of n products of a cosine is off by n + 4 roundings at most, twice for two of them
-        error = 2 * (len(words) + 8) * 2.0 ** -23
-        found = np.flatnonzero(rough >= max(least - error, 1e-30))
+        found = np.flatnonzero(rough >= max(least - _error(len(words)), 1e-30))
         found = np.sort(self.order[found])
         if not len(found):
             return np.zeros(0, np.int64), np.zeros(0)
@@ -294,13 +350,29 @@ class Index:
 
 
 def sample(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> DataFrame:
-    """About ``examples`` labelled rows (doc_id, text, toxic), drawn by a hash of the id."""
+    """About ``examples`` labelled rows (doc_id, text, toxic): ids drawn by a hash, one text for each id.
+
+    The rows stay near the bound however often an id is repeated: each task keeps one text of an id
+    before anything is shuffled.
+    """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n = known.count()
     if n > examples:
         known = known.where(F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30)) < int(examples / n * (1 << 30)))
     # 16 bytes a row, about EXAMPLES rows at most
-    return docs.join(F.broadcast(known), "doc_id")
+    rows = docs.join(F.broadcast(known), "doc_id")
+    return rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min_by("text", F.xxhash64("text")).alias("text"))
+
+
+def within_bytes(rows: DataFrame, most: int = EXAMPLE_BYTES) -> DataFrame:
+    """The examples, in the order of a hash of their id, until their texts hold ``most`` bytes together.
+
+    Ids and sizes of the bounded sample are summed up in one task; texts stay where they are.
+    """
+    sizes = rows.select("doc_id", F.octet_length("text").alias("n"))
+    before = F.sum("n").over(Window.orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").rowsBetween(Window.unboundedPreceding, -1))
+    kept = sizes.withColumn("before", before).where(F.coalesce("before", F.lit(0)) < most).select("doc_id")
+    return rows.join(F.broadcast(kept), "doc_id", "left_semi")
 
 
 def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, nearest: int = NEAREST) -> Index:
@@ -308,9 +380,9 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, nearest:
     from .tables import staged
 
     spark = docs.sparkSession
-    rows = staged(sample(docs, labels, examples), "toxicity-examples")
+    rows = within_bytes(staged(sample(docs, labels, examples), "toxicity-examples"))
     n, toxic = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("toxic").cast("long")), F.lit(0))).first()
-    # some hundred words an example at most: 24 bytes a word
+    # words of a bounded sample: 24 bytes a word
     found = word_labels(rows).toArrow()
     word, n_word, toxic_word = (found.column(k).to_numpy() for k in range(3))
     places = spark.sparkContext.broadcast(np.sort(word.astype(U64)))

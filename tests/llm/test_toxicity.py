@@ -1,9 +1,13 @@
 """Nearest labelled examples: exact against brute force, held-out accuracy, odd inputs."""
 from __future__ import annotations
 
+import math
 import random
+import re
+import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from ledgerline.llm import toxicity as X
 from ledgerline.llm.textarrays import U64
@@ -110,7 +114,7 @@ def test_nearest_is_exact_in_groups():
         rows.append({"doc_id": i, "toxic": i % 2, "words": w, "counts": [r.randrange(1, 4) for _ in w]})
     df = [(k * 7 + 3, 1 + sum(k in x["words"] for x in rows)) for k in range(1000)]
     index = X.Index(df, rows, 300, nearest=10, block=8, weights=[1 + k % 3 for k in range(1000)], groups=3).arranged()
-    assert sum(high > low and len(matrix) > 0 for low, high, _, matrix in index.matrices) == 3 and len(index.posted)
+    assert [len(matrix) > 0 for _, _, _, matrix, _ in index.dense] == [True] * 3 and len(index.posted)
     dense = np.zeros((300, 1000))
     for e, x in enumerate(rows):
         at, v = index.vector(np.array(x["words"]), np.array(x["counts"]))
@@ -120,6 +124,8 @@ def test_nearest_is_exact_in_groups():
         cosine = dense[:, w] @ q
         want = [e for e in np.lexsort((np.arange(300), -np.round(cosine, 12))) if cosine[e] > 0][:10]
         assert best.tolist() == want and np.allclose(got, cosine[want])
+    # blocks of the other groups are skipped
+    assert 0 < index.scored < index.wanted / 2 and index.wanted == 70 * (len(index.edges) - 1)
 
 
 def test_cosines_are_of_the_full_text(spark):
@@ -138,3 +144,69 @@ def test_most_examples_may_be_toxic(spark):
     labels = spark.createDataFrame([(i, int(i % 5 < 3)) for i in range(300)], "doc_id long, toxic int")
     got = X.score(documents(spark, docs), labels).collect()
     assert all(x["predicted"] == int(x["doc_id"] % 5 < 3) for x in got)
+
+
+def test_sample_is_bounded_in_rows_and_bytes(spark):
+    """One id in half of all rows is one example; the texts together stay within the bytes."""
+    docs = spark.range(0, 30_000, 1, 8).select("id", F.concat(F.lit("text of "), F.col("id").cast("string")).alias("text"))
+    hot = spark.range(0, 30_000, 1, 8).select(F.lit(7).cast("long").alias("id"), F.concat(F.lit("other "), F.col("id").cast("string")).alias("text"))
+    d = docs.unionAll(hot).withColumnRenamed("id", "doc_id")
+    labels = spark.range(30_000).select(F.col("id").alias("doc_id"), (F.col("id") % 5 == 0).cast("int").alias("toxic"))
+    for most in (500, 2_000):
+        rows = X.sample(d, labels, most)
+        n, ids = rows.count(), rows.select("doc_id").distinct().count()
+        assert n == ids and abs(n - most) < 0.15 * most
+    assert X.sample(d, labels.where("doc_id < 100"), 2_000).where("doc_id = 7").count() == 1
+    rows = X.sample(d, labels, 2_000)
+    kept = X.within_bytes(rows, 5_000).agg(F.sum(F.octet_length("text"))).first()[0]
+    assert 5_000 <= kept < 5_030 and X.within_bytes(rows, 1).count() == 1 and X.within_bytes(rows).count() == rows.count()
+
+
+def test_query_equals_brute_force(spark):
+    """Sample, weights, neighbours, votes, curve and score worked out plainly with numpy for every document."""
+    docs, labels = planted()
+    docs = docs + [(900, None), (901, ""), (902, "vile vile words nobody else has"), (903, docs[5][1])]
+    got = {r["doc_id"]: r for r in X.score(documents(spark, docs), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
+    truth = {i: y for i, y in labels if not held(i)}
+    texts = {i: re.findall(r"[0-9a-z]+", (t or "").lower()) for i, t in docs}
+    ids = sorted(truth)
+    n, toxic = len(ids), sum(truth.values())
+    words = sorted({w for i in ids for w in texts[i]})
+    at = {w: k for k, w in enumerate(words)}
+    df = np.array([sum(w in set(texts[i]) for i in ids) for w in words], float)
+    tw = np.array([sum(w in set(texts[i]) for i in ids if truth[i]) for w in words], float)
+    a, b, c, d = tw + .5, df - tw + .5, toxic - tw + .5, n - toxic - (df - tw) + .5
+    tell = np.maximum(abs(np.log(a * d / (b * c))) - 2 * np.sqrt(1 / a + 1 / b + 1 / c + 1 / d), 0.1)
+    weight, unseen = (np.log(n / df) + 1) * tell, (np.log(n) + 1) * tell.min()
+
+    def vector(tokens):
+        v, rest = np.zeros(len(words)), 0.0
+        for w in set(tokens):
+            x = 1 + math.log(tokens.count(w))
+            if w in at:
+                v[at[w]] = x * weight[at[w]]
+            else:
+                rest += (x * unseen) ** 2
+        return v / math.sqrt((v * v).sum() + rest) if tokens else v
+
+    base = np.stack([vector(texts[i]) for i in ids])
+    y = np.array([truth[i] for i in ids], float)
+    prior = toxic / n  # no example is without words
+
+    def vote(v, but=None):
+        cos = base @ v
+        best = [e for e in np.lexsort((np.arange(n), -np.round(cos, 12))) if cos[e] > 0 and e != but][:25]
+        w = 1 / (0.1 + 1 - np.minimum(cos[best], 1))
+        return ((w * y[best]).sum() + 2 / 1.1 * prior) / (w.sum() + 2 / 1.1), best
+
+    left_out = np.array([vote(base[e], e)[0] for e in range(n)])
+    index = X.Index([], [], 0)
+    index.calibrate(left_out, y)  # the curve itself has its own test
+    for i, t in docs:
+        if not texts[i]:
+            assert abs(got[i]["score"] - prior) < 1e-9 and not got[i]["evidence"]
+            continue
+        v, best = vote(vector(texts[i]))
+        assert abs(got[i]["score"] - (0.5 * v + 0.5 * np.interp(v, *index.curve))) < 1e-6
+        assert [e["doc_id"] for e in got[i]["evidence"]] == [ids[e] for e in best[:5]]
