@@ -24,13 +24,15 @@ costs one confirmed pair per node instead of one per pair.
 
 Before a pair is confirmed, a finer sketch (the least shingle of each of 256 ranges of
 hashes) has to allow the similarity within 4.75 standard deviations.  A pair of similarity
-0.75 agrees on fewer than 24 of 48 coordinates in about 5 of 100,000 cases; that and the
-sketch's 1 in a million are the only ways a link can be missed.
+0.75 agrees on fewer than 21 of 48 coordinates in about 1 of a million cases; that, the
+sketch's 1 in a million and equal 50-bit shingle hashes are the only ways a link can be missed
+or made.
 
 Defined cases: null texts and texts without words have no shingles, are linked with
 nothing and are kept; fewer than five words are one shingle; repeated rows are copies of
 each other and each keep their row; null ids take part, and count as no id when the
-smallest id of a component is taken; extra columns are ignored (kept by ``deduplicated``).
+smallest id of a component is taken; extra columns are ignored (kept by ``deduplicated``); a
+very long text is a slice of its own, and its set takes 8 bytes a shingle.
 """
 
 from __future__ import annotations
@@ -48,12 +50,15 @@ from .textarrays import BLANK_SEPARATED, U64, Words, annotate, fresh_name, mix,
 
 SHINGLE_WORDS = 5
 COORDINATES = 48
-MATCHES = 24
+MATCHES = 21
 PERCENT = 75
 #: bins of the finer sketch, a byte each
 BINS = 256
-#: nodes of a posting list compared with each other in one go
+#: nodes of a posting list compared with each other in one go, and bytes of their sets
 BLOCK_NODES = 1024
+BLOCK_BYTES = 32 << 20
+#: nodes of a longer list are posted anew under their rarest shingles
+HOT_NODES = 4096
 
 _DOC_BITS = U64(14)
 _MULTIPLIERS = mix(np.arange(1, COORDINATES + 1, dtype=U64) * U64(0x9E3779B97F4A7C15)) | U64(1)
@@ -294,20 +299,31 @@ def _linked(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})
 
 
-def _unmet(prefixes: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links between different components out of the lists that hold more than one component."""
+def _shared_lists(prefixes: DataFrame, nodes: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, node, label) of every posting, and (key, n, size) of the lists that hold more than one component."""
     named = prefixes.select("node", F.explode("prefix").alias("key")).join(labels, "node", "left").select(
         "key", "node", F.coalesce("label", "node").alias("label"))
-    lists = (named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"),
-                                      F.count(F.lit(1)).alias("n"))
-                  .where(F.col("low") != F.col("high")).select("key", "n"))
-    n_blocks = F.ceil(F.col("n") / BLOCK_NODES).cast("int")
-    about = nodes.select("node", "n_shingles", "signature", "sketch").join(prefixes.select("node", "prefix"), "node")
-    rows = (named.join(lists, "key")
+    lists = (named.join(nodes.select("node", "n_shingles"), "node").groupBy("key")
+                  .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"),
+                       F.sum("n_shingles").alias("size"))
+                  .where(F.col("low") != F.col("high")).select("key", "n", "size"))
+    return named, staged(lists, "neardup-lists")
+
+
+def _in_blocks(named: DataFrame, lists: DataFrame) -> DataFrame:
+    """(key, p, q, block, node, label): each node of a list in every pair of blocks that its block is in."""
+    n_blocks = F.greatest(F.ceil(F.col("n") / BLOCK_NODES), F.ceil(8 * F.col("size") / BLOCK_BYTES)).cast("int")
+    return (named.join(lists, "key")
                  .withColumn("block", F.pmod(F.xxhash64("node"), n_blocks).cast("int"))
                  .withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
                  .select("key", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"),
                          "block", "node", "label"))
+
+
+def _compared(prefixes: DataFrame, named: DataFrame, lists: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links between different components of the given lists."""
+    about = nodes.select("node", "n_shingles", "signature", "sketch").join(prefixes.select("node", "prefix"), "node")
+    rows = _in_blocks(named, lists)
     ship(rows.sparkSession)
     group = ["key", "p", "q"]
     near = rows.join(about, "node").groupBy(*group).applyInArrow(
@@ -318,6 +334,46 @@ def _unmet(prefixes: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataF
     return full.groupBy(*group).applyInArrow(_linked, "a long, b long")
 
 
+def _finer(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, prefix): the rarest shingles of each wanted node, by their frequency among those nodes.
+
+    Sets of similarity p share p of the shingles of each, so they share one of the rarest
+    n - p * n + 1 of each.  What is common to most wanted nodes (a passage) comes last in that
+    order: it is in a prefix only where it makes more than p of a text.
+    """
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                values, off = utf8(part.column(1))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(values.view(U64).astype(np.int64)), pa.array(np.repeat(part.column(0).to_numpy(), np.diff(off) // 8))],
+                    names=["key", "node"])
+
+    posted = staged(map_arrow(_shingles(_node_texts(wanted, nodes, docs)), run, "key long, node long"), "neardup-shingles")
+    often = posted.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    held = posted.join(often, "key").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "key"))).alias("e"))
+    length = F.size("e") - F.ceil(F.size("e") * PERCENT / 100).cast("int") + 1
+    shared = F.filter(F.slice("e", F.lit(1), length), lambda x: x["n"] > 1)
+    return held.select("node", shared["key"].alias("prefix")).where(F.size("prefix") > 0)
+
+
+def _unmet(prefixes: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links between different components out of the lists that hold more than one component.
+
+    Nodes of lists longer than ``HOT_NODES`` are posted anew, under their rarest shingles.
+    """
+    named, lists = _shared_lists(prefixes, nodes, labels)
+    found = _compared(prefixes, named, lists.where(F.col("n") <= HOT_NODES), nodes, docs)
+    hot = lists.where(F.col("n") > HOT_NODES)
+    if hot.isEmpty():
+        return found
+    wanted = staged(named.join(hot.select("key"), "key", "left_semi").select("node").distinct(), "neardup-hot")
+    finer = staged(_finer(wanted, nodes, docs), "neardup-finer")
+    return found.unionAll(_compared(finer, *_shared_lists(finer, nodes, labels), nodes, docs))
+
+
 def node_table(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Features of every document row, and one node per distinct shingle set (columns doc_id, text)."""
     rows = annotate(docs, "text", features, FEATURES, "f").select("doc_id", "f.*")

@@ -9,12 +9,12 @@ scorer over hashed character shapes is trained, so that texts on which the label
 silent get a score too.
 
 The counts cover all documents.  The scorer is trained on a bounded sample
-(``SAMPLE`` rows or so, drawn by a hash of the text); every document is scored.  Only the
+(``SAMPLE`` distinct texts or so, weighted by their rows); every document is scored.  Only the
 text is read; gold labels are never used.
 
 Defined cases: null and empty texts draw the votes of an empty text and are not kept;
 repeated rows each count and keep their row; null ids are kept; an empty table gives no
-rows; extra columns are ignored.
+rows; extra columns are ignored; a very long text is a slice of its own and read whole.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ from .tables import staged
 from .textarrays import BLANK_SEPARATED, U64, Words, byte_table, mix, slices, utf8
 
 SAMPLE = 10_000
+#: a text with so many times the rows of an average member of the sample is always in it
+OFTEN = 10
 DIMENSIONS = 2_048
 EPOCHS = 100
 BETTER = 1.5
@@ -229,38 +231,57 @@ def shapes(texts: pa.Array, dimensions: int = DIMENSIONS) -> np.ndarray:
     return out
 
 
-def train(features: np.ndarray, labels: np.ndarray, epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
+def train(features: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None, epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
     """Logistic regression on soft labels by gradient steps with momentum."""
     labels = labels.astype(np.float32)
+    share = np.ones(len(labels)) if weights is None else weights
+    share = (share / max(share.sum(), 1e-9)).astype(np.float32)
     w, b = np.zeros(features.shape[1], dtype=np.float32), 0.0
     vw, vb = np.zeros_like(w), 0.0
-    n = max(len(labels), 1)
     for _ in range(epochs):  # float32 throughout: the features are not copied
         p = 1 / (1 + np.exp(-np.clip(features @ w + b, -30, 30)))
-        gap = p - labels
-        vw, vb = 0.9 * vw - 1.0 * (gap @ features / n + np.float32(1e-5) * w), 0.9 * vb - 1.0 * float(gap.mean() if len(gap) else 0)
+        gap = (p - labels) * share
+        vw, vb = 0.9 * vw - 1.0 * (gap @ features + np.float32(1e-5) * w), 0.9 * vb - 1.0 * float(gap.sum())
         w, b = w + vw, b + vb
     return w, b
 
 
-def fit(docs: DataFrame, posterior: dict[bytes, float], sample: int = SAMPLE) -> tuple[np.ndarray, float]:
-    """Train the scorer on about ``sample`` rows, drawn by a hash of their text."""
+def sample_texts(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """(text, weight): about ``sample`` distinct texts, drawn by a hash, that stand for all rows.
+
+    Rows of equal text count once, with their number as the weight, so the size keeps to the
+    bound under any repetition.  Texts that hold ``OFTEN / sample`` of all rows or more (a
+    tenth of the sample at most) are always in it; a drawn one stands for those left out.
+    """
     n = docs.count()
-    drawn = docs.select("text")
-    if n > sample:
-        drawn = drawn.where(F.pmod(F.xxhash64(F.coalesce("text", F.lit("")), F.lit(23)), F.lit(1 << 30)) < int(sample / n * (1 << 30)))
+    key = F.xxhash64(F.coalesce("text", F.lit("")), F.lit(23))
+    counts = staged(docs.groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("n")), "quality-counts")
+    often = F.col("n") * sample >= OFTEN * n
+    heavy, light = counts.agg(F.count_if(often), F.count_if(~often)).first()
+    rate = min(1.0, max(sample - heavy, 1) / max(light, 1))
+    drawn = F.pmod(F.xxhash64("key", F.lit(29)), F.lit(1 << 30)) < int(rate * (1 << 30))
+    kept = counts.where(often | drawn).select("key", F.when(often, F.col("n")).otherwise(F.col("n") / rate).cast("double").alias("weight"))
+    # 16 bytes a row, about ``sample`` rows; each task keeps one text of a key before the shuffle
+    rows = docs.withColumn("key", key).join(F.broadcast(kept), "key")
+    return rows.groupBy("key").agg(F.max("weight").alias("weight"), F.min(F.coalesce("text", F.lit(""))).alias("text")).select("text", "weight")
+
+
+def fit(docs: DataFrame, posterior: dict[bytes, float], sample: int = SAMPLE) -> tuple[np.ndarray, float]:
+    """Train the scorer on about ``sample`` distinct texts (``sample_texts``)."""
 
     def run(batches):
-        xs, ys = [], []
+        xs, ys, ws = [], [], []
         for batch in batches:
             for part in _parts(batch, "text"):
                 xs.append(shapes(part.column(0)))
                 ys += [posterior[v.tobytes()] for v in votes_of(part.column(0))]
-        w, b = train(np.concatenate(xs), np.array(ys)) if xs else (np.zeros(DIMENSIONS), 0.0)
+                ws.append(part.column(1).to_numpy())
+        w, b = train(np.concatenate(xs), np.array(ys), np.concatenate(ws)) if xs else (np.zeros(DIMENSIONS), 0.0)
         yield pa.RecordBatch.from_arrays([pa.array([w.tolist()], pa.list_(pa.float64())), pa.array([b])], names=["w", "b"])
 
-    # the bounded sample is all that the one training task sees
-    r = map_arrow(staged(drawn, "quality-sample").coalesce(1), run, "w array<double>, b double").first()
+    # the bounded sample is all that the one training task sees; in one order, so that reruns agree
+    rows = staged(sample_texts(docs, sample), "quality-sample").coalesce(1).sortWithinPartitions("text")
+    r = map_arrow(rows, run, "w array<double>, b double").first()
     return (np.array(r["w"]), float(r["b"])) if r else (np.zeros(DIMENSIONS), 0.0)
 
 

@@ -102,3 +102,57 @@ def test_one_set_survives_where_ids_are_repeated_or_null(spark):
     rows = [(7, a), (7, a + " changed"), (None, b), (None, b + " changed"), (3, None)]
     kept = [r["text"] for r in N.deduplicated(documents(spark, rows)).collect()]
     assert len(kept) == 3 and sum(t in (a, a + " changed") for t in kept) == 1 and sum(t in (b, b + " changed") for t in kept) == 1
+
+
+def passage_corpus(n, own=40, shared=60):
+    """Texts that share a passage and are alike far below the threshold, and a few real pairs among them."""
+    passage = prose(9, shared, 5000)
+    docs = [(i, prose(20_000 + i, own, 50_000) + " " + passage) for i in range(n)]
+    return docs + [(n + i, docs[i * 7][1] + f" and{i} more{i}") for i in range(5)]
+
+
+def test_hot_lists_are_posted_anew(spark, monkeypatch):
+    """All links are found, and copies of a node do not grow with the texts that share a passage."""
+    monkeypatch.setattr(N, "BLOCK_NODES", 16)
+    monkeypatch.setattr(N, "HOT_NODES", 32)
+    copies, blocks = [], N._in_blocks
+
+    def counted(named, lists):
+        rows = blocks(named, lists)
+        copies.append((rows.count(), lists.agg({"n": "max"}).first()[0] or 0))
+        return rows
+
+    monkeypatch.setattr(N, "_in_blocks", counted)
+    per_node = []
+    for n in (150, 600):
+        copies.clear()
+        docs = passage_corpus(n)
+        got = N.near_duplicates(documents(spark, docs)).select("doc_id", "n_shingles", "component_id", "kept")
+        assert sorted((tuple(r) for r in got.collect()), key=str) == brute(docs)
+        assert len(copies) == 2 and max(most for _, most in copies) <= 32
+        per_node.append(sum(rows for rows, _ in copies) / n)
+    assert per_node[1] < 1.5 * per_node[0] + 1
+
+
+def test_a_passage_of_most_of_a_text(spark, monkeypatch):
+    """The passage is in the finer prefixes too; blocks still find every link."""
+    monkeypatch.setattr(N, "BLOCK_NODES", 8)
+    monkeypatch.setattr(N, "HOT_NODES", 8)
+    docs = passage_corpus(60, own=14, shared=66)
+    got = N.near_duplicates(documents(spark, docs)).select("doc_id", "n_shingles", "component_id", "kept")
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute(docs)
+
+
+def test_blocks_are_bounded_in_bytes(spark, monkeypatch):
+    lists = spark.createDataFrame([(1, 3, 10), (2, 3, 3_000_000)], "key long, n long, size long")
+    named = spark.createDataFrame([(k, i, i) for k in (1, 2) for i in range(3)], "key long, node long, label long")
+    monkeypatch.setattr(N, "BLOCK_BYTES", 8_000_000)
+    rows = N._in_blocks(named, lists)
+    assert {r["key"]: r["n"] for r in rows.groupBy("key").agg({"q": "max"}).withColumnRenamed("max(q)", "n").collect()} == {1: 0, 2: 2}
+
+
+@pytest.mark.parametrize("sf", ["0.001"])
+def test_matches_all_pairs_on_the_documents(spark, sf):
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"/root/testdata/sf{sf}/documents.parquet").collect()]
+    got = N.near_duplicates(spark.read.parquet(f"/root/testdata/sf{sf}/documents.parquet")).select("doc_id", "n_shingles", "component_id", "kept")
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute(docs)
