@@ -11,14 +11,15 @@ count in the norm of a query as the rarest words do.  (TF-IDF without that facto
 little: README.)
 
 The examples are ordered by groups of similar texts, within a group by label, and cut into
-blocks of ``BLOCK``.  For each word and block the index knows the greatest weight, so a query
-has a bound for every block: the sum of its weights times those maxima.  It scores
-its ``FIRST_BLOCKS`` most promising blocks, and then only the blocks whose bound is not below its
-k-th best cosine so far; the others are skipped.  Postings of a word stand apart for each
-block; those of words common in a group are kept as dense rows, so that the queries that want
-a block take them in one product.  Sums are float32 with a known rounding error; examples
-that can be among the ``k`` nearest within that error are computed again in float64, so the
-``k`` nearest are exact (ties: the earlier example).
+blocks of ``BLOCK``.  Postings of a word stand apart for each block, and for each word and block
+the index knows the greatest weight, so a query has a bound for every block: the sum of its
+weights times those maxima.  It scores its ``FIRST_BLOCKS`` most promising blocks, and then
+only the blocks whose bound is not below its k-th best cosine so far; the postings of the
+others are skipped.  The few words common in a group have full postings: they are dense rows,
+multiplied for all queries at once, and the best such sum of a block replaces their maxima in
+its bound.  Sums are float32 with a known rounding error; examples that can be among the
+``k`` nearest within that error are computed again in float64, so the ``k`` nearest are exact
+(ties: the earlier example).
 
 The neighbours vote with weight 1 / (0.1 + distance), against a prior of the examples
 without any word.  Votes of the examples themselves, each left out of its own
@@ -56,7 +57,7 @@ FLOOR = 0.1
 GROUPS = 8
 GROUP_EXAMPLES = 1_024
 #: share of the examples from which a word is in the matrix of a group (smaller groups: a greater share)
-COMMON = 0.07
+COMMON = 0.04
 NEAREST = 25
 PRIOR = 2.0
 #: queries searched in one go
@@ -186,9 +187,7 @@ class Index:
             matrix = np.zeros((len(common), high - low), dtype=np.float32)
             matrix[column[self.words[mine]], place[owner[mine]] - low] = weights[mine]
             posted[mine] = False
-            blocks = np.arange(block_of[low], block_of[high - 1] + 1)
-            greatest = np.maximum.reduceat(matrix, self.edges[blocks] - low, axis=1) if len(common) else np.zeros((0, len(blocks)), np.float32)
-            self.dense.append((low, blocks, column, matrix, greatest))
+            self.dense.append((low, high, column, matrix))
         rest = np.flatnonzero(posted)
         rest = rest[np.lexsort((place[owner[rest]], self.words[rest]))]
         self.posted = place[owner[rest]].astype(np.int32)
@@ -218,13 +217,14 @@ class Index:
         seen = np.zeros((m, len(often)), dtype=np.float32)
         seen[owner[mine], column[self.words[mine]]] = 1
         seen /= np.maximum(np.sqrt(seen.sum(axis=1, keepdims=True)), 1)
-        means = seen[:1]
-        while len(means) < groups:
-            means = np.concatenate([means, seen[[np.argmin((seen @ means.T).max(axis=1))]]])
-        for _ in range(6):
-            group = np.argmax(seen @ means.T, axis=1)
-            means = np.stack([seen[group == g].mean(axis=0) if (group == g).any() else means[g] for g in range(groups)])
+        means = seen[np.linspace(0, m - 1, groups).astype(np.int64)]
+        for _ in range(10):
             means /= np.maximum(np.linalg.norm(means, axis=1, keepdims=True), 1e-9)
+            likeness = seen @ means.T
+            group = np.argmax(likeness, axis=1)
+            # a group that lost all its texts starts again from the text that is least like its own group
+            lonely = iter(np.argsort(likeness.max(axis=1), kind="stable"))
+            means = np.stack([seen[group == g].mean(axis=0) if (group == g).any() else seen[next(lonely)] for g in range(groups)])
         return group
 
     def vector(self, words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -243,60 +243,64 @@ class Index:
         out = []
         for at in range(0, len(queries), QUERIES):
             part = queries[at:at + QUERIES]
-            for (words, q), rough in zip(part, self._rough(part, k)):
-                out.append(self._exact(words, q, rough, k))
+            for (words, q), rough, least in zip(part, *self._rough(part, k)):
+                out.append(self._exact(words, q, rough, least, k))
         return out
 
-    def _rough(self, queries: list, k: int) -> np.ndarray:
-        """float32 cosines of each query with the examples (by place) of the blocks that can hold a neighbour; else 0."""
+    def _rough(self, queries: list, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """float32 cosines of each query with the examples (by place) of the blocks that can hold a neighbour
+        (less of it elsewhere), and a cosine that its k-th neighbour has at least."""
         words = np.concatenate([w for w, _ in queries])
         q = np.concatenate([x for _, x in queries]).astype(np.float32)
         n, m, blocks = len(queries), len(self.ids), len(self.edges) - 1
         sizes = np.array([len(w) for w, _ in queries])
         query = np.repeat(np.arange(n), sizes)
-        # entries of the queries' words
+        sums = np.zeros((n, m), dtype=np.float32)
+        for low, high, column, matrix in self.dense:
+            at = column[words]
+            some = at >= 0
+            mine = np.zeros((n, len(matrix)), dtype=np.float32)
+            mine[query[some], at[some]] = q[some]
+            sums[:, low:high] = mine @ matrix
+        # entries of the queries' words, and the bound of each block: its best sum so far and the greatest weights
         number = self.entries[words + 1] - self.entries[words]
         entry = _ranges(self.entries[words], number)
         of, x = np.repeat(query, number), np.repeat(q, number)
         key = of * blocks + self.entry_block[entry]
         bound = np.bincount(key, x * self.entry_most[entry], minlength=n * blocks).astype(np.float64).reshape(n, blocks)
-        mine = []
-        for low, own, column, matrix, greatest in self.dense:
-            at = column[words]
-            some = at >= 0
-            dense = np.zeros((n, len(matrix)), dtype=np.float32)
-            dense[query[some], at[some]] = q[some]
-            bound[:, own] += dense @ greatest
-            mine.append(dense)
-        sums = np.zeros((n, m), dtype=np.float32)
+        bound += np.maximum.reduceat(sums, self.edges[:-1], axis=1)
 
         def score(wanted):
-            for (low, own, _, matrix, _), dense in zip(self.dense, mine):
-                for b in own[wanted[:, own].any(axis=0)]:
-                    who, (first, last) = np.flatnonzero(wanted[:, b]), self.edges[b:b + 2]
-                    sums[who, first:last] += dense[who] @ matrix[:, first - low:last - low]
-            use = wanted.ravel()[key]
+            use = np.flatnonzero(wanted.ravel()[key])
             start = self.entry_start[entry[use]]
             length = self.entry_start[entry[use] + 1] - start
             at = _ranges(start, length)
-            where = np.repeat(of[use] * m, length) + self.posted[at]
-            sums.ravel()[:] += np.bincount(where, self.posted_weights[at] * np.repeat(x[use], length), minlength=n * m).astype(np.float32)
+            products = self.posted_weights[at] * np.repeat(x[use], length)
+            sums.ravel()[:] += np.bincount(np.repeat(of[use] * m, length) + self.posted[at], products, minlength=n * m)
 
+        k_blocks = min(FIRST_BLOCKS, blocks)
+        best = np.argpartition(-bound, k_blocks - 1, axis=1)[:, :k_blocks]
         first = np.zeros((n, blocks), dtype=bool)
-        np.put_along_axis(first, np.argpartition(-bound, min(FIRST_BLOCKS, blocks) - 1, axis=1)[:, :FIRST_BLOCKS], True, axis=1)
-        first &= bound > 0
+        np.put_along_axis(first, best, True, axis=1)
         score(first)
-        least = np.partition(sums, m - k, axis=1)[:, m - k] if m >= k else np.zeros(n)
+        # the k-th best of the first blocks
+        place = self.edges[best][:, :, None] + np.arange(self.block)
+        inside = place < self.edges[best + 1][:, :, None]
+        seen = np.where(inside, np.take_along_axis(sums, np.minimum(place, m - 1).reshape(n, -1), axis=1).reshape(place.shape), 0).reshape(n, -1)
+        least = np.partition(seen, seen.shape[1] - k, axis=1)[:, seen.shape[1] - k] if seen.shape[1] >= k else np.zeros(n)
         # room for the roundings of a bound and of the cosines it is measured against
         more = (bound >= (least - _error(sizes) - 1e-6 * least)[:, None]) & (bound > 0) & ~first
         score(more)
         self.scored += int(first.sum() + more.sum())
         self.wanted += n * blocks
-        return sums
-
-    def _exact(self, words: np.ndarray, q: np.ndarray, rough: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        least = np.partition(rough, len(rough) - k)[len(rough) - k] if len(rough) >= k else 0.0
-        found = np.flatnonzero(rough >= max(least - _error(len(words)), 1e-30))
+        return sums, least
+
+    def _exact(self, words: np.ndarray, q: np.ndarray, rough: np.ndarray, least: float, k: int) -> tuple[np.ndarray, np.ndarray]:
+        error = _error(len(words))
+        found = np.flatnonzero(rough >= max(least - error, 1e-30))
+        if len(found) > k:
+            near = rough[found]
+            found = found[near >= np.partition(near, len(near) - k)[len(near) - k] - error]
         found = np.sort(self.order[found])
         if not len(found):
             return np.zeros(0, np.int64), np.zeros(0)

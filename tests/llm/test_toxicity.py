@@ -114,7 +114,7 @@ def test_nearest_is_exact_in_groups():
         rows.append({"doc_id": i, "toxic": i % 2, "words": w, "counts": [r.randrange(1, 4) for _ in w]})
     df = [(k * 7 + 3, 1 + sum(k in x["words"] for x in rows)) for k in range(1000)]
     index = X.Index(df, rows, 300, nearest=10, block=8, weights=[1 + k % 3 for k in range(1000)], groups=3).arranged()
-    assert [len(matrix) > 0 for _, _, _, matrix, _ in index.dense] == [True] * 3 and len(index.posted)
+    assert [len(matrix) > 0 for _, _, _, matrix in index.dense] == [True] * 3 and len(index.posted)
     dense = np.zeros((300, 1000))
     for e, x in enumerate(rows):
         at, v = index.vector(np.array(x["words"]), np.array(x["counts"]))
