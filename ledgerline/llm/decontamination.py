@@ -6,16 +6,21 @@ words in a row share such a window and therefore its minimum, so joining fingerp
 finds every shared span of 13 or more words.  A hit is extended to the 13-word windows
 around it, and the windows' words are compared exactly.
 
-Benchmark windows come in blocks of bounded size.  Each block is broadcast and the
-documents stream past it map-side, whole, without a shuffle; with more than one block
-the hits of a document are united afterwards.  Documents or passages that repeat a
-million times therefore meet in no task.
+A benchmark of at most ``BLOCK_WINDOWS`` windows is broadcast, and the documents stream past it
+map-side, whole, without a shuffle.  A larger one is joined: documents' fingerprints (one for
+each run of windows that keeps the same minimum) meet the benchmark's in a plain join, only the
+windows around hits are looked up again, and those are joined with the benchmark's windows by
+their words.  Texts are known by their SHA-256 there, so copies are looked up once; the
+benchmark's side of each join has a fingerprint or window once an item, and Spark splits
+what a passage in a third of the documents brings on the other side.  Nothing of a large
+benchmark reaches the driver.
 
 Defined cases: null and empty texts have no words, no hits and are not contaminated;
 items without words match nothing; an item of fewer than 13 words is one window of its
 own length; repeated items and repeated document rows each keep their row and ids;
 null ids are kept (a null ``item_id`` names no item, its windows still hit); extra
-columns are ignored by ``scan`` and kept by ``decontaminated``.
+columns are ignored by ``scan`` and kept by ``decontaminated``; a very long text is a slice of
+its own and taken whole.
 """
 
 from __future__ import annotations
@@ -34,7 +39,7 @@ from .textarrays import ALPHANUMERIC, U64, Words, annotate, fresh_name, member,
 
 WINDOW_WORDS = 13
 GRAM_WORDS = 5
-#: benchmark windows in one broadcast block (about 200 bytes each in a worker)
+#: windows of a benchmark that is broadcast (about 200 bytes each in a worker)
 BLOCK_WINDOWS = 200_000
 
 FOUND = T.StructType([
@@ -174,15 +179,72 @@ def united(spans) -> list[tuple[int, int]]:
     return out
 
 
-def blocks(windows: DataFrame, size: int) -> Iterator[list]:
-    rows: list = []
-    for r in windows.toLocalIterator():
-        rows.append(r)
-        if len(rows) == size:
-            yield rows
-            rows = []
-    if rows:
-        yield rows
+def _digest(text) -> F.Column:
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+
+
+def document_marks(texts: DataFrame, window: int, gram: int, lengths: list[int]) -> DataFrame:
+    """(row, n, mark, first, end): the fingerprints of texts (row, text) and the starts of the windows that
+    keep each; for the ``lengths`` below ``window``, the hash and start of every window."""
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                w = Words(*utf8(part.column(1)), ALPHANUMERIC)
+                pos, least = gram_minima(w, window, gram)
+                new = np.ones(len(pos), dtype=bool)
+                new[1:] = (least[1:] != least[:-1]) | (pos[1:] != pos[:-1] + 1)
+                first = np.flatnonzero(new)
+                found = [(window, least[first], pos[first], pos[np.append(first[1:], len(pos)) - 1] + 1)] if len(pos) else []
+                for n in lengths:
+                    at, h = window_hashes(w, n)
+                    found.append((n, h, at, at + 1))
+                for n, mark, start, end in found:
+                    doc = np.searchsorted(w.first, start, "right") - 1
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0).take(pa.array(doc)), pa.array(np.full(len(doc), n), pa.int32()), pa.array(mark.astype(np.int64)),
+                         pa.array(start - w.first[doc], pa.int32()), pa.array(end - w.first[doc], pa.int32())],
+                        names=["row", "n", "mark", "first", "end"])
+
+    return map_arrow(texts, run, "row binary, n int, mark long, first int, end int")
+
+
+def wanted_windows(texts: DataFrame) -> DataFrame:
+    """(row, n, at, hash, words) of the windows whose starts are wanted: texts (row, text, spans of n, first, end)."""
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                w = Words(*utf8(part.column(1)), ALPHANUMERIC)
+                rows = []
+                for i, spans in enumerate(part.column(2).to_pylist()):
+                    base = int(w.first[i])
+                    for n, at in sorted({(s["n"], p) for s in spans for p in range(s["first"], s["end"])}):
+                        own = w.hash[base + at:base + at + n]
+                        rows.append((i, n, at, int(ngrams(own, n).astype(np.int64)[0]), w.text(base + at, base + at + n)))
+                cols = list(zip(*rows)) if rows else [()] * 5
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(cols[0], pa.int64())), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int32()),
+                     pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.binary())], names=["row", "n", "at", "hash", "words"])
+
+    return map_arrow(texts, run, "row binary, n int, at int, hash long, words binary")
+
+
+def joined_hits(docs: DataFrame, windows: DataFrame, text: str, window: int, gram: int, lengths: list[int]) -> DataFrame:
+    """(row, hits, items) of the texts that hold a window of the benchmark, by joins of fingerprints and of windows."""
+    texts = docs.select(_digest(docs[text]).alias("row"), docs[text].alias("text"))
+    known = windows.select("n", F.when(F.col("n") == window, F.col("fingerprint")).otherwise(F.col("hash")).alias("mark")).distinct()
+    met = document_marks(texts, window, gram, lengths).join(known, ["n", "mark"], "left_semi")
+    spans = staged(met.groupBy("row").agg(F.collect_set(F.struct("n", "first", "end")).alias("spans")), "benchmark-spans")
+    near = texts.join(spans, "row").select("row", "text", "spans")
+    hits = wanted_windows(near).join(windows.select("n", "hash", "words", "item"), ["n", "hash", "words"])
+    span = F.struct(F.col("at").alias("first"), (F.col("at") + F.col("n")).alias("end"))
+    found = hits.groupBy("row").agg(_merged(F.collect_set(span)).alias("hits"), F.array_sort(F.collect_set("item")).alias("items"))
+    return staged(found, "benchmark-hits")
+
+
+def _counted(texts: pa.Array) -> list[pa.Array]:
+    return [pa.array(Words(*utf8(texts), ALPHANUMERIC).counts(), pa.int64())]
 
 
 def annotated(docs: DataFrame, items: DataFrame, out: str, text: str = "text", item_id: str = "item_id",
@@ -191,22 +253,31 @@ def annotated(docs: DataFrame, items: DataFrame, out: str, text: str = "text", i
     """``docs`` with the struct column ``out``: n_words, hits (disjoint word ranges), items."""
     sc = docs.sparkSession.sparkContext
     windows = staged(item_windows(items, item_id, item_text, window, gram).distinct(), "benchmark-windows")
-    names = []
-    for rows in blocks(windows, block_windows):
-        shared = sc.broadcast(Block(rows, window, gram))
-        name = fresh_name(f"__hits_{len(names)}", docs.columns)
-        docs = annotate(docs, text, lambda texts, b=shared: b.value.find(texts), FOUND, name)
-        names.append(name)
-    if not names:
-        shared = sc.broadcast(Block([], window, gram))
-        names.append(fresh_name("__hits_0", docs.columns))
-        docs = annotate(docs, text, lambda texts, b=shared: b.value.find(texts), FOUND, names[0])
-    found = F.col(names[0])
-    if len(names) > 1:
-        found = F.struct(F.col(names[0]).n_words.alias("n_words"),
-                         _merged(F.concat(*[F.col(n).hits for n in names])).alias("hits"),
-                         F.array_sort(F.array_distinct(F.concat(*[F.col(n).items for n in names]))).alias("items"))
-    return docs.select(*[docs[c] for c in docs.columns if c not in names], found.alias(out))
+
+    def beside(windows, name):
+        shared = sc.broadcast(Block(windows.collect(), window, gram))  # block_windows rows at most
+        return annotate(docs, text, lambda texts: shared.value.find(texts), FOUND, name)
+
+    if windows.count() <= block_windows:
+        return beside(windows, out)
+    short = windows.where(F.col("n") < window)
+    lengths = [] if short.count() <= block_windows else sorted(r["n"] for r in short.select("n").distinct().collect())
+    hits = joined_hits(docs, windows if lengths else windows.where(F.col("n") == window), text, window, gram, lengths)
+    own = fresh_name("__own", docs.columns)
+    if lengths:
+        n_words = T.StructType(FOUND.fields[:1])
+        rows = annotate(docs, text, _counted, n_words, own)
+        held = F.array().cast(FOUND["hits"].dataType), F.array().cast(FOUND["items"].dataType)
+    else:  # the items of less than a window are few: they are looked up map-side
+        rows = beside(short, own)
+        held = F.col(own)["hits"], F.col(own)["items"]
+    names = {c: fresh_name(f"__{c}", rows.columns) for c in hits.columns}
+    hits = hits.toDF(*names.values())
+    met = rows.join(hits, _digest(rows[text]) == F.col(names["row"]), "left")
+    more = F.coalesce(names["hits"], F.array()), F.coalesce(names["items"], F.array())
+    return met.select(*docs.columns, F.struct(
+        F.col(own)["n_words"].alias("n_words"), _merged(F.concat(held[0], more[0])).alias("hits"),
+        F.array_sort(F.array_distinct(F.concat(held[1], more[1]))).alias("items")).alias(out))
 
 
 def _merged(spans):

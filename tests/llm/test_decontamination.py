@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.llm import decontamination as D
 from ledgerline.llm.textarrays import ALPHANUMERIC, Words
@@ -58,7 +59,7 @@ def planted():
     return base
 
 
-@pytest.mark.parametrize("block", [200_000, 7])
+@pytest.mark.parametrize("block", [200_000, 7, 2])  # broadcast; joined, short items broadcast; all joined
 def test_matches_brute_force(spark, planted, block):
     docs = planted + odd_texts()
     got = D.scan(documents(spark, docs), items_table(spark, ITEMS), block_windows=block)
@@ -71,9 +72,25 @@ def test_hits_are_the_shared_words(spark):
     assert [tuple(h) for h in got["hits"]] == [(3, 16)] and got["items"] == ["2"]
 
 
-def test_columns_and_clean_documents_stay(spark, planted):
-    docs = clashing(documents(spark, planted + odd_texts()))
-    kept = D.decontaminated(docs, items_table(spark, ITEMS))
+def test_large_benchmark_stays_off_the_driver(spark, monkeypatch):
+    """20,000 windows and a passage in a third of the documents: joined, with only single numbers collected."""
+    items = [(i, prose(5_000 + i, 32, 3000)) for i in range(1000)]
+    shared = items[7][1]
+    docs = [(i, prose(90_000 + i, 50, 3000) + (" " + shared if i % 3 == 0 else "")) for i in range(120)] + [(500, None), (501, "")]
+    frame, collected = type(spark.range(0)), []
+    plain = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda self: (lambda r: (collected.append(len(r)), r)[1])(plain(self)))
+    got = D.scan(documents(spark, docs), items_table(spark, items), block_windows=1_000)
+    assert sum(collected) <= 20
+    monkeypatch.undo()
+    cols = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    assert sorted((tuple(r) for r in got.select(*cols).collect()), key=str) == brute(docs, items)
+
+
+@pytest.mark.parametrize("block", [200_000, 2])
+def test_columns_and_clean_documents_stay(spark, planted, block):
+    docs = clashing(documents(spark, planted + odd_texts())).withColumn("row", F.lit("mine")).withColumn("hits", F.lit(3))
+    kept = D.decontaminated(docs, items_table(spark, ITEMS), block_windows=block)
     assert kept.schema == docs.schema
     bad = [r[0] for r in brute(planted, ITEMS) if r[-1]]
     rows = kept.collect()
