@@ -36,7 +36,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc.archive(read(spark, sf_dir, "pages"))
-    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "position")
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,12 +170,18 @@ m AS (SELECT k.*, h.key IS NOT NULL AND doc_id IS DISTINCT FROM keeper AS gone F
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM m GROUP BY r, doc_id""",
-    "op4_warc_index": """
-WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+    "op4_warc_index": r"""
+WITH p AS (SELECT page_id, url, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
 f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p),
-r AS (SELECT *, coalesce(payload_bytes >= 100 AND page_id <> first, false) AS revisit FROM f)
+r AS (SELECT *, coalesce(payload_bytes >= 100 AND page_id <> first, false) AS revisit,
+             regexp_extract(trim(coalesce(url, '')), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)[^/?#]*([^?#]*)(?:[?]([^#]*))?', ['host', 'path', 'query']) AS u FROM f),
+k AS (SELECT *, array_to_string(list_reverse(string_split(regexp_replace(lower(u.host), '^www[.]', ''), '.')), ',') || ')'
+             || CASE WHEN rtrim(u.path, '/') = '' THEN '/' ELSE lower(rtrim(u.path, '/')) END
+             || CASE WHEN u.query <> '' THEN '?' || lower(u.query) ELSE '' END AS url_key,
+             strftime(TIMESTAMP '2024-01-01' + to_seconds(coalesce(page_id, 0)), '%Y-%m-%dT%H:%M:%SZ') AS captured FROM r)
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN revisit THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN revisit THEN first END AS refers_to FROM r""",
+       CASE WHEN revisit THEN first END AS refers_to, url_key, captured,
+       row_number() OVER (ORDER BY url_key, captured, page_id) - 1 AS position FROM k""",
     "op7_fingerprints": """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 n AS (SELECT *, coalesce(lead(text) OVER (ORDER BY doc_id DESC), first_value(text) OVER (ORDER BY doc_id DESC)) AS next FROM d),

@@ -6,15 +6,20 @@ point to it.  Records are WARC/1.1; Spark's text sink ends each with the two lin
 that close a record and compresses the file, so a part file is a ``.gz`` archive.
 
 Reading: archives are parsed by their Content-Length.  Index: the captures of an archive
-form a run sorted by URL key and time.  Runs are cut at common key ranges and dealt to
-merge tasks; a task merges the k runs it got with a loser tree.  A range holds a bounded
-share of the captures (a hot URL is cut by time), so the output in range order is the
-globally ordered capture history.
+form a run sorted by URL key and time, and the runs are written.  They are cut at common key
+ranges, one for about ``RANGE_CAPTURES`` captures however many there are, and dealt to
+merge tasks; Spark brings what a range has of each run together, in the run's order.  A task
+keeps its range as Arrow columns and streams its k runs, a few rows of each at a time,
+through a loser tree.  The cuts go by key, time, id, archive and offset, so a hot URL, or one
+capture repeated, is cut like any other, and the output in range order, with its
+positions, is the globally ordered capture history.
 
 Defined cases: a null html is an empty payload; a null url has an empty URL key; a null
 id can be no response for others and is never a revisit; repeated rows each get a
-record; payloads may hold anything, WARC headers too; an empty table gives no rows;
-extra columns are ignored.
+record; captures of equal key, time and id keep the order of archive and offset; payloads
+may hold anything, WARC headers too; an empty table gives no rows; extra columns are
+ignored.  An archive is held whole while it is parsed, so a page larger than
+``ARCHIVE_BYTES`` takes its own size a few times over.
 """
 
 from __future__ import annotations
@@ -25,16 +30,22 @@ from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
 from urllib.parse import urlsplit
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ordering import in_own_order
 from .shipping import map_arrow
 from .tables import scratch, staged
 
 SMALLEST = 100
 #: bytes of one archive; a reader holds one archive at a time
 ARCHIVE_BYTES = 8 << 20
+#: captures that a merge task holds, about
+RANGE_CAPTURES = 100_000
+#: rows of a run that are taken up at once
+TAKEN = 256
 #: first capture time; pages without a time of their own follow second by second
 EPOCH = datetime(2024, 1, 1, tzinfo=timezone.utc)
 CAPTURES = ("page_id long, url string, url_key string, captured string, payload_bytes long, payload_digest string, "
@@ -141,7 +152,7 @@ def captures(spark: SparkSession, path: str) -> DataFrame:
                     rows.append((_page(h["WARC-Record-ID"]), h["WARC-Target-URI"], url_key(h["WARC-Target-URI"]), h["WARC-Date"],
                                  int(h["WARC-Payload-Length"]), digest, h["WARC-Type"], _page(h.get("WARC-Refers-To")),
                                  name.rsplit("/", 1)[-1], offset))
-                rows.sort(key=lambda r: (r[2], r[3], r[0] is not None, r[0]))
+                rows.sort(key=lambda r: (r[2], r[3], r[0] is not None, r[0] or 0, r[9]))
                 kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(),
                          pa.int64(), pa.string(), pa.int64()]
                 for i in range(0, len(rows), 4096):
@@ -197,12 +208,20 @@ class LoserTree:
             self.winner = i
 
 
-def merged_index(runs: DataFrame) -> DataFrame:
+#: the order of the capture history; the last two tell equal captures apart
+HISTORY = ["url_key", "captured", "page_id", "archive", "offset"]
+
+
+def merged_index(runs: DataFrame, range_captures: int = RANGE_CAPTURES) -> DataFrame:
     """The captures of all runs, ordered by URL key and time over the partitions and inside each."""
-    order = ["url_key", "captured", "page_id"]
-    dealt = runs.repartitionByRange(*order).sortWithinPartitions("archive", *order)
-    at = [runs.columns.index(c) for c in order]
-    run_at = runs.columns.index("archive")
+    ranges = max(1, -(-runs.count() // range_captures))
+    dealt = runs.repartitionByRange(ranges, *HISTORY).sortWithinPartitions("archive", *HISTORY)
+    url, time, page, name, offset = (runs.columns.index(c) for c in HISTORY)
+
+    def rows_of(pieces):
+        for piece in pieces:
+            for at in range(0, piece.num_rows, TAKEN):
+                yield from zip(*(c.to_pylist() for c in piece.slice(at, TAKEN).columns))
 
     def merge(batches):
         # a range of the key: what each archive's run has in it, in the run's order
@@ -210,9 +229,14 @@ def merged_index(runs: DataFrame) -> DataFrame:
         schema = None
         for batch in batches:
             schema = batch.schema
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                parts.setdefault(row[run_at], []).append(row)
-        tree = LoserTree(list(parts.values()), lambda r: (r[at[0]], r[at[1]], r[at[2]] is not None, r[at[2]] or 0))
+            codes = batch.column(name).dictionary_encode()
+            number = codes.indices.to_numpy()
+            starts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), len(number)]
+            for a, b in zip(starts[:-1], starts[1:]):
+                if b > a:
+                    parts.setdefault(codes.dictionary[int(number[a])].as_py(), []).append(batch.slice(a, b - a))
+        tree = LoserTree([rows_of(p) for p in parts.values()],
+                         lambda r: (r[url], r[time], r[page] is not None, r[page] or 0, r[name], r[offset]))
         out: list = []
         for row in tree:
             out.append(row)
@@ -231,9 +255,12 @@ def _batch(rows: list, schema: pa.Schema) -> pa.RecordBatch:
 
 def archive(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html",
             archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
-    """Write the pages as WARC archives, read them back, and return their merged capture index."""
+    """Write the pages as WARC archives, read them back, and return their merged capture index.
+
+    ``position`` is a capture's place in the history, from 0.
+    """
     p = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
     spark = pages.sparkSession
     path = scratch(spark, "warc")
     write_archives(p, path, archive_bytes)
-    return merged_index(staged(captures(spark, path), "warc-runs"))
+    return in_own_order(merged_index(staged(captures(spark, path), "warc-runs")), "position")

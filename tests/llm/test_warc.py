@@ -4,8 +4,10 @@ from __future__ import annotations
 import gzip
 import hashlib
 import random
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.llm import warc as W
 from ledgerline.llm.tables import scratch
@@ -40,9 +42,28 @@ COLS = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
 def test_round_trip(spark, size):
     got = W.archive(clashing(table(spark, PAGES)), archive_bytes=size)
     assert sorted((tuple(r) for r in got.select(*COLS).collect()), key=str) == want(PAGES)
-    rows = got.collect()
+    rows = sorted(got.collect(), key=lambda r: r["position"])
     keys = [(r["url_key"], r["captured"], r["page_id"]) for r in rows]
-    assert keys == sorted(keys)
+    assert keys == sorted(keys) and [r["position"] for r in rows] == list(range(len(PAGES)))
+
+
+def test_ranges_are_bounded_and_ties_are_cut(spark):
+    """A hot URL and one capture repeated a thousand times are dealt over ranges, in one order."""
+    rows = [(i, "http://hot.example/", f"page {i}") for i in range(600)] + [(7, "http://hot.example/", "again")] * 1000
+    rows += [(2000 + i, f"http://h{i % 50}.example/{i}", "x" * (i * 7)) for i in range(600)]  # some larger than an archive
+    runs = W.staged(_runs(spark, rows, 3000), "warc-runs")
+    merged = W.merged_index(runs, range_captures=100)
+    numbered = merged.withColumn("task", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id()).collect()
+    got = [tuple(r[c] for c in W.HISTORY) for r in sorted(numbered, key=lambda r: r["at"])]
+    assert got == sorted(got) and len(got) == 2200 and len({r["archive"] for r in numbered}) > 20
+    sizes = Counter(r["task"] for r in numbered)
+    assert len(sizes) >= 15 and max(sizes.values()) < 400
+
+
+def _runs(spark, rows, archive_bytes):
+    path = scratch(spark, "warc")
+    W.write_archives(table(spark, rows), path, archive_bytes)
+    return W.captures(spark, path)
 
 
 def test_payloads_come_back_byte_for_byte(spark):
