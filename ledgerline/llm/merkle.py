@@ -1,10 +1,16 @@
 """Document fingerprints: a Merkle tree over paragraphs and sections.
 
-A paragraph is a line of the text, cut further after every ". "; a section is eight
-paragraphs in a row.  The root hashes the section hashes, a section its paragraph hashes.
-The fingerprint is the root followed by the short paragraph hashes in order, so roots
-test equality, and two fingerprints alone tell which sections and paragraphs differ and
-how much the texts have in common.  Only DataFrame functions.
+A paragraph is a line of the text, cut further after every ". "; a section is a run of
+paragraphs that ends with one whose hash begins with a digit of ``ENDS`` (every eighth on
+average), so what stands before or after an edit keeps its sections wherever it moves.
+The root hashes the section hashes, a section its paragraph hashes.  The fingerprint is the
+root followed by the short paragraph hashes in order, so roots test equality, and two
+fingerprints alone tell how much the texts have in common.  Only DataFrame functions.
+
+An edit is located from the differing branches (``changes``): sections, and paragraphs, that
+the two texts have in common at their start and at their end are set aside, and of the rest
+those count whose hash the other rest does not hold.  That last step compares the two
+rests, so it costs the square of the edit (not of the text).
 
 ``next_texts`` gives each row the text of the next one in the order of ids: rows are cut
 into ranges of ids of bounded size, the first row of each range is handed to the range
@@ -23,7 +29,8 @@ from pyspark.sql import functions as F
 
 from .tables import staged
 
-SECTION = 8
+#: first hex digit of the hash of a paragraph that ends a section
+ENDS = ("0", "1")
 #: hex digits of a paragraph hash in a fingerprint
 DIGITS = 12
 #: bytes of text in a range of ids; with more than MOST_RANGES of them, ranges grow instead
@@ -40,19 +47,25 @@ def paragraph_hashes(text: Column) -> Column:
 
 
 def section_hashes(hashes: Column) -> Column:
-    """Hashes of runs of ``SECTION`` paragraph hashes."""
-    starts = F.sequence(F.lit(1), F.size(hashes), F.lit(SECTION))
-    return F.transform(starts, lambda i: F.sha2(F.array_join(F.slice(hashes, i, SECTION), "").cast("binary"), 256))
+    """Hashes of the sections of an array of paragraph hashes (a column: it is read in each section)."""
+    last = F.size(hashes) - 1
+    ends = F.filter(F.transform(hashes, lambda h, i: F.when(F.substring(h, 1, 1).isin(*ENDS) | (i == last), i + 1)),
+                    lambda i: i.isNotNull())
+    starts = F.concat(F.array(F.lit(1)), F.transform(F.slice(ends, F.lit(1), F.size(ends) - 1), lambda e: e + 1))
+    return F.zip_with(starts, ends, lambda a, b: F.sha2(F.array_join(F.slice(hashes, a, b - a + 1), "").cast("binary"), 256))
 
 
-def fingerprint(hashes: Column) -> Column:
-    """Root and short paragraph hashes of the paragraph hashes of a text."""
-    root = F.sha2(F.array_join(section_hashes(hashes), "").cast("binary"), 256)
-    return F.concat(root, F.lit(":"), F.array_join(F.transform(hashes, lambda h: F.substring(h, 1, DIGITS)), "."))
+def root(sections: Column) -> Column:
+    return F.sha2(F.array_join(sections, "").cast("binary"), 256)
 
 
-def leaves(fp: Column) -> Column:
-    return F.split(F.substring_index(fp, ":", -1), "[.]", -1)
+def short(hashes: Column) -> Column:
+    return F.transform(hashes, lambda h: F.substring(h, 1, DIGITS))
+
+
+def fingerprint(hashes: Column, sections: Column) -> Column:
+    """Root and short paragraph hashes of a text."""
+    return F.concat(root(sections), F.lit(":"), F.array_join(short(hashes), "."))
 
 
 def same(a: Column, b: Column) -> Column:
@@ -61,24 +74,36 @@ def same(a: Column, b: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Shared distinct paragraph hashes of two arrays, twice, over the sum of both numbers."""
+    """Shared distinct hashes of two arrays, twice, over the sum of both numbers."""
     both = F.size(F.array_intersect(a, b))
     return (2.0 * both) / (F.size(F.array_distinct(a)) + F.size(F.array_distinct(b)))
 
 
-def differing(a: Column, b: Column) -> Column:
-    """Numbers (from 0) of the sections and paragraphs of ``a`` that stand otherwise in ``b``.
+def worked_out(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are worked out once a row: a function over an array reads them for each element."""
+    return df.select("*", F.inline_outer(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
+def _agree(a: Column, b: Column) -> Column:
+    """How many elements two arrays have in common at their start."""
+    at = F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), F.lit(False))
+    return F.when(at > 0, at - 1).otherwise(F.least(F.size(a), F.size(b))).cast("int")
 
-    Both are paragraph hash arrays.  Sections whose hashes agree are not looked into.
+
+def changes(df: DataFrame, new: str, old: str, out: str) -> DataFrame:
+    """Add ``out``: the places (from 0) of the elements of ``new`` that ``old`` has not, in order.
+
+    Both are arrays of hashes, of sections or of paragraphs.
     """
-    sa, sb = section_hashes(a), section_hashes(b)
-    sections = F.filter(F.transform(sa, lambda h, i: F.when(~h.eqNullSafe(F.try_element_at(sb, i + 1)), i)),
-                        lambda i: i.isNotNull())
-    inside = F.flatten(F.transform(sections, lambda s: F.filter(
-        F.transform(F.slice(a, s * SECTION + 1, SECTION),
-                    lambda h, i: F.when(~h.eqNullSafe(F.try_element_at(b, s * SECTION + i + 1)), s * SECTION + i)),
-        lambda i: i.isNotNull())))
-    return F.struct(sections.alias("sections"), inside.alias("paragraphs"))
+    head, rest_new, rest_old = (f"__{out}_{x}" for x in ("head", "new", "old"))
+    a, b = F.col(new), F.col(old)
+    df = worked_out(df, **{head: _agree(a, b)})
+    tail = F.least(_agree(F.reverse(a), F.reverse(b)), F.least(F.size(a), F.size(b)) - F.col(head))
+    df = worked_out(df, **{rest_new: F.slice(a, F.col(head) + 1, F.size(a) - F.col(head) - tail),
+                           rest_old: F.slice(b, F.col(head) + 1, F.size(b) - F.col(head) - tail)})
+    places = F.filter(F.transform(F.col(rest_new), lambda h, i: F.when(~F.array_contains(F.col(rest_old), h), F.col(head) + i)),
+                      lambda i: i.isNotNull())
+    return df.withColumn(out, places).drop(head, rest_new, rest_old)
 
 
 def _below(value: Column, points: list) -> Column:
@@ -133,16 +158,21 @@ def edited(text: Column, other: Column) -> Column:
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """Fingerprints of every text and of its edited text, their likeness, and where they differ."""
+    """Fingerprints of every text and of its edited text, their likeness, and where they differ.
+
+    ``changed`` holds the places of the sections and paragraphs that the edited text has and the text
+    has not, and of those that it lost.
+    """
     d = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     d = next_texts(d, range_bytes).withColumn("edited", edited(F.col("text"), F.col("next")))
-    d = d.select("doc_id", F.char_length("text").cast("long").alias("n_chars"),
-                 F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-                 paragraph_hashes(F.col("text")).alias("own"), paragraph_hashes(F.col("edited")).alias("new"),
-                 paragraph_hashes(F.col("next")).alias("other"))
-    d = d.select("doc_id", "n_chars", "edited_sha256", fingerprint(F.col("own")).alias("fingerprint"),
-                 fingerprint(F.col("new")).alias("edited_fingerprint"), fingerprint(F.col("other")).alias("next_fingerprint"),
-                 differing(F.col("new"), F.col("own")).alias("changed"))
-    return d.withColumn("near_edited", likeness(leaves(F.col("fingerprint")), leaves(F.col("edited_fingerprint")))) \
-            .withColumn("near_next", likeness(leaves(F.col("fingerprint")), leaves(F.col("next_fingerprint")))) \
-            .drop("next_fingerprint")
+    d = d.select("doc_id", F.char_length("text").cast("long").alias("n_chars"), "text", "next", "edited")
+    d = worked_out(d, edited_sha256=F.sha2(F.col("edited").cast("binary"), 256), own=paragraph_hashes(F.col("text")),
+                   new=paragraph_hashes(F.col("edited")), other=paragraph_hashes(F.col("next"))).drop("text", "next", "edited")
+    own, new, other = F.col("own"), F.col("new"), F.col("other")
+    d = worked_out(d, own_sections=section_hashes(own), new_sections=section_hashes(new))
+    d = changes(changes(d, "new_sections", "own_sections", "sections"), "new", "own", "paragraphs")
+    d = changes(changes(d, "own_sections", "new_sections", "lost_sections"), "own", "new", "lost_paragraphs")
+    located = F.struct("sections", "paragraphs", "lost_sections", "lost_paragraphs")
+    return d.select("doc_id", "n_chars", "edited_sha256", fingerprint(own, F.col("own_sections")).alias("fingerprint"),
+                    fingerprint(new, F.col("new_sections")).alias("edited_fingerprint"), located.alias("changed"),
+                    likeness(short(own), short(new)).alias("near_edited"), likeness(short(own), short(other)).alias("near_next"))

@@ -46,7 +46,8 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = merkle.fingerprints(read(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    return found.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+                        "changed.sections", "changed.paragraphs")
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,6 +116,25 @@ def _recentred(out: str, books: str, members: str) -> str:
     ON c.pos = n.pos AND c.entry = n.entry)"""
 
 
+def _sections(x: str) -> str:
+    """Section hashes of a list of paragraph hashes: a section ends at a hash that begins with 0 or 1."""
+    ends = f"list_filter(range(1, len({x}) + 1), lambda i: {x}[i][1] IN ('0', '1') OR i = len({x}))"
+    return (f"list_transform({ends}, lambda e: sha256(array_to_string({x}[coalesce(list_max(list_filter({ends}, "
+            f"lambda i: i < e)), 0) + 1 : e], '')))")
+
+
+def _agreed(x: str, y: str) -> str:
+    """How many elements two lists have in common at their start."""
+    return f"coalesce(list_min(list_filter(range(1, least(len({x}), len({y})) + 1), lambda i: ({x})[i] <> ({y})[i])) - 1, least(len({x}), len({y})))"
+
+
+def _changed(x: str, y: str, head: str, end: str) -> str:
+    """Places, from 0, of the elements of ``x`` between the agreeing ends that the rest of ``y`` has not."""
+    tail = f"least({end}, least(len({x}), len({y})) - {head})"
+    return (f"list_transform(list_filter(range({head} + 1, len({x}) - {tail} + 1), "
+            f"lambda i: NOT list_contains({y}[{head} + 1 : len({y}) - {tail}], {x}[i])), lambda i: CAST(i - 1 AS INTEGER))")
+
+
 ORACLE = {
     "op5_decontaminate": f"""
 WITH d AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
@@ -182,7 +202,7 @@ k AS (SELECT *, array_to_string(list_reverse(string_split(regexp_replace(lower(u
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN revisit THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN revisit THEN first END AS refers_to, url_key, captured,
        row_number() OVER (ORDER BY url_key, captured, page_id) - 1 AS position FROM k""",
-    "op7_fingerprints": """
+    "op7_fingerprints": f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 n AS (SELECT *, coalesce(lead(text) OVER (ORDER BY doc_id DESC), first_value(text) OVER (ORDER BY doc_id DESC)) AS next FROM d),
 e AS (SELECT *, length(text) AS n_chars, substring(text, 1, CAST(length(text) - length(text) // 3 AS BIGINT))
@@ -190,14 +210,16 @@ e AS (SELECT *, length(text) AS n_chars, substring(text, 1, CAST(length(text) -
 h AS (SELECT *, list_transform(string_split(replace(text, '. ', '.' || chr(10)), chr(10)), lambda x: sha256(x)) AS a,
              list_transform(string_split(replace(edited, '. ', '.' || chr(10)), chr(10)), lambda x: sha256(x)) AS b,
              list_transform(string_split(replace(next, '. ', '.' || chr(10)), chr(10)), lambda x: substring(sha256(x), 1, 12)) AS c FROM e),
-s AS (SELECT *, list_transform(range(1, len(a) + 1, 8), lambda i: sha256(array_to_string(a[i : i + 7], ''))) AS sa,
-             list_transform(range(1, len(b) + 1, 8), lambda i: sha256(array_to_string(b[i : i + 7], ''))) AS sb,
-             list_transform(a, lambda x: substring(x, 1, 12)) AS pa, list_transform(b, lambda x: substring(x, 1, 12)) AS pb FROM h)
+s AS (SELECT *, {_sections('a')} AS sa, {_sections('b')} AS sb,
+             list_transform(a, lambda x: substring(x, 1, 12)) AS pa, list_transform(b, lambda x: substring(x, 1, 12)) AS pb FROM h),
+g AS (SELECT *, {_agreed('sb', 'sa')} AS s_head, {_agreed('list_reverse(sb)', 'list_reverse(sa)')} AS s_end,
+             {_agreed('b', 'a')} AS p_head, {_agreed('list_reverse(b)', 'list_reverse(a)')} AS p_end FROM s)
 SELECT doc_id, n_chars, sha256(edited) AS edited_sha256,
        sha256(array_to_string(sa, '')) || ':' || array_to_string(pa, '.') AS fingerprint,
        sha256(array_to_string(sb, '')) || ':' || array_to_string(pb, '.') AS edited_fingerprint,
        2.0 * len(list_intersect(pa, pb)) / (len(list_distinct(pa)) + len(list_distinct(pb))) AS near_edited,
-       2.0 * len(list_intersect(pa, c)) / (len(list_distinct(pa)) + len(list_distinct(c))) AS near_next FROM s""",
+       2.0 * len(list_intersect(pa, c)) / (len(list_distinct(pa)) + len(list_distinct(c))) AS near_next,
+       {_changed('sb', 'sa', 's_head', 's_end')} AS sections, {_changed('b', 'a', 'p_head', 'p_end')} AS paragraphs FROM g""",
     "op6_mix_sources": r"""
 WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,

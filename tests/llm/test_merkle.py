@@ -16,8 +16,17 @@ def sha(x):
 
 def plain(text):
     leaves = [sha(p) for p in text.replace(". ", ".\n").split("\n")]
-    sections = [sha("".join(leaves[i:i + 8])) for i in range(0, len(leaves), 8)]
-    return sha("".join(sections)) + ":" + ".".join(h[:12] for h in leaves)
+    return sha("".join(sections(leaves))) + ":" + ".".join(h[:12] for h in leaves)
+
+
+def sections(leaves):
+    out, run = [], []
+    for k, h in enumerate(leaves):
+        run.append(h)
+        if h[0] in "01" or k == len(leaves) - 1:
+            out.append(sha("".join(run)))
+            run = []
+    return out
 
 
 def dice(a, b):
@@ -47,18 +56,39 @@ def test_matches_a_plain_tree(spark, range_bytes):
         assert abs(r["near_edited"] - dice(plain(t), plain(new))) < 1e-12 and abs(r["near_next"] - dice(plain(t), plain(nxt))) < 1e-12
 
 
-def test_differing_branches_locate_an_edit(spark):
-    a = [f"line {i}" for i in range(30)]
-    b = list(a)
-    b[17] = "changed"
-    df = spark.createDataFrame([("\n".join(a), "\n".join(b), "\n".join(a + ["more"]))], "a string, b string, c string")
-    h = {c: M.paragraph_hashes(F.col(c)) for c in "abc"}
-    r = df.select(M.differing(h["b"], h["a"]).alias("x"), M.differing(h["c"], h["a"]).alias("y"),
-                  M.same(M.fingerprint(h["a"]), M.fingerprint(h["b"])).alias("s"),
-                  M.same(M.fingerprint(h["a"]), M.fingerprint(h["a"])).alias("t")).first()
-    assert r["x"].asDict() == {"sections": [2], "paragraphs": [17]}
-    assert r["y"].asDict() == {"sections": [3], "paragraphs": [30]}
-    assert (r["s"], r["t"]) == (False, True)
+def located(spark, old, new):
+    """Places of changed and lost sections and paragraphs between two lists of paragraphs, and the numbers of both."""
+    df = spark.createDataFrame([("\n".join(old), "\n".join(new))], "a string, b string")
+    df = M.worked_out(df, pa=M.paragraph_hashes(F.col("a")), pb=M.paragraph_hashes(F.col("b")))
+    df = M.worked_out(df, sa=M.section_hashes(F.col("pa")), sb=M.section_hashes(F.col("pb")))
+    for out, x, y in (("s", "sb", "sa"), ("p", "pb", "pa"), ("ls", "sa", "sb"), ("lp", "pa", "pb")):
+        df = M.changes(df, x, y, out)
+    r = df.first()
+    assert r["sa"] == sections([sha(x) for x in old]) and r["sb"] == sections([sha(x) for x in new])
+    return r
+
+
+LINES = [f"line {i}" for i in range(60)]
+
+
+@pytest.mark.parametrize("at", [0, 1, 17, 30, 59, 60])
+def test_an_inserted_paragraph_is_one_section_and_one_paragraph(spark, at):
+    r = located(spark, LINES, LINES[:at] + ["put in"] + LINES[at:])
+    assert r["p"] == [at] and len(r["s"]) == 1 and r["lp"] == [] and len(r["ls"]) <= 1
+    assert len(r["sa"]) > 4
+
+
+def test_changed_deleted_and_several_edits(spark):
+    r = located(spark, LINES, LINES[:17] + ["changed"] + LINES[18:])
+    assert (r["p"], r["lp"]) == ([17], [17]) and len(r["s"]) in (1, 2)
+    r = located(spark, LINES, LINES[:17] + LINES[18:])
+    assert (r["p"], r["lp"]) == ([], [17])
+    r = located(spark, LINES, ["first"] + LINES[:40] + ["in between"] + LINES[40:] + ["last"])
+    assert r["p"] == [0, 41, 62] and len(r["s"]) <= 4 < len(r["sb"])  # what lies between is not reported
+    r = located(spark, LINES, LINES)
+    assert (r["s"], r["p"], r["ls"], r["lp"]) == ([], [], [], [])
+    r = located(spark, ["x"] * 9, ["x"] * 12)
+    assert r["p"] == [9, 10, 11] and r["lp"] == []  # more copies of a paragraph are put in
 
 
 @pytest.mark.parametrize("range_bytes", [8 << 20, 50_000])
