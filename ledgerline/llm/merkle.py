@@ -13,7 +13,7 @@ those count whose hash the other rest does not hold.  That last step compares th
 rests, so it costs the square of the edit (not of the text).
 
 ``next_texts`` gives each row the text of the next one in the order of ids: rows are cut
-into ranges of ids of bounded size, the first row of each range is handed to the range
+into ranges of ids of bounded size (an id with many texts into several, by their hash), the first row of each range is handed to the range
 before it, and a window looks one row ahead inside a range.  One shuffle of the texts, no
 task sees them all.
 
@@ -24,6 +24,8 @@ an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -129,11 +131,17 @@ def next_texts(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     points = []
     if cuts > 1:
         probs = [i / cuts for i in range(1, cuts)]
-        points = sorted(set(docs.agg(F.percentile_approx("doc_id", probs, 10 * cuts)).first()[0] or []))
+        points = sorted(docs.agg(F.percentile_approx("doc_id", probs, 10 * cuts)).first()[0] or [])
     # range 0 holds the largest ids; null ids close the last range
     part = F.lit(len(points)) - F.coalesce(_below(F.col("doc_id"), points), F.lit(0)) if points else F.lit(0)
+    # an id that is several cut points fills several ranges, by the hash of its texts
+    hot = {p: n for p, n in Counter(points).items() if n > 1}
+    if hot:
+        n = F.create_map(*[F.lit(x) for item in hot.items() for x in item])[F.col("doc_id")]
+        share = (F.xxhash64("text").cast("double") / 2.0 ** 64 + 0.5) * n
+        part = part - F.coalesce(n - 1 - F.least(F.floor(share).cast("int"), n - 1), F.lit(0))
     order = [F.col("doc_id").desc_nulls_last(), F.col("mark")]
-    d = docs.select("doc_id", "text", F.xxhash64("text").alias("mark"), part.alias("part"))
+    d = docs.select("doc_id", "text", F.xxhash64("text").alias("mark"), part.cast("int").alias("part"))
     rank = F.struct("doc_id", (-F.col("mark").cast("decimal(20,0)")).alias("m"))
     # one row per range: its first row in the order
     heads = staged(d.groupBy("part").agg(F.max(rank).alias("top")).select("part", "top.doc_id", "top.m"), "merkle-heads")

@@ -106,3 +106,17 @@ def test_odd_texts(spark, range_bytes):
 def test_only_dataframe_functions(spark):
     plan = M.fingerprints(documents(spark, DOCS), range_bytes=1000)._jdf.queryExecution().toString()
     assert "InArrow" not in plan and "Python" not in plan and "CartesianProduct" not in plan
+
+
+def test_an_id_with_many_texts_fills_several_ranges(spark):
+    """Half of the rows have one id: they are dealt over ranges, and the ring stays whole."""
+    rows = [(7, f"text {i} " + "x" * 100) for i in range(300)] + [(i, f"own {i} " + "y" * 100) for i in range(300) if i != 7] + [(None, "none")]
+    df = documents(spark, rows).select("doc_id", "text")
+    got = M.next_texts(df, range_bytes=2000).collect()
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0)))
+    marks = {r["text"]: r["m"] for r in df.select("text", F.xxhash64("text").alias("m")).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), marks[r[1]]))
+    follows = {t: order[(k + 1) % len(order)][1] for k, (_, t) in enumerate(order)}
+    assert len(got) == len(rows) and all(r["next"] == follows[r["text"]] for r in got)
+    plan = M.next_texts(df, range_bytes=2000).withColumn("p", F.spark_partition_id()).where("doc_id = 7")
+    assert plan.select("p").distinct().count() > 2
