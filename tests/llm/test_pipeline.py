@@ -79,5 +79,5 @@ def test_queries_are_registered():
     for q in entry.queries():
         if q.startswith("op"):
             names[q.split("_")[0]].append(q)
-    assert sorted(names) == sorted(f"op{n}" for n in range(1, 11)) and all(len(v) == 1 for v in names.values())
+    assert sorted(names) == sorted(f"op{n}" for n in range(1, 14)) and all(len(v) == 1 for v in names.values())
     assert entry.queries()["pipeline"] is P.run and set(Q.ORACLE) <= set(Q.QUERIES)
