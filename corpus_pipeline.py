@@ -5,7 +5,7 @@ of it, and all but the last keep the columns of ``documents``.
 
 Defined cases: null and empty texts and texts without letters go in the first stage; rows of equal
 text, or one row repeated, are one near-duplicate group, of which one row stays; a document
-without an id stays if no document with an id is in its group, and its tokens come last; null
+without an id stays if no document with an id is in its group, and its tokens come first; null
 sources are a source of their own; a document that the mix repeats is written as often; an empty
 table, or one that a stage empties, gives an empty token file; extra columns pass through to
 the last stage; very long texts are taken whole.
