@@ -225,3 +225,12 @@ def cell_table_files(spark, sf):
     t3, t5 = FILES.read_table(spark, a), FILES.read_table(spark, b, "csv", ddl)
     t5 = C.with_scalars_from(t5, t3, ["REGION_ID", "ANALYTIC_DATE"])
     return comparable(C.merge_cells(t3, t5.select(*I.CELL_KEYS, "acctbal", "n"), I.CELL_KEYS))
+
+
+# ------------------------------------------------------------ SRC-8: lines that end in the separator
+@register("headerless_file", CAT.ORACLE["parse_headerless_lines"])
+def headerless_file(spark, sf):
+    """A text table without header, every line ending in the separator, as a file."""
+    path, p = folder(spark, "headerless"), I.table(spark, sf, "part")
+    p.select(F.concat(F.col("p_partkey").cast("string"), F.lit(";"), F.col("p_brand"), F.lit(";"))).write.text(path)
+    return FILES.read_headerless(spark, path).toDF("a", "b")
