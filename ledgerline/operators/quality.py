@@ -15,12 +15,12 @@ Scale notes
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import add, mul, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import pct_deviation, round_half_away, units, units_deviate, units_deviation
+from ..functions.numbers import may_deviate, pct_deviation, round_half_away, units, units_deviate, units_deviation
 from ..functions.text import CODE, GROUP, TOTAL, code_kind  # noqa: F401
 
 
@@ -170,6 +170,21 @@ def _once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline_outer(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
 
 
+def _suspects(df: DataFrame, a: list[list[str]], b: list[str], tol: float) -> DataFrame:
+    """Rows whose sum ``a`` of products and product ``b`` can deviate, told by doubles.
+
+    Most rows of a sound extract agree; they leave here, before any 38-digit decimal is worked out.
+    """
+    def product(names):
+        return reduce(mul, [F.col(n).cast("double") for n in names])
+
+    terms, other = [product(t) for t in a], product(b)
+    near = _once(df, __near=F.struct(reduce(add, terms).alias("a"), other.alias("b"),
+                                     reduce(add, [F.abs(t) for t in [*terms, other]]).alias("size")))
+    n = F.col("__near")
+    return near.where(may_deviate(n["a"], n["b"], n["size"], tol)).drop("__near")
+
+
 def _deviating(df: DataFrame, tol: float) -> DataFrame:
     """Rows whose amounts ``__a`` and ``__b`` (in units) deviate, with the deviation, worked out for them only."""
     off = df.where(units_deviate(F.col("__a"), F.col("__b"), tol))
@@ -182,12 +197,14 @@ def check_weighted_total(df: DataFrame, terms: list[tuple[str, str]], weight: st
 
     Adds ``source_total`` (rounded to 2 places, as the reference's NUMERIC(19,2)),
     ``all_total`` and ``deviation``; keeps rows off by more than ``tol`` %.  With decimal
-    inputs every product and sum is exact, and each is worked out once a row.
+    inputs every product and sum is exact, and worked out once, for rows that doubles cannot clear.
     """
     w = F.col(weight)
     src = reduce(lambda acc, t: acc + t,
                  [F.col(avg) * w * F.col(ratio) for avg, ratio in terms])
-    sums = _once(df.where(F.col(period_col).like("%-%")), source_total=round_half_away(src.cast("decimal(38,6)"), 2),
+    rows = _suspects(df.where(F.col(period_col).like("%-%")), [[avg, weight, ratio] for avg, ratio in terms],
+                     [weight, total], tol)
+    sums = _once(rows, source_total=round_half_away(src.cast("decimal(38,6)"), 2),
                  all_total=(w * F.col(total)).cast("decimal(38,6)"))
     return _deviating(_once(sums, __a=units("source_total"), __b=units("all_total")), tol)
 
@@ -195,7 +212,8 @@ def check_weighted_total(df: DataFrame, terms: list[tuple[str, str]], weight: st
 def check_product(df: DataFrame, a: str, b: str, total: str, tol: float = 1.0,
                   period_col: str = "partition_dt") -> DataFrame:
     """CMP-14: ``a * b`` against a stated total; keeps rows off by more than ``tol`` %."""
-    rows = _once(df.where(F.col(period_col).like("%-%")), __a=units(total), __b=units(F.col(a) * F.col(b)))
+    rows = _suspects(df.where(F.col(period_col).like("%-%")), [[total]], [a, b], tol)
+    rows = _once(rows, __a=units(total), __b=units(F.col(a) * F.col(b)))
     return _deviating(rows, tol)
 
 

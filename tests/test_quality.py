@@ -112,6 +112,31 @@ def test_check_product(spark):
     assert [r["deviation"] for r in got] == [D("3.85")]
 
 
+def test_rows_that_doubles_clear_are_those_that_agree(spark):
+    """Every pair around the tolerance, small, large, negative, zero and null: as plain decimals decide."""
+    pairs = [(None, D("1.00")), (D("1.00"), None), (D("0.00"), D("1.00")), (D("0.01"), D("0.01")), (D("0.01"), D("0.02"))]
+    for a in [D("100.00"), D("-100.00"), D("12345678901234567.00"), D("0.10"), D("39999999999999999.99")]:
+        for off in ["0", "0.0099", "0.01", "0.0100000000000000001", "0.0101", "-0.01", "-0.011", "0.5"]:
+            b = (a * (1 - D(off))).quantize(D("0.01"))
+            pairs += [(a, b), (a, b + D("0.01")), (a, b - D("0.01"))]
+    df = spark.createDataFrame([(i, a, b, D("1"), "2022-01-01") for i, (a, b) in enumerate(pairs)],
+                               "id int, a decimal(19,2), b decimal(19,2), one decimal(5,0), partition_dt string")
+    want = [i for i, (a, b) in enumerate(pairs) if a and b is not None and abs(a - b) * 100 > abs(a)]
+    assert 20 < len(want) < len(pairs) - 20
+    assert sorted(r["id"] for r in Q.check_product(df, "b", "one", "a").collect()) == want
+    got = Q.check_weighted_total(df, [("a", "one")], "one", "b").collect()
+    assert sorted(r["id"] for r in got) == want
+
+
+def test_terms_that_cancel_are_not_cleared(spark):
+    """Large terms of both signs leave a small sum, where doubles have few digits left."""
+    big = D("99999999999999999.99")
+    df = spark.createDataFrame([(i, big, -big + D(i), D("1"), D("100.00"), "2022-01-01") for i in range(95, 106)],
+                               "id int, x decimal(19,2), y decimal(19,2), one decimal(5,0), b decimal(19,2), partition_dt string")
+    got = Q.check_weighted_total(df, [("x", "one"), ("y", "one")], "one", "b").collect()
+    assert sorted(r["id"] for r in got) == [i for i in range(95, 106) if abs(i - 100) * 100 > i]
+
+
 def test_check_summary(spark, extract, mcc_map):
     s = Q.check_summary({"groups": Q.reconcile_groups(extract, mcc_map, ["amt", "cnt"]),
                          "levels": Q.reconcile_levels(extract, ["amt", "cnt"])})
