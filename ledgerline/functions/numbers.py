@@ -65,17 +65,6 @@ def units_deviate(ua: Column, ub: Column, tol: float) -> Column:
     return F.when(ua != 0, F.abs(ua - ub) * 100 > F.abs(ua) * F.lit(Decimal(str(tol))))
 
 
-def may_deviate(a: Column, b: Column, size: Column, tol: float) -> Column:
-    """Whether amounts that doubles put at ``a`` and ``b`` can deviate: true for each pair that ``deviates`` keeps.
-
-    ``size`` is the sum of the absolute terms that ``a`` and ``b`` were added up from.  An exact amount, rounded
-    to cents or finer, lies within ``slack`` of its double; the amounts can then be told apart in doubles, and
-    only what is near the tolerance or beyond it is left to exact decimals.  Not-a-number counts as true.
-    """
-    slack = size * F.lit(1e-12) + F.lit(0.01)
-    return F.abs(a - b) * 100.0 + slack * (200.0 + tol) > F.abs(a) * float(tol)
-
-
 def plain_text(x) -> Column:
     """A double's shortest text with all its digits: 12.0, 0.0005, 1e-05, 1e+16.
 
