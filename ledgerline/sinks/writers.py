@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import java_charsets
+
 
 def dated(root: str, name: str, run_date: str) -> str:
     """DAT-5: path of an output of one run."""
@@ -36,16 +38,16 @@ def write_lines(df: DataFrame, path: str, header: list[list[str]], sep: str = ";
     out = header_rows(df, header, names).unionAll(body)
     if closing:
         out = out.withColumn("end", F.lit(None).cast("string"))
-    (out.write.mode(mode).option("header", False).option("sep", sep).option("encoding", encoding)
-        .option("quote", '"').option("escape", '"').option("emptyValue", "").option("nullValue", "")
-        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    with java_charsets(df.sparkSession):
+        (out.write.mode(mode).option("header", False).option("sep", sep).option("encoding", encoding)
+            .option("quote", '"').option("escape", '"').option("emptyValue", "").option("nullValue", "")
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def write_indicator_csv(df: DataFrame, path: str, encoding: str = "cp1251", mode: str = "overwrite") -> None:
     """SNK-1: the unified indicator table below one header line, cp1251, in the order of ``df``.
 
-    ``df`` should come from ``indicator_export`` (already in file order).  cp1251
-    needs ``spark.sql.legacy.javaCharsets=true`` (set by ``get_session``).
+    ``df`` should come from ``indicator_export`` (already in file order).
     """
     write_lines(df, path, [df.columns], ",", encoding, mode=mode)
 

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from ..operators.columns import dedupe_names
 from ..operators.ordering import part_number, running_starts
-from ..session import checkpoint_path
+from ..session import checkpoint_path, java_charsets
 
 # ------------------------------------------------------------------ extract layouts (SRC-6)
 # The three upload layouts of the load procedure, column by column.
@@ -118,8 +118,9 @@ def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataF
     blocks = raw.groupBy("file", "block").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
     starts = running_starts(blocks, "n", [part_number(F.col("file")), "file", "block"], "start")
     text = F.col("value") if encoding.upper() == "UTF-8" else F.decode(F.col("value").cast("binary"), encoding)
-    return raw.join(starts, ["file", "block"]).select((F.col("start") + F.col("id") - F.col("first")).alias("line_no"),
-                                                      text.alias("line"))
+    with java_charsets(spark):  # decode takes the list of charsets that stands when it is built
+        return raw.join(starts, ["file", "block"]).select((F.col("start") + F.col("id") - F.col("first")).alias("line_no"),
+                                                          text.alias("line"))
 
 
 def first_file(spark: SparkSession, path: str) -> str:
@@ -178,8 +179,9 @@ def read_xml_reports(spark: SparkSession, path: str) -> DataFrame:
     UTF-8; a charset that is neither stops the job instead of garbling the names.
     """
     raw = spark.read.format("binaryFile").load(path)
-    return raw.select(F.element_at(F.split("path", "/"), -1).alias("file_name"),
-                      xml_text(F.col("content")).alias("content"))
+    with java_charsets(spark):
+        return raw.select(F.element_at(F.split("path", "/"), -1).alias("file_name"),
+                          xml_text(F.col("content")).alias("content"))
 
 
 def xml_text(content):

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from ledgerline.operators import indicators as IND
 from ledgerline.operators import ordering as O
 from ledgerline.operators import reports as REP
@@ -18,6 +19,7 @@ from ledgerline.plans import landed as LANDED
 from ledgerline.sinks import writers as W
 from ledgerline.sources import files as FILES
 from tests.conftest import rows
+from tests.oracle_compare import compare
 
 SF = "/root/testdata/sf0.001"
 
@@ -199,3 +201,17 @@ def test_no_task_reads_a_pack_as_one_row(spark):
     docs = FILES.read_report_documents(spark, path, REP.document_schema(I.REPORT_DICTIONARY))
     longest = docs.agg(F.max(F.length(F.to_json("doc")))).first()[0]
     assert heads < 300 and longest < largest / 20
+
+
+# ------------------------------------------------------------------ sessions without Java's charsets
+@pytest.mark.parametrize("name", ["indicator_file", "indicator_value_counts"])
+def test_cp1251_needs_no_session_setting(spark, name):
+    key = "spark.sql.legacy.javaCharsets"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        got = compare(spark, name, entry.queries()[name], entry.oracle_sql()[name], SF)
+        assert spark.conf.get(key) == "false"
+    finally:
+        spark.conf.set(key, before)
+    assert got["status"] == "ok", got
