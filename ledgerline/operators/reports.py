@@ -396,6 +396,8 @@ def xml_to_long(parsed: DataFrame, dictionary, kind: str) -> DataFrame:
 
 
 def long_to_wide(long: DataFrame, ids: list[str], key: str, value: str, columns: list[str]) -> DataFrame:
-    """RSH-3: long rows to one row per id with a column per key; a given column list
-    spares Spark the extra pass that would find the keys."""
-    return long.groupBy(*ids).pivot(key, columns).agg(F.first(value))
+    """RSH-3: long rows to one row per id with a column per key; of repeated keys the largest value.
+
+    One aggregate of a column each: an id's rows meet before the shuffle, while ``pivot`` first
+    groups by id and key and so sorts and shuffles every long row."""
+    return long.groupBy(*ids).agg(*[F.max(F.when(F.col(key) == c, F.col(value))).alias(c) for c in columns])

@@ -177,3 +177,13 @@ def test_pruned_schema_reads_same_values(spark, folder, dictionary):
     full = R.flatten_reports(R.parse_reports(files), dictionary, R.FULL)
     pruned = R.flatten_reports(R.parse_reports(files, dictionary=dictionary), dictionary, R.FULL)
     assert full.exceptAll(pruned).count() == 0 and pruned.count() == 5
+
+
+def test_long_to_wide_shuffles_a_row_per_id(spark):
+    long = spark.createDataFrame([("a", 0, "x", "1"), ("a", 0, "y", "2"), ("b", 0, "z", "3"), ("a", 0, "x", "1"), (None, 1, "y", "4")],
+                                 "file_id string, doc_no int, key string, value string")
+    wide = R.long_to_wide(long, ["file_id", "doc_no"], "key", "value", ["x", "y"])
+    got = {(r["file_id"], r["doc_no"]): (r["x"], r["y"]) for r in wide.collect()}
+    assert got == {("a", 0): ("1", "2"), ("b", 0): (None, None), (None, 1): (None, "4")}
+    plan = wide._jdf.queryExecution().sparkPlan().toString()
+    assert "pivotfirst" not in plan and plan.count("Aggregate") == 2  # before and after one shuffle
