@@ -69,12 +69,8 @@ def route_by_name(name, rules: list[tuple[str, str]]) -> Column:
 
 def route_by_prefix(name, prefixes: dict[str, str], length: int = 8) -> Column:
     """Kind from the first ``length`` characters of an id (FLT-12); other ids give null."""
-    head = F.substring(as_col(name), 1, length)
-    out = None
-    for prefix, kind in prefixes.items():
-        out = (F.when(head == prefix, F.lit(kind)) if out is None
-               else out.when(head == prefix, F.lit(kind)))
-    return out
+    # a lookup, so that the id, however it is made, is worked out once
+    return F.element_at(F.create_map(*[F.lit(x) for p in prefixes.items() for x in p]), F.substring(as_col(name), 1, length))
 
 
 def letter_count(s, letter: str) -> Column:

@@ -260,7 +260,9 @@ def parse_reports(files: DataFrame, content: str = "content", dictionary=None,
     (``report_status`` counts them).
     """
     schema = report_schema(needed_paths(dictionary, kinds) if dictionary is not None else None)
-    f = files.withColumn("kind", route_by_prefix(raw_file_id(F.col(content)), KIND_PREFIX))
+    # the kind comes out of an explode: a filter on a plain column would be pushed down, and the text made once more for it
+    kind = route_by_prefix(raw_file_id(F.col(content)), KIND_PREFIX)
+    f = files.select("*", F.explode_outer(F.array(kind)).alias("kind"))
     if kinds:
         f = f.where(F.col("kind").isin(*kinds))
     parsed = f.withColumn("report", F.from_xml(F.col(content), schema,

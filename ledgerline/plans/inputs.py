@@ -558,17 +558,18 @@ def report_dictionary(spark):
 
 
 def _section(slots: dict, name: str, offset):
-    """XML of the line items of one section; line items of other sections give nothing."""
-    tags = F.create_map(*[x for k, (_, e, _) in slots.items() for x in (F.lit(k), F.lit(e))])
-    mine = [k for k, (section, _, _) in slots.items() if section == name]
+    """XML of the line items of one section, which come sorted; line items of other sections give nothing."""
+    tags = F.array(*[F.lit(slots[k][1] if k in slots and slots[k][0] == name else None).cast("string") for k in range(max(slots) + 1)])
     second = "СумПред" if name == "ФинРез" else "СумПрдщ"
 
+    def tag(x):
+        return F.get(tags, x["ln"] + offset)
+
     def line(x):
         third = F.lit('"/>') if name == "ФинРез" else F.concat(F.lit('" СумПрдшв="'), x["t"], F.lit('"/>'))
-        return F.concat(F.lit("<"), tags[x["ln"] + offset], F.lit(' СумОтч="'), x["q"], F.lit(f'" {second}="'), x["p"], third)
+        return F.concat(F.lit("<"), tag(x), F.lit(' СумОтч="'), x["q"], F.lit(f'" {second}="'), x["p"], third)
 
-    own = F.filter("lines", lambda x: (x["ln"] + offset).isin(mine))
-    return F.array_join(F.transform(F.array_sort(own), line), "")
+    return F.array_join(F.transform(F.filter("lines", lambda x: tag(x).isNotNull()), line), "")
 
 
 def _documents(spark, sf_dir):
@@ -582,9 +583,9 @@ def _documents(spark, sf_dir):
     """
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_tax")
-    grouped = li.repartition(n, "l_orderkey").groupBy("l_orderkey").agg(F.collect_list(F.struct(
+    grouped = li.repartition(n, "l_orderkey").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(
         F.col("l_linenumber").alias("ln"), money_text("l_quantity").alias("q"),
-        money_text("l_extendedprice").alias("p"), money_text("l_tax").alias("t"))).alias("lines"))
+        money_text("l_extendedprice").alias("p"), money_text("l_tax").alias("t")))).alias("lines"))
     o = table(spark, sf_dir, "orders").repartition(n, "o_orderkey")
     j = o.join(grouped, F.col("o_orderkey") == F.col("l_orderkey"), "left") \
          .withColumn("lines", F.coalesce("lines", F.array().cast("array<struct<ln:int,q:string,p:string,t:string>>")))

@@ -112,6 +112,16 @@ def test_each_report_is_parsed_once(spark, name):
     assert plan.count("from_xml(") == 1, name
 
 
+@pytest.mark.parametrize("name", ["flatten_reports", "long_to_wide", "fuse_reports", "xml_to_long"])
+def test_each_report_text_is_made_once(spark, name):
+    """The filter on a file's kind stays above the text: pushed below, it would make the text and find the id once more."""
+    from ledgerline.plans import inputs as I
+    plan = _plan(entry.queries()[name](spark, SF))
+    assert plan.count("regexp_extract(") == 1, name
+    assert plan.count("array_join(") == _plan(I.report_files(spark, SF)).count("array_join(") > 0, name
+    assert "array_sort(" not in plan  # an order's lines are sorted once, not once for every section
+
+
 def test_weighted_sum_is_worked_out_once(spark):
     """The seven-term sum stands in the plan once, and the rounded deviation above the filter."""
     plan = _plan(entry.queries()["check_weighted_total"](spark, SF))

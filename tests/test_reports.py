@@ -187,3 +187,24 @@ def test_long_to_wide_shuffles_a_row_per_id(spark):
     assert got == {("a", 0): ("1", "2"), ("b", 0): (None, None), (None, 1): (None, "4")}
     plan = wide._jdf.queryExecution().sparkPlan().toString()
     assert "pivotfirst" not in plan and plan.count("Aggregate") == 2  # before and after one shuffle
+
+
+def test_files_keep_every_line_in_order(spark, tmp_path):
+    """Lines in any order, twice, with a null amount or a line number of no section; an order that comes twice; null keys."""
+    from ledgerline.plans import inputs as I
+    spark.sql("""select * from values (5L, 1L, 'O', 2.5D, date'2020-03-01'), (5L, 1L, 'O', 2.5D, date'2020-03-01'), (7L, 2L, 'P', 1D, date'2020-03-01'),
+        (null, 3L, 'O', 1D, date'2020-03-01') t(o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate)""").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql("""select * from values (5L, 3, 9D, 1D, 0D), (5L, 1, 2D, 1D, 0D), (5L, 1, 2D, 1D, 0D), (5L, 1, 1D, 4D, 0D), (5L, 2, null, 1D, 0D), (5L, 40, 1D, 1D, 0D),
+        (5L, null, 1D, 1D, 0D), (7L, 7, 1D, 2D, 3D), (7L, 4, 1D, 2D, 3D), (null, 1, 1D, 1D, 1D)
+        t(l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_tax)""").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = rows(I.report_files(spark, str(tmp_path)).where("content is not null"), "file_name", "content")
+    assert [n for n, _ in got] == ["report_5.xml", "report_5.xml", "report_7.xml"]
+    line = '<{} СумОтч="{}" СумПрдщ="{}" СумПрдшв="{}"/>'.format
+    short_term = "".join([line("ОценОбяз", "1.00", "4.00", "0.00"), *[line("ОценОбяз", "2.00", "1.00", "0.00")] * 2, line("ДоходБудущ", "9.00", "1.00", "0.00")])
+    full, short = got[0][1], got[2][1]
+    assert full == got[1][1] and full.split("</Документ>")[0].split("</СвНП>")[1] == (
+        '<Баланс><Актив СумОтч="2.50"><ВнеОбА></ВнеОбА><ОбА></ОбА></Актив><Пассив СумОтч="2.50"><КапРез></КапРез><ДолгосрОбяз></ДолгосрОбяз>'
+        f'<КраткосрОбяз>{short_term}</КраткосрОбяз></Пассив></Баланс><ФинРез><Выруч СумОтч="2.50" СумПред="1"/></ФинРез>')
+    assert short.split("</Документ>")[0].split("</СвНП>")[1] == (
+        f'<Баланс><Актив СумОтч="1.00">{line("ДенежнСр", "1.00", "2.00", "3.00")}</Актив><Пассив СумОтч="1.00"></Пассив></Баланс>'
+        '<ФинРез><Выруч СумОтч="1.00" СумПред="2"/><ЧистПрибУб СумОтч="1.00" СумПред="2.00"/></ФинРез>')
