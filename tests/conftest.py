@@ -13,7 +13,8 @@ from ledgerline.session import get_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_session("local[4]", app="ledgerline-tests", shuffle_partitions=8)
+    # the tests that count executions need all of them: beyond 1,000, the default, the oldest are forgotten
+    s = get_session("local[4]", app="ledgerline-tests", shuffle_partitions=8, extra={"spark.sql.ui.retainedExecutions": "5000"})
     s.sparkContext.setLogLevel("ERROR")
     yield s
 
