@@ -9,11 +9,14 @@ row (a group, a kind, a planted error); it never selects a subset of rows.
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_period
+from ..session import setting
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -572,23 +575,32 @@ def _section(slots: dict, name: str, offset):
     return F.array_join(F.transform(F.filter("lines", lambda x: tag(x).isNotNull()), line), "")
 
 
-def _documents(spark, sf_dir):
-    """The documents that each order files, as XML text: pending orders a simplified report, others a
-    full one; line items become lines of every section (quantity, price, tax as the three
-    periods, or quantity and price in the results).
+def _orders_with_lines(spark, sf_dir, n, deal=None):
+    """Orders with their line items as a sorted list, in ``n`` tasks.
 
-    Orders and line items are dealt to as many tasks as a shuffle has, by number, so that
-    adaptive execution does not merge the narrow inputs into a few tasks that then build and
-    parse all the text.
+    Orders and line items are dealt to as many tasks as are asked for, so that adaptive execution does not
+    merge the narrow inputs into a few tasks that then build and parse all the text: by order number, or by the
+    columns that ``deal`` (name -> SQL of the order number ``{0}``) gives, which are kept.
     """
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_tax")
-    grouped = li.repartition(n, "l_orderkey").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(
+    def dealt(df, key, prefix=""):
+        return df.select("*", *[F.expr(sql.format(key)).cast("bigint").alias(prefix + name) for name, sql in (deal or {}).items()])
+
+    by, l_by = list(deal or {}), ["__l_" + name for name in deal or {}]
+    li = dealt(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_tax"),
+               "l_orderkey", "__l_")
+    grouped = li.repartition(n, *(l_by or ["l_orderkey"])).groupBy(*l_by, "l_orderkey").agg(F.sort_array(F.collect_list(F.struct(
         F.col("l_linenumber").alias("ln"), money_text("l_quantity").alias("q"),
         money_text("l_extendedprice").alias("p"), money_text("l_tax").alias("t")))).alias("lines"))
-    o = table(spark, sf_dir, "orders").repartition(n, "o_orderkey")
-    j = o.join(grouped, F.col("o_orderkey") == F.col("l_orderkey"), "left") \
-         .withColumn("lines", F.coalesce("lines", F.array().cast("array<struct<ln:int,q:string,p:string,t:string>>")))
+    o = dealt(table(spark, sf_dir, "orders"), "o_orderkey").repartition(n, *(by or ["o_orderkey"]))
+    same = reduce(and_, [F.col(x) == F.col(y) for x, y in zip([*by, "o_orderkey"], [*l_by, "l_orderkey"])])
+    return o.join(grouped, same, "left") \
+            .withColumn("lines", F.coalesce("lines", F.array().cast("array<struct<ln:int,q:string,p:string,t:string>>")))
+
+
+def _document_text():
+    """The documents that an order files, as XML text: pending orders a simplified report, others a
+    full one; line items become lines of every section (quantity, price, tax as the three
+    periods, or quantity and price in the results)."""
     key, simple = F.col("o_orderkey"), F.col("o_orderstatus") == "P"
     total, cust = money_text("o_totalprice"), F.col("o_custkey").cast("string")
     offset = (key % 3 * 7).cast("int")
@@ -615,8 +627,13 @@ def _documents(spark, sf_dir):
         F.date_format("o_orderdate", "dd.MM.yyyy"), F.lit('"><СвНП ОКВЭД2="62.01"><НПЮЛ ИННЮЛ="'), F.lpad(cust, 10, "0"),
         F.lit('" НаимОрг="Org; '), cust, F.lit('"/></СвНП>'))
     again = F.when(key % 10 == 0, F.concat(head, F.lit("<Баланс>"), asset, F.lit("</Актив></Баланс></Документ>"))).otherwise("")
-    return j.select("o_orderkey", simple.alias("simple"),
-                    F.concat(head, F.when(simple, short_body).otherwise(full_body), F.lit("</Документ>"), again).alias("documents"))
+    return F.concat(head, F.when(simple, short_body).otherwise(full_body), F.lit("</Документ>"), again)
+
+
+def _documents(spark, sf_dir):
+    """Each order's documents (``_document_text``), with its number and whether it files a simplified report."""
+    j = _orders_with_lines(spark, sf_dir, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return j.select("o_orderkey", (F.col("o_orderstatus") == "P").alias("simple"), _document_text().alias("documents"))
 
 
 def report_files(spark, sf_dir):
@@ -640,19 +657,23 @@ def write_report_packs(spark, sf_dir, path, keys=PACK_KEYS):
     """The documents of all orders in few files, by kind and pack number; one pack of each kind holds half
     of the documents, and a comment before its root names another id.
 
-    A pack is a file for every ``keys`` order keys, each a whole XML file with the pack's id, and files are
-    dealt to tasks by the number of orders, so neither a file nor a task grows with the table.
+    A pack is a gzip file for every ``keys`` order keys, each a whole XML file with the pack's id, and files are
+    dealt to tasks by the number of orders, so neither a file nor a task grows with the table.  Orders and
+    line items are dealt by file before they meet, and a file's text is made by the task that writes it: it
+    is never shuffled.
     """
-    d = _documents(spark, sf_dir)
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-table(spark, sf_dir, "orders").count() // PACK_TASK_ORDERS))
-    kind = F.when(F.col("simple"), F.lit("NO_BOUPR_")).otherwise(F.lit("NO_BUHOT_"))
-    lines = d.select(F.concat(kind, F.expr(PACK_SQL).cast("string")).alias("pack"),
-                     F.coalesce(F.expr(f"o_orderkey div {keys}"), F.lit(0).cast("long")).alias("slice"),
-                     F.col("o_orderkey").alias("at"), "documents")
-    packs = lines.select("pack", "slice").distinct()
-    comment = F.when(F.col("pack").endswith("_0"), F.lit('<!-- <Файл ИдФайл="NO_OTHER_0"> > -->\n')).otherwise("")
-    top = packs.select("pack", "slice", F.lit(-1).cast("long").alias("at"), F.concat(
-        F.lit('<?xml version="1.0" encoding="utf-8"?>\n'), comment, F.lit('<Файл ИдФайл="'), F.col("pack"), F.lit('">')).alias("documents"))
-    end = packs.select("pack", "slice", F.lit((1 << 63) - 1).alias("at"), F.lit("</Файл>").alias("documents"))
-    lines = top.unionAll(lines).unionAll(end).repartition(n, "pack", "slice").sortWithinPartitions("pack", "slice", "at")
-    lines.select(F.concat("pack", F.lit("-"), F.col("slice").cast("string")).alias("pack"), "documents").write.partitionBy("pack").text(path)
+    deal = {"slice": f"coalesce({{0}} div {keys}, 0)", "number": PACK_SQL.replace("o_orderkey", "{0}")}
+    j = _orders_with_lines(spark, sf_dir, n, deal)
+    kind = F.when(F.col("o_orderstatus") == "P", F.lit("NO_BOUPR_")).otherwise(F.lit("NO_BUHOT_"))
+    pack = F.concat(kind, F.col("number").cast("string"))
+    in_file = Window.partitionBy("pack", *deal).orderBy("o_orderkey")
+    rows = j.withColumn("pack", F.concat(pack, F.lit("-"), F.col("slice").cast("string"))).select(
+        "*", F.lag(F.lit(1)).over(in_file).isNull().alias("top"), F.lead(F.lit(1)).over(in_file).isNull().alias("end"))
+    comment = F.when(F.col("number") == 0, F.lit('<!-- <Файл ИдФайл="NO_OTHER_0"> > -->\n')).otherwise("")
+    top = F.concat(F.lit('<?xml version="1.0" encoding="utf-8"?>\n'), comment, F.lit('<Файл ИдФайл="'), pack, F.lit('">\n'))
+    text = F.concat(F.when(F.col("top"), F.coalesce(top, F.lit("\n"))).otherwise(""), F.coalesce(_document_text(), F.lit("")),
+                    F.when(F.col("end"), F.lit("\n</Файл>")).otherwise(""))
+    # the join's keys hold the order number besides the columns that both sides are dealt by already
+    with setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
+        rows.select("pack", text.alias("documents")).write.option("compression", "gzip").partitionBy("pack").text(path)

@@ -70,15 +70,19 @@ def checkpoint_path(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), name)
 
 
-@contextmanager
 def java_charsets(spark: SparkSession):
     """Java's charsets (cp1251) for what is written, or built with ``decode``, inside.
 
-    A session made elsewhere knows Spark's short list only; its own setting is put back after.
+    A session made elsewhere knows Spark's short list only.
     """
-    key = "spark.sql.legacy.javaCharsets"
+    return setting(spark, "spark.sql.legacy.javaCharsets", "true")
+
+
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """A setting for what is planned or run inside; the session's own is put back after."""
     before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
+    spark.conf.set(key, value)
     try:
         yield
     finally:

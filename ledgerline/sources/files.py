@@ -195,6 +195,14 @@ def xml_text(content):
 
 
 DOCUMENT = "Документ"
+#: files of a listing up to which a table of one row a file is sent whole to the tasks that read the files
+SENT_FILES = 100_000
+
+
+def _sent(per_file: DataFrame, read: DataFrame) -> DataFrame:
+    """A table of one row a file, marked to be broadcast unless ``read`` lists too many files: the rows of the
+    files, which it is joined to, are then not shuffled.  (Spark takes its size for that of what it is made from.)"""
+    return F.broadcast(per_file) if len(read._jdf.inputFiles()) <= SENT_FILES else per_file
 
 
 def read_report_heads(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
@@ -205,17 +213,20 @@ def read_report_heads(spark: SparkSession, path: str, encoding: str = "UTF-8") -
     block that a task reads.  Another charset in the declaration than the one read stops the job.
     """
     latin = "ISO-8859-1"  # one character a byte: the charset is known only once the head is there
-    pieces = spark.read.option("lineSep", ">").text(path).where(F.col("_metadata.file_block_start") == 0).select(
-        F.col("_metadata.file_path").alias("file_path"), F.monotonically_increasing_id().alias("id"),
-        F.decode(F.col("value").cast("binary"), latin).alias("piece"))
-    tag = F.substring_index("piece", "<", -1)
-    names = [DOCUMENT.encode(charset).decode(latin) for charset in {encoding, "UTF-8", "windows-1251"}]
-    opens = F.col("piece").contains("<") & reduce(or_, [
-        tag.startswith(n) & F.substring(tag, len(n) + 1, 1).rlike(r"^(\s|/|)$") for n in sorted(names)])
+    read = spark.read.option("lineSep", ">").text(path)
+    pieces = read.where(F.col("_metadata.file_block_start") == 0).select(
+        F.col("_metadata.file_path").alias("file_path"), F.monotonically_increasing_id().alias("id"), "value")
+    piece = F.decode(F.col("value").cast("binary"), latin)
+    tag = F.substring_index(piece, "<", -1)
+    names = sorted({DOCUMENT.encode(charset) for charset in {encoding, "UTF-8", "windows-1251"}})
+    # the bytes are looked for first: few pieces hold them, and only those are decoded
+    holds = reduce(or_, [F.col("value").contains(F.lit(b"<" + n).cast("string")) for n in names])
+    opens = holds & reduce(or_, [
+        tag.startswith(n.decode(latin)) & F.substring(tag, len(n) + 1, 1).rlike(r"^(\s|/|)$") for n in names])
     first = pieces.where(opens).groupBy("file_path").agg(F.min("id").alias("first"))
-    before = pieces.join(first, "file_path").where(F.col("id") < F.col("first"))
-    parts = F.transform(F.sort_array(F.collect_list(F.struct("id", "piece"))), lambda x: F.concat(x["piece"], F.lit(">")))
-    heads = before.groupBy("file_path").agg(F.array_join(parts, "").alias("head"))
+    before = pieces.join(_sent(first, read), "file_path").where(F.col("id") < F.col("first"))
+    parts = F.transform(F.sort_array(F.collect_list(F.struct("id", piece.alias("piece")))), lambda x: F.concat(x["piece"], F.lit(">")))
+    heads = _sent(before.groupBy("file_path").agg(F.array_join(parts, "").alias("head")), read)
     declared = F.regexp_extract("head", _DECLARED, 1)
     named = F.lower(F.replace(declared, F.lit("windows-"), F.lit("cp")))
     same = named.isin("", encoding.lower().replace("windows-", "cp"), encoding.lower().replace("-", ""))
@@ -240,7 +251,7 @@ def read_report_documents(spark: SparkSession, path: str, schema: T.StructType,
     rows.write.parquet(folder)
     rows = spark.read.schema(rows.schema).parquet(folder).where("whole")
     first = rows.groupBy("file_path").agg(F.min("id").alias("first"))
-    return rows.join(first, "file_path").select("file_path", (F.col("id") - F.col("first")).cast("int").alias("doc_no"), "doc")
+    return rows.join(_sent(first, docs), "file_path").select("file_path", (F.col("id") - F.col("first")).cast("int").alias("doc_no"), "doc")
 
 
 # ------------------------------------------------------------------ cell tables (SRC-5)

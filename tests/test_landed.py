@@ -1,7 +1,10 @@
 """Files written and read back: order, headers, encodings, blocks, statistics, large reports."""
 from __future__ import annotations
 
+import datetime as dt
 import glob
+import gzip
+import math
 import os
 import tempfile
 
@@ -227,3 +230,54 @@ def test_packs_are_cut_into_files_of_bounded_size(spark):
         wide = REP.flatten_fused(REP.route_documents(docs, FILES.read_report_heads(spark, path)), lines)
         got.append((max(os.path.getsize(f) for f in glob.glob(path + "/*/part-*")), rows(wide)))
     assert got[1][0] * 2 < got[0][0] and got[1][1] == got[0][1] and got[0][1]
+
+
+def shuffled(spark):
+    """Bytes that the session has written for shuffles so far."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    executors = spark.sparkContext._jsc.sc().statusStore().executorList(False)
+    return sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size()))
+
+
+def test_packs_take_less_disk_than_their_text(spark, monkeypatch):
+    """The packs are compressed, and neither their text nor the documents cut out of them are shuffled, also
+    where no side of a join is small enough for Spark to broadcast it unasked."""
+    path, key = fresh("packs"), "spark.sql.autoBroadcastJoinThreshold"
+    monkeypatch.setattr(LANDED, "folder", lambda spark, name: path)
+    before, wrote = spark.conf.get(key), shuffled(spark)
+    spark.conf.set(key, "-1")
+    try:
+        df = LANDED.report_packs(spark, SF)
+        df.write.format("noop").mode("overwrite").save()
+        assert "SortMergeJoin" not in plan_of(df)
+    finally:
+        spark.conf.set(key, before)
+    files = glob.glob(path + "/*/part-*")
+    text = sum(len(gzip.open(f).read() if f.endswith(".gz") else open(f, "rb").read()) for f in files)
+    assert sum(map(os.path.getsize, files)) + shuffled(spark) - wrote < text / 2
+
+
+def test_packs_of_odd_orders(spark):
+    """Negative, repeated and absent order keys, orders without lines, lines without an order, absent values."""
+    sf = tempfile.mkdtemp(prefix="ledgerline-odd-")
+    day = dt.datetime(1997, 5, 6)
+    orders = [(k, 5, "P" if k % 3 else "O", 10.5 + k, day, "1-URGENT") for k in range(-20, 40)]
+    orders += [(4, 6, "O", 1.0, day, "x"), (4, 6, "O", 1.0, day, "x"), (None, 7, "P", 2.0, day, "x"), (None, 7, "O", 2.0, day, "x"),
+               (70_000, 8, None, 3.0, day, "x"), (16, 9, "O", None, day, "x"), (-16, 9, "O", None, day, "x"), (100_008, 9, "O", None, day, "x")]
+    lines = [(k, n, 2.0, 100.25 * n, 0.05) for k in [*range(-20, 30), 70_000, 999, None] for n in (1, 2, 3)]
+    spark.createDataFrame(orders, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp, "
+                          "o_orderpriority string").coalesce(1).write.parquet(sf + "/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_tax double"
+                          ).coalesce(1).write.parquet(sf + "/lineitem.parquet")
+    wide = LANDED.report_packs(spark, sf)
+    price = F.coalesce(F.col("`Актив__СумОтч`"), F.lit("none"))
+    got = sorted((r[0], r[1], r[2]) for r in wide.select("`ИдФайл__xml`", "`НПЮЛ__ИННЮЛ`", price).collect())
+
+    def pack(k, status):
+        return f"NO_{'BOUPR' if status == 'P' else 'BUHOT'}_{0 if k % 2 == 0 else math.fmod(k, 8):.0f}"
+
+    whole = [(pack(k, s), f"{c:010d}", f"{t:.2f}") for k, c, s, t, *_ in orders if k is not None and t is not None
+             for _ in range(1 + (k % 10 == 0))]
+    assert got == sorted(whole)
+    paid = F.col("`Запасы__СумОтч`")
+    assert wide.where(paid.isNotNull()).count() > 10
